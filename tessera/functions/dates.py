@@ -40,4 +40,4 @@ def review_date(c, as_of) -> Column:
             .when(c.rlike(r"\bdays?\b"), F.date_sub(as_of, n))
             .when(c == "yesterday", F.date_sub(as_of, 1))
             .when(c == "today", as_of)
-            .otherwise(F.try_to_date(c, F.lit("d MMMM yyyy"))))
+            .otherwise(F.try_to_date(c, "d MMMM yyyy")))
