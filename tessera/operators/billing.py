@@ -49,7 +49,7 @@ def settle(quotes: DataFrame) -> DataFrame:
     bal = parse_money("Balance")
     ok = bal >= F.col("total")
     return quotes.withColumns({
-        "balance": bal,
+        "balance_amount": bal,
         "status": F.when(F.col("total").isNull() | bal.isNull(), F.lit("NO_QUOTE"))
                    .when(ok, F.lit("SETTLED")).otherwise(F.lit("INSUFFICIENT")),
         "new_balance": F.when(ok, (bal - F.col("total")).cast("decimal(12,2)")).otherwise(bal),
@@ -84,7 +84,7 @@ def route_payments(requests: DataFrame, quotes: DataFrame, as_of,
     provider 1-5 → balance settlement, provider 6 → back to the menu;
     4 cash → UNPAID with the floor deposit due; 5 → exit; else invalid."""
     checked = card_check(requests, as_of, allow_slash)
-    q = settle(quotes).select("CustID", "total", "deposit_floor", "status", "balance",
+    q = settle(quotes).select("CustID", "total", "deposit_floor", "status", "balance_amount",
                               "new_balance")
     j = checked.join(q, on="CustID", how="left")
     choice, prov = F.col("choice"), F.col("provider_choice")
@@ -104,7 +104,8 @@ def route_payments(requests: DataFrame, quotes: DataFrame, as_of,
     return j.select(
         "CustID", "choice", "provider_choice", method.alias("method"), outcome.alias("outcome"),
         F.when(choice == 4, F.col("deposit_floor")).alias("deposit_due"),
-        F.when(settled, F.col("new_balance")).otherwise(F.col("balance")).alias("balance_after"))
+        F.when(settled, F.col("new_balance")).otherwise(F.col("balance_amount"))
+        .alias("balance_after"))
 
 
 def _line(label: str, value: Column) -> Column:
