@@ -45,14 +45,16 @@ def train_softmax(train: DataFrame, features: str = "features", label: str = "la
 
 
 def score(model, df: DataFrame, index: DataFrame | None = None,
-          label_col: str = "label") -> DataFrame:
+          index_label: str = "label_name") -> DataFrame:
     """Class probabilities, predicted class index and, with a class index
     table, the predicted label name (ML3, ARR2, ARR3)."""
     from pyspark.ml.functions import vector_to_array
     out = model.transform(df).withColumn("probs", vector_to_array("probability"))
     out = out.withColumn("pred", argmax("probs"))
     if index is not None:
-        out = out.join(index.withColumnRenamed("class_index", "pred"), on="pred", how="left")
+        idx = index.select(F.col("class_index").alias("pred"),
+                           F.col(index_label).alias("pred_label"))
+        out = out.join(idx, on="pred", how="left")
     return out
 
 
