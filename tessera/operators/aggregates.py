@@ -117,6 +117,16 @@ def evaluate(scores: DataFrame, probs: str, label: str, eps: float = 1e-7) -> Da
         (F.avg((pred == F.col(label)).cast("int")) * 100).alias("accuracy"))
 
 
+def per_group(expr, count_col: str = "n"):
+    """``expr`` over the grouping keys of an aggregate, evaluated once per group.
+
+    A filter on an expression of grouping keys alone is pushed by Catalyst
+    below the aggregate (and below projections, inlining the expression),
+    so an expensive expression would run once per input row again.  Tying
+    it to the group's count (always > 0) keeps it above the aggregate."""
+    return F.when(F.col(count_col) > 0, expr)
+
+
 def top_k_per_group(df: DataFrame, group, order, k: int, rank: str = "rank",
                     split_on: str | None = None, splits: int = 64) -> DataFrame:
     """Top ``k`` rows of every group by ``order`` (a list of sort Columns).

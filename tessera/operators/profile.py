@@ -46,50 +46,71 @@ def exact_quantiles(df: DataFrame, c: str, probs, buckets: int = 4096,
                     max_final: int = 20000) -> list:
     """Exact quantiles with linear interpolation (pandas' default).
 
-    A distributed selection: a histogram of equal-width ranges locates the
-    range holding each wanted rank, and only that range is refined, until a
-    range holds at most ``max_final`` distinct values, whose (value, count)
-    pairs are then small enough to read.  Every pass is a filtered,
-    partially-aggregated scan; no step sorts or collects the column.
+    A distributed selection shared by all wanted ranks: one pass gives
+    count, extremes and distinct count; while a range still holds more than
+    ``max_final`` distinct values, one histogram pass over equal-width
+    sub-ranges locates the sub-range of every wanted rank; finally one pass
+    reads the (value, count) pairs of the few located ranges.  Every pass is
+    a filtered, partially aggregated scan — the column is never sorted,
+    collected or held by one task.
     """
     v = df.select(F.col(c).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    st = v.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"),
-               F.max("v").alias("hi")).first()
+    st = v.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"),
+               F.count_distinct("v").alias("d")).first()
     n = st["n"]
     if not n:
         return [None for _ in probs]
-
-    def value_at(rank: int) -> float:
-        part, base = v, 0  # ``base`` rows of the column sort before ``part``
-        while True:
-            s = part.agg(F.count_distinct("v").alias("d"), F.min("v").alias("lo"),
-                         F.max("v").alias("hi")).first()
-            if s["d"] <= max_final:
-                seen = base
-                pairs = part.groupBy("v").count().orderBy("v").collect()
-                for r in pairs:
+    ranks = sorted({r for p in probs for r in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))})
+    # a range: (filter Column, rows before it, distinct, lo, hi, ranks inside)
+    ranges = [(F.lit(True), 0, st["d"], st["lo"], st["hi"], ranks)]
+    found: dict = {}
+    while ranges:
+        is_final = [r[2] <= max_final or r[3] == r[4] for r in ranges]
+        final = [r for r, f in zip(ranges, is_final) if f]
+        refine = [r for r, f in zip(ranges, is_final) if not f]
+        if final:
+            grp = F.coalesce(*[F.when(r[0], F.lit(i)) for i, r in enumerate(final)])
+            rows = (v.withColumn("g", grp).filter(F.col("g").isNotNull())
+                    .groupBy("g", "v").count().collect())
+            for i, (_, base, _, _, _, rk) in enumerate(final):
+                seen, pend = base, list(rk)
+                for r in sorted((x for x in rows if x["g"] == i), key=lambda x: x["v"]):
                     seen += r["count"]
-                    if rank < seen:
-                        return r["v"]
-                return pairs[-1]["v"]
-            lo, width = s["lo"], (s["hi"] - s["lo"]) / buckets
-            b = F.least(F.floor((F.col("v") - F.lit(lo)) / F.lit(width)),
-                        F.lit(buckets - 1))
-            hist = sorted((r["b"], r["count"]) for r in
-                          part.groupBy(b.alias("b")).count().collect())
-            for k, cnt in hist:
-                if rank < base + cnt:
-                    part = part.filter(b == k)
-                    break
-                base += cnt
-
+                    while pend and pend[0] < seen:
+                        found[pend.pop(0)] = r["v"]
+        nxt = []
+        if refine:
+            grp = F.coalesce(*[F.when(r[0], F.lit(i)) for i, r in enumerate(refine)])
+            bexpr = None
+            for i, r in enumerate(refine):
+                width = (r[4] - r[3]) / buckets
+                b_i = F.least(F.floor((F.col("v") - F.lit(r[3])) / F.lit(width)),
+                              F.lit(buckets - 1))
+                bexpr = F.when(F.col("g") == i, b_i) if bexpr is None else \
+                    bexpr.when(F.col("g") == i, b_i)
+            hist = (v.withColumn("g", grp).filter(F.col("g").isNotNull())
+                    .withColumn("b", bexpr).groupBy("g", "b")
+                    .agg(F.count(F.lit(1)).alias("cnt"), F.count_distinct("v").alias("d"),
+                         F.min("v").alias("lo"), F.max("v").alias("hi")).collect())
+            for i, (cond, base, _, lo, hi, rk) in enumerate(refine):
+                width = (hi - lo) / buckets
+                b_i = F.least(F.floor((F.col("v") - F.lit(lo)) / F.lit(width)),
+                              F.lit(buckets - 1))
+                seen, pend = base, list(rk)
+                for h in sorted((x for x in hist if x["g"] == i), key=lambda x: x["b"]):
+                    inside = [r for r in pend if r < seen + h["cnt"]]
+                    if inside:
+                        nxt.append((cond & (b_i == h["b"]), seen, h["d"], h["lo"], h["hi"],
+                                    inside))
+                        pend = pend[len(inside):]
+                    seen += h["cnt"]
+        ranges = nxt
     out = []
     for p in probs:
         pos = p * (n - 1)
         i, j = math.floor(pos), math.ceil(pos)
-        a = value_at(i)
-        b_ = a if j == i else value_at(j)
-        out.append(a + (b_ - a) * (pos - i))
+        a, b = found[i], found[j]
+        out.append(a + (b - a) * (pos - i))
     return out
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.strings import _c, lower_words
-from .aggregates import top_k_per_group
+from .aggregates import per_group, top_k_per_group
 from .joins import fixed_table
 
 # Fixed values -------------------------------------------------------------
@@ -176,12 +176,17 @@ def top_terms(counts: DataFrame, by=(), k: int = 20) -> DataFrame:
     return top_k_per_group(counts, list(by), order, k, split_on="token")
 
 
-def top_by_tag(tagged: DataFrame, stop: DataFrame, k: int = 20) -> DataFrame:
+def top_by_tag(tokens_df: DataFrame, stop: DataFrame, k: int = 20) -> DataFrame:
     """Most frequent words of each family (noun, verb, adjective, adverb),
-    stop words out, top ``k`` per family (TXT2) — one pass for all families."""
-    fam = tagged.select(family_expr("tag").alias("family"), "token") \
-        .filter(F.col("family").isNotNull())
-    return top_terms(counted_terms(fam, stop, by=["family"]), by=["family"], k=k)
+    stop words out, top ``k`` per family (TXT2) — one pass for all families.
+
+    The tagger looks at the token alone, so tokens are counted first and
+    only the vocabulary is tagged: the tag rules run once per distinct word,
+    not once per occurrence."""
+    counts = counted_terms(tokens_df.select("token"), stop)
+    fam = counts.withColumn("family", per_group(family_expr(tag_expr("token"))))
+    return top_terms(fam.filter(F.col("family").isNotNull()).select("family", "token", "n"),
+                     by=["family"], k=k)
 
 
 def describe_terms(terms: DataFrame, tags: DataFrame) -> DataFrame:
@@ -195,26 +200,28 @@ def polarity(df: DataFrame, text: str, lexicon: dict | None = None,
 
     ``s`` is the sum of the valences of the text's tokens;
     ``compound = s / sqrt(s*s + alpha)``.  The shares are the positive weight
-    (valence + 1 per positive token), the negative weight (|valence - 1| per
+    (valence + 1 per positive token), the negative weight (1 - valence per
     negative token) and the neutral weight (1 per other token) over their sum.
+    One ``aggregate`` pass over the token valences yields all four sums.
     """
     lexicon = lexicon or DEFAULT_VALENCE
     lex = F.create_map(*[F.lit(x) for kv in lexicon.items() for x in kv])
     vals = F.transform(lower_words(F.col(text)),
                        lambda t: F.coalesce(F.try_element_at(lex, t), F.lit(0.0)))
-
-    def total(arr):
-        return F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x)
-
-    s = total(vals)
-    pos_w = total(F.transform(F.filter(vals, lambda x: x > 0), lambda x: x + 1))
-    neg_w = total(F.transform(F.filter(vals, lambda x: x < 0), lambda x: F.lit(1.0) - x))
-    neu_w = F.size(F.filter(vals, lambda x: x == 0)).cast("double")
-    all_w = pos_w + neg_w + neu_w
-    share = lambda w: F.when(all_w > 0, w / all_w).otherwise(F.lit(0.0))
-    return df.withColumns({
+    zero = F.lit(0.0)
+    init = F.struct(zero.alias("s"), zero.alias("pw"), zero.alias("nw"), zero.alias("uw"))
+    sums = F.aggregate(vals, init, lambda acc, x: F.struct(
+        (acc["s"] + x).alias("s"),
+        (acc["pw"] + F.when(x > 0, x + 1).otherwise(zero)).alias("pw"),
+        (acc["nw"] + F.when(x < 0, F.lit(1.0) - x).otherwise(zero)).alias("nw"),
+        (acc["uw"] + F.when(x == 0, F.lit(1.0)).otherwise(zero)).alias("uw")))
+    out = df.withColumn("_pol", sums)
+    s, pw, nw, uw = (F.col("_pol")[k] for k in ("s", "pw", "nw", "uw"))
+    all_w = pw + nw + uw
+    share = lambda w: F.when(all_w > 0, w / all_w).otherwise(zero)
+    return out.withColumns({
         "Compound": s / F.sqrt(s * s + F.lit(alpha)),
-        "Positive": share(pos_w), "Neutral": share(neu_w), "Negative": share(neg_w)})
+        "Positive": share(pw), "Neutral": share(uw), "Negative": share(nw)}).drop("_pol")
 
 
 def term_weights(counts: DataFrame, by=(), k: int = 200) -> DataFrame:

@@ -86,10 +86,6 @@ def label_top(spark, sf, k: int = TOP) -> DataFrame:
     return top.withColumn("rank", F.col("rank").cast("int"))
 
 
-def review_tags(spark, sf) -> DataFrame:
-    return T.tag_tokens(combined(spark, sf), "Review")
-
-
 def doc_tags(spark, sf) -> DataFrame:
     return T.tag_tokens(table(spark, sf, DOC), "text", keep=["doc_id"])
 
@@ -236,8 +232,12 @@ def txt1(spark, sf):
 SELECT DISTINCT token, tag FROM (SELECT token, {tag_sql('token')} AS tag FROM ({_DOC_TOK_SQL}))
 WHERE starts_with(tag, 'NN')""")
 def flt9(spark, sf):
-    t = doc_tags(spark, sf).select("token", "tag")
-    return rel.with_tag_prefix(t, "tag", "NN").distinct()
+    """Distinct words first, then the (context-free) tag of each word."""
+    from ..operators.aggregates import per_group
+    vocab = T.tokens(table(spark, sf, DOC), "text").groupBy("token").agg(
+        F.count(F.lit(1)).alias("n"))
+    t = vocab.select("token", per_group(T.tag_expr("token")).alias("tag"))
+    return rel.with_tag_prefix(t, "tag", "NN")
 
 
 @query("jn6_describe_tag", f"""
@@ -245,14 +245,14 @@ SELECT d.token, d.tag, tg.description FROM (
   SELECT DISTINCT token, {tag_sql('token')} AS tag FROM ({_DOC_TOK_SQL})) d
 LEFT JOIN {TAGS_SQL} ON d.tag = tg.tag""")
 def jn6(spark, sf):
-    d = doc_tags(spark, sf).select("token", "tag").distinct()
+    d = T.tokens(table(spark, sf, DOC), "text").distinct().withColumn("tag", T.tag_expr("token"))
     return joins.describe_tag(d, T.tag_table(spark)).select("token", "tag", "description")
 
 
 @query("txt2_top_by_tag", CLEAN_SQL + _FAMILY_SQL + f"SELECT * FROM ft WHERE rank <= {TOP}",
        uses=R)
 def txt2(spark, sf):
-    out = T.top_by_tag(review_tags(spark, sf), T.stop_table(spark), TOP)
+    out = T.top_by_tag(T.tokens(combined(spark, sf), "Review"), T.stop_table(spark), TOP)
     return out.select("family", F.col("rank").cast("int").alias("rank"), "token", "n")
 
 

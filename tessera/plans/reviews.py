@@ -276,11 +276,17 @@ labels AS (SELECT CAST(i AS INT) AS bin,
 SELECT labels.bin, labels.label, g.avg_rating, COALESCE(g.n, 0) AS n
 FROM labels LEFT JOIN g ON labels.bin = g.bin""", uses=R)
 def num6(spark, sf):
-    """Mean rating per 200-word bin; all ten bins listed, empty ones null (S:274-279)."""
-    c = with_word_count(combined(spark, sf)).select(
-        bin_index("Word_count", BIN_WIDTH, N_BINS).alias("bin"), "Rating")
-    g = c.filter(F.col("bin").isNotNull()).groupBy("bin").agg(
-        F.avg("Rating").alias("avg_rating"), F.count(F.lit(1)).cast("bigint").alias("n"))
+    """Mean rating per 200-word bin; all ten bins listed, empty ones null (S:274-279).
+
+    Rows are first reduced per word count (the count is computed once per
+    review); bins are derived per distinct word count."""
+    per_wc = with_word_count(combined(spark, sf)).groupBy("Word_count").agg(
+        F.sum("Rating").alias("_s"), F.count("Rating").alias("_c"),
+        F.count(F.lit(1)).alias("_rows"))
+    binned = per_wc.select(agg.per_group(bin_index("Word_count", BIN_WIDTH, N_BINS), "_rows")
+                           .alias("bin"), "_s", "_c", "_rows")
+    g = binned.filter(F.col("bin").isNotNull()).groupBy("bin").agg(
+        (F.sum("_s") / F.sum("_c")).alias("avg_rating"), F.sum("_rows").cast("bigint").alias("n"))
     out = bins_table(spark).join(g, "bin", "left")
     return out.select("bin", "label", "avg_rating", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
 
