@@ -1,0 +1 @@
+"""tessera: the analyses as PySpark DataFrame operators and pipelines."""

@@ -54,7 +54,12 @@ def exact_quantiles(df: DataFrame, c: str, probs, buckets: int = 4096,
     a filtered, partially aggregated scan — the column is never sorted,
     collected or held by one task.
     """
-    v = df.select(F.col(c).cast("double").alias("v")).filter(F.col("v").isNotNull())
+    # Integral columns stay integral: integer-valued doubles hash poorly in
+    # the aggregation hash map (their low mantissa bits are all zero).
+    dtype = df.schema[c].dataType
+    integral = isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+    v = df.select(F.col(c).cast("long" if integral else "double").alias("v")) \
+        .filter(F.col("v").isNotNull())
     st = v.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"),
                F.count_distinct("v").alias("d")).first()
     n = st["n"]
@@ -109,7 +114,7 @@ def exact_quantiles(df: DataFrame, c: str, probs, buckets: int = 4096,
     for p in probs:
         pos = p * (n - 1)
         i, j = math.floor(pos), math.ceil(pos)
-        a, b = found[i], found[j]
+        a, b = float(found[i]), float(found[j])
         out.append(a + (b - a) * (pos - i))
     return out
 

@@ -142,12 +142,12 @@ def str7(spark, sf):
 
 
 @query("str8_pad_min", f"""
-SELECT url, length(p) AS padded_len, md5(p) AS padded_md5 FROM (
+SELECT url, CAST(length(p) AS INT) AS padded_len, md5(p) AS padded_md5 FROM (
   SELECT url, CASE WHEN length(Review) < {PAD_WIDTH} THEN rpad(Review, {PAD_WIDTH}, ' ')
                    ELSE Review END AS p FROM reviews_a)""", uses=[A])
 def str8(spark, sf):
     p = S.pad_min("Review", PAD_WIDTH)
-    return table(spark, sf, A).select("url", F.length(p).alias("padded_len"),
+    return table(spark, sf, A).select("url", F.length(p).cast("int").alias("padded_len"),
                                       F.md5(p).alias("padded_md5"))
 
 
@@ -269,12 +269,12 @@ b AS (SELECT CAST(CASE WHEN Word_count >= 0 AND Word_count < {BIN_WIDTH * N_BINS
                       THEN floor(Word_count / {BIN_WIDTH}) END AS INT) AS bin, Rating FROM wc),
 g AS (SELECT bin, AVG(Rating) AS avg_rating, CAST(COUNT(*) AS BIGINT) AS n FROM b
       WHERE bin IS NOT NULL GROUP BY bin),
-labels AS (SELECT CAST(i AS INT) AS bin,
+bin_labels AS (SELECT CAST(i AS INT) AS bin,
                   concat(CAST(CASE WHEN i = 0 THEN 0 ELSE i * {BIN_WIDTH} + 1 END AS VARCHAR), '-',
                          CAST((i + 1) * {BIN_WIDTH} AS VARCHAR)) AS label
            FROM range({N_BINS}) t(i))
-SELECT labels.bin, labels.label, g.avg_rating, COALESCE(g.n, 0) AS n
-FROM labels LEFT JOIN g ON labels.bin = g.bin""", uses=R)
+SELECT bin_labels.bin, bin_labels.label, g.avg_rating, COALESCE(g.n, 0) AS n
+FROM bin_labels LEFT JOIN g ON bin_labels.bin = g.bin""", uses=R)
 def num6(spark, sf):
     """Mean rating per 200-word bin; all ten bins listed, empty ones null (S:274-279).
 

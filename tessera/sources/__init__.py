@@ -1,0 +1 @@
+"""Sources, sinks and the fixture views of the test tables."""

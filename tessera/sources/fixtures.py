@@ -151,9 +151,18 @@ def fixture_sql(name: str, engine: str) -> str:
     return SQL[name].format(**DIALECT[engine]).strip()
 
 
+_REGISTERED: dict = {}
+
+
 def register_base_tables(spark: SparkSession, sf_dir: str) -> None:
+    """Register the base tables of ``sf_dir`` as temp views (once per session
+    and folder; re-registered when the folder changes or a view is gone)."""
+    key = id(spark)
+    if _REGISTERED.get(key) == sf_dir and all(spark.catalog.tableExists(t) for t in BASE_TABLES):
+        return
     for t in BASE_TABLES:
         spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
+    _REGISTERED[key] = sf_dir
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

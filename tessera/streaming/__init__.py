@@ -1,0 +1,8 @@
+"""Streaming.
+
+The analyses this library reproduces read bounded tables only: there is no
+stream source, watermark, event-time window or state anywhere in them, so
+nothing is built here.  Every operator in ``tessera.operators`` is a plain
+DataFrame transformation and can be applied inside ``foreachBatch`` of a
+Structured Streaming query when a caller needs it incrementally.
+"""

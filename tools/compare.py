@@ -7,15 +7,20 @@ import decimal
 import math
 
 
+import os
+
+STRICT = os.environ.get("COMPARE_STRICT") == "1"
+
+
 def norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6)
+        return v if STRICT else round(v, 6)
     if isinstance(v, decimal.Decimal):
-        return round(float(v), 6)
+        return float(v) if STRICT else round(float(v), 6)
     if isinstance(v, dt.datetime):
         return v.isoformat(sep=" ")
     if isinstance(v, dt.date):
