@@ -124,10 +124,12 @@ def profile(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
     most frequent value and its frequency (text columns) and mean, sample
     standard deviation, min, quartiles and max (numeric columns) (PRF3).
 
-    Counts, distincts, moments and extremes come from one aggregation pass;
-    the most frequent value from a (column, value) count reduced with
-    ``min(struct(-count, value))`` — a partial aggregate, so a dominant value
-    never lands in one task; quartiles from ``exact_quantiles``.
+    Counts, moments and extremes come from one aggregation pass.  Text
+    columns are unpivoted to (column, value) and counted once; that table
+    gives both the distinct count (its rows per column) and the most
+    frequent value (``min(struct(-count, value))``), all partial aggregates,
+    so a dominant value never lands in one task.  Quartiles come from
+    ``exact_quantiles``.
     """
     spark = spark or df.sparkSession
     fields = df.schema.fields
@@ -141,31 +143,29 @@ def profile(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
             d = c.cast("double")
             aggs += [F.avg(d).alias(f"{f.name}__mean"), F.stddev_samp(d).alias(f"{f.name}__std"),
                      F.min(d).alias(f"{f.name}__min"), F.max(d).alias(f"{f.name}__max")]
-        else:
-            aggs.append(F.count_distinct(c).alias(f"{f.name}__unique"))
     one = df.agg(*aggs)
     rows = []
     for f in fields:
         n = f.name
         if n in num:
-            rows.append(f"'{n}', `{n}__count`, CAST(NULL AS BIGINT), `{n}__mean`, `{n}__std`, "
-                        f"`{n}__min`, `{n}__max`")
+            rows.append(f"'{n}', `{n}__count`, `{n}__mean`, `{n}__std`, `{n}__min`, `{n}__max`")
         else:
-            rows.append(f"'{n}', `{n}__count`, `{n}__unique`, CAST(NULL AS DOUBLE), "
+            rows.append(f"'{n}', `{n}__count`, CAST(NULL AS DOUBLE), "
                         f"CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE)")
     base = one.selectExpr(
-        f"stack({len(fields)}, {', '.join(rows)}) AS "
-        "(column, count, unique, mean, std, min, max)")
+        f"stack({len(fields)}, {', '.join(rows)}) AS (column, count, mean, std, min, max)")
     if txt:
         stack = ", ".join(f"'{n}', CAST(`{n}` AS STRING)" for n in txt)
         long = df.selectExpr(f"stack({len(txt)}, {stack}) AS (column, value)") \
             .filter(F.col("value").isNotNull())
         freq = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt"))
         top = freq.groupBy("column").agg(
+            F.count(F.lit(1)).alias("unique"),
             F.min(F.struct((-F.col("cnt")).alias("k"), F.col("value").alias("v"))).alias("t"))
-        top = top.select("column", F.col("t.v").alias("top"), (-F.col("t.k")).alias("freq"))
+        top = top.select("column", "unique", F.col("t.v").alias("top"),
+                         (-F.col("t.k")).alias("freq"))
     else:
-        top = spark.createDataFrame([], "column string, top string, freq bigint")
+        top = spark.createDataFrame([], "column string, unique bigint, top string, freq bigint")
     qrows = []
     for n in num:
         q = exact_quantiles(df, n, [0.25, 0.5, 0.75])

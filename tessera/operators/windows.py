@@ -49,15 +49,22 @@ def running_total(df: DataFrame, part, order, value, out: str,
 
 
 def number_rows(df: DataFrame, keys, order: str, out: str = "row_num",
-                ranges: int = 256) -> DataFrame:
+                ranges: int | None = None, rows_per_range: int = 2_000_000) -> DataFrame:
     """``row_number() over (partition by keys order by order)`` computed
     range by range (WIN2).  ``order`` must be numeric; nulls in ``keys``
-    form one group, as in SQL windows."""
+    form one group, as in SQL windows.
+
+    The number of ranges grows with the data (about ``rows_per_range`` rows
+    per range over the whole table, at least 256), so even a group holding a
+    third of all rows is numbered in pieces of bounded size."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    stats = df.agg(F.min(order).alias("lo"), F.max(order).alias("hi")).first()
+    stats = df.agg(F.min(order).alias("lo"), F.max(order).alias("hi"),
+                   F.count(F.lit(1)).alias("n")).first()
     if stats is None or stats["lo"] is None:
         return df.withColumn(out, F.lit(None).cast("int"))
     lo, hi = stats["lo"], stats["hi"]
+    if ranges is None:
+        ranges = max(256, -(-stats["n"] // rows_per_range))
     width = max(1, -(-(int(hi) - int(lo) + 1) // ranges))
     b = F.floor((F.col(order) - F.lit(lo)) / F.lit(width)).cast("long")
     with_b = df.withColumn("_rb", b)
