@@ -41,10 +41,13 @@ def value_counts(df: DataFrame, c: str, out: str = "count") -> DataFrame:
 
 
 def class_share(df: DataFrame, c: str, out: str = "Percentage") -> DataFrame:
-    """Share of each class in percent of all rows (AGG6).
+    """Share of each class in percent of all rows, null class included in
+    the total (AGG6).
 
-    The total is a window over the already-grouped counts (a handful of
-    rows), not a second pass over the data."""
+    One grouped aggregate gives the class counts; the total is a window sum
+    over those counts — one row per class, so the window's single partition
+    is bounded by the number of classes, not by the data.  (A join with a
+    separately aggregated total would compute the whole input twice.)"""
     counts = df.groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
     total = F.sum("_n").over(Window.partitionBy())
     return (counts.select(c, (F.col("_n") / total * 100).alias(out))

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.arrays import argmax, is_correct, ranked_indices
+from ..functions.arrays import argmax, is_correct
 from ..functions.numeric import batches, rescale
 from ..functions.strings import title
 from ..operators import aggregates as agg
@@ -233,5 +233,3 @@ def src4(spark, sf):
                          .alias("line")).filter(F.col("line") != "")
     return lines.groupBy("label").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
-
-__all__ = ["ranked_indices"]

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.strings import lower_words, words
+from ..functions.strings import words
 from ..operators import joins, relational as rel
 from ..operators import text as T
 from .catalog import query, table
@@ -318,5 +318,3 @@ def agg9(spark, sf):
     m = mean_scores(polarity_frame(spark, sf), SCORES)
     return m.select(*[(F.round(c, 6) + 0.0).alias(c) for c in SCORES])
 
-
-__all__ = ["lower_words"]
