@@ -28,10 +28,15 @@ def _null_safe_on(left: DataFrame, right: DataFrame, cols, prefix: str) -> Colum
 
 
 def running_total(df: DataFrame, part, order, value, out: str,
-                  cast: str | None = "int") -> DataFrame:
+                  cast: str | None = "int", null_keys: bool = True) -> DataFrame:
     """``sum(value) over (partition by part order by order)`` with the default
     RANGE frame: rows with equal order values share the running value, nulls
-    are skipped, leading nulls give null (WIN1)."""
+    are skipped, leading nulls give null (WIN1).
+
+    ``null_keys=False`` states that the partition and order keys are never
+    null (e.g. they are the keys of an inner equi-join); the running values
+    are then joined back on plain equality, which reuses an existing hash
+    partitioning on those keys instead of shuffling the rows again."""
     part = [part] if isinstance(part, str) else list(part)
     order = [order] if isinstance(order, str) else list(order)
     v = _c(value)
@@ -42,6 +47,9 @@ def running_total(df: DataFrame, part, order, value, out: str,
     compact = df.groupBy(*keys).agg(F.sum(v).alias("_s"))
     w = Window.partitionBy(*part).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
+    if not null_keys:
+        running = compact.select(*keys, F.sum("_s").over(w).alias(out))
+        return df.join(running, on=keys, how="left")
     running = compact.select(*[F.col(k).alias("_k_" + k) for k in keys],
                              F.sum("_s").over(w).alias(out))
     joined = df.join(running, _null_safe_on(df, running, keys, "_k_"), "left")

@@ -37,8 +37,9 @@ def rolling_vaccinations(spark, sf) -> DataFrame:
     dea = reported(spark, sf).select("continent", "location", "date", "population")
     vac = table(spark, sf, DOSES).select("location", "date", "new_vaccinations")
     j = joins.join_daily(dea, vac)
+    # inner-join keys are never null: join the running values back on them
     out = running_total(j, "location", ["location", "date"], "new_vaccinations",
-                        "RollingPeopleVaccinated")
+                        "RollingPeopleVaccinated", null_keys=False)
     return out.select("continent", "location", "date", "population", "new_vaccinations",
                       F.col("RollingPeopleVaccinated").cast("bigint").alias("RollingPeopleVaccinated"))
 
