@@ -173,7 +173,9 @@ def top_terms(counts: DataFrame, by=(), k: int = 20) -> DataFrame:
     if not by:
         from .relational import with_rank
         return with_rank(counts.orderBy(*order).limit(k), order)
-    return top_k_per_group(counts, list(by), order, k, split_on="token")
+    # Spark inserts a partial WindowGroupLimit before the shuffle: every map
+    # task forwards at most k rows per group, so no task sees a whole group.
+    return top_k_per_group(counts, list(by), order, k)
 
 
 def top_by_tag(tokens_df: DataFrame, stop: DataFrame, k: int = 20) -> DataFrame:

@@ -171,3 +171,10 @@ def test_union_by_name_fills_missing(spark):
 def test_itertools_guard():
     # the pair brute force above stays small; keep the helper import used
     assert list(itertools.islice(itertools.count(), 2)) == [0, 1]
+
+
+def test_running_total_plain_keys_after_inner_join(spark):
+    df = skewed_frame(spark).filter(F.col("g").isNotNull())
+    a = windows.running_total(df, "g", "d", "v", "rt", null_keys=False)
+    b = windows.running_total(df, "g", "d", "v", "rt")
+    assert rows(a, "id", "rt") == rows(b, "id", "rt")
