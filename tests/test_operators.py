@@ -178,3 +178,23 @@ def test_running_total_plain_keys_after_inner_join(spark):
     a = windows.running_total(df, "g", "d", "v", "rt", null_keys=False)
     b = windows.running_total(df, "g", "d", "v", "rt")
     assert rows(a, "id", "rt") == rows(b, "id", "rt")
+
+
+def test_running_total_by_date_with_nulls_matches_window(spark):
+    import datetime as dt
+    rnd = random.Random(11)
+    data = []
+    for i in range(4000):
+        g = "HOT" if i % 3 == 0 else (None if i % 50 == 1 else f"g{rnd.randint(0, 5)}")
+        day = dt.date(2020, 1, 1) + dt.timedelta(days=rnd.randint(0, 500))
+        val = None if rnd.random() < 0.3 else str(rnd.randint(0, 9))
+        data.append((i, g, day, val))
+    df = spark.createDataFrame(data, "id long, g string, d date, v string")
+    # leading nulls: a partition whose first months carry no value
+    df = df.union(spark.createDataFrame([(9001, "late", dt.date(2020, 1, 5), None),
+                                         (9002, "late", dt.date(2020, 3, 5), "4")],
+                                        "id long, g string, d date, v string"))
+    got = windows.running_total(df, "g", ["g", "d"], "v", "rt")
+    w = Window.partitionBy("g").orderBy("g", "d")
+    exp = df.withColumn("rt", F.sum(F.col("v").try_cast("int").cast("bigint")).over(w))
+    assert rows(got, "id", "rt") == rows(exp, "id", "rt")
