@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,6 +61,16 @@ def exact_quantiles(df: DataFrame, c: str, probs, buckets: int = 4096,
     integral = isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
     v = df.select(F.col(c).cast("long" if integral else "double").alias("v")) \
         .filter(F.col("v").isNotNull())
+    # the passes below re-read this one column: keep it (spilling to disk;
+    # recomputed from lineage if an executor is lost) until the end
+    v = v.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _select_quantiles(v, probs, buckets, max_final)
+    finally:
+        v.unpersist()
+
+
+def _select_quantiles(v: DataFrame, probs, buckets: int, max_final: int) -> list:
     st = v.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"),
                F.count_distinct("v").alias("d")).first()
     n = st["n"]
