@@ -98,9 +98,10 @@ def top_k(df: DataFrame, by, k: int, tiebreak=()) -> DataFrame:
 
 
 def with_rank(df: DataFrame, order: list, name: str = "rank") -> DataFrame:
-    """Dense position in a total order, computed without a single-partition window.
+    """Position of each row in a total order (1, 2, ...).
 
-    Used on small, already-aggregated results only (top-k outputs)."""
+    A window without partition keys runs in one task, so this is applied
+    only to results already cut to k rows (top-k outputs)."""
     from pyspark.sql import Window
     return df.withColumn(name, F.row_number().over(Window.orderBy(*order)))
 
