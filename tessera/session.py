@@ -4,6 +4,12 @@ The settings lean on Catalyst and AQE rather than hand scheduling: adaptive
 execution coalesces small shuffle partitions, turns sort-merge joins into
 broadcast joins when the runtime size of a side is small, and splits skewed
 join partitions.  Nothing here pins a physical plan.
+
+Sizing on a cluster: keep ``spark.sql.shuffle.partitions`` at least at the
+shuffled bytes divided by ~128 MB (tens of thousands for 100 TB inputs) —
+AQE merges the partitions that turn out small, so a generous value costs
+little while a small one makes partitions spill; scan splits follow
+``spark.sql.files.maxPartitionBytes`` (128 MB by default).
 """
 
 from __future__ import annotations
