@@ -318,3 +318,47 @@ def agg9(spark, sf):
     m = mean_scores(polarity_frame(spark, sf), SCORES)
     return m.select(*[(F.round(c, 6) + 0.0).alias(c) for c in SCORES])
 
+
+
+def review_report(spark, sf) -> tuple[dict, DataFrame]:
+    """The whole review analysis over one cleaned-review table.
+
+    The padded, de-duplicated, labelled reviews are computed once and
+    persisted (spilling to disk; recomputed from lineage if an executor is
+    lost); every branch — distributions, top restaurants, length bins,
+    correlation, unigrams, word families, polarity — reads that table and
+    ends in a small aggregate.  Returns the branch DataFrames and the
+    persisted table, which the caller unpersists when done.
+    """
+    from pyspark import StorageLevel
+
+    from ..operators import aggregates as A
+    from .reviews import BIN_WIDTH, N_BINS, bins_table, with_word_count
+
+    c = combined(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
+    stop = T.stop_table(spark)
+    tok = T.tokens(c, "Review", keep=["Label"])
+    wc = with_word_count(c)
+    from ..functions.numeric import bin_index
+    bins = wc.select(bin_index("Word_count", BIN_WIDTH, N_BINS).alias("bin"), "Rating") \
+        .filter(F.col("bin").isNotNull()).groupBy("bin").agg(F.avg("Rating").alias("avg_rating"))
+    counts = T.counted_terms(tok, stop, by=["Label"]).filter(F.col("Label").isNotNull())
+    pol = T.polarity(c, "Review", TEST_VALENCE)
+    mean = c.groupBy("Restaurant").agg(F.avg("Rating").alias("Rating"),
+                                       F.count(F.lit(1)).cast("bigint").alias("count"))
+    report = {
+        "location_counts": A.value_counts(c, "Location"),
+        "rating_counts": A.value_counts(c, "Rating"),
+        "average_rating": A.mean_rounded(c, "Rating", 2),
+        "location_mean": A.group_mean(c, "Location", "Rating"),
+        "label_share": A.class_share(c, "Label"),
+        "top_restaurants": rel.top_k(mean, "count", 10, tiebreak=["Restaurant"]),
+        "length_bins": bins_table(spark).join(bins, "bin", "left"),
+        "length_rating_corr": A.corr_matrix(
+            wc.select(F.col("Word_count").cast("double").alias("Word_count"),
+                      F.col("Rating").cast("double").alias("Rating")), ["Word_count", "Rating"]),
+        "unigrams": T.top_terms(counts, by=["Label"], k=TOP),
+        "families": T.top_by_tag(tok.select("token"), stop, TOP),
+        "polarity_means": A.mean_scores(pol, SCORES),
+    }
+    return report, c

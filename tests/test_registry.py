@@ -44,3 +44,19 @@ def test_query_matches_oracle(spark, duck, name):
     exp = cur.fetchall()
     assert sorted(df.columns) == sorted(cols)
     assert rows_of(df.columns, got) == rows_of(cols, exp)
+
+
+def test_review_report_branches_equal_registered_queries(spark):
+    from tessera.plans.review_text import review_report
+    report, cleaned = review_report(spark, SMALL)
+    try:
+        share = {r.Label: r.Percentage for r in report["label_share"].collect()}
+        exp = {r.Label: r.Percentage for r in QUERIES["agg6_class_share"](spark, SMALL).collect()}
+        assert share == exp
+        got = sorted((r.Label, r["rank"], r.token, r.n) for r in report["unigrams"].collect())
+        exp = sorted(tuple(r) for r in QUERIES["txt7_unigrams"](spark, SMALL)
+                     .select("Label", "rank", "token", "n").collect())
+        assert got == exp
+        assert report["polarity_means"].count() == 1
+    finally:
+        cleaned.unpersist()
