@@ -5,10 +5,10 @@ of the data on one task (WIN1, WIN2, SET4, FLT5).
   runs the window on that compact table and joins the running value back.
   When the compact table is small AQE turns the join into a broadcast hash
   join and the detail rows are never shuffled for the window at all.
-* ``number_rows`` splits every group into order-preserving ranges of the
-  ordering column, numbers rows inside each range and adds the count of all
-  earlier ranges of the same group.  A group is never processed by one task
-  as a whole, yet the numbers are exact.
+* ``number_rows`` splits every group into order-preserving, row-balanced
+  ranges of the ordering column, numbers rows inside each range and adds the
+  count of all earlier ranges of the same group.  A group is never processed
+  by one task as a whole, yet the numbers are exact.
 """
 
 from __future__ import annotations
@@ -57,25 +57,35 @@ def running_total(df: DataFrame, part, order, value, out: str,
 
 
 def number_rows(df: DataFrame, keys, order: str, out: str = "row_num",
-                ranges: int | None = None, rows_per_range: int = 2_000_000) -> DataFrame:
+                ranges: int | None = None, rows_per_range: int = 2_000_000,
+                max_ranges: int = 65536) -> DataFrame:
     """``row_number() over (partition by keys order by order)`` computed
     range by range (WIN2).  ``order`` must be numeric; nulls in ``keys``
-    form one group, as in SQL windows.
+    form one group and null ``order`` values come first, as in SQL.
+
+    The ranges hold about the same number of rows whatever the distribution
+    of ``order`` (boundaries from Spark's distributed ``approxQuantile``;
+    they only need to be ordered, not exact, for the numbering to be exact),
+    and their number grows with the data (about ``rows_per_range`` rows per
+    range over the whole table, at least 256).  A group holding a third of
+    all rows is therefore numbered in pieces of bounded size."""
+    from pyspark.ml.feature import Bucketizer
 
-    The number of ranges grows with the data (about ``rows_per_range`` rows
-    per range over the whole table, at least 256), so even a group holding a
-    third of all rows is numbered in pieces of bounded size."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    stats = df.agg(F.min(order).alias("lo"), F.max(order).alias("hi"),
-                   F.count(F.lit(1)).alias("n")).first()
-    if stats is None or stats["lo"] is None:
-        return df.withColumn(out, F.lit(None).cast("int"))
-    lo, hi = stats["lo"], stats["hi"]
+    n = df.count()
     if ranges is None:
-        ranges = max(256, -(-stats["n"] // rows_per_range))
-    width = max(1, -(-(int(hi) - int(lo) + 1) // ranges))
-    b = F.floor((F.col(order) - F.lit(lo)) / F.lit(width)).cast("long")
-    with_b = df.withColumn("_rb", b)
+        ranges = min(max_ranges, max(256, -(-n // rows_per_range)))
+    probs = [i / ranges for i in range(1, ranges)]
+    bounds = sorted(set(df.approxQuantile(order, probs, 1.0 / (4 * ranges)))) if n else []
+    splits = [float("-inf")] + [b for b in bounds if b not in (float("-inf"), float("inf"))] \
+        + [float("inf")]
+    with_v = df.withColumn("_ov", F.col(order).cast("double"))
+    bucketed = Bucketizer(splits=splits, inputCol="_ov", outputCol="_bk",
+                          handleInvalid="keep").transform(with_v)
+    # null order values sort first, so they form the first range
+    with_b = bucketed.withColumn(
+        "_rb", F.when(F.col(order).isNull(), F.lit(-1)).otherwise(F.col("_bk").cast("int"))) \
+        .drop("_ov", "_bk")
     gk = keys + ["_rb"]
     counts = with_b.groupBy(*gk).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_rb").rowsBetween(

@@ -198,3 +198,18 @@ def test_running_total_by_date_with_nulls_matches_window(spark):
     w = Window.partitionBy("g").orderBy("g", "d")
     exp = df.withColumn("rt", F.sum(F.col("v").try_cast("int").cast("bigint")).over(w))
     assert rows(got, "id", "rt") == rows(exp, "id", "rt")
+
+
+def test_number_rows_bimodal_ids_and_null_order(spark):
+    # ids in two far-apart blocks (as the planted copies) and some null ids
+    data = [(None if i % 97 == 0 else (i if i % 2 else 10**9 + i), "HOT" if i % 3 else f"k{i % 7}")
+            for i in range(3000)]
+    df = spark.createDataFrame(data, "id long, g string").withColumn("row", F.monotonically_increasing_id())
+    got = windows.number_rows(df, ["g"], "id", ranges=32)
+    exp = df.withColumn("row_num", F.row_number().over(Window.partitionBy("g").orderBy("id")))
+    # null ids tie with each other: compare the numbers given to non-null rows exactly
+    # and the multiset of numbers per group
+    g1 = {r.row: r.row_num for r in got.collect() if r.id is not None}
+    e1 = {r.row: r.row_num for r in exp.collect() if r.id is not None}
+    assert g1 == e1
+    assert rows(got, "g", "row_num") == rows(exp, "g", "row_num")
