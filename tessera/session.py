@@ -57,12 +57,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     named by the cluster).  Only when the setting is absent, as in local
     tests, a private folder under the system temp dir is created.
     """
-    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a Connect session has no SparkContext
+        sc = None
+    if sc is None:
+        if not configured:
+            configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
+            spark.conf.set("spark.checkpoint.dir", configured)
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or \
-        sc.getConf().get("spark.checkpoint.dir", None)
+    configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(configured)
