@@ -178,9 +178,14 @@ def profile(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
     else:
         top = spark.createDataFrame([], "column string, unique bigint, top string, freq bigint")
     qrows = []
-    for n in num:
-        q = exact_quantiles(df, n, [0.25, 0.5, 0.75])
-        qrows.append((n, *q))
+    if num:
+        # all quantile searches read the numeric columns: compute them once
+        nums = df.select(*[F.col(f"`{n}`") for n in num]).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for n in num:
+                qrows.append((n, *exact_quantiles(nums, n, [0.25, 0.5, 0.75])))
+        finally:
+            nums.unpersist()
     quart = spark.createDataFrame(qrows, "column string, q1 double, q2 double, q3 double")
     out = base.join(top, "column", "left").join(F.broadcast(quart), "column", "left")
     return out.select(
