@@ -20,8 +20,8 @@ from .catalog import query, table
 EMB = "embeddings"
 VALIDATION = 0.2
 BATCH = 32
-SCORE_LEN = 4      # first elements used as a class score vector (SQL-checkable ops)
-SOFTMAX_LEN = 10   # first elements used as logits over the ten classes
+SCORE_LEN = 4      # classes of the score vector of the ranking operators
+SOFTMAX_LEN = 10   # logits over the ten classes (one per label)
 
 LABEL_NAME = "concat('class_', CAST(label AS VARCHAR))"
 
@@ -35,8 +35,24 @@ def class_index(spark, sf) -> DataFrame:
     return agg.class_index(vectors(spark, sf), "label_name")
 
 
-def scores(df: DataFrame, n: int) -> F.Column:
-    return F.slice(F.col("embedding"), 1, n).cast("array<double>")
+def scores(df: DataFrame, k: int) -> F.Column:
+    """A k-class score vector from the whole feature vector: score ``c`` is
+    the sum of the elements whose (0-based) position is ``c`` modulo ``k``."""
+    e = F.col("embedding").cast("array<double>")
+
+    def in_class(c):
+        return lambda x, i: i % k == c
+
+    return F.array(*[F.aggregate(F.filter(e, in_class(c)), F.lit(0.0), lambda a, x: a + x)
+                     for c in range(k)])
+
+
+def scores_sql(k: int) -> str:
+    """DuckDB mirror of ``scores`` (list positions are 1-based there)."""
+    e = "CAST(embedding AS DOUBLE[])"
+    parts = [f"list_reduce(list_prepend(0.0::DOUBLE, list_filter({e}, lambda x, i: (i - 1) % {k} = {c})), "
+             f"lambda a, x: a + x)" for c in range(k)]
+    return "list_value(" + ", ".join(parts) + ")"
 
 
 def softmax(arr: F.Column) -> F.Column:
@@ -53,7 +69,7 @@ WITH ci AS (SELECT label_name, CAST(dense_rank() OVER (ORDER BY label_name) - 1
 """
 
 _SOFTMAX_SQL = f"""
-WITH lg AS (SELECT vec_id, label, CAST(embedding[1:{SOFTMAX_LEN}] AS DOUBLE[]) AS x FROM embeddings),
+WITH lg AS (SELECT vec_id, label, {scores_sql(SOFTMAX_LEN)} AS x FROM embeddings),
 ex AS (SELECT vec_id, label, list_transform(x, lambda v: exp(v - list_max(x))) AS e FROM lg),
 sm AS (SELECT vec_id, label, list_transform(e, lambda v: v / list_sum(e)) AS p FROM ex)
 """
@@ -83,19 +99,25 @@ def ml1(spark, sf):
                                                                        "is_validation")
 
 
-@query("num5_rescale", f"""
-SELECT vec_id, {', '.join(f'ROUND(CAST(embedding[{i}] AS DOUBLE) * (1.0 / 255), 9) AS s{i}'
-                          for i in range(1, SCORE_LEN + 1))}
-FROM embeddings""")
+@query("num5_rescale", """
+SELECT vec_id, ROUND(list_sum(r), 9) AS scaled_sum, ROUND(list_max(r), 9) AS scaled_max,
+       ROUND(list_min(r), 9) AS scaled_min, CAST(len(r) AS INT) AS n
+FROM (SELECT vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: x * (1.0 / 255)) AS r
+      FROM embeddings)""")
 def num5(spark, sf):
-    s = rescale(scores(table(spark, sf, EMB), SCORE_LEN), 1.0 / 255)
-    e = table(spark, sf, EMB).withColumn("s", s)
-    return e.select("vec_id", *[F.round(F.col("s")[i - 1], 9).alias(f"s{i}")
-                                for i in range(1, SCORE_LEN + 1)])
+    """Every element rescaled by 1/255 (D:36); the whole rescaled vector is
+    summarised per row."""
+    e = table(spark, sf, EMB).withColumn(
+        "r", rescale(F.col("embedding").cast("array<double>"), 1.0 / 255))
+    total = F.aggregate("r", F.lit(0.0), lambda a, x: a + x)
+    return e.select("vec_id", F.round(total, 9).alias("scaled_sum"),
+                    F.round(F.array_max("r"), 9).alias("scaled_max"),
+                    F.round(F.array_min("r"), 9).alias("scaled_min"),
+                    F.size("r").cast("int").alias("n"))
 
 
 @query("arr2_argmax", f"""
-SELECT vec_id, CAST(list_position(embedding[1:{SCORE_LEN}], list_max(embedding[1:{SCORE_LEN}])) - 1
+SELECT vec_id, CAST(list_position({scores_sql(SCORE_LEN)}, list_max({scores_sql(SCORE_LEN)})) - 1
                     AS INT) AS pred FROM embeddings""")
 def arr2(spark, sf):
     e = table(spark, sf, EMB)
@@ -105,7 +127,7 @@ def arr2(spark, sf):
 @query("srt7_rank_classes", f"""
 SELECT vec_id, CAST(rank AS INT) AS rank, CAST(cls AS INT) AS class FROM (
   SELECT vec_id, unnest(generate_series(0, {SCORE_LEN - 1})) AS rank,
-         unnest(list_transform(list_sort(list_transform(embedding[1:{SCORE_LEN}],
+         unnest(list_transform(list_sort(list_transform({scores_sql(SCORE_LEN)},
                 lambda x, i: {{'n': -x, 'i': i - 1}})), lambda s: s.i)) AS cls
   FROM embeddings)""")
 def srt7(spark, sf):
@@ -117,7 +139,7 @@ def srt7(spark, sf):
 
 @query("arr3_label_of", _CLASS_SQL + f"""
 SELECT e.vec_id, e.pred, ci.label_name FROM (
-  SELECT vec_id, CAST(list_position(embedding[1:{SCORE_LEN}], list_max(embedding[1:{SCORE_LEN}]))
+  SELECT vec_id, CAST(list_position({scores_sql(SCORE_LEN)}, list_max({scores_sql(SCORE_LEN)}))
                       - 1 AS INT) AS pred FROM embeddings) e
 LEFT JOIN ci ON e.pred = ci.class_index""")
 def arr3(spark, sf):
@@ -128,8 +150,8 @@ def arr3(spark, sf):
 
 
 @query("arr4_get_field", f"""
-SELECT vec_id, CAST(p.i AS INT) AS best_index, p.v AS best_score FROM (
-  SELECT vec_id, list_sort(list_transform(CAST(embedding[1:{SCORE_LEN}] AS DOUBLE[]),
+SELECT vec_id, CAST(p.i AS INT) AS best_index, ROUND(p.v, 9) AS best_score FROM (
+  SELECT vec_id, list_sort(list_transform({scores_sql(SCORE_LEN)},
          lambda x, i: {{'n': -x, 'i': i - 1, 'v': x}}))[1] AS p FROM embeddings)""")
 def arr4(spark, sf):
     """Fields of the best (score, index) pair of every vector."""
@@ -139,13 +161,13 @@ def arr4(spark, sf):
                                                               x.alias("v"))))
     best = F.element_at(pairs, 1)
     return e.select("vec_id", best.getField("i").cast("int").alias("best_index"),
-                    best.getField("v").alias("best_score"))
+                    F.round(best.getField("v"), 9).alias("best_score"))
 
 
 @query("arr5_is_correct", f"""
-SELECT vec_id, label, CAST(list_position(embedding[1:{SOFTMAX_LEN}], list_max(embedding[1:{SOFTMAX_LEN}]))
+SELECT vec_id, label, CAST(list_position({scores_sql(SOFTMAX_LEN)}, list_max({scores_sql(SOFTMAX_LEN)}))
                            - 1 AS INT) AS pred,
-       CAST(list_position(embedding[1:{SOFTMAX_LEN}], list_max(embedding[1:{SOFTMAX_LEN}])) - 1
+       CAST(list_position({scores_sql(SOFTMAX_LEN)}, list_max({scores_sql(SOFTMAX_LEN)})) - 1
             AS INT) = label AS correct
 FROM embeddings""")
 def arr5(spark, sf):
