@@ -47,6 +47,12 @@ def scores(df: DataFrame, k: int) -> F.Column:
                      for c in range(k)])
 
 
+def with_scores(df: DataFrame, k: int) -> DataFrame:
+    """The score vector as a column of its own, so that the expressions
+    reading it several times (argmax, softmax) do not recompute it."""
+    return df.withColumn("s", scores(df, k))
+
+
 def scores_sql(k: int) -> str:
     """DuckDB mirror of ``scores`` (list positions are 1-based there)."""
     e = "CAST(embedding AS DOUBLE[])"
@@ -120,8 +126,8 @@ def num5(spark, sf):
 SELECT vec_id, CAST(list_position({scores_sql(SCORE_LEN)}, list_max({scores_sql(SCORE_LEN)})) - 1
                     AS INT) AS pred FROM embeddings""")
 def arr2(spark, sf):
-    e = table(spark, sf, EMB)
-    return e.select("vec_id", argmax(scores(e, SCORE_LEN)).alias("pred"))
+    e = with_scores(table(spark, sf, EMB), SCORE_LEN)
+    return e.select("vec_id", argmax("s").alias("pred"))
 
 
 @query("srt7_rank_classes", f"""
@@ -131,8 +137,8 @@ SELECT vec_id, CAST(rank AS INT) AS rank, CAST(cls AS INT) AS class FROM (
                 lambda x, i: {{'n': -x, 'i': i - 1}})), lambda s: s.i)) AS cls
   FROM embeddings)""")
 def srt7(spark, sf):
-    e = table(spark, sf, EMB)
-    r = SC.rank_classes(e.withColumn("s", scores(e, SCORE_LEN)), "s", keep=["vec_id"])
+    e = with_scores(table(spark, sf, EMB), SCORE_LEN)
+    r = SC.rank_classes(e, "s", keep=["vec_id"])
     return r.select("vec_id", F.col("rank").cast("int").alias("rank"),
                     F.col("class").cast("int").alias("class"))
 
@@ -143,8 +149,8 @@ SELECT e.vec_id, e.pred, ci.label_name FROM (
                       - 1 AS INT) AS pred FROM embeddings) e
 LEFT JOIN ci ON e.pred = ci.class_index""")
 def arr3(spark, sf):
-    e = table(spark, sf, EMB)
-    p = e.select("vec_id", argmax(scores(e, SCORE_LEN)).alias("pred"))
+    e = with_scores(table(spark, sf, EMB), SCORE_LEN)
+    p = e.select("vec_id", argmax("s").alias("pred"))
     return SC.label_of(p, "pred", class_index(spark, sf), "label_name") \
         .select("vec_id", "pred", "label_name")
 
@@ -155,9 +161,8 @@ SELECT vec_id, CAST(p.i AS INT) AS best_index, ROUND(p.v, 9) AS best_score FROM
          lambda x, i: {{'n': -x, 'i': i - 1, 'v': x}}))[1] AS p FROM embeddings)""")
 def arr4(spark, sf):
     """Fields of the best (score, index) pair of every vector."""
-    e = table(spark, sf, EMB)
-    s = scores(e, SCORE_LEN)
-    pairs = F.array_sort(F.transform(s, lambda x, i: F.struct((-x).alias("n"), i.alias("i"),
+    e = with_scores(table(spark, sf, EMB), SCORE_LEN)
+    pairs = F.array_sort(F.transform("s", lambda x, i: F.struct((-x).alias("n"), i.alias("i"),
                                                               x.alias("v"))))
     best = F.element_at(pairs, 1)
     return e.select("vec_id", best.getField("i").cast("int").alias("best_index"),
@@ -171,8 +176,8 @@ SELECT vec_id, label, CAST(list_position({scores_sql(SOFTMAX_LEN)}, list_max({sc
             AS INT) = label AS correct
 FROM embeddings""")
 def arr5(spark, sf):
-    e = table(spark, sf, EMB)
-    p = e.select("vec_id", "label", argmax(scores(e, SOFTMAX_LEN)).alias("pred"))
+    e = with_scores(table(spark, sf, EMB), SOFTMAX_LEN)
+    p = e.select("vec_id", "label", argmax("s").alias("pred"))
     return p.withColumn("correct", is_correct("pred", "label"))
 
 
@@ -181,8 +186,8 @@ SELECT ROUND(AVG(-ln(greatest(p[label + 1], 1e-7))), 6) AS loss,
        ROUND(AVG(CAST(list_position(p, list_max(p)) - 1 = label AS INT)) * 100, 6) AS accuracy
 FROM sm""")
 def agg14(spark, sf):
-    e = table(spark, sf, EMB)
-    sm = e.select("label", softmax(scores(e, SOFTMAX_LEN)).alias("p"))
+    e = with_scores(table(spark, sf, EMB), SOFTMAX_LEN)
+    sm = e.select("label", softmax(F.col("s")).alias("p"))
     out = agg.evaluate(sm, "p", "label")
     return out.select(F.round("loss", 6).alias("loss"), F.round("accuracy", 6).alias("accuracy"))
 
