@@ -5,13 +5,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from tessera.plans import load_all
 from tessera.sources.fixtures import BASE_TABLES
 from tools.compare import rows_of
 
 from .conftest import SMALL
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+QUERIES, ORACLES = load_all()
 
 
 @pytest.fixture(scope="module")
