@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from .common import byte_blocks, tokenizer_path
 
 SPACE = "▁"           # the vocabulary's visible blank
-CACHE = 200_000            # merged parts a worker remembers
+CACHE = 400_000            # merged parts a worker remembers
+SHORT = 64                 # parts up to so many characters are merged without a heap
 LINE_CHARS = "\n\r\t"
 
 
@@ -36,38 +37,50 @@ def load_ranks(path: str) -> dict[str, float]:
 def merge_count(part: str, ranks: dict[str, float]) -> int:
     """Tokens of ``part`` after the merges: the best-scored neighbouring pair
     first, the leftmost of equals; characters without a piece count their
-    UTF-8 bytes.  A heap keeps long parts at n log n."""
+    UTF-8 bytes."""
+    if len(part) > SHORT:
+        return _merge_long(part, ranks)
+    none, get = float("-inf"), ranks.get
+    sym = list(part)
+    pairs = [get(part[i:i + 2], none) for i in range(len(part) - 1)]
+    while pairs and (best := max(pairs)) > none:
+        i = pairs.index(best)
+        sym[i:i + 2] = [sym[i] + sym[i + 1]]
+        del pairs[i]
+        if i < len(pairs):
+            pairs[i] = get(sym[i] + sym[i + 1], none)
+        if i:
+            pairs[i - 1] = get(sym[i - 1] + sym[i], none)
+    return sum(1 if s in ranks else len(s.encode("utf-8")) for s in sym)
+
+
+def _merge_long(part: str, ranks: dict[str, float]) -> int:
+    """The same merges with a heap: n log n for texts without any break."""
     n = len(part)
-    sym, prev, nxt = list(part), list(range(-1, n - 1)), list(range(1, n + 1))
-    heap = []
+    end = list(range(1, n + 1))                # symbol i spans i to end[i]
+    before = list(range(-1, n - 1))
+    alive = [True] * n
+    heap = [(-s, i, i + 2) for i in range(n - 1) if (s := ranks.get(part[i:i + 2])) is not None]
+    heapq.heapify(heap)
 
     def offer(i):
-        j = nxt[i]
-        if j < n:
-            s = ranks.get(sym[i] + sym[j])
-            if s is not None:
-                heap.append((-s, i, sym[i] + sym[j]))
-                return heap[-1]
-        return None
-
-    for i in range(n - 1):
-        offer(i)
-    heapq.heapify(heap)
+        j = end[i]
+        if j < n and (s := ranks.get(part[i:end[j]])) is not None:
+            heapq.heappush(heap, (-s, i, end[j]))
+
     while heap:
-        _, i, joined = heapq.heappop(heap)
-        j = nxt[i] if sym[i] is not None else n
-        if j >= n or sym[i] is None or len(sym[i]) + len(sym[j]) != len(joined) \
-                or sym[i] + sym[j] != joined:
+        _, i, stop = heapq.heappop(heap)
+        if not alive[i] or end[i] >= n or end[end[i]] != stop:
             continue
-        sym[i], sym[j] = joined, None
-        nxt[i] = nxt[j]
-        if nxt[i] < n:
-            prev[nxt[i]] = i
-        for k in (prev[i], i):
-            if k >= 0 and (item := offer(k)) is not None:
-                heap.pop()
-                heapq.heappush(heap, item)
-    return sum(1 if s in ranks else len(s.encode("utf-8")) for s in sym if s is not None)
+        alive[end[i]] = False
+        end[i] = stop
+        if stop < n:
+            before[stop] = i
+        offer(i)
+        if before[i] >= 0:
+            offer(before[i])
+    symbols = (part[i:end[i]] for i in range(n) if alive[i])
+    return sum(1 if s in ranks else len(s.encode("utf-8")) for s in symbols)
 
 
 @dataclass(frozen=True)

@@ -41,3 +41,14 @@ def test_empty_table_repeats_and_clashing_names(docs_of):
 def test_proof_is_sound():
     s = prove(load_ranks(public_tokenizers.path("piece_bpe_32k.model")))
     assert s.blanks_lead and "\n" in s.cut and len(s.whole) > 30_000
+
+
+def test_long_parts_merge_like_short_ones():
+    import random
+
+    from tessera.llm import token_count as tc
+    ranks = load_ranks(public_tokenizers.path("piece_bpe_32k.model"))
+    rng = random.Random(3)
+    for _ in range(300):
+        w = "".join(rng.choice("theandiongr▁é日x") for _ in range(rng.randint(1, 60)))
+        assert tc._merge_long(w, ranks) == tc.merge_count(w, ranks)
