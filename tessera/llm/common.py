@@ -7,6 +7,7 @@ import os
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401 - pa.compute
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from ..session import scratch_path
 
@@ -62,3 +63,10 @@ def byte_blocks(batches, text: int, limit: int = 8 << 20):
             used += s
         if lo < n:
             yield b.slice(lo, n - lo)
+
+
+def extended(df: DataFrame, **fields: str) -> T.StructType:
+    """The schema of ``df`` with more fields, by name and type."""
+    more = df.sparkSession.createDataFrame(
+        [], ", ".join(f"`{n}` {t}" for n, t in fields.items())).schema
+    return T.StructType([*df.schema.fields, *more.fields])

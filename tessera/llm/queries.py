@@ -4,7 +4,9 @@ whole intended table, with production parameters."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import bpe, host_quality, language_id, packing, pii, topk, url_filter
 from .common import read
 from .token_count import count_tokens
 
@@ -21,6 +23,114 @@ def _query(name: str, oracle: str | None = None):
     return deco
 
 
+@_query("op1_byte_bpe")
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decoded = bpe.decode(bpe.encode(read(spark, sf_dir, "documents")))
+    return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                          F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @_query("op2_token_counts")
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read(spark, sf_dir, "documents"))
+
+
+@_query("op4_topk_search", """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c AS (SELECT vec_id, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM v),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, sum(q.x * c.x) AS score
+  FROM c AS q JOIN c ON q.d = c.d AND q.vec_id <> c.vec_id
+  WHERE q.vec_id % 50 = 0
+  GROUP BY 1, 2),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score
+FROM r WHERE n <= 5
+""")
+def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read(spark, sf_dir, "embeddings"), lambda i: F.pmod(i, F.lit(50)) == 0)
+
+
+@_query("op5_url_filter")
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read(spark, sf_dir, "pages"))
+
+
+@_query("op6_host_quality", """
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
+m AS (
+  SELECT doc_id, source, t,
+         regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w,
+         list_filter(string_split(t, chr(10)),
+                     lambda s: regexp_matches(s, '[^\\x20\\x09-\\x0D]')) AS l
+  FROM d),
+p AS (
+  SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, w FROM m WHERE len(w) >= 3),
+g AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM p),
+r AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM g),
+k AS (SELECT DISTINCT doc_id, unnest([i, i + 1, i + 2]) AS i FROM r WHERE n > 1),
+c AS (SELECT doc_id, count(*) AS n FROM k GROUP BY doc_id),
+b AS (
+  SELECT m.doc_id, m.source, len(w) AS n_words, len(l) AS n_lines,
+         length(array_to_string(w, '')) AS word_chars,
+         length(t) - length(translate(t, '#*$%&|<>', '')) AS n_symbols,
+         len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words
+  FROM m LEFT JOIN c ON m.doc_id = c.doc_id),
+x AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM b),
+f AS (
+  SELECT *, base_failed OR 10 * n_symbols > n_words OR 2 * n_dup_lines > n_lines
+            OR word_chars < 2 * n_words OR word_chars > 15 * n_words AS failed FROM x),
+h AS (SELECT source, count(*) AS n, sum(failed::INT) AS f FROM f WHERE source IS NOT NULL GROUP BY 1),
+o AS (
+  SELECT sum(f) / sum(n) AS q, sum(n) AS n, count(*) AS h,
+         least(greatest(sum(f) / sum(n), 1 / (sum(n) + 2)), 1 - 1 / (sum(n) + 2)) AS mean FROM h),
+v AS (
+  SELECT any_value(mean) AS mean,
+         sum(h.n * pow(h.f / h.n - q, 2)) / any_value(o.n)
+           - any_value(mean) * (1 - any_value(mean)) * (any_value(o.h) - 1) / any_value(o.n) AS z
+  FROM h, o),
+a AS (
+  SELECT mean, CASE WHEN z > 0 THEN least(1000, greatest(1, mean * (1 - mean) / z - 1))
+                    ELSE 1000 END AS s FROM v),
+e AS (SELECT source, (f + mean * s) / (n + s) AS host_rate FROM h, a)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND coalesce(host_rate, 0) <= 0.5 AS kept
+FROM f LEFT JOIN e ON f.source = e.source
+""")
+def op6_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_quality.host_rules(read(spark, sf_dir, "documents")).drop("host_rate")
+
+
+@_query("op7_language_id")
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    learned = language_id.train(docs.where(language_id.fold(F.col("doc_id")) != 0))
+    asked = docs.select("doc_id", "text",
+                        (language_id.fold(F.col("doc_id")) == 0).alias("held_out"))
+    return (language_id.identify(asked, learned)
+            .select("doc_id", "held_out", "lang_pred", "score", "rejected"))
+
+
+@_query("op8_best_fit_packing")
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = packing.pieces(read(spark, sf_dir, "documents"))
+    digests = cut.select("row", "doc_id", "piece", "start", "length",
+                         F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(digests).drop("row")
+
+
+@_query("op9_pii")
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+    def count(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *map(count, pii.KINDS),
+                        F.sha2(pii.span_text(F.col("base")), 256).alias("base_sha256"),
+                        pii.span_text(F.col("spans")).alias("spans"))
