@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, host_quality, language_id, packing, pii, topk, url_filter
+from . import (bpe, host_quality, language_id, line_dedup, ngram_join, packing, pii, topk,
+               url_filter)
 from .common import read
 from .token_count import count_tokens
 
@@ -35,6 +36,33 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read(spark, sf_dir, "documents"))
 
 
+@_query("op3_line_dedup", """
+WITH d AS (
+  SELECT doc_id, text, source, string_split(text, chr(10)) AS l FROM documents),
+e AS (
+  SELECT doc_id, source, unnest(l) AS line, generate_subscripts(l, 1) AS i FROM d),
+s AS (SELECT *, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS s FROM e),
+b AS (
+  SELECT s, min(doc_id) AS keeper FROM s WHERE s <> '' GROUP BY s
+  HAVING count(DISTINCT source) >= 10),
+m AS (
+  SELECT s.doc_id, s.i, s.line, s.s <> '' AS visible,
+         b.s IS NOT NULL AND b.keeper <> s.doc_id AS gone
+  FROM s LEFT JOIN b ON s.s = b.s),
+g AS (
+  SELECT doc_id, sum(visible::INT) AS n_lines, sum(gone::INT) AS n_removed,
+         string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone) AS text
+  FROM m GROUP BY doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(g.text, '') END AS text,
+       CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines,
+       CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed
+FROM d LEFT JOIN g ON d.doc_id = g.doc_id
+""")
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "text", "n_lines", "n_removed")
+
+
 @_query("op4_topk_search", """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
@@ -134,3 +162,8 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(count, pii.KINDS),
                         F.sha2(pii.span_text(F.col("base")), 256).alias("base_sha256"),
                         pii.span_text(F.col("spans")).alias("spans"))
+
+
+@_query("op10_ngram_jaccard")
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(read(spark, sf_dir, "documents"))
