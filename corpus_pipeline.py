@@ -1,9 +1,90 @@
-"""Corpus pipeline (see the end of the round: stages are added as operators land)."""
+"""Corpus pipeline: language ID, line dedup, near duplicates, personal data,
+packing.
 
-STAGES: list = []
+Every stage is a function of ``(spark, docs, sf_dir)``; its result is written
+as Parquet and read again as the next one's ``docs``.  All stages but the last
+return the columns of ``documents``; the last returns the packed pieces.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tessera.llm import language_id, line_dedup, ngram_join, packing, pii
+from tessera.llm.common import WS_CHARS, saved
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _documents(df: DataFrame) -> DataFrame:
+    """The columns of ``documents``, ``n_chars`` brought up to date."""
+    return df.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents whose language is rejected: no text, no letter, or two
+    languages that compress it equally well.  The classifier learns from the
+    labelled documents outside the held-out fold."""
+    learned = language_id.train(docs.where(language_id.fold(F.col("doc_id")) != 0))
+    judged = language_id.identify(docs.select(*COLUMNS), learned)
+    return judged.where(~F.col("rejected")).select(*COLUMNS)
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes boilerplate lines out.  A document that had lines and lost them
+    all goes: every one of them stays where its line is kept."""
+    out = line_dedup.dedup_lines(docs.select(*COLUMNS))
+    return _documents(out.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines"))))
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each component of near duplicates (five words,
+    similarity 0.8): the one with the smallest id, and of equal rows one.
+    Documents without words, and without an id, all stay."""
+    parts = ngram_join.near_duplicates(docs, n=5, percent=80)
+    kept = parts.where("n_shingles > 0 AND doc_id = component_id")
+    ids = saved(kept.groupBy("doc_id").agg(F.count("*").alias("rows")), "kept")
+    rows = docs.select(*COLUMNS)
+    blank = F.length(F.btrim(F.coalesce("text", F.lit("")), F.lit(WS_CHARS))) == 0
+    out = (rows.where(blank | F.col("doc_id").isNull())
+           .unionByName(rows.where(~blank).join(ids.where("rows = 1").select("doc_id"),
+                                                "doc_id", "left_semi").select(*COLUMNS)))
+    again = ids.where("rows > 1").select("doc_id")
+    if not again.isEmpty():                    # the same id on several rows
+        out = out.unionByName(rows.where(~blank).join(again, "doc_id", "left_semi")
+                              .dropDuplicates(["doc_id", "text"]).select(*COLUMNS))
+    return out
+
+
+def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces personal data in the texts; no document goes."""
+    return _documents(pii.sanitise(docs.select(*COLUMNS)))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packs all documents into sequences of at most 2,048 tokens: one row per
+    piece with its ids and its place."""
+    cut = packing.pieces(docs)
+    placed = packing.pack(cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+    return placed.drop("row")
+
+
+STAGES = [
+    ("language_id", language_stage),
+    ("line_dedup", line_stage),
+    ("ngram_jaccard", near_stage),
+    ("pii", pii_stage),
+    ("best_fit_packing", packing_stage),
+]
+
+#: Language ID and the components have no SQL form; the stages are tested one
+#: by one against plain versions.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = saved(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
