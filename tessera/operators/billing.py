@@ -56,11 +56,12 @@ def settle(quotes: DataFrame) -> DataFrame:
     })
 
 
-def apply_settlement(rentals: DataFrame, settled: DataFrame) -> DataFrame:
-    """Customer table after the run: settled customers get the new balance
-    text, all others keep theirs (BIL3)."""
-    s = settled.filter(F.col("status") == "SETTLED").select(
-        "CustID", format_money("new_balance").alias("_nb"))
+def apply_settlement(rentals: DataFrame, routed: DataFrame) -> DataFrame:
+    """Customer table after the run (BIL3): customers whose request was
+    settled against their balance get the new balance text, all others — card,
+    cash, rejected, insufficient — keep theirs."""
+    s = routed.filter(F.col("outcome") == "SETTLED").select(
+        "CustID", format_money("balance_after").alias("_nb"))
     return (rentals.join(s, on="CustID", how="left")
             .withColumn("Balance", F.coalesce("_nb", "Balance")).drop("_nb")
             .select(*rentals.columns))
@@ -109,7 +110,7 @@ def route_payments(requests: DataFrame, quotes: DataFrame, as_of,
 
 
 def _line(label: str, value: Column) -> Column:
-    return F.concat(F.lit(label.ljust(LABEL_WIDTH) + ": "), value.cast("string"))
+    return F.concat(F.lit(label.ljust(LABEL_WIDTH) + ": "), F.coalesce(value.cast("string"), F.lit("")))
 
 
 def _amount(label: str, gap: int, value: Column) -> Column:
@@ -117,32 +118,74 @@ def _amount(label: str, gap: int, value: Column) -> Column:
                     format_money(value))
 
 
-def invoice_text(status: Column, rule: str = "=") -> Column:
+def _customer_block() -> list[Column]:
+    """Heading and customer lines shared by the documents."""
+    bar = F.lit("=" * INVOICE_WIDTH)
+    return [bar, _title(COMPANY), _title("RENTAL INVOICE"), bar, _title("CUSTOMER DETAILS"), bar,
+            _line("Name", F.col("Name")), _line("Address", F.col("Address")),
+            _line("Phone", F.col("Phone")), _line("IC No", F.col("ICNo")),
+            _line("Startdate", F.col("Startdate")), _line("Enddate", F.col("Enddate")), bar]
+
+
+def _rental_block() -> list[Column]:
+    bar = F.lit("=" * INVOICE_WIDTH)
+    return [_title("RENTAL DETAILS"), bar, _line("Brand", F.col("Brand")), _line("Type", F.col("Type")),
+            _line("Plate Number", F.col("PlateNum")), _line("Price/day", F.col("PricePerDay")),
+            _line("Days rent", F.col("days")), bar]
+
+
+def _title(text: str) -> Column:
+    return F.lit(center(text, INVOICE_WIDTH))
+
+
+def _document(lines: list[Column]) -> Column:
+    """Lines joined to one text; an empty field prints as nothing."""
+    return F.array_join(F.array(*lines), "\n", "")
+
+
+def customer_screen() -> Column:
+    """First detail screen: the customer block (STR17)."""
+    return _document(_customer_block())
+
+
+def quote_screen() -> Column:
+    """Second detail screen: the rental block with the exact deposit (STR17)."""
+    return _document([*_rental_block(), _amount("Grand Total", QUOTE_TOTAL_GAP, F.col("total")),
+                      _amount("Deposit", QUOTE_DEPOSIT_GAP, F.col("deposit_exact")),
+                      F.lit("=" * INVOICE_WIDTH)])
+
+
+def invoice_text(status: Column) -> Column:
     """The invoice document of a quoted rental (STR17, BIL6)."""
-    bar = F.lit(rule * INVOICE_WIDTH)
-    title = lambda t: F.lit(center(t, INVOICE_WIDTH))
-    return F.concat_ws(
-        "\n",
-        bar, title(COMPANY), title("RENTAL INVOICE"), bar, title("CUSTOMER DETAILS"), bar,
-        _line("Name", F.col("Name")), _line("Startdate", F.col("Startdate")),
-        _line("Enddate", F.col("Enddate")), bar, title("RENTAL DETAILS"), bar,
-        _line("Brand", F.col("Brand")), _line("Type", F.col("Type")),
-        _line("Plate Number", F.col("PlateNum")), _line("Price/day", F.col("PricePerDay")),
-        _line("Days rent", F.col("days")), bar,
+    return _document([
+        *_customer_block(), *_rental_block(),
         F.concat(F.lit("Status".ljust(LABEL_WIDTH) + ":" + " " * STATUS_GAP), status),
         _amount("Grand Total", AMOUNT_GAP, F.col("total")),
-        _amount("Deposit", AMOUNT_GAP, F.col("deposit_floor")), bar)
+        _amount("Deposit", AMOUNT_GAP, F.col("deposit_floor")), F.lit("=" * INVOICE_WIDTH)])
+
+
+def invoice_status(outcome) -> Column:
+    """PAID for a card that passed and a settled balance, UNPAID for cash;
+    every other outcome has no invoice."""
+    o = F.col(outcome) if isinstance(outcome, str) else outcome
+    return F.when(o.isin("PAID", "SETTLED"), F.lit("PAID")).when(o == "UNPAID", F.lit("UNPAID"))
+
 
+def invoices(quotes: DataFrame, routed: DataFrame) -> DataFrame:
+    """One invoice per routed request that leads to one (BIL6)."""
+    st = routed.select("CustID", "outcome", invoice_status("outcome").alias("invoice_status")) \
+        .filter(F.col("invoice_status").isNotNull())
+    return (quotes.filter(F.col("total").isNotNull()).join(st, "CustID")
+            .select("CustID", "outcome", invoice_text(F.col("invoice_status")).alias("invoice")))
 
-def quote_screen_amounts() -> Column:
-    """The two amount lines of the quote screen (exact deposit)."""
-    return F.concat_ws(
-        "\n", _amount("Grand Total", QUOTE_TOTAL_GAP, F.col("total")),
-        _amount("Deposit", QUOTE_DEPOSIT_GAP, F.col("deposit_exact")))
 
+def billing_run(rentals: DataFrame, cars: DataFrame, requests: DataFrame, as_of,
+                allow_slash: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The whole rental run (P5): quote, route, settle, invoice.
 
-def invoices(quotes: DataFrame, status) -> DataFrame:
-    """One invoice per quoted rental with a status column or literal (BIL6)."""
-    st = F.lit(status) if isinstance(status, str) else status
-    return quotes.filter(F.col("total").isNotNull()).select(
-        "CustID", invoice_text(st).alias("invoice"))
+    Returns one row per request (method, outcome, deposit due, balance after,
+    invoice or null) and the updated customer table."""
+    q = quote(rentals, cars)
+    routed = route_payments(requests, q, as_of, allow_slash)
+    papers = invoices(q, routed).select("CustID", "invoice")
+    return (routed.join(papers, "CustID", "left"), apply_settlement(rentals, routed))

@@ -1,11 +1,9 @@
 """Joins (JN*) and the lookup-table helpers used by them.
 
-Join strategy is left to Catalyst and AQE for every data-derived side: AQE
-switches to a broadcast hash join only when the runtime size of a side is
-under ``spark.sql.autoBroadcastJoinThreshold`` (a checked size) and splits
-skewed partitions of a sort-merge join otherwise.  An explicit broadcast
-hint is given only to fixed lookup tables whose row count is known when the
-plan is built (``fixed_table``).
+Join strategy is left to Catalyst and AQE for every side, lookup tables
+included: a side is broadcast only when its size is under
+``spark.sql.autoBroadcastJoinThreshold`` (a checked size); skewed partitions
+of a sort-merge join are split otherwise.
 """
 
 from __future__ import annotations
@@ -13,18 +11,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Upper bound for hinting a broadcast of a fixed (driver-supplied) table.
-MAX_FIXED_BROADCAST_ROWS = 100_000
-
 
 def fixed_table(spark: SparkSession, rows, schema: str) -> DataFrame:
-    """A driver-supplied lookup table (stop words, lexicons, bin labels).
-
-    Its size is known here, so it is marked for broadcast when it is below
-    ``MAX_FIXED_BROADCAST_ROWS`` rows and left to AQE otherwise."""
-    rows = list(rows)
-    df = spark.createDataFrame(rows, schema)
-    return F.broadcast(df) if len(rows) <= MAX_FIXED_BROADCAST_ROWS else df
+    """A driver-supplied lookup table (stop words, lexicons, bin labels).  It
+    carries no hint: Spark knows its size in bytes and broadcasts it under the
+    session's threshold."""
+    return spark.createDataFrame(list(rows), schema)
 
 
 def join_daily(a: DataFrame, b: DataFrame, keys=("location", "date")) -> DataFrame:

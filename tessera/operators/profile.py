@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,90 +43,115 @@ def schema_summary(df: DataFrame) -> DataFrame:
     return counts.selectExpr(f"stack({len(df.columns)}, {parts}) AS (column, type, non_null)")
 
 
-def exact_quantiles(df: DataFrame, c: str, probs, buckets: int = 4096,
-                    max_final: int = 20000) -> list:
-    """Exact quantiles with linear interpolation (pandas' default).
+def exact_quantiles(df: DataFrame, c: str, probs, buckets: int = 4096) -> list:
+    """Exact quantiles of one column with linear interpolation (pandas'
+    default); see ``exact_quantiles_of``."""
+    return exact_quantiles_of(df, [c], probs, buckets)[c]
+
+
+def exact_quantiles_of(df: DataFrame, cols, probs, buckets: int = 4096) -> dict[str, list]:
+    """Exact quantiles of several numeric columns, null and NaN left out.
+
+    A distributed selection shared by all columns and ranks: one pass gives
+    counts and extremes; then every pass cuts the range around each wanted
+    rank into ``buckets`` and keeps the bucket that holds the rank, with its
+    smallest and largest value, until a range holds one value only.  Every
+    pass is a filtered, partially aggregated scan; what reaches the driver is
+    at most ``buckets`` rows per open range.  Infinities are ranked by their
+    number, so ranges are finite; a range that arithmetic cannot cut is cut
+    behind its smallest value, so every pass makes progress."""
+    out = {}
+    # integers stay integers: exact beyond 2^53, and they hash better
+    for kinds, to in (((T.ByteType, T.ShortType, T.IntegerType, T.LongType), "long"),
+                      ((T.FloatType, T.DoubleType, T.DecimalType), "double")):
+        names = [c for c in cols if isinstance(df.schema[c].dataType, kinds)]
+        if not names:
+            continue
+        stack = ", ".join(f"{i}, CAST(`{c}` AS {to})" for i, c in enumerate(names))
+        v = df.selectExpr(f"stack({len(names)}, {stack}) AS (c, v)").filter(F.col("v").isNotNull())
+        if to == "double":
+            v = v.filter(~F.isnan("v"))
+        # the passes re-read these columns: keep them (spilling to disk;
+        # recomputed from lineage if an executor is lost) until the end
+        v = v.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            found = _select_quantiles(v, len(names), probs, buckets, to == "long")
+        finally:
+            v.unpersist()
+        out.update(zip(names, found))
+    return out
 
-    A distributed selection shared by all wanted ranks: one pass gives
-    count, extremes and distinct count; while a range still holds more than
-    ``max_final`` distinct values, one histogram pass over equal-width
-    sub-ranges locates the sub-range of every wanted rank; finally one pass
-    reads the (value, count) pairs of the few located ranges.  Every pass is
-    a filtered, partially aggregated scan — the column is never sorted,
-    collected or held by one task.
-    """
-    # Integral columns stay integral: integer-valued doubles hash poorly in
-    # the aggregation hash map (their low mantissa bits are all zero).
-    dtype = df.schema[c].dataType
-    integral = isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
-    v = df.select(F.col(c).cast("long" if integral else "double").alias("v")) \
-        .filter(F.col("v").isNotNull())
-    # the passes below re-read this one column: keep it (spilling to disk;
-    # recomputed from lineage if an executor is lost) until the end
-    v = v.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return _select_quantiles(v, probs, buckets, max_final)
-    finally:
-        v.unpersist()
-
-
-def _select_quantiles(v: DataFrame, probs, buckets: int, max_final: int) -> list:
-    st = v.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"),
-               F.count_distinct("v").alias("d")).first()
-    n = st["n"]
-    if not n:
-        return [None for _ in probs]
-    ranks = sorted({r for p in probs for r in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))})
-    # a range: (filter Column, rows before it, distinct, lo, hi, ranks inside)
-    ranges = [(F.lit(True), 0, st["d"], st["lo"], st["hi"], ranks)]
+
+def _bucket(lo, hi, buckets: int, integral: bool) -> Column:
+    """Bucket of ``v`` in [lo, hi]: never falling in ``v``, and different at
+    both ends."""
+    v = F.col("v")
+    if integral:
+        wide = hi - lo >= 1 << 62                       # v - lo could overflow
+        at = (v.cast("decimal(20,0)") if wide else v) - F.lit(lo)
+        step = -(-(hi - lo + 1) // buckets)
+        return F.least(F.floor(at / F.lit(step)), F.lit(buckets - 1)).cast("long")
+    width = hi / buckets - lo / buckets                 # no overflow at the extremes
+    if width == 0 or math.floor(hi / width - lo / width) < 1 or math.isinf(hi / width - lo / width):
+        return (v > F.lit(lo)).cast("long")
+    return F.greatest(F.least(F.floor(v / F.lit(width) - F.lit(lo / width)), F.lit(buckets - 1)),
+                      F.lit(0)).cast("long")
+
+
+def _select_quantiles(v: DataFrame, n_cols: int, probs, buckets: int, integral: bool) -> list[list]:
+    value = F.col("v").cast("double")
+    finite = F.when(F.abs(value) != F.lit(math.inf), F.col("v"))
+    stats = {r["c"]: r for r in v.groupBy("c").agg(
+        F.count(F.lit(1)).alias("n"), F.min(finite).alias("lo"), F.max(finite).alias("hi"),
+        F.count_if(value == F.lit(-math.inf)).alias("low"),
+        F.count_if(value == F.lit(math.inf)).alias("high")).collect()}
     found: dict = {}
+    ranges = []                    # (column, rows before, lo, hi, ranks inside)
+    for c, st in stats.items():
+        n = st["n"]
+        ranks = sorted({r for p in probs for r in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))})
+        found.update({(c, r): -math.inf for r in ranks if r < st["low"]})
+        found.update({(c, r): math.inf for r in ranks if r >= n - st["high"]})
+        inside = [r for r in ranks if st["low"] <= r < n - st["high"]]
+        if inside:
+            ranges.append((c, st["low"], st["lo"], st["hi"], inside))
     while ranges:
-        is_final = [r[2] <= max_final or r[3] == r[4] for r in ranges]
-        final = [r for r, f in zip(ranges, is_final) if f]
-        refine = [r for r, f in zip(ranges, is_final) if not f]
-        if final:
-            grp = F.coalesce(*[F.when(r[0], F.lit(i)) for i, r in enumerate(final)])
-            rows = (v.withColumn("g", grp).filter(F.col("g").isNotNull())
-                    .groupBy("g", "v").count().collect())
-            for i, (_, base, _, _, _, rk) in enumerate(final):
-                seen, pend = base, list(rk)
-                for r in sorted((x for x in rows if x["g"] == i), key=lambda x: x["v"]):
-                    seen += r["count"]
-                    while pend and pend[0] < seen:
-                        found[pend.pop(0)] = r["v"]
-        nxt = []
-        if refine:
-            grp = F.coalesce(*[F.when(r[0], F.lit(i)) for i, r in enumerate(refine)])
-            bexpr = None
-            for i, r in enumerate(refine):
-                width = (r[4] - r[3]) / buckets
-                b_i = F.least(F.floor((F.col("v") - F.lit(r[3])) / F.lit(width)),
-                              F.lit(buckets - 1))
-                bexpr = F.when(F.col("g") == i, b_i) if bexpr is None else \
-                    bexpr.when(F.col("g") == i, b_i)
-            hist = (v.withColumn("g", grp).filter(F.col("g").isNotNull())
-                    .withColumn("b", bexpr).groupBy("g", "b")
-                    .agg(F.count(F.lit(1)).alias("cnt"), F.count_distinct("v").alias("d"),
-                         F.min("v").alias("lo"), F.max("v").alias("hi")).collect())
-            for i, (cond, base, _, lo, hi, rk) in enumerate(refine):
-                width = (hi - lo) / buckets
-                b_i = F.least(F.floor((F.col("v") - F.lit(lo)) / F.lit(width)),
-                              F.lit(buckets - 1))
-                seen, pend = base, list(rk)
-                for h in sorted((x for x in hist if x["g"] == i), key=lambda x: x["b"]):
-                    inside = [r for r in pend if r < seen + h["cnt"]]
-                    if inside:
-                        nxt.append((cond & (b_i == h["b"]), seen, h["d"], h["lo"], h["hi"],
-                                    inside))
-                        pend = pend[len(inside):]
-                    seen += h["cnt"]
-        ranges = nxt
+        for c, _, lo, hi, ranks in ranges:
+            if lo == hi:
+                found.update({(c, r): lo for r in ranks})
+        ranges = [r for r in ranges if r[2] != r[3]]
+        if not ranges:
+            break
+        conds = [(F.col("c") == c) & F.col("v").between(lo, hi) for c, _, lo, hi, _ in ranges]
+        group = F.coalesce(*[F.when(cond, F.lit(i)) for i, cond in enumerate(conds)])
+        bucket = F.coalesce(*[F.when(F.col("g") == i, _bucket(lo, hi, buckets, integral))
+                              for i, (_, _, lo, hi, _) in enumerate(ranges)])
+        rows = (v.withColumn("g", group).filter(F.col("g").isNotNull())
+                .groupBy("g", bucket.alias("b"))
+                .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+                .collect())
+        after = []
+        for i, (c, seen, _, _, ranks) in enumerate(ranges):
+            left = list(ranks)
+            for r in sorted((x for x in rows if x["g"] == i), key=lambda x: x["b"]):
+                here = [k for k in left if k < seen + r["n"]]
+                if here:
+                    after.append((c, seen, r["lo"], r["hi"], here))
+                    left = left[len(here):]
+                seen += r["n"]
+        ranges = after
     out = []
-    for p in probs:
-        pos = p * (n - 1)
-        i, j = math.floor(pos), math.ceil(pos)
-        a, b = float(found[i]), float(found[j])
-        out.append(a + (b - a) * (pos - i))
+    for c in range(n_cols):
+        if c not in stats:
+            out.append([None for _ in probs])
+            continue
+        n, got = stats[c]["n"], []
+        for p in probs:
+            pos = p * (n - 1)
+            i, j = math.floor(pos), math.ceil(pos)
+            a, b = float(found[c, i]), float(found[c, j])
+            got.append(a if a == b else a + (b - a) * (pos - i))
+        out.append(got)
     return out
 
 
@@ -140,7 +165,7 @@ def profile(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
     gives both the distinct count (its rows per column) and the most
     frequent value (``min(struct(-count, value))``), all partial aggregates,
     so a dominant value never lands in one task.  Quartiles come from
-    ``exact_quantiles``.
+    ``exact_quantiles_of``.
     """
     spark = spark or df.sparkSession
     fields = df.schema.fields
@@ -179,13 +204,8 @@ def profile(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
         top = spark.createDataFrame([], "column string, unique bigint, top string, freq bigint")
     qrows = []
     if num:
-        # all quantile searches read the numeric columns: compute them once
-        nums = df.select(*[F.col(f"`{n}`") for n in num]).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            for n in num:
-                qrows.append((n, *exact_quantiles(nums, n, [0.25, 0.5, 0.75])))
-        finally:
-            nums.unpersist()
+        quartiles = exact_quantiles_of(df, num, [0.25, 0.5, 0.75])
+        qrows = [(n, *quartiles[n]) for n in num]
     quart = spark.createDataFrame(qrows, "column string, q1 double, q2 double, q3 double")
     out = base.join(top, "column", "left").join(F.broadcast(quart), "column", "left")
     return out.select(

@@ -50,8 +50,9 @@ def where_null(df: DataFrame, c) -> DataFrame:
 
 def where_contains_ci(df: DataFrame, c, text: str) -> DataFrame:
     """Case-insensitive substring match, as ``LIKE '%x%'`` under a
-    case-insensitive collation (FLT3)."""
-    return df.filter(_c(c).ilike(f"%{text}%"))
+    case-insensitive collation (FLT3); ``_`` and ``%`` in ``text`` stand for
+    themselves."""
+    return df.filter(F.contains(F.lower(_c(c)), F.lower(F.lit(text))))
 
 
 def drop_incomplete(df: DataFrame, subset: Iterable[str] | None = None) -> DataFrame:

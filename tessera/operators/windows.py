@@ -2,13 +2,10 @@
 of the data on one task (WIN1, WIN2, SET4, FLT5).
 
 * ``running_total`` pre-aggregates to one row per (partition, order) value,
-  runs the window on that compact table and joins the running value back.
-  When the compact table is small AQE turns the join into a broadcast hash
-  join and the detail rows are never shuffled for the window at all.
-* ``number_rows`` splits every group into order-preserving, row-balanced
-  ranges of the ordering column, numbers rows inside each range and adds the
-  count of all earlier ranges of the same group.  A group is never processed
-  by one task as a whole, yet the numbers are exact.
+  runs the window on that compact table and joins the running value back;
+  an input that is compact already is windowed directly.
+* ``number_rows`` deals the rows out by range and numbers them per piece; a
+  group is never processed by one task as a whole, yet the numbers are exact.
 """
 
 from __future__ import annotations
@@ -17,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.strings import _c
+from ..session import stored
 
 
 def _null_safe_on(left: DataFrame, right: DataFrame, cols, prefix: str) -> Column:
@@ -28,75 +26,63 @@ def _null_safe_on(left: DataFrame, right: DataFrame, cols, prefix: str) -> Colum
 
 
 def running_total(df: DataFrame, part, order, value, out: str,
-                  cast: str | None = "int", null_keys: bool = True) -> DataFrame:
+                  cast: str | None = "int", one_row_per_key: bool = False) -> DataFrame:
     """``sum(value) over (partition by part order by order)`` with the default
     RANGE frame: rows with equal order values share the running value, nulls
     are skipped, leading nulls give null (WIN1).
 
-    ``null_keys=False`` states that the partition and order keys are never
-    null (e.g. they are the keys of an inner equi-join); the running values
-    are then joined back on plain equality, which reuses an existing hash
-    partitioning on those keys instead of shuffling the rows again."""
+    Rows are reduced to one per (partition, order) value, the window runs over
+    that compact table, and the running values are joined back, so a hot
+    partition costs no more than it has distinct order values.
+    ``one_row_per_key`` states that ``df`` is such a compact table already
+    (e.g. a join of daily tables); the window then runs on it directly."""
     part = [part] if isinstance(part, str) else list(part)
     order = [order] if isinstance(order, str) else list(order)
     v = _c(value)
     if cast:
         v = v.try_cast(cast)
     v = v.cast("bigint") if cast in ("int", "integer", "bigint") else v
+    window = Window.partitionBy(*part).orderBy(*order)
+    if one_row_per_key:
+        return df.withColumn(out, F.sum(v).over(window))
     keys = list(dict.fromkeys(part + order))
     compact = df.groupBy(*keys).agg(F.sum(v).alias("_s"))
-    w = Window.partitionBy(*part).orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    if not null_keys:
-        running = compact.select(*keys, F.sum("_s").over(w).alias(out))
-        return df.join(running, on=keys, how="left")
+    w = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     running = compact.select(*[F.col(k).alias("_k_" + k) for k in keys],
                              F.sum("_s").over(w).alias(out))
     joined = df.join(running, _null_safe_on(df, running, keys, "_k_"), "left")
     return joined.drop(*["_k_" + k for k in keys])
 
 
-def number_rows(df: DataFrame, keys, order: str, out: str = "row_num",
-                ranges: int | None = None, rows_per_range: int = 2_000_000,
-                max_ranges: int = 65536) -> DataFrame:
-    """``row_number() over (partition by keys order by order)`` computed
-    range by range (WIN2).  ``order`` must be numeric; nulls in ``keys``
-    form one group and null ``order`` values come first, as in SQL.
-
-    The ranges hold about the same number of rows whatever the distribution
-    of ``order`` (boundaries from Spark's distributed ``approxQuantile``;
-    they only need to be ordered, not exact, for the numbering to be exact),
-    and their number grows with the data (about ``rows_per_range`` rows per
-    range over the whole table, at least 256).  A group holding a third of
-    all rows is therefore numbered in pieces of bounded size."""
-    from pyspark.ml.feature import Bucketizer
+def number_rows(df: DataFrame, keys, order: str, out: str = "row_num") -> DataFrame:
+    """``row_number() over (partition by keys order by order)`` (WIN2); nulls
+    in ``keys`` form one group and null ``order`` values come first, as in SQL.
 
+    One range exchange on (keys, order) deals the rows out in order, so a
+    group that holds a third of all rows is spread over many pieces.  Rows are
+    numbered per (piece, group); only the group at the start of a piece can go
+    on from earlier pieces, and its offset is the sum of the lengths it has at
+    their ends: one row per piece, whatever the number of groups."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    n = df.count()
-    if ranges is None:
-        ranges = min(max_ranges, max(256, -(-n // rows_per_range)))
-    probs = [i / ranges for i in range(1, ranges)]
-    bounds = sorted(set(df.approxQuantile(order, probs, 1.0 / (4 * ranges)))) if n else []
-    splits = [float("-inf")] + [b for b in bounds if b not in (float("-inf"), float("inf"))] \
-        + [float("inf")]
-    with_v = df.withColumn("_ov", F.col(order).cast("double"))
-    bucketed = Bucketizer(splits=splits, inputCol="_ov", outputCol="_bk",
-                          handleInvalid="keep").transform(with_v)
-    # null order values sort first, so they form the first range
-    with_b = bucketed.withColumn(
-        "_rb", F.when(F.col(order).isNull(), F.lit(-1)).otherwise(F.col("_bk").cast("int"))) \
-        .drop("_ov", "_bk")
-    gk = keys + ["_rb"]
-    counts = with_b.groupBy(*gk).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_rb").rowsBetween(
-        Window.unboundedPreceding, -1)
-    offsets = counts.select(*[F.col(k).alias("_k_" + k) for k in gk],
-                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    local = with_b.withColumn(
-        "_rn", F.row_number().over(Window.partitionBy(*gk).orderBy(order)))
-    joined = local.join(offsets, _null_safe_on(local, offsets, gk, "_k_"), "inner")
-    return (joined.withColumn(out, (F.col("_rn") + F.col("_off")).cast("int"))
-            .drop("_rn", "_off", "_rb", *["_k_" + k for k in gk]))
+    names = df.columns
+    pieces = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = stored(df.repartitionByRange(pieces, *[F.col(k).asc_nulls_first() for k in [*keys, order]])
+                   .withColumn("_pid", F.spark_partition_id()), "row_numbers")
+    local = dealt.withColumn(
+        "_rn", F.row_number().over(Window.partitionBy("_pid", *keys).orderBy(order)))
+    key = F.struct(*[F.col(k) for k in keys])
+    ends = local.groupBy("_pid").agg(F.min(key).alias("_first"),
+                                     F.max(F.struct(key.alias("k"), F.col("_rn").alias("n"))).alias("e"))
+    events = (ends.select("_pid", F.col("e.k").alias("_k"), F.col("e.n").cast("long").alias("n"),
+                          F.lit(False).alias("asks"))
+              .unionByName(ends.select("_pid", F.col("_first").alias("_k"), F.lit(0).cast("long").alias("n"),
+                                       F.lit(True).alias("asks"))))
+    before = Window.partitionBy("_k").orderBy("_pid").rangeBetween(Window.unboundedPreceding, -1)
+    offsets = (events.withColumn("_off", F.coalesce(F.sum("n").over(before), F.lit(0)))
+               .where("asks").select("_pid", "_k", "_off"))
+    joined = local.join(offsets, "_pid")
+    number = F.col("_rn") + F.when(key.eqNullSafe(F.col("_k")), F.col("_off")).otherwise(F.lit(0))
+    return joined.select(*[F.col(f"`{c}`") for c in names if c != out], number.cast("int").alias(out))
 
 
 def duplicates(df: DataFrame, keys, order: str, out: str = "row_num") -> DataFrame:

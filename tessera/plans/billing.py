@@ -54,35 +54,43 @@ st AS (SELECT *, CASE WHEN total IS NULL OR balance_amount IS NULL THEN 'NO_QUOT
 """
 
 
-def _lit(s: str) -> str:
-    return "'" + s.replace("'", "''") + "'"
-
-
 def _money_sql(c: str) -> str:
     return f"concat('RM ', CAST(CAST({c} AS DECIMAL(12,2)) AS VARCHAR))"
 
 
-def _line_sql(label: str, c: str) -> str:
-    return f"concat({_lit(label.ljust(B.LABEL_WIDTH) + ': ')}, CAST({c} AS VARCHAR))"
-
-
-def _amount_sql(label: str, gap: int, c: str) -> str:
-    return f"concat({_lit(label.ljust(B.LABEL_WIDTH) + ':' + ' ' * gap + ' ')}, {_money_sql(c)})"
-
-
-def invoice_sql(status_sql: str) -> str:
-    bar = _lit("=" * B.INVOICE_WIDTH)
-    t = lambda x: _lit(S.center(x, B.INVOICE_WIDTH))
-    parts = [bar, t(B.COMPANY), t("RENTAL INVOICE"), bar, t("CUSTOMER DETAILS"), bar,
-             _line_sql("Name", "Name"), _line_sql("Startdate", "Startdate"),
-             _line_sql("Enddate", "Enddate"), bar, t("RENTAL DETAILS"), bar,
-             _line_sql("Brand", "Brand"), _line_sql("Type", "Type"),
-             _line_sql("Plate Number", "PlateNum"), _line_sql("Price/day", "PricePerDay"),
-             _line_sql("Days rent", "days"), bar,
-             f"concat({_lit('Status'.ljust(B.LABEL_WIDTH) + ':' + ' ' * B.STATUS_GAP)}, {status_sql})",
-             _amount_sql("Grand Total", B.AMOUNT_GAP, "total"),
-             _amount_sql("Deposit", B.AMOUNT_GAP, "deposit_floor"), bar]
-    return "concat_ws(chr(10), " + ", ".join(parts) + ")"
+# Documents typed out here, independently of the operator.
+_BAR = "repeat('=', 100)"
+_HEAD_SQL = f"""{_BAR},
+  concat(repeat(' ', 47), 'SOCAR', repeat(' ', 48)),
+  concat(repeat(' ', 43), 'RENTAL INVOICE', repeat(' ', 43)),
+  {_BAR},
+  concat(repeat(' ', 42), 'CUSTOMER DETAILS', repeat(' ', 42)),
+  {_BAR},
+  concat('Name                : ', Name),
+  concat('Address             : ', Address),
+  concat('Phone               : ', Phone),
+  concat('IC No               : ', ICNo),
+  concat('Startdate           : ', Startdate),
+  concat('Enddate             : ', Enddate),
+  {_BAR}"""
+_RENTAL_SQL = f"""concat(repeat(' ', 43), 'RENTAL DETAILS', repeat(' ', 43)),
+  {_BAR},
+  concat('Brand               : ', Brand),
+  concat('Type                : ', Type),
+  concat('Plate Number        : ', PlateNum),
+  concat('Price/day           : ', PricePerDay),
+  concat('Days rent           : ', CAST(days AS VARCHAR)),
+  {_BAR}"""
+_INVOICE_SQL = f"""concat_ws(chr(10), {_HEAD_SQL},
+  {_RENTAL_SQL},
+  concat('Status              :', repeat(' ', 71), invoice_status),
+  concat('Grand Total         :', repeat(' ', 68), {_money_sql('total')}),
+  concat('Deposit             :', repeat(' ', 68), {_money_sql('deposit_floor')}),
+  {_BAR})"""
+_QUOTE_SCREEN_SQL = f"""concat_ws(chr(10), {_RENTAL_SQL},
+  concat('Grand Total         :', repeat(' ', 70), {_money_sql('total')}),
+  concat('Deposit             :', repeat(' ', 71), {_money_sql('deposit_exact')}),
+  {_BAR})"""
 
 
 def _card_sql(expiry: str) -> str:
@@ -91,11 +99,12 @@ def _card_sql(expiry: str) -> str:
     m = f"TRY_CAST(substring({e}, 1, 2) AS INT)"
     y = f"TRY_CAST(substring({e}, 3, 2) AS INT)"
     yy, mm = int(AS_OF[2:4]), int(AS_OF[5:7])
-    return f"""CASE WHEN NOT regexp_full_match(replace(card_no, ' ', ''), '[0-9]{{16}}') THEN 'invalid_card'
-     WHEN NOT regexp_full_match({e}, '[0-9]{{4}}') THEN 'bad_format'
+    return f"""CASE WHEN card_no IS NULL OR NOT regexp_full_match(replace(card_no, ' ', ''), '[0-9]{{16}}')
+       THEN 'invalid_card'
+     WHEN {expiry} IS NULL OR NOT regexp_full_match({e}, '[0-9]{{4}}') THEN 'bad_format'
      WHEN {m} < 1 OR {m} > 12 THEN 'bad_month'
      WHEN {y} < {yy} OR ({y} = {yy} AND {m} < {mm}) THEN 'expired'
-     WHEN NOT regexp_full_match(trim(cvv), '[1-9][0-9]{{2}}') THEN 'invalid_cvv'
+     WHEN cvv IS NULL OR NOT regexp_full_match(trim(cvv), '[1-9][0-9]{{2}}') THEN 'invalid_cvv'
      ELSE 'ok' END"""
 
 
@@ -104,7 +113,7 @@ def _expiry_sql(expiry: str) -> str:
     m = f"TRY_CAST(substring({e}, 1, 2) AS INT)"
     y = f"TRY_CAST(substring({e}, 3, 2) AS INT)"
     yy, mm = int(AS_OF[2:4]), int(AS_OF[5:7])
-    return f"""CASE WHEN NOT regexp_full_match({e}, '[0-9]{{4}}') THEN 'bad_format'
+    return f"""CASE WHEN {expiry} IS NULL OR NOT regexp_full_match({e}, '[0-9]{{4}}') THEN 'bad_format'
      WHEN {m} < 1 OR {m} > 12 THEN 'bad_month'
      WHEN {y} < {yy} OR ({y} = {yy} AND {m} < {mm}) THEN 'expired' ELSE 'ok' END"""
 
@@ -201,21 +210,56 @@ def bil2(spark, sf):
     return s.select("CustID", _d("balance_amount"), _d("total"), "status", _d("new_balance"))
 
 
-_APPLIED_SQL = _Q_SQL + f"""
-, ap AS (SELECT r.CustID, r.Name,
-                COALESCE(CASE WHEN st.status = 'SETTLED' THEN {_money_sql('st.new_balance')} END,
-                         r.Balance) AS Balance,
-                r.Startdate, r.Enddate, r.CarID
-         FROM rentals r LEFT JOIN st ON r.CustID = st.CustID)
+_ROUTED_SQL = _Q_SQL + f"""
+, rq AS (SELECT p.*, {_card_sql('p.expiry')} AS card_result FROM payment_requests p),
+j AS (SELECT rq.*, st.total, st.deposit_floor, st.status, st.balance_amount, st.new_balance
+      FROM rq LEFT JOIN st ON rq.CustID = st.CustID),
+rt AS (
+SELECT CustID, choice, provider_choice,
+       CASE choice WHEN 1 THEN 'Credit Card' WHEN 2 THEN 'Digital Wallet'
+                   WHEN 3 THEN 'Bank Transfer' WHEN 4 THEN 'Cash Payment' WHEN 5 THEN 'Exit'
+                   ELSE 'Invalid' END AS method,
+       CASE WHEN choice = 1 THEN CASE WHEN card_result = 'ok' THEN 'PAID'
+                                      ELSE concat('REJECTED:', card_result) END
+            WHEN choice IN (2, 3) AND provider_choice BETWEEN 1 AND 5 THEN status
+            WHEN choice IN (2, 3) AND provider_choice = 6 THEN 'MENU'
+            WHEN choice IN (2, 3) THEN 'INVALID_PROVIDER'
+            WHEN choice = 4 THEN 'UNPAID' WHEN choice = 5 THEN 'EXIT'
+            ELSE 'INVALID_CHOICE' END AS outcome,
+       CASE WHEN choice = 4 THEN deposit_floor END AS deposit_due,
+       CASE WHEN choice IN (2, 3) AND provider_choice BETWEEN 1 AND 5
+                 AND status = 'SETTLED' THEN new_balance ELSE balance_amount END AS balance_after
+FROM j),
+ap AS (SELECT r.CustID, r.Name, r.Address, r.Phone, r.ICNo,
+              COALESCE(CASE WHEN rt.choice IN (2, 3) AND rt.provider_choice IN (1, 2, 3, 4, 5)
+                                 AND rt.outcome = 'SETTLED' THEN {_money_sql('rt.balance_after')} END,
+                       r.Balance) AS Balance,
+              r.Startdate, r.Enddate, r.CarID
+       FROM rentals r LEFT JOIN rt ON r.CustID = rt.CustID),
+iv AS (SELECT CustID, outcome, {_INVOICE_SQL} AS invoice
+       FROM (SELECT st.*, rt.outcome,
+                    CASE WHEN rt.outcome IN ('PAID', 'SETTLED') THEN 'PAID'
+                         WHEN rt.outcome = 'UNPAID' THEN 'UNPAID' END AS invoice_status
+             FROM st JOIN rt ON st.CustID = rt.CustID)
+       WHERE total IS NOT NULL AND invoice_status IS NOT NULL)
 """
+RUN = BILL + [REQ]
+
+
+def run_tables(spark, sf):
+    return table(spark, sf, RENTALS), table(spark, sf, CARS), table(spark, sf, REQ)
+
+
+def routed(spark, sf) -> DataFrame:
+    return B.route_payments(table(spark, sf, REQ), quotes(spark, sf), AS_OF)
 
 
-@query("bil3_apply_settlement", _APPLIED_SQL + "SELECT * FROM ap", uses=BILL)
+@query("bil3_apply_settlement", _ROUTED_SQL + "SELECT * FROM ap", uses=RUN)
 def bil3(spark, sf):
-    return B.apply_settlement(table(spark, sf, RENTALS), settled(spark, sf))
+    return B.apply_settlement(table(spark, sf, RENTALS), routed(spark, sf))
 
 
-@query("sink1_write_records", _APPLIED_SQL + "SELECT * FROM ap", uses=BILL)
+@query("sink1_write_records", _ROUTED_SQL + "SELECT * FROM ap", uses=RUN)
 def sink1(spark, sf):
     """The updated customer table written as JSON lines and read back."""
     path = scratch_path(spark, "updated_customers")
@@ -225,7 +269,7 @@ def sink1(spark, sf):
 
 
 @query("cnd2_valid_card", """
-SELECT CustID, regexp_full_match(replace(card_no, ' ', ''), '[0-9]{16}') AS card_ok
+SELECT CustID, card_no IS NOT NULL AND regexp_full_match(replace(card_no, ' ', ''), '[0-9]{16}') AS card_ok
 FROM payment_requests""", uses=[REQ])
 def cnd2(spark, sf):
     return table(spark, sf, REQ).select("CustID", valid_card("card_no").alias("card_ok"))
@@ -243,7 +287,7 @@ def cnd3(spark, sf):
 
 
 @query("cnd4_valid_cvv", """
-SELECT CustID, regexp_full_match(trim(cvv), '[1-9][0-9]{2}') AS cvv_ok FROM payment_requests""",
+SELECT CustID, cvv IS NOT NULL AND regexp_full_match(trim(cvv), '[1-9][0-9]{2}') AS cvv_ok FROM payment_requests""",
        uses=[REQ])
 def cnd4(spark, sf):
     return table(spark, sf, REQ).select("CustID", valid_cvv("cvv").alias("cvv_ok"))
@@ -274,43 +318,37 @@ def bil5(spark, sf):
     return B.card_check(table(spark, sf, REQ), AS_OF).select("CustID", "card_result")
 
 
-@query("bil4_route_payments", _Q_SQL + f"""
-, rq AS (SELECT p.*, {_card_sql('p.expiry')} AS card_result FROM payment_requests p),
-j AS (SELECT rq.*, st.total, st.deposit_floor, st.status, st.balance_amount, st.new_balance
-      FROM rq LEFT JOIN st ON rq.CustID = st.CustID)
-SELECT CustID, choice, provider_choice,
-       CASE choice WHEN 1 THEN 'Credit Card' WHEN 2 THEN 'Digital Wallet'
-                   WHEN 3 THEN 'Bank Transfer' WHEN 4 THEN 'Cash Payment' WHEN 5 THEN 'Exit'
-                   ELSE 'Invalid' END AS method,
-       CASE WHEN choice = 1 THEN CASE WHEN card_result = 'ok' THEN 'PAID'
-                                      ELSE concat('REJECTED:', card_result) END
-            WHEN choice IN (2, 3) AND provider_choice BETWEEN 1 AND 5 THEN status
-            WHEN choice IN (2, 3) AND provider_choice = 6 THEN 'MENU'
-            WHEN choice IN (2, 3) THEN 'INVALID_PROVIDER'
-            WHEN choice = 4 THEN 'UNPAID' WHEN choice = 5 THEN 'EXIT'
-            ELSE 'INVALID_CHOICE' END AS outcome,
-       CAST(CASE WHEN choice = 4 THEN deposit_floor END AS DOUBLE) AS deposit_due,
-       CAST(CASE WHEN choice IN (2, 3) AND provider_choice BETWEEN 1 AND 5
-                      AND status = 'SETTLED' THEN new_balance ELSE balance_amount END AS DOUBLE)
-         AS balance_after
-FROM j""", uses=BILL + [REQ])
+@query("bil4_route_payments", _ROUTED_SQL + """
+SELECT CustID, choice, provider_choice, method, outcome,
+       CAST(deposit_due AS DOUBLE) AS deposit_due, CAST(balance_after AS DOUBLE) AS balance_after
+FROM rt""", uses=RUN)
 def bil4(spark, sf):
-    r = B.route_payments(table(spark, sf, REQ), quotes(spark, sf), AS_OF)
-    return r.select("CustID", "choice", "provider_choice", "method", "outcome",
-                    _d("deposit_due"), _d("balance_after"))
+    return routed(spark, sf).select("CustID", "choice", "provider_choice", "method", "outcome",
+                                    _d("deposit_due"), _d("balance_after"))
 
 
-@query("bil6_invoices", _Q_SQL + f"""
-SELECT CustID, {invoice_sql("'PAID'")} AS invoice FROM st WHERE total IS NOT NULL""", uses=BILL)
+@query("bil6_invoices", _ROUTED_SQL + "SELECT * FROM iv", uses=RUN)
 def bil6(spark, sf):
-    return B.invoices(quotes(spark, sf), "PAID")
+    return B.invoices(quotes(spark, sf), routed(spark, sf))
 
 
 @query("str17_invoice_text", _Q_SQL + f"""
-SELECT CustID, concat_ws(chr(10),
-  {_amount_sql('Grand Total', B.QUOTE_TOTAL_GAP, 'total')},
-  {_amount_sql('Deposit', B.QUOTE_DEPOSIT_GAP, 'deposit_exact')}) AS quote_text
+SELECT CustID, concat_ws(chr(10), {_HEAD_SQL}) AS customer_screen, {_QUOTE_SCREEN_SQL} AS quote_screen
 FROM st WHERE total IS NOT NULL""", uses=BILL)
 def str17(spark, sf):
+    """Both detail screens of every quoted rental."""
     q = quotes(spark, sf).filter(F.col("total").isNotNull())
-    return q.select("CustID", B.quote_screen_amounts().alias("quote_text"))
+    return q.select("CustID", B.customer_screen().alias("customer_screen"),
+                    B.quote_screen().alias("quote_screen"))
+
+
+@query("p5_billing_run", _ROUTED_SQL + """
+SELECT rt.CustID, rt.method, rt.outcome, CAST(rt.deposit_due AS DOUBLE) AS deposit_due,
+       ap.Balance, iv.invoice
+FROM rt JOIN ap ON rt.CustID = ap.CustID LEFT JOIN iv ON rt.CustID = iv.CustID""", uses=RUN)
+def p5(spark, sf):
+    """The rental run as one result: route, invoice and updated balance of
+    every request."""
+    done, updated = B.billing_run(*run_tables(spark, sf), AS_OF)
+    return done.join(updated.select("CustID", "Balance"), "CustID").select(
+        "CustID", "method", "outcome", _d("deposit_due"), "Balance", "invoice")

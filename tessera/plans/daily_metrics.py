@@ -32,14 +32,13 @@ def rolling_vaccinations(spark, sf) -> DataFrame:
     """Join → filter → running total per location (C:82-89).
 
     The continent filter touches the case table only, so Catalyst applies it
-    below the join; the running total pre-aggregates per (location, date)
-    before its window (see ``running_total``)."""
+    below the join; the join holds one row per (location, date), so the
+    running total is one window over it."""
     dea = reported(spark, sf).select("continent", "location", "date", "population")
     vac = table(spark, sf, DOSES).select("location", "date", "new_vaccinations")
     j = joins.join_daily(dea, vac)
-    # inner-join keys are never null: join the running values back on them
     out = running_total(j, "location", ["location", "date"], "new_vaccinations",
-                        "RollingPeopleVaccinated", null_keys=False)
+                        "RollingPeopleVaccinated", one_row_per_key=True)
     return out.select("continent", "location", "date", "population", "new_vaccinations",
                       F.col("RollingPeopleVaccinated").cast("bigint").alias("RollingPeopleVaccinated"))
 
@@ -87,7 +86,7 @@ def prj1(spark, sf):
 @query("flt3_like_case_insensitive", f"""
 SELECT location, date, total_cases, total_deaths,
        TRY_CAST(total_deaths AS DOUBLE) / total_cases * 100 AS DeathPercentage
-FROM daily_cases WHERE location ILIKE '%{PATTERN}%' AND continent IS NOT NULL""", uses=[CASES])
+FROM daily_cases WHERE contains(lower(location), lower('{PATTERN}')) AND continent IS NOT NULL""", uses=[CASES])
 def flt3(spark, sf):
     d = rel.where_contains_ci(reported(spark, sf), "location", PATTERN)
     return d.select("location", "date", "total_cases", "total_deaths",
@@ -120,10 +119,8 @@ SELECT location, population, MAX(total_cases) AS HighestInfectionCount,
 FROM daily_cases WHERE continent IS NOT NULL GROUP BY location, population""", uses=[CASES])
 def agg1(spark, sf):
     d = reported(spark, sf)
-    out = d.groupBy("location", "population").agg(
-        F.max("total_cases").alias("HighestInfectionCount"),
-        (F.max(F.col("total_cases") / F.col("population")) * 100).alias("MaxPercentPopulationInfected"))
-    return out
+    return agg.peak_ratio(d, ["location", "population"], "total_cases", "population",
+                          "HighestInfectionCount", "MaxPercentPopulationInfected")
 
 
 @query("srt2_order_desc", """

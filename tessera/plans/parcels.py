@@ -216,7 +216,7 @@ FROM (SELECT *, {_ROWNUM} FROM parcels) WHERE row_num > 1 ORDER BY PropertyAddre
 def flt5(spark, sf):
     d = windows.duplicates(parcels(spark, sf), DUP_KEYS, "UniqueID")
     return d.select("UniqueID", "ParcelID", "PropertyAddress", "row_num") \
-        .orderBy("PropertyAddress")
+        .orderBy("PropertyAddress", "UniqueID")
 
 
 @query("set4_dedupe_by_key", f"""

@@ -53,6 +53,17 @@ def combined(spark, sf) -> DataFrame:
     return d.withColumn("Label", sentiment_label("Rating"))
 
 
+def reviewed(spark, sf) -> DataFrame:
+    """The rows of ``combined`` without their texts: a row is known by the
+    SHA-256 of its padded text, and what later steps need of the text (its MD5
+    and word count) is computed before the shuffle.  Texts never travel."""
+    u = united(spark, sf).withColumn("Review", S.pad_min("Review", PAD_WIDTH))
+    rows = u.select("Restaurant", "Location", "Rating", F.sha2("Review", 256).alias("digest"),
+                    F.md5("Review").alias("review_md5"), S.word_count("Review").alias("Word_count"))
+    d = rows.dropDuplicates(["Restaurant", "Location", "Rating", "digest"])
+    return d.withColumn("Label", sentiment_label("Rating"))
+
+
 def with_word_count(df: DataFrame) -> DataFrame:
     return df.withColumn("Word_count", S.word_count("Review"))
 
@@ -154,8 +165,7 @@ def str8(spark, sf):
 @query("set2_drop_duplicates", CLEAN_SQL +
        "SELECT Restaurant, Location, Rating, md5(Review) AS review_md5 FROM cr", uses=R)
 def set2(spark, sf):
-    return combined(spark, sf).select("Restaurant", "Location", "Rating",
-                                      F.md5("Review").alias("review_md5"))
+    return reviewed(spark, sf).select("Restaurant", "Location", "Rating", "review_md5")
 
 
 @query("prf5_row_count", CLEAN_SQL + "SELECT CAST(COUNT(*) AS BIGINT) AS n FROM un", uses=R)
@@ -173,8 +183,7 @@ def prf6(spark, sf):
 @query("num7_sentiment_label", CLEAN_SQL +
        "SELECT Restaurant, Location, Rating, Label, md5(Review) AS review_md5 FROM cl", uses=R)
 def num7(spark, sf):
-    return combined(spark, sf).select("Restaurant", "Location", "Rating", "Label",
-                                      F.md5("Review").alias("review_md5"))
+    return reviewed(spark, sf).select("Restaurant", "Location", "Rating", "Label", "review_md5")
 
 
 @query("flt4_split_by_sentiment", CLEAN_SQL + """
@@ -182,7 +191,7 @@ SELECT Label, CAST(COUNT(*) AS BIGINT) AS n FROM cl WHERE Label IS NOT NULL GROU
        uses=R)
 def flt4(spark, sf):
     """The three rating filters of S:375-377 as one pass grouped by label."""
-    c = combined(spark, sf).filter(F.col("Label").isNotNull())
+    c = reviewed(spark, sf).filter(F.col("Label").isNotNull())
     return c.groupBy("Label").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
@@ -190,7 +199,7 @@ def flt4(spark, sf):
 SELECT Location, CAST(COUNT(*) AS BIGINT) AS count FROM cl WHERE Location IS NOT NULL
 GROUP BY Location""", uses=R)
 def agg5(spark, sf):
-    out = agg.value_counts(combined(spark, sf), "Location")
+    out = agg.value_counts(reviewed(spark, sf), "Location")
     return out.withColumn("count", F.col("count").cast("bigint"))
 
 
@@ -199,25 +208,25 @@ SELECT Label, Percentage FROM (
   SELECT Label, COUNT(*) / SUM(COUNT(*)) OVER () * 100 AS Percentage FROM cl GROUP BY Label)
 WHERE Label IS NOT NULL""", uses=R)
 def agg6(spark, sf):
-    return agg.class_share(combined(spark, sf), "Label")
+    return agg.class_share(reviewed(spark, sf), "Label")
 
 
 @query("agg7_mean_rounded", CLEAN_SQL + "SELECT round_even(AVG(Rating), 2) AS avg FROM cl", uses=R)
 def agg7(spark, sf):
-    return agg.mean_rounded(combined(spark, sf), "Rating", 2)
+    return agg.mean_rounded(reviewed(spark, sf), "Rating", 2)
 
 
 @query("agg8_group_mean", CLEAN_SQL + """
 SELECT Location, AVG(Rating) AS Rating FROM cl WHERE Location IS NOT NULL GROUP BY Location""",
        uses=R)
 def agg8(spark, sf):
-    return agg.group_mean(combined(spark, sf), "Location", "Rating")
+    return agg.group_mean(reviewed(spark, sf), "Location", "Rating")
 
 
 def restaurant_table(spark, sf) -> DataFrame:
     """Mean rating and review count per restaurant (S:235-247).  The two
     aggregates of the analysis merged on the key (JN4)."""
-    c = combined(spark, sf)
+    c = reviewed(spark, sf)
     mean = c.groupBy("Restaurant").agg(F.avg("Rating").alias("Rating"))
     count = agg.value_counts(c, "Restaurant").withColumn("count", F.col("count").cast("bigint"))
     return joins.merge_on(mean, count, "Restaurant")
@@ -243,7 +252,9 @@ FROM rt ORDER BY count DESC, Restaurant LIMIT 10""", uses=R)
 def srt4(spark, sf):
     """Top 10 restaurants by review count (what the analysis computes,
     though it calls it by rating, Q15)."""
-    top = rel.top_k(restaurant_table(spark, sf), "count", 10, tiebreak=["Restaurant"])
+    rated = (reviewed(spark, sf).filter(F.col("Restaurant").isNotNull()).groupBy("Restaurant")
+             .agg(F.avg("Rating").alias("Rating"), F.count(F.lit(1)).cast("bigint").alias("count")))
+    top = rel.top_k(rated, "count", 10, tiebreak=["Restaurant"])
     return rel.with_rank(top, [F.col("count").desc(), F.col("Restaurant")]) \
         .withColumn("rank", F.col("rank").cast("int"))
 
@@ -252,8 +263,8 @@ def srt4(spark, sf):
 SELECT Restaurant, Location, Rating, md5(Review) AS review_md5,
        CAST(len({tokens_sql('Review')}) AS INT) AS Word_count FROM cl""", uses=R)
 def str12(spark, sf):
-    return with_word_count(combined(spark, sf)).select(
-        "Restaurant", "Location", "Rating", F.md5("Review").alias("review_md5"),
+    return reviewed(spark, sf).select(
+        "Restaurant", "Location", "Rating", "review_md5",
         F.col("Word_count").cast("int").alias("Word_count"))
 
 
@@ -280,7 +291,7 @@ def num6(spark, sf):
 
     Rows are first reduced per word count (the count is computed once per
     review); bins are derived per distinct word count."""
-    per_wc = with_word_count(combined(spark, sf)).groupBy("Word_count").agg(
+    per_wc = reviewed(spark, sf).groupBy("Word_count").agg(
         F.sum("Rating").alias("_s"), F.count("Rating").alias("_c"),
         F.count(F.lit(1)).alias("_rows"))
     binned = per_wc.select(agg.per_group(bin_index("Word_count", BIN_WIDTH, N_BINS), "_rows")
@@ -301,7 +312,7 @@ SELECT col_a, col_b, ROUND(r, 6) AS r FROM (
   UNION ALL SELECT 'Rating', 'Word_count', c FROM r
   UNION ALL SELECT 'Rating', 'Rating', 1.0::DOUBLE)""", uses=R)
 def agg10(spark, sf):
-    c = with_word_count(combined(spark, sf)).select(
+    c = reviewed(spark, sf).select(
         F.col("Word_count").cast("double").alias("Word_count"),
         F.col("Rating").cast("double").alias("Rating"))
     m = agg.corr_matrix(c, ["Word_count", "Rating"])

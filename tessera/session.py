@@ -15,9 +15,11 @@ little while a small one makes partitions spill; scan splits follow
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session of this library should carry.  Shuffle partitions
 # are left to the caller (cluster default in production, cores in tests).
@@ -54,8 +56,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder used to cut lineage and stage written tables.
 
     On a cluster this is ``spark.checkpoint.dir`` (a shared file system path
-    named by the cluster).  Only when the setting is absent, as in local
-    tests, a private folder under the system temp dir is created.
+    named by the cluster); without it written tables would lie on one machine,
+    so that is an error.  Only a ``local`` master, as in tests, gets a private
+    folder under the system temp dir.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -64,14 +67,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         sc = None
     if sc is None:
         if not configured:
-            configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
-            spark.conf.set("spark.checkpoint.dir", configured)
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         return configured
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.match(r"local($|\[)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -80,5 +84,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder inside the shared checkpoint area for written tables."""
     base = ensure_checkpoint_dir(spark)
-    import uuid
     return os.path.join(base, f"tables/{name}-{uuid.uuid4().hex[:12]}")
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written under the shared folder and read back: fixed data for
+    later passes, and nothing to recompute when an executor is lost."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -126,6 +126,9 @@ FROM part
 
 SQL["rentals"] = """
 SELECT CAST(c_custkey AS STRING) AS CustID, c_name AS Name,
+       concat('No. ', CAST(c_custkey AS STRING), ', Example Street') AS Address,
+       concat('555-', CAST(1000000 + c_custkey AS STRING)) AS Phone,
+       concat('IC-', CAST(500000 + c_custkey AS STRING)) AS ICNo,
        concat(CASE WHEN c_custkey % 2 = 0 THEN 'RM' ELSE 'RM ' END,
               CAST(CAST(abs(c_acctbal) AS DECIMAL(12,2)) AS STRING)) AS Balance,
        CAST(DATE '2024-01-01' + CAST(c_custkey % 300 AS INT) AS STRING) AS Startdate,
@@ -135,11 +138,16 @@ FROM customer
 """
 
 SQL["payment_requests"] = """
-SELECT CAST(c_custkey AS STRING) AS CustID, CAST(1 + c_custkey % 5 AS INT) AS choice,
-       CAST(1 + c_custkey % 6 AS INT) AS provider_choice,
-       CASE WHEN c_custkey % 8 = 0 THEN '4000 0000 0000 000' ELSE '4000 0000 0000 0002' END AS card_no,
-       CASE c_custkey % 4 WHEN 0 THEN '0125' WHEN 1 THEN '1324' WHEN 2 THEN '12/30' ELSE '0630' END AS expiry,
-       CASE WHEN c_custkey % 6 = 0 THEN '012' ELSE '345' END AS cvv,
+SELECT CAST(c_custkey AS STRING) AS CustID, CAST(1 + c_custkey % 6 AS INT) AS choice,
+       CAST(1 + c_custkey % 7 AS INT) AS provider_choice,
+       CASE WHEN c_custkey % 8 = 0 THEN '4000 0000 0000 000' WHEN c_custkey % 9 = 0 THEN NULL
+            WHEN c_custkey % 10 = 0 THEN '  ' ELSE '4000 0000 0000 0002' END AS card_no,
+       CASE WHEN c_custkey % 11 = 0 THEN NULL WHEN c_custkey % 13 = 0 THEN ''
+            WHEN c_custkey % 4 = 0 THEN '0125' WHEN c_custkey % 5 = 1 THEN '1324'
+            WHEN c_custkey % 5 = 2 THEN '12/30' WHEN c_custkey % 5 = 3 THEN '0324'
+            ELSE '0630' END AS expiry,
+       CASE WHEN c_custkey % 17 = 0 THEN NULL WHEN c_custkey % 19 = 0 THEN ''
+            WHEN c_custkey % 7 = 0 THEN '012' ELSE '345' END AS cvv,
        'secret' AS password
 FROM customer
 """

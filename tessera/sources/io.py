@@ -78,10 +78,14 @@ def write_labels(df: DataFrame, label: str, path: str) -> None:
 def materialize(df: DataFrame, name: str, schema: T.StructType | str) -> DataFrame:
     """Temp table with declared column types (SINK3): cast-select to the
     schema, cut the lineage with a reliable checkpoint in the shared
-    checkpoint folder, register as a temp view and read it back."""
+    checkpoint folder, register as a temp view and read it back.  Columns
+    match by position, as in an INSERT; another number of columns than the
+    schema's is an error."""
     spark = df.sparkSession
     if isinstance(schema, str):
-        schema = T._parse_datatype_string(schema)
+        schema = T.StructType.fromDDL(schema)
+    if len(df.columns) != len(schema.fields):
+        raise ValueError(f"{len(df.columns)} columns for a schema of {len(schema.fields)}")
     cast = df.select(*[F.col(f"`{c}`").cast(f.dataType).alias(f.name)
                        for c, f in zip(df.columns, schema.fields)])
     ensure_checkpoint_dir(spark)

@@ -1,6 +1,5 @@
 """Operators against brute force, including a group holding a third of the rows."""
 
-import itertools
 import random
 
 import numpy as np
@@ -48,7 +47,7 @@ def test_running_total_last_value_is_group_sum(spark):
 def test_number_rows_matches_row_number(spark):
     df = skewed_frame(spark)
     keys = ["g", "addr", "price"]
-    got = windows.number_rows(df, keys, "id", ranges=16)
+    got = windows.number_rows(df, keys, "id")
     exp = df.withColumn("row_num", F.row_number().over(Window.partitionBy(*keys).orderBy("id")))
     assert rows(got, "id", "row_num") == rows(exp, "id", "row_num")
 
@@ -126,11 +125,38 @@ def test_exact_quantiles_with_hot_value(spark):
     vals = np.concatenate([rnd.normal(0, 1, 2000), np.full(1500, 5.0), rnd.exponential(3, 2000)])
     df = spark.createDataFrame([(float(v),) for v in vals], "x double")
     probs = [0, 0.1, 0.25, 0.5, 0.75, 0.9, 1]
-    for max_final in (10, 100000):      # forced refinement and direct read
-        got = profile.exact_quantiles(df, "x", probs, buckets=16, max_final=max_final)
+    for buckets in (2, 16, 4096):
+        got = profile.exact_quantiles(df, "x", probs, buckets=buckets)
         assert np.allclose(got, np.quantile(vals, probs))
 
 
+def test_exact_quantiles_with_infinities_nan_and_extremes(spark):
+    inf = float("inf")
+    vals = [float(i) for i in range(100)] + [inf, -inf, -inf, 1e308, -1e308, 5e-324]
+    df = spark.createDataFrame([(v,) for v in [*vals, float("nan"), None]], "x double")
+    ordered = sorted(vals)
+    n = len(vals)
+    probs = [i / (n - 1) for i in range(n)]             # every rank
+    got = profile.exact_quantiles(df, "x", probs, buckets=8)
+    for p, g in zip(probs, got):
+        assert g in ordered[max(0, round(p * (n - 1)) - 1):round(p * (n - 1)) + 2] or \
+            abs(g - ordered[round(p * (n - 1))]) < 1e-6 * abs(ordered[round(p * (n - 1))])
+    only = spark.createDataFrame([(inf,), (inf,), (-inf,)], "x double")
+    assert profile.exact_quantiles(only, "x", [0, 0.5, 1]) == [-inf, inf, inf]
+    assert profile.exact_quantiles(df.filter("x is null"), "x", [0.5]) == [None]
+
+
+def test_exact_quantiles_of_wide_integers(spark):
+    lo, hi = -9 * 10**18, 9 * 10**18
+    vals = [lo, hi, 0, 1, 2, hi - 1, hi - 2, lo + 1]
+    df = spark.createDataFrame([(v, float(i)) for i, v in enumerate(vals)], "a long, b double")
+    probs = [i / 7 for i in range(8)]
+    for buckets in (2, 4096):
+        got = profile.exact_quantiles_of(df, ["a", "b"], probs, buckets)
+        assert got["a"] == [float(v) for v in sorted(vals)]
+        assert np.allclose(got["b"], range(8))
+
+
 def test_profile_like_describe(spark):
     pdf = pd.DataFrame({"num": [1.0, 2.0, 2.0, 10.0, None], "txt": ["a", "b", "b", None, "c"]})
     df = spark.createDataFrame(pdf)
@@ -168,18 +194,35 @@ def test_union_by_name_fills_missing(spark):
     assert sorted(u.columns) == ["a", "b", "k"] and u.count() == 2
 
 
-def test_itertools_guard():
-    # the pair brute force above stays small; keep the helper import used
-    assert list(itertools.islice(itertools.count(), 2)) == [0, 1]
-
-
-def test_running_total_plain_keys_after_inner_join(spark):
-    df = skewed_frame(spark).filter(F.col("g").isNotNull())
-    a = windows.running_total(df, "g", "d", "v", "rt", null_keys=False)
+def test_running_total_over_a_compact_table(spark):
+    df = skewed_frame(spark).groupBy("g", "d").agg(F.min("id").alias("id"), F.max("v").alias("v"))
+    a = windows.running_total(df, "g", "d", "v", "rt", one_row_per_key=True)
     b = windows.running_total(df, "g", "d", "v", "rt")
     assert rows(a, "id", "rt") == rows(b, "id", "rt")
 
 
+def test_substring_match_is_literal(spark):
+    df = spark.createDataFrame([("xa_bx",), ("axb",), ("50%",), ("501",), ("A_B",), (None,)], "s string")
+    assert rows(rel.where_contains_ci(df, "s", "a_b"), "s") == [("A_B",), ("xa_bx",)]
+    assert rows(rel.where_contains_ci(df, "s", "50%"), "s") == [("50%",)]
+
+
+def test_order_by_is_ordered_nulls_first(spark):
+    df = skewed_frame(spark)
+    got = [(r.addr, r.id) for r in rel.order_by(df, "addr", "id").collect()]
+    assert got == sorted(got, key=lambda t: (t[0] is not None, t[0] or "", t[1]))
+    got = [r.id for r in df.orderBy(F.col("id").desc()).collect()]
+    assert got == sorted(got, reverse=True)
+
+
+def test_number_rows_spreads_a_hot_group(spark):
+    df = spark.range(4000).select(F.col("id"), F.lit("only").alias("g"))
+    got = windows.number_rows(df, ["g"], "id")
+    assert [r.row_num for r in got.orderBy("id").collect()] == list(range(1, 4001))
+    assert got.withColumn("p", F.spark_partition_id()).select("p").distinct().count() > 1
+    assert windows.number_rows(df.limit(0), ["g"], "id").count() == 0
+
+
 def test_running_total_by_date_with_nulls_matches_window(spark):
     import datetime as dt
     rnd = random.Random(11)
@@ -205,7 +248,7 @@ def test_number_rows_bimodal_ids_and_null_order(spark):
     data = [(None if i % 97 == 0 else (i if i % 2 else 10**9 + i), "HOT" if i % 3 else f"k{i % 7}")
             for i in range(3000)]
     df = spark.createDataFrame(data, "id long, g string").withColumn("row", F.monotonically_increasing_id())
-    got = windows.number_rows(df, ["g"], "id", ranges=32)
+    got = windows.number_rows(df, ["g"], "id")
     exp = df.withColumn("row_num", F.row_number().over(Window.partitionBy("g").orderBy("id")))
     # null ids tie with each other: compare the numbers given to non-null rows exactly
     # and the multiset of numbers per group

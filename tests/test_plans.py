@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from tessera.operators import relational as rel
+from tessera.operators import joins, relational as rel
 from tessera.sources.io import read_table
 
 from .conftest import SMALL
@@ -52,6 +52,23 @@ def test_fill_candidates_builds_no_pairs(spark):
     assert "Join" in tree and not re.search(r"LeftSemi|Cartesian|NestedLoop", tree)
 
 
-def test_fixed_tables_are_broadcast(spark):
-    text = plan(QUERIES["flt6_drop_stopwords"](spark, SMALL))
-    assert re.search(r"BroadcastHashJoin LeftAnti", text)
+def test_fixed_tables_carry_no_hint(spark):
+    table = joins.fixed_table(spark, [(i,) for i in range(10)], "a int")
+    assert "hint" not in table._jdf.queryExecution().logical().toString().lower()
+
+
+@pytest.mark.parametrize("name", ["set2_drop_duplicates", "num7_sentiment_label", "flt4_split_by_sentiment",
+                                  "agg5_value_counts", "agg6_class_share", "agg7_mean_rounded",
+                                  "agg8_group_mean", "jn4_merge_on", "srt4_top_k", "str12_word_count",
+                                  "num6_bin_200", "agg10_corr_matrix"])
+def test_review_texts_stay_out_of_the_shuffle(spark, name):
+    text = plan(QUERIES[name](spark, SMALL))
+    inputs = re.findall(r"\n\(\d+\) Exchange\nInput \[\d+\]: (.*)", text)
+    assert inputs and not any("Review#" in x for x in inputs)
+
+
+def test_running_total_is_one_window_without_a_join_back(spark):
+    def tree(name):
+        return plan(QUERIES[name](spark, SMALL)).split("\n\n")[0]
+    total, join = tree("win1_running_total"), tree("jn1_join_daily")
+    assert total.count("Join") == join.count("Join") and total.count("Window") == 1

@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.session import scratch_path
@@ -50,9 +51,33 @@ def test_write_labels_sorted_distinct(spark):
     assert sorted(r.value for r in spark.read.text(path).collect()) == ["a", "b"]
 
 
+def test_materialize_refuses_another_number_of_columns(spark):
+    df = spark.createDataFrame([(1, 2, 3)], "a int, b int, c int")
+    with pytest.raises(ValueError):
+        io.materialize(df, "tmp_short", "A int, B int")
+
+
+def test_no_machine_local_folder_outside_local(spark, monkeypatch):
+    from tessera import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return type("C", (), {"get": lambda s, k, d=None: d})()
+
+    class Session:
+        sparkContext = Context()
+        conf = type("C", (), {"get": lambda s, k, d=None: d})()
+    with pytest.raises(ValueError):
+        session.ensure_checkpoint_dir(Session())
+
+
 def test_materialize_declared_types(spark):
     df = spark.createDataFrame([("x", 1.7)], "a string, b double")
     t = io.materialize(df, "tmp_tbl", "A string, B decimal(18,0)")
     assert t.schema.simpleString() == "struct<A:string,B:decimal(18,0)>"
     assert t.first().B == 2 and spark.table("tmp_tbl").count() == 1
-    assert F is not None

@@ -45,4 +45,3 @@ def test_counted_terms_drop_stop_words(spark):
     df = spark.createDataFrame([("The cat and the hat, not the bat",)], "t string")
     got = {r.token: r.n for r in T.counted_terms(T.tokens(df, "t"), T.stop_table(spark)).collect()}
     assert got == {"cat": 1, "hat": 1, "not": 1, "bat": 1}
-    assert F is not None
