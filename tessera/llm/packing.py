@@ -25,15 +25,28 @@ CAPACITY = 2048
 SEPARATOR = 0
 NODES = 3000               # search nodes a filling may take; the incumbent stands then
 RANK_BLOCK = 256           # least number of pieces that are ranked together
-CACHE = 300_000            # words and parts a worker remembers
+CACHE = 500_000            # words and parts a worker remembers
+LATIN_END = "\u0250"       # first character that needs the vocabulary's own normaliser
+
+
+def _byte_chars() -> list[str]:
+    """Character of every byte in a byte-level vocabulary: itself if it is
+    visible, else the next one from 256 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = iter(range(256, 512))
+    return [chr(b) if b in seen else chr(next(rest)) for b in range(256)]
+
+
+BYTE_CHARS = _byte_chars()
 
 
 class WordIds:
     """Ids of whole texts, each distinct word encoded once per worker.
 
     Blanks and line feeds always separate the vocabulary's words, so a text is
-    cut there; the library encodes what is left.  Words that hold the start of
-    a special string go to the library as they are.
+    cut there.  What is left is normalised and cut by the vocabulary's pattern,
+    and the library's model merges the parts.  Words that hold the start of a
+    special string, and very long ones, go through the whole library.
     """
 
     def __init__(self, path: str):
@@ -42,6 +55,7 @@ class WordIds:
         from tokenizers import Tokenizer
         self.encode = Tokenizer.from_file(path)
         self.normal = self.encode.normalizer.normalize_str
+        self.merge = self.encode.model.tokenize
         self.split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+").findall
         self.words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
@@ -52,17 +66,24 @@ class WordIds:
     def part(self, p: str) -> bytes:
         got = self.parts.get(p)
         if got is None:
-            got = self.library(p)
+            mapped = p if p.isascii() and p.isprintable() else "".join(map(BYTE_CHARS.__getitem__, p.encode()))
+            got = array("I", [t.id for t in self.merge(mapped)]).tobytes()
             if len(self.parts) >= CACHE:
                 self.parts.clear()
-            if len(p) <= 64:
-                self.parts[p] = got
+            self.parts[p] = got
         return got
 
     def word(self, w: str) -> bytes:
         if "<|" in w or len(w) > 64:
             return self.library(w)
-        got = b"".join(map(self.part, self.split(self.normal(w))))
+        # up to there NFC changes nothing and lower case is simple
+        plain = w.lower() if w.isascii() or max(w) < LATIN_END else self.normal(w)
+        if plain.isascii() and plain.isalpha():
+            got = self.part(plain)
+        elif plain.isascii() and plain[-1] in ".,!?;:" and plain[:-1].isalpha():
+            got = self.part(plain[:-1]) + self.part(plain[-1])
+        else:
+            got = b"".join(map(self.part, self.split(plain)))
         if len(self.words) >= CACHE:
             self.words.clear()
         self.words[w] = got

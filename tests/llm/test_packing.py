@@ -48,6 +48,22 @@ def test_edges_and_clashing_names(docs_of):
     check_sequences(rows)
 
 
+def test_simple_lower_case_up_to_the_latin_blocks():
+    normal = LIB.normalizer.normalize_str
+    chars = [chr(c) for c in range(ord(packing.LATIN_END)) if not chr(c).isspace()]
+    assert all(normal(c) == c.lower() for c in chars)
+    assert all(normal(a + b) == (a + b).lower() for a in "aEiOuÅçN" for b in chars)
+
+
+def test_every_kind_of_word():
+    ids = packing.WordIds(P.path("word_bpe_49k.json"))
+    rng = random.Random(4)
+    chars = "abcXYZ019'.,-_é ÀßİſŁΣσς日本한́ﬁ½😀\t\x1c"
+    for _ in range(3000):
+        t = "".join(rng.choice(chars) for _ in range(rng.randint(0, 30)))
+        assert np.frombuffer(ids(t), np.uint32).tolist() == LIB.encode(t, add_special_tokens=False).ids
+
+
 def test_whole_table(spark):
     rows = op8_best_fit_packing(spark, SMALL).collect()
     texts = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
