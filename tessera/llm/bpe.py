@@ -1,11 +1,11 @@
 """Byte-level BPE encoding and decoding (operator 1).
 
 Global distinct-word shuffle: texts are cut into pre-tokens with their
-positions; the distinct pre-tokens of every chunk of documents travel to one
-place per word, where each is encoded once; the ids travel back to their
-chunks, and every document is put together by position.  Positions never
-travel word by word: a chunk keeps them as arrays of word numbers, so what is
-shuffled is one compact row per chunk and one row per (word, chunk).
+positions; the distinct pre-tokens of every chunk of documents travel to the
+bucket of their hash, where each is encoded once; the ids travel back to their
+chunks, and every document is put together by position.  Nothing travels word
+by word: a chunk keeps its positions as arrays of word numbers, and sends each
+bucket one packed list of words, for which it gets one packed list of ids.
 """
 
 from __future__ import annotations
@@ -13,16 +13,19 @@ from __future__ import annotations
 import base64
 import heapq
 import pickle
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import byte_blocks, extended, tokenizer_path
 
-CHUNK_BYTES = 32 << 20     # text a chunk holds; a longer document is a chunk of its own
+CHUNK_BYTES = 16 << 20     # text a chunk holds; a longer document is a chunk of its own
+BUCKETS = 2048             # lists into which a chunk deals out its words
+KNOWN = 1_000_000          # words of a bucket a task remembers
 SHORT = 64                 # pre-tokens up to so many bytes are merged without a heap
 
 
@@ -31,12 +34,6 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
-def token_table(spark: SparkSession, path: str) -> DataFrame:
-    """(id, bytes) of every token."""
-    return spark.createDataFrame([(i, bytearray(b)) for b, i in load_ranks(path).items()],
-                                 "id int, bytes binary")
-
-
 def encode_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of one pre-token: the whole pre-token if it is a token, else the
     neighbouring pair of least rank is joined, the leftmost of equals, until
@@ -90,25 +87,66 @@ def _encode_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[i:end[i]]] for i in range(n) if alive[i]]
 
 
+def _pack(*arrays) -> bytes:
+    """Arrays of unsigned 32-bit numbers and bytes in one compressed value.
+    Numbers are stored byte plane by byte plane, as small ones compress well."""
+    import zstandard
+    out = []
+    for x in arrays:
+        if isinstance(x, np.ndarray):
+            x = np.ascontiguousarray(x, np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes()
+        out.append(x)
+    head = np.array([len(x) for x in out], np.uint64).tobytes()
+    return zstandard.ZstdCompressor(level=3).compress(head + b"".join(out))
+
+
+def _unpack(value: bytes, kinds: str) -> list:
+    """The parts of a packed value: ``n`` numbers, ``b`` bytes."""
+    import zstandard
+    data = zstandard.ZstdDecompressor().decompress(value)
+    at, out = 8 * len(kinds), []
+    for kind, size in zip(kinds, np.frombuffer(data, np.uint64, len(kinds)).tolist()):
+        part = data[at:at + size]
+        at += size
+        if kind == "n":
+            part = np.ascontiguousarray(np.frombuffer(part, np.uint8).reshape(4, -1).T
+                                        ).view(np.uint32).reshape(-1)
+        out.append(part)
+    return out
+
+
+def _split(lengths: np.ndarray, data: bytes) -> list[bytes]:
+    ends = np.cumsum(lengths, dtype=np.int64).tolist()
+    return [data[a:b] for a, b in zip([0, *ends], ends)]
+
+
+def _buckets(words: list[bytes]) -> np.ndarray:
+    """Bucket of every word; the same in all tasks."""
+    return np.fromiter((crc32(w) for w in words), np.uint32, len(words)) % BUCKETS
+
+
 def _chunks(df: DataFrame, pattern: str) -> DataFrame:
     """(chunk, body): documents as arrays of word numbers, with the chunk's
     distinct words.  The body is one opaque value, so both uses of this table
     read the same exchange."""
     def run(batches):
         import regex
-        import zstandard
         find = regex.compile(pattern).findall
-        pack = zstandard.ZstdCompressor(level=1).compress
         part, made = TaskContext.get().partitionId(), 0
         ids, slots, words, size = [], [], {}, 0
 
         def row():
-            body = (ids, [len(s) for s in slots],
-                    np.concatenate(slots) if slots else np.zeros(0, np.uint32),
-                    [w.encode() for w in words])
+            flat = np.concatenate([np.zeros(0, np.uint32), *slots])
+            order = np.argsort(-np.bincount(flat, minlength=len(words)), kind="stable")
+            number = np.empty(len(words), np.uint32)       # frequent words get small numbers
+            number[order] = np.arange(len(words), dtype=np.uint32)
+            texts = [w.encode() for w in words]
+            texts = [texts[i] for i in order.tolist()]
+            body = _pack(pickle.dumps(ids, 5), np.array([len(s) for s in slots], np.uint32),
+                         number[flat], np.array([len(w) for w in texts], np.uint32), b"".join(texts))
             return pa.RecordBatch.from_arrays(
-                [pa.array([part << 32 | made], pa.int64()),
-                 pa.array([pack(pickle.dumps(body, 5))], pa.binary())], names=["chunk", "body"])
+                [pa.array([part << 32 | made], pa.int64()), pa.array([body], pa.binary())],
+                names=["chunk", "body"])
 
         for b in byte_blocks(batches, 0):
             for t, i in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
@@ -127,18 +165,28 @@ def _chunks(df: DataFrame, pattern: str) -> DataFrame:
 
 
 def _open(body: bytes):
-    import zstandard
-    return pickle.loads(zstandard.ZstdDecompressor().decompress(body))
+    """(ids of the documents, words in each, word numbers, words)."""
+    ids, sizes, slots, lengths, data = _unpack(body, "bnnnb")
+    return pickle.loads(ids), sizes, slots, _split(lengths, data)
 
 
 def _sites(batches):
-    """(word, chunk, slot) of every chunk's distinct words."""
+    """(bucket, chunk, words): every chunk's distinct words by bucket, in the
+    order of their numbers."""
     for b in batches:
         for chunk, body in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             words = _open(body)[3]
+            bucket = _buckets(words)
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.flatnonzero(np.diff(bucket[order])) + 1
+            rows, keys = [], []
+            for at in np.split(order, cuts) if len(order) else []:
+                mine = [words[i] for i in at.tolist()]
+                keys.append(int(bucket[at[0]]))
+                rows.append(_pack(np.array([len(w) for w in mine], np.uint32), b"".join(mine)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.binary()), pa.array(np.full(len(words), chunk), pa.int64()),
-                 pa.array(np.arange(len(words)), pa.int32())], names=["word", "chunk", "slot"])
+                [pa.array(keys, pa.int32()), pa.array([chunk] * len(keys), pa.int64()),
+                 pa.array(rows, pa.binary())], names=["bucket", "chunk", "words"])
 
 
 def encode(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -150,7 +198,7 @@ def encode(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
     ``vocabulary``, without special tokens.  A null text counts as empty and
     has no ids.  Repeated rows give repeated results, an empty table an empty
     one; other columns of ``df`` are not read.  A word in every document
-    costs one row per chunk, not per occurrence.
+    costs one place in a list per chunk, not one row per occurrence.
     """
     import public_tokenizers
     ranks = df.sparkSession.sparkContext.broadcast(       # fixed by the vocabulary file
@@ -160,40 +208,51 @@ def encode(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
                      pattern or public_tokenizers.PATTERN)
 
     def encode_words(batches):
-        known = ranks.value
-        word, ids = None, b""
+        ranked, bucket, known = ranks.value, None, {}
+
+        def ids_of(w):
+            got = known.get(w)
+            if got is None:
+                if len(known) >= KNOWN:
+                    known.clear()
+                got = known[w] = np.array(encode_word(w, ranked), np.uint32).tobytes()
+            return got
         for b in batches:
             out = []
-            for w in b.column(0).to_pylist():
-                if w != word:                              # sorted: each word is encoded once
-                    word, ids = w, np.array(encode_word(w, known), np.uint32).tobytes()
-                out.append(ids)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(1), b.column(2), pa.array(out, pa.binary())],
-                names=["chunk", "slot", "ids"])
-
-    encoded = (chunks.mapInArrow(_sites, "word binary, chunk long, slot int")
-               .repartition("word").sortWithinPartitions("word")
-               .mapInArrow(encode_words, "chunk long, slot int, ids binary"))
+            for k, value in zip(b.column(0).to_pylist(), b.column(2).to_pylist()):
+                if k != bucket:                            # sorted: a bucket's words meet here
+                    bucket, known = k, {}
+                ids = [ids_of(w) for w in _split(*_unpack(value, "nb"))]
+                out.append(_pack(np.array([len(x) // 4 for x in ids], np.uint32),
+                                 np.frombuffer(b"".join(ids), np.uint32)))
+            yield pa.RecordBatch.from_arrays([b.column(1), b.column(0), pa.array(out, pa.binary())],
+                                             names=["chunk", "bucket", "ids"])
+
+    encoded = (chunks.mapInArrow(_sites, "bucket int, chunk long, words binary")
+               .repartition("bucket").sortWithinPartitions("bucket")
+               .mapInArrow(encode_words, "chunk long, bucket int, ids binary"))
 
     def put_together(left: pa.Table, right: pa.Table) -> pa.Table:
         docs, sizes, slots, words = _open(left.column("body")[0].as_py())
-        order = np.argsort(right.column("slot").to_numpy())
-        if len(order) != len(words):
+        # lists in bucket order stand in the order in which their words were sent
+        rows = sorted(zip(right.column("bucket").to_pylist(), right.column("ids").to_pylist()))
+        lists = [_unpack(v, "nn") for _, v in rows]
+        none = np.zeros(0, np.uint32)
+        sent = np.concatenate([none, *(n for n, _ in lists)])
+        if len(sent) != len(words):
             raise ValueError("words of a chunk are missing")
-        ids = right.column("ids").to_pylist()
-        ids = [ids[i] for i in order]
-        flat = np.frombuffer(b"".join(ids), np.uint32)
-        lens = np.array([len(x) // 4 for x in ids], np.int64)
-        starts = np.cumsum(lens) - lens
+        flat = np.concatenate([none, *(x for _, x in lists)])
+        order = np.argsort(_buckets(words), kind="stable")
+        lens, starts = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
+        lens[order] = sent
+        starts[order] = np.cumsum(sent, dtype=np.int64) - sent
         out, at = [], 0
-        for n in sizes:
+        for n in sizes.tolist():
             s = slots[at:at + n]
             at += n
             take = lens[s]
-            total = int(take.sum())
             shift = np.repeat(starts[s] - (np.cumsum(take) - take), take)
-            out.append(flat[shift + np.arange(total)].tobytes())
+            out.append(flat[shift + np.arange(len(shift))].tobytes())
         return pa.table({"doc_id": pa.array(docs, pa.int64()),
                          "n_tokens": pa.array([len(x) // 4 for x in out], pa.int64()),
                          "ids": pa.array(out, pa.binary())})
