@@ -113,11 +113,6 @@ def mask(c, ch: str = "*") -> Column:
     return F.repeat(F.lit(ch), F.length(_c(c)))
 
 
-def ljust(c, width: int) -> Column:
-    """Left-justify in a field of ``width`` (never cuts)."""
-    return pad_min(c, width)
-
-
 def center(text: str, width: int = 100) -> str:
     """Centre a fixed title; the odd blank goes to the right."""
     left = max(width - len(text), 0) // 2

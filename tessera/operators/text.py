@@ -1,10 +1,10 @@
 """Review text operators (FLT6, STR10-12 over corpora, TXT1-7, AGG11).
 
-Per-text work (tokenising, tagging, polarity) is done inside the row with
-array higher-order functions and a map literal for fixed lexicons, so it
-needs no shuffle at all.  Corpus-wide counts explode the tokens and use a
-hash aggregate with map-side combine; stop words are removed after
-counting, on the far smaller (token, count) table.
+Corpus-wide counts explode the tokens and use a hash aggregate with map-side
+combine; stop words are removed after counting, on the far smaller
+(token, count) table.  Lexicons (tags, valences, stop words) are tables joined
+on the token, of any size: Spark broadcasts one that is under its threshold
+and shuffles otherwise.
 """
 
 from __future__ import annotations
@@ -137,21 +137,43 @@ def drop_stopwords(tok: DataFrame, stop: DataFrame, token: str = "token") -> Dat
     return tok.join(stop.withColumnRenamed("token", token), on=token, how="left_anti")
 
 
-def tag_expr(token) -> Column:
-    """Tag of a lower-cased token: closed-class table, digits, suffix rules, else NN."""
+def lexicon_table(spark: SparkSession, words: dict | None = None) -> DataFrame:
+    """(token, tag) of the closed-class words, or of a given lexicon."""
+    words = CLOSED_CLASS if words is None else words
+    return fixed_table(spark, list(words.items()), "token string, tag string")
+
+
+def valence_table(spark: SparkSession, words: dict | None = None) -> DataFrame:
+    """(token, valence) of the default or a given polarity lexicon."""
+    words = DEFAULT_VALENCE if words is None else words
+    return fixed_table(spark, [(w, float(v)) for w, v in words.items()],
+                       "token string, valence double")
+
+
+def rule_tag(token) -> Column:
+    """Tag of a lower-cased token no lexicon lists: digits, suffix rules, else NN."""
     t = _c(token)
-    closed = F.create_map(*[F.lit(x) for kv in CLOSED_CLASS.items() for x in kv])
     # digits only, without a regex: deleting the digits leaves nothing
     e = F.when((t != "") & (F.translate(t, "0123456789", "") == ""), F.lit("CD"))
     for suf, tag in SUFFIX_RULES:
         # the cheap byte comparison first; the length is only counted on a match
         e = e.when(t.endswith(suf) & (F.length(t) > len(suf) + 1), F.lit(tag))
-    return F.coalesce(F.try_element_at(closed, t), e.otherwise(F.lit("NN")))
+    return e.otherwise(F.lit("NN"))
 
 
-def tag_tokens(df: DataFrame, text: str, keep=()) -> DataFrame:
+def with_tag(terms: DataFrame, lexicon: DataFrame | None = None) -> DataFrame:
+    """``terms`` (with a ``token``) and the tag of each: the lexicon's if it
+    lists the token, else the rules'.  A token is listed once; null for null."""
+    lex = lexicon_table(terms.sparkSession) if lexicon is None else lexicon
+    lex = lex.select("token", F.col("tag").alias("_tag"))
+    out = terms.join(lex, "token", "left")
+    tag = F.when(F.col("token").isNotNull(), F.coalesce("_tag", rule_tag("token")))
+    return out.withColumn("tag", tag).drop("_tag")
+
+
+def tag_tokens(df: DataFrame, text: str, lexicon: DataFrame | None = None, keep=()) -> DataFrame:
     """Every token of every text with its position and tag (TXT1)."""
-    return tokens(df, text, keep, pos=True).withColumn("tag", tag_expr("token"))
+    return with_tag(tokens(df, text, keep, pos=True), lexicon)
 
 
 def family_expr(tag) -> Column:
@@ -180,52 +202,61 @@ def top_terms(counts: DataFrame, by=(), k: int = 20) -> DataFrame:
     return top_k_per_group(counts, list(by), order, k)
 
 
-def top_by_tag(tokens_df: DataFrame, stop: DataFrame, k: int = 20) -> DataFrame:
+def top_by_tag(tokens_df: DataFrame, stop: DataFrame, k: int = 20,
+               lexicon: DataFrame | None = None) -> DataFrame:
     """Most frequent words of each family (noun, verb, adjective, adverb),
     stop words out, top ``k`` per family (TXT2) — one pass for all families.
 
     The tagger looks at the token alone, so tokens are counted first and
     only the vocabulary is tagged: the tag rules run once per distinct word,
     not once per occurrence."""
-    counts = counted_terms(tokens_df.select("token"), stop)
-    fam = counts.withColumn("family", per_group(family_expr(tag_expr("token"))))
+    counts = with_tag(counted_terms(tokens_df.select("token"), stop), lexicon)
+    fam = counts.withColumn("family", per_group(family_expr("tag")))
     return top_terms(fam.filter(F.col("family").isNotNull()).select("family", "token", "n"),
                      by=["family"], k=k)
 
 
-def describe_terms(terms: DataFrame, tags: DataFrame) -> DataFrame:
+def describe_terms(terms: DataFrame, tags: DataFrame, lexicon: DataFrame | None = None) -> DataFrame:
     """Tag each listed term and describe its tag; unknown tags give null (TXT3)."""
-    return terms.withColumn("tag", tag_expr("token")).join(tags, on="tag", how="left")
+    return with_tag(terms, lexicon).join(tags, on="tag", how="left")
 
 
-def polarity(df: DataFrame, text: str, lexicon: dict | None = None,
+def polarity(df: DataFrame, text: str, lexicon: DataFrame | dict | None = None, keep=(),
              alpha: float = 15.0) -> DataFrame:
-    """Lexicon polarity of every text (TXT5), computed inside the row.
+    """Lexicon polarity of every text (TXT5): the columns ``keep`` with
+    ``Compound``, ``Positive``, ``Neutral`` and ``Negative``.
 
     ``s`` is the sum of the valences of the text's tokens;
     ``compound = s / sqrt(s*s + alpha)``.  The shares are the positive weight
     (valence + 1 per positive token), the negative weight (1 - valence per
     negative token) and the neutral weight (1 per other token) over their sum.
-    One ``aggregate`` pass over the token valences yields all four sums.
+    Tokens are joined with the lexicon (a table with ``token`` and
+    ``valence``, each token once) and summed up per text in the task that read
+    it, so one row per text is shuffled; a text without tokens scores 0.
     """
-    lexicon = lexicon or DEFAULT_VALENCE
-    lex = F.create_map(*[F.lit(x) for kv in lexicon.items() for x in kv])
-    vals = F.transform(lower_words(F.col(text)),
-                       lambda t: F.coalesce(F.try_element_at(lex, t), F.lit(0.0)))
+    if not isinstance(lexicon, DataFrame):
+        lexicon = valence_table(df.sparkSession, lexicon)
+    lex = lexicon.select(F.col("token").alias("_t"), F.col("valence").alias("_v"))
+    kept = F.struct(*[F.col(c) for c in keep]) if keep else F.struct(F.lit(0).alias("_none"))
+    numbered = df.select(F.monotonically_increasing_id().alias("_row"), kept.alias("_kept"),
+                         lower_words(F.col(text)).alias("_words"))
+    rows = numbered.select("_row", "_kept", F.explode_outer("_words").alias("_t"))
     zero = F.lit(0.0)
-    init = F.struct(zero.alias("s"), zero.alias("pw"), zero.alias("nw"), zero.alias("uw"))
-    sums = F.aggregate(vals, init, lambda acc, x: F.struct(
-        (acc["s"] + x).alias("s"),
-        (acc["pw"] + F.when(x > 0, x + 1).otherwise(zero)).alias("pw"),
-        (acc["nw"] + F.when(x < 0, F.lit(1.0) - x).otherwise(zero)).alias("nw"),
-        (acc["uw"] + F.when(x == 0, F.lit(1.0)).otherwise(zero)).alias("uw")))
-    out = df.withColumn("_pol", sums)
-    s, pw, nw, uw = (F.col("_pol")[k] for k in ("s", "pw", "nw", "uw"))
+    x = F.coalesce("_v", zero)
+    sums = rows.join(lex, "_t", "left").groupBy("_row").agg(
+        F.first("_kept").alias("_kept"), F.sum(x).alias("s"),
+        F.sum(F.when(x > 0, x + 1).otherwise(zero)).alias("pw"),
+        F.sum(F.when(x < 0, 1 - x).otherwise(zero)).alias("nw"),
+        F.count_if(F.col("_t").isNotNull() & (x == 0)).cast("double").alias("uw"))
+    s, pw, nw, uw = (F.col(k) for k in ("s", "pw", "nw", "uw"))
     all_w = pw + nw + uw
-    share = lambda w: F.when(all_w > 0, w / all_w).otherwise(zero)
-    return out.withColumns({
-        "Compound": s / F.sqrt(s * s + F.lit(alpha)),
-        "Positive": share(pw), "Neutral": share(uw), "Negative": share(nw)}).drop("_pol")
+
+    def share(w):
+        return F.when(all_w > 0, w / all_w).otherwise(zero)
+    return sums.select(*[F.col("_kept")[c].alias(c) for c in keep],
+                       (s / F.sqrt(s * s + F.lit(alpha))).alias("Compound"),
+                       share(pw).alias("Positive"), share(uw).alias("Neutral"),
+                       share(nw).alias("Negative"))
 
 
 def term_weights(counts: DataFrame, by=(), k: int = 200) -> DataFrame:

@@ -14,7 +14,8 @@ from ..functions.numeric import parse_error, parse_or_default
 from ..operators import billing as B
 from ..operators import joins, relational as rel
 from ..session import scratch_path
-from ..sources.io import read_keyed_records, write_keyed_records, write_records
+from ..sources.io import (read_keyed_records, write_keyed_mappings, write_keyed_records,
+                          write_records)
 from .catalog import query, table
 
 CARS, RENTALS, REQ = "cars", "rentals", "payment_requests"
@@ -133,6 +134,15 @@ def src3(spark, sf):
     return read_keyed_records(spark, path, CAR_FIELDS, key="CarID")
 
 
+@query("src3_read_keyed_mappings", "SELECT CarID, Brand, Type, PlateNum, PricePerDay FROM cars",
+       uses=[CARS])
+def src3_mappings(spark, sf):
+    """The same from pretty-printed files that hold one mapping each."""
+    path = scratch_path(spark, "cars_mappings")
+    write_keyed_mappings(table(spark, sf, CARS), path, "CarID")
+    return read_keyed_records(spark, path, CAR_FIELDS, key="CarID", whole_file=True)
+
+
 @query("jn5_attach_car", """
 SELECT r.CustID, r.CarID, c.Brand, c.PricePerDay FROM rentals r LEFT JOIN cars c
   ON r.CarID = c.CarID""", uses=BILL)

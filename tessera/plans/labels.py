@@ -13,8 +13,8 @@ from ..functions.strings import title
 from ..operators import aggregates as agg
 from ..operators import profile
 from ..operators import scoring as SC
-from ..session import scratch_path
-from ..sources.io import read_labelled_dir, write_labels
+from ..session import scratch_path, stored
+from ..sources.io import read_labelled_lines, write_labels
 from .catalog import query, table
 
 EMB = "embeddings"
@@ -106,20 +106,14 @@ def ml1(spark, sf):
 
 
 @query("num5_rescale", """
-SELECT vec_id, ROUND(list_sum(r), 9) AS scaled_sum, ROUND(list_max(r), 9) AS scaled_max,
-       ROUND(list_min(r), 9) AS scaled_min, CAST(len(r) AS INT) AS n
-FROM (SELECT vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: x * (1.0 / 255)) AS r
-      FROM embeddings)""")
+SELECT vec_id, CAST(generate_subscripts(embedding, 1) - 1 AS INT) AS pos,
+       ROUND(unnest(list_transform(CAST(embedding AS DOUBLE[]), lambda x: x * (1.0 / 255))), 9) AS value
+FROM embeddings""")
 def num5(spark, sf):
-    """Every element rescaled by 1/255 (D:36); the whole rescaled vector is
-    summarised per row."""
-    e = table(spark, sf, EMB).withColumn(
-        "r", rescale(F.col("embedding").cast("array<double>"), 1.0 / 255))
-    total = F.aggregate("r", F.lit(0.0), lambda a, x: a + x)
-    return e.select("vec_id", F.round(total, 9).alias("scaled_sum"),
-                    F.round(F.array_max("r"), 9).alias("scaled_max"),
-                    F.round(F.array_min("r"), 9).alias("scaled_min"),
-                    F.size("r").cast("int").alias("n"))
+    """Every element rescaled by 1/255 (D:36), one row per element."""
+    r = rescale(F.col("embedding").cast("array<double>"), 1.0 / 255)
+    return table(spark, sf, EMB).select("vec_id", F.posexplode(r).alias("pos", "x")).select(
+        "vec_id", "pos", F.round("x", 9).alias("value"))
 
 
 @query("arr2_argmax", f"""
@@ -215,27 +209,75 @@ def split_vectors(spark, sf) -> DataFrame:
     return SC.to_vector(e.join(marks, "vec_id"), "embedding")
 
 
-@query("ml2_train_softmax")
-def ml2(spark, sf):
-    """Loss history of the softmax classifier trained on the training rows
-    (rows check only: an iterative optimiser, not SQL)."""
+def trained(spark, sf):
+    """(model, validation rows scored): one fit for training history, scores
+    and evaluation."""
     data = split_vectors(spark, sf)
-    model = SC.train_softmax(data.filter(~F.col("is_validation")), max_iter=50)
-    hist = model.summary.objectiveHistory
-    return spark.createDataFrame([(i, float(v)) for i, v in enumerate(hist)],
-                                 "iteration int, loss double")
+    model = SC.train_softmax(data.filter(~F.col("is_validation")))
+    scored = SC.score(model, data.filter(F.col("is_validation")), class_index(spark, sf))
+    return model, scored
+
+
+_SPLIT_SQL = f"""
+WITH sp AS (SELECT vec_id, label, rn <= floor(n * {VALIDATION}) AS is_validation FROM (
+  SELECT vec_id, label, ROW_NUMBER() OVER (PARTITION BY label ORDER BY vec_id) AS rn,
+         COUNT(*) OVER (PARTITION BY label) AS n FROM embeddings)),
+tr AS (SELECT label, COUNT(*) AS n FROM sp WHERE NOT is_validation GROUP BY label),
+en AS (SELECT -SUM(n / t * ln(n / t)) AS h, SUM(n) AS n FROM tr, (SELECT SUM(n) AS t FROM tr))
+"""
 
 
-@query("ml3_score")
+@query("ml2_train_softmax", _SPLIT_SQL + """
+SELECT CAST(n AS BIGINT) AS n_train, ROUND(h, 4) AS first_loss, TRUE AS never_rises,
+       TRUE AS ends_below_start FROM en""")
+def ml2(spark, sf):
+    """Softmax classifier trained on the training rows.  What is certain of
+    its loss history: it starts at the entropy of the labels (all weights
+    zero, intercepts at the label frequencies) and never rises."""
+    model, _ = trained(spark, sf)
+    hist = list(model.summary.objectiveHistory)
+    n = ml1(spark, sf).filter(~F.col("is_validation")).count()
+    return spark.createDataFrame(
+        [(n, round(hist[0], 4), all(b <= a + 1e-9 for a, b in zip(hist, hist[1:])),
+          hist[-1] < hist[0])],
+        "n_train bigint, first_loss double, never_rises boolean, ends_below_start boolean")
+
+
+@query("ml3_score", _SPLIT_SQL + """
+SELECT vec_id, label, TRUE AS class_in_range, TRUE AS label_fits, TRUE AS sums_to_one
+FROM sp WHERE is_validation""")
 def ml3(spark, sf):
-    """Validation rows scored: probabilities, predicted class and its label,
-    right/wrong flag (rows check only)."""
-    data = split_vectors(spark, sf)
-    model = SC.train_softmax(data.filter(~F.col("is_validation")), max_iter=50)
-    scored = SC.score(model, data.filter(F.col("is_validation")), class_index(spark, sf))
-    return scored.select("vec_id", "label", "pred", "pred_label",
-                         is_correct("pred", "label").alias("correct"),
-                         F.array_max("probs").alias("confidence"))
+    """Exactly the validation rows scored: predicted class within the class
+    range, its label from the class index, probabilities that sum to 1."""
+    _, scored = trained(spark, sf)
+    total = F.aggregate("probs", F.lit(0.0), lambda a, x: a + x)
+    classes = class_index(spark, sf).count()
+    return scored.select(
+        "vec_id", "label", F.col("pred").between(0, classes - 1).alias("class_in_range"),
+        F.col("pred_label").isNotNull().alias("label_fits"),
+        (F.abs(total - 1) < 1e-6).alias("sums_to_one"))
+
+
+@query("p4_label_run", _SPLIT_SQL + f"""
+SELECT {LABEL_NAME} AS label_name, COUNT(*) FILTER (WHERE NOT is_validation) AS n_train,
+       COUNT(*) FILTER (WHERE is_validation) AS n_scored, TRUE AS accuracy_in_range,
+       TRUE AS loss_positive
+FROM sp GROUP BY label""")
+def p4(spark, sf):
+    """The label run as one result: split, train once, score and evaluate the
+    validation rows; per class the rows trained on and scored, with the
+    accuracy and loss of the model's own validation scores (AGG14)."""
+    _, scored = trained(spark, sf)
+    scored = stored(scored.select("vec_id", "label", "probs"), "scored")
+    ev = agg.evaluate(scored, "probs", "label").first()
+    split = ml1(spark, sf).groupBy("label").agg(
+        F.count_if(~F.col("is_validation")).alias("n_train"))
+    hits = scored.groupBy("label").agg(F.count(F.lit(1)).alias("n_scored"))
+    return split.join(hits, "label", "left").select(
+        F.concat(F.lit("class_"), F.col("label").cast("string")).alias("label_name"), "n_train",
+        F.coalesce("n_scored", F.lit(0)).cast("bigint").alias("n_scored"),
+        F.lit(0 <= ev["accuracy"] <= 100).alias("accuracy_in_range"),
+        F.lit(ev["loss"] > 0).alias("loss_positive"))
 
 
 @query("sink2_write_labels", f"SELECT DISTINCT {LABEL_NAME} AS value FROM embeddings")
@@ -246,17 +288,16 @@ def sink2(spark, sf):
 
 
 @query("src4_read_labelled_dir", f"""
-SELECT {LABEL_NAME} AS label, CAST(COUNT(*) AS BIGINT) AS n FROM embeddings GROUP BY 1""")
+SELECT {LABEL_NAME} AS label, concat(CAST(vec_id AS VARCHAR), ':', array_to_string(list_transform(
+         embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1000000) AS BIGINT)), ',')) AS record
+FROM embeddings""")
 def src4(spark, sf):
-    """Vectors written as text files under one folder per label, then read
-    back with their label from the folder name; one row per label with the
-    number of records found."""
+    """Vectors written as lines of text files under one folder per label,
+    then read back: every record with the label of its folder."""
     path = scratch_path(spark, "labelled")
+    micro = F.transform(F.col("embedding").cast("array<double>"), lambda x: F.floor(x * 1000000))
     v = vectors(spark, sf).select(
-        "label_name", F.array_join(F.col("embedding").cast("array<string>"), ",").alias("value"))
+        "label_name", F.concat_ws(":", F.col("vec_id").cast("string"),
+                                  F.array_join(micro.cast("array<string>"), ",")).alias("value"))
     v.write.mode("overwrite").partitionBy("label_name").text(path)
-    files = read_labelled_dir(spark, path, "*.txt")
-    lines = files.select("label", F.explode(F.split(F.decode("content", "UTF-8"), "\n"))
-                         .alias("line")).filter(F.col("line") != "")
-    return lines.groupBy("label").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
-
+    return read_labelled_lines(spark, path).select("label", F.col("value").alias("record"))

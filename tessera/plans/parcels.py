@@ -128,10 +128,8 @@ def jn3(spark, sf):
        uses=[P])
 def prj7(spark, sf):
     """``UPDATE … SET PropertyAddress = fill WHERE PropertyAddress IS NULL``."""
-    p = parcels(spark, sf)
-    fills = p.filter(F.col("PropertyAddress").isNotNull()).groupBy("ParcelID").agg(
-        F.min_by("PropertyAddress", "UniqueID").alias("fill"))
-    j = p.join(fills, "ParcelID", "left")
+    p = parcels(spark, sf).withColumn("fill", F.col("PropertyAddress"))
+    j = joins.fill_from_group(p, "ParcelID", "UniqueID", "fill")
     out = rel.update_where(j, "PropertyAddress", F.col("fill"), F.col("PropertyAddress").isNull())
     return out.select("UniqueID", "ParcelID", "PropertyAddress")
 

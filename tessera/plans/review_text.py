@@ -4,12 +4,16 @@ families by tag, tag descriptions, word-cloud weights and polarity
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.strings import words
+from ..operators import aggregates as agg
 from ..operators import joins, relational as rel
 from ..operators import text as T
+from ..session import stored
 from .catalog import query, table
 from .reviews import CLEAN_SQL, R, combined
 
@@ -150,8 +154,8 @@ def arr1(spark, sf):
 SELECT token, CAST(COUNT(*) AS BIGINT) AS n
 FROM (SELECT unnest({words_sql('lower(text)')}) AS token FROM documents) GROUP BY token""")
 def agg11(spark, sf):
-    tok = T.tokens(table(spark, sf, DOC), "text")
-    return tok.groupBy("token").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+    out = agg.term_freq(T.tokens(table(spark, sf, DOC), "text"))
+    return out.withColumn("n", F.col("n").cast("bigint"))
 
 
 @query("flt6_drop_stopwords", f"""
@@ -211,6 +215,17 @@ def txt6(spark, sf):
                     F.round("weight", 6).alias("weight"))
 
 
+@query("txt6_overall_term_weights", CLEAN_SQL + _OVERALL_SQL + """
+SELECT CAST(rank AS INT) AS rank, token, n, ROUND(n / MAX(n) OVER (), 6) AS weight FROM (
+  SELECT ROW_NUMBER() OVER (ORDER BY n DESC, token) AS rank, token, n FROM oc) WHERE rank <= 200""",
+       uses=R)
+def txt6_overall(spark, sf):
+    """Word-cloud weights of all reviews together (S:411)."""
+    w = T.term_weights(overall_counts(spark, sf), k=200)
+    return w.select(F.col("rank").cast("int").alias("rank"), "token", "n",
+                    F.round("weight", 6).alias("weight"))
+
+
 @query("txt3_describe_terms", CLEAN_SQL + _LABEL_TOP_SQL + f"""
 , terms AS (SELECT token, {tag_sql('token')} AS tag FROM lt WHERE Label = 'Neutral'
             AND rank <= {TOP})
@@ -233,10 +248,8 @@ SELECT DISTINCT token, tag FROM (SELECT token, {tag_sql('token')} AS tag FROM ({
 WHERE starts_with(tag, 'NN')""")
 def flt9(spark, sf):
     """Distinct words first, then the (context-free) tag of each word."""
-    from ..operators.aggregates import per_group
-    vocab = T.tokens(table(spark, sf, DOC), "text").groupBy("token").agg(
-        F.count(F.lit(1)).alias("n"))
-    t = vocab.select("token", per_group(T.tag_expr("token")).alias("tag"))
+    vocab = agg.term_freq(T.tokens(table(spark, sf, DOC), "text"))
+    t = T.with_tag(vocab).select("token", agg.per_group(F.col("tag")).alias("tag"))
     return rel.with_tag_prefix(t, "tag", "NN")
 
 
@@ -245,7 +258,7 @@ SELECT d.token, d.tag, tg.description FROM (
   SELECT DISTINCT token, {tag_sql('token')} AS tag FROM ({_DOC_TOK_SQL})) d
 LEFT JOIN {TAGS_SQL} ON d.tag = tg.tag""")
 def jn6(spark, sf):
-    d = T.tokens(table(spark, sf, DOC), "text").distinct().withColumn("tag", T.tag_expr("token"))
+    d = T.with_tag(T.tokens(table(spark, sf, DOC), "text").distinct())
     return joins.describe_tag(d, T.tag_table(spark)).select("token", "tag", "description")
 
 
@@ -269,7 +282,9 @@ def txt4(spark, sf):
 
 
 def polarity_frame(spark, sf) -> DataFrame:
-    return T.polarity(combined(spark, sf), "Review", TEST_VALENCE)
+    c = combined(spark, sf).withColumn("review_md5", F.md5("Review"))
+    return T.polarity(c, "Review", TEST_VALENCE,
+                      keep=["review_md5", "Restaurant", "Location", "Rating", "Label"])
 
 
 SCORES = ("Compound", "Positive", "Neutral", "Negative")
@@ -305,8 +320,7 @@ SELECT review_md5, Restaurant, Location, Rating, Label, ROUND(Compound, 6) + 0.0
        ROUND(Negative, 6) + 0.0 AS Negative FROM pol""", uses=R)
 def txt5(spark, sf):
     p = polarity_frame(spark, sf)
-    return p.select(F.md5("Review").alias("review_md5"), "Restaurant", "Location", "Rating",
-                    "Label", *[(F.round(c, 6) + 0.0).alias(c) for c in SCORES])
+    return p.select("review_md5", "Restaurant", "Location", "Rating", "Label", *[(F.round(c, 6) + 0.0).alias(c) for c in SCORES])
 
 
 @query("agg9_mean_scores", CLEAN_SQL + _POLARITY_SQL + """
@@ -314,8 +328,7 @@ SELECT ROUND(AVG(Compound), 6) + 0.0 AS Compound, ROUND(AVG(Positive), 6) + 0.0
        ROUND(AVG(Neutral), 6) + 0.0 AS Neutral, ROUND(AVG(Negative), 6) + 0.0 AS Negative FROM pol""",
        uses=R)
 def agg9(spark, sf):
-    from ..operators.aggregates import mean_scores
-    m = mean_scores(polarity_frame(spark, sf), SCORES)
+    m = agg.mean_scores(polarity_frame(spark, sf), SCORES)
     return m.select(*[(F.round(c, 6) + 0.0).alias(c) for c in SCORES])
 
 
@@ -332,7 +345,6 @@ def review_report(spark, sf) -> tuple[dict, DataFrame]:
     """
     from pyspark import StorageLevel
 
-    from ..operators import aggregates as A
     from .reviews import BIN_WIDTH, N_BINS, bins_table, with_word_count
 
     c = combined(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
@@ -347,18 +359,61 @@ def review_report(spark, sf) -> tuple[dict, DataFrame]:
     mean = c.groupBy("Restaurant").agg(F.avg("Rating").alias("Rating"),
                                        F.count(F.lit(1)).cast("bigint").alias("count"))
     report = {
-        "location_counts": A.value_counts(c, "Location"),
-        "rating_counts": A.value_counts(c, "Rating"),
-        "average_rating": A.mean_rounded(c, "Rating", 2),
-        "location_mean": A.group_mean(c, "Location", "Rating"),
-        "label_share": A.class_share(c, "Label"),
+        "location_counts": agg.value_counts(c, "Location"),
+        "rating_counts": agg.value_counts(c, "Rating"),
+        "average_rating": agg.mean_rounded(c, "Rating", 2),
+        "location_mean": agg.group_mean(c, "Location", "Rating"),
+        "label_share": agg.class_share(c, "Label"),
         "top_restaurants": rel.top_k(mean, "count", 10, tiebreak=["Restaurant"]),
         "length_bins": bins_table(spark).join(bins, "bin", "left"),
-        "length_rating_corr": A.corr_matrix(
+        "length_rating_corr": agg.corr_matrix(
             wc.select(F.col("Word_count").cast("double").alias("Word_count"),
                       F.col("Rating").cast("double").alias("Rating")), ["Word_count", "Rating"]),
         "unigrams": T.top_terms(counts, by=["Label"], k=TOP),
+        "term_weights": T.term_weights(counts, by=["Label"], k=200),
         "families": T.top_by_tag(tok.select("token"), stop, TOP),
-        "polarity_means": A.mean_scores(pol, SCORES),
+        "polarity_means": agg.mean_scores(pol, SCORES),
     }
     return report, c
+
+
+@query("p3_review_report", CLEAN_SQL + _LABEL_TOP_SQL + _FAMILY_SQL + _POLARITY_SQL + f"""
+, top AS (SELECT Restaurant, COUNT(*) AS n FROM cl WHERE Restaurant IS NOT NULL GROUP BY Restaurant
+          ORDER BY n DESC, Restaurant LIMIT 10)
+SELECT 'location_counts' AS part, Location AS key, CAST(COUNT(*) AS DOUBLE) AS value FROM cl
+WHERE Location IS NOT NULL GROUP BY Location
+UNION ALL SELECT 'location_mean', Location, ROUND(AVG(Rating), 6) FROM cl
+WHERE Location IS NOT NULL GROUP BY Location
+UNION ALL SELECT 'average_rating', 'all', round_even(AVG(Rating), 2) FROM cl
+UNION ALL SELECT 'label_share', Label, ROUND(p, 6) FROM (
+  SELECT Label, COUNT(*) / SUM(COUNT(*)) OVER () * 100 AS p FROM cl GROUP BY Label)
+WHERE Label IS NOT NULL
+UNION ALL SELECT 'top_restaurants', Restaurant, CAST(n AS DOUBLE) FROM top
+UNION ALL SELECT 'unigrams', concat(Label, ':', token), CAST(n AS DOUBLE) FROM lt WHERE rank <= {TOP}
+UNION ALL SELECT 'families', concat(family, ':', token), CAST(n AS DOUBLE) FROM ft WHERE rank <= {TOP}
+UNION ALL SELECT 'polarity_means', 'Compound', ROUND(AVG(Compound), 6) + 0.0 FROM pol
+UNION ALL SELECT 'polarity_means', 'Positive', ROUND(AVG(Positive), 6) + 0.0 FROM pol
+UNION ALL SELECT 'polarity_means', 'Neutral', ROUND(AVG(Neutral), 6) + 0.0 FROM pol
+UNION ALL SELECT 'polarity_means', 'Negative', ROUND(AVG(Negative), 6) + 0.0 FROM pol""", uses=R)
+def p3(spark, sf):
+    """The review analysis as one table (part, key, value), every branch read
+    from one stored table of cleaned reviews."""
+    parts, cleaned = review_report(spark, sf)
+
+    def rows(name, key, value):
+        return parts[name].select(F.lit(name).alias("part"), key.cast("string").alias("key"),
+                                  value.cast("double").alias("value"))
+    means = parts["polarity_means"].selectExpr(
+        "stack(4, " + ", ".join(f"'{c}', `{c}`" for c in SCORES) + ") AS (key, value)")
+    parts["polarity_means"] = means
+    out = [rows("location_counts", F.col("Location"), F.col("count")),
+           rows("location_mean", F.col("Location"), F.round("Rating", 6)),
+           rows("average_rating", F.lit("all"), F.col("avg")),
+           rows("label_share", F.col("Label"), F.round("Percentage", 6)),
+           rows("top_restaurants", F.col("Restaurant"), F.col("count")),
+           rows("unigrams", F.concat_ws(":", "Label", "token"), F.col("n")),
+           rows("families", F.concat_ws(":", "family", "token"), F.col("n")),
+           rows("polarity_means", F.col("key"), F.round("value", 6) + F.lit(0.0))]
+    report = stored(reduce(DataFrame.unionByName, out), "review_report")
+    cleaned.unpersist()
+    return report

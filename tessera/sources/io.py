@@ -18,7 +18,9 @@ def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
 
 
 def read_reviews_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """CSV with a header whose text fields may hold quotes and line breaks (SRC2)."""
+    """CSV with a header whose text fields may hold quotes and line breaks
+    (SRC2).  Such a file cannot be cut, so each is read by one task: export
+    large data as many files."""
     return (spark.read.option("header", True).option("multiLine", True)
             .option("quote", '"').option("escape", '"').schema(schema).csv(path))
 
@@ -45,6 +47,18 @@ def read_keyed_records(spark: SparkSession, path: str, fields, key: str = "id",
     return parsed.select(key, *[F.col("r")[f].alias(f) for f in fields])
 
 
+def write_keyed_mappings(df: DataFrame, path: str, key: str, per_file: int = 1000) -> None:
+    """Pretty-printed mappings of about ``per_file`` records, one to a file, as
+    hand-kept files look; read with ``whole_file=True``."""
+    files = max(1, -(-df.count() // per_file))
+    rest = F.struct(*[F.col(c) for c in df.columns if c != key])
+    entry = F.struct(F.col(key).cast("string"), rest)
+    one = (df.groupBy(F.pmod(F.xxhash64(key), F.lit(files)).alias("_f"))
+           .agg(F.map_from_entries(F.collect_list(entry)).alias("m")))
+    (one.select(F.to_json("m", {"pretty": "true"}).alias("value")).write.mode("overwrite")
+     .option("maxRecordsPerFile", 1).text(path))
+
+
 def write_keyed_records(df: DataFrame, path: str, key: str) -> None:
     """One ``{id: {...}}`` mapping per line (JSON text)."""
     rest = [c for c in df.columns if c != key]
@@ -55,14 +69,27 @@ def write_keyed_records(df: DataFrame, path: str, key: str) -> None:
 def read_labelled_dir(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     """Every file under ``root/<label>/…`` with its label (SRC4).
 
-    ``binaryFile`` lists and reads the files in parallel; the label is the
-    parent folder name (a ``key=value`` folder gives its value)."""
+    For files that are one record each, such as images: ``binaryFile`` lists
+    and reads them in parallel, one file per cell (2 GiB at most; see
+    ``read_labelled_lines`` for text).  The label is the parent folder name (a
+    ``key=value`` folder gives its value)."""
     df = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
           .option("pathGlobFilter", glob).load(root))
     parent = F.element_at(F.split("path", "/"), -2)
     return df.withColumn("label", F.regexp_replace(parent, r"^[^=]*=", ""))
 
 
+def read_labelled_lines(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
+    """Every line of the text files under ``root/<label>/…`` as ``value`` with
+    its label (SRC4).  Files are read in splits, so a label of any size is
+    read by many tasks; the label is the parent folder name (a ``key=value``
+    folder gives its value)."""
+    lines = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+             .text(root))
+    folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+    return lines.select(F.regexp_replace(F.url_decode(folder), r"^[^=]*=", "").alias("label"), "value")
+
+
 def write_records(df: DataFrame, path: str) -> None:
     """Write all records, one JSON object per line (SINK1)."""
     df.write.mode("overwrite").json(path)

@@ -15,15 +15,15 @@ def test_stop_words_keep_not():
 def test_tag_rules(spark):
     df = spark.createDataFrame([(w,) for w in ["the", "running", "walked", "quickly", "nation",
                                                "42", "table", "cat", "ing"]], "token string")
-    got = {r.token: r.tag for r in df.select("token", T.tag_expr("token").alias("tag")).collect()}
+    got = {r.token: r.tag for r in T.with_tag(df).collect()}
     assert got == {"the": "DT", "running": "VBG", "walked": "VBD", "quickly": "RB",
                    "nation": "NN", "42": "CD", "table": "JJ", "cat": "NN", "ing": "NN"}
 
 
 def test_polarity_by_hand(spark):
-    df = spark.createDataFrame([("Good food, not bad",), ("",)], "t string")
+    df = spark.createDataFrame([(0, "Good food, not bad"), (1, "")], "id int, t string")
     lex = {"good": 2.0, "bad": -2.0, "not": -1.0}
-    r = T.polarity(df, "t", lex).collect()
+    r = sorted(T.polarity(df, "t", lex, ["id"]).collect(), key=lambda x: x.id)
     s = 2.0 - 1.0 - 2.0
     pw, nw, uw = 3.0, 2.0 + 3.0, 1.0
     assert math.isclose(r[0].Compound, s / math.sqrt(s * s + 15))
@@ -32,6 +32,28 @@ def test_polarity_by_hand(spark):
     assert (r[1].Compound, r[1].Positive, r[1].Neutral) == (0.0, 0.0, 0.0)
 
 
+def test_lexicons_of_ten_thousand_entries(spark):
+    big = {f"word{i}": ("JJ" if i % 2 else "VB") for i in range(10_000)}
+    lex = T.lexicon_table(spark, big)
+    df = spark.createDataFrame([(1, "word1 word2 the word9999 running"), (2, None), (3, "")],
+                               "id int, t string")
+    got = {(r.id, r.pos): (r.token, r.tag) for r in T.tag_tokens(df, "t", lex, ["id"]).collect()}
+    assert got == {(1, 0): ("word1", "JJ"), (1, 1): ("word2", "VB"), (1, 2): ("the", "NN"),
+                   (1, 3): ("word9999", "JJ"), (1, 4): ("running", "VBG")}
+    terms = spark.createDataFrame([("word3",), ("word4",)], "token string")
+    out = {r.token: r.description for r in T.describe_terms(terms, T.tag_table(spark), lex).collect()}
+    assert out == {"word3": "adjective", "word4": "verb, base form"}
+    val = T.valence_table(spark, {w: 1.0 if t == "JJ" else -1.0 for w, t in big.items()})
+    pol = {r.id: r for r in T.polarity(df, "t", val, ["id"]).collect()}
+    assert math.isclose(pol[1].Compound, 1 / 4) and pol[2].Compound == pol[3].Compound == 0.0
+
+
+def test_overall_weights(spark):
+    df = spark.createDataFrame([("cat cat hat",)], "t string")
+    w = T.term_weights(T.counted_terms(T.tokens(df, "t"), T.stop_table(spark)), k=5)
+    assert {r.token: r.weight for r in w.collect()} == {"cat": 1.0, "hat": 0.5}
+
+
 def test_top_by_tag_families(spark):
     df = spark.createDataFrame([("walking walking talked the nation nation nation quickly",)],
                                "t string")
