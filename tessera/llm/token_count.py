@@ -121,26 +121,28 @@ def count_tokens(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("do
     any length, an empty table gives an empty result.
     """
     ranks = load_ranks(vocabulary or tokenizer_path("piece_bpe_32k.model"))
-    proven = df.sparkSession.sparkContext.broadcast(prove(ranks))  # fixed by the vocabulary file
+    s = prove(ranks)
+    find = splitter(s).findall
+    proven = df.sparkSession.sparkContext.broadcast((s.ranks, s.whole))  # fixed by the vocabulary
     inner = df.select(F.coalesce(F.col(text), F.lit("")).alias("__text"),
                       *[F.col(c).alias(f"__k{i}") for i, c in enumerate(keep)])
     kept = inner.schema.fields[1:]
 
     def run(batches):
-        s = proven.value
-        parts, cache = splitter(s).findall, {}
+        ranks, whole = proven.value
+        cache = {}
 
         def count(t: str) -> tuple[int, int]:
             if not t:
                 return 0, 0
             direct = rest = 0
-            for p, k in Counter(parts(SPACE + t.replace(" ", SPACE))).items():
-                if p in s.whole:
+            for p, k in Counter(find(SPACE + t.replace(" ", SPACE))).items():
+                if p in whole:
                     direct += k
                     continue
                 n = cache.get(p)
                 if n is None:
-                    n = merge_count(p, s.ranks)
+                    n = merge_count(p, ranks)
                     if len(cache) >= CACHE:
                         cache.clear()
                     if len(p) <= 64:
