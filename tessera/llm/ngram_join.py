@@ -1,25 +1,28 @@
 """N-gram Jaccard join and its connected components (operator 10).
 
 Documents are rows of a sparse incidence matrix over word n-grams; two link
-when their rows overlap enough.  The product of the matrix with itself is
-taken in blocks of n-grams: a block adds up, for pairs of rows, the n-grams
-they share in it, and the sums over all blocks meet per pair.  Bounds from the
-row sizes keep it small without losing a link:
+when their rows overlap enough.  The overlaps are entries of the matrix times
+its transpose, which is taken in blocks of rows, and inside a block in ranges
+of n-grams whose counts add up.  Size-derived bounds keep the blocks few
+without losing a link:
 
 * rows that are equal are one class from the start;
-* only the rarest ``size - need + 1`` n-grams of a row enter the product, as
-  rows that overlap enough share one of them;
-* a pair is dropped where the sizes, the positions of a shared n-gram, or the
-  summed overlap rule out that it reaches the needed overlap;
-* pairs that are connected already are left out.  A first round links every
-  class with the one it shares most with, so a large group of near copies is
-  one component before the product is taken, and its pairs never appear.
-
-Pairs that remain are verified on their whole n-gram sets.
+* rows that overlap enough share one of their ``size - need + 1`` first
+  n-grams, in any order that is the same for all rows.  The order puts n-grams
+  last that are known to be frequent, so that passages many documents share
+  bring few rows together;
+* only rows whose sizes allow the overlap are brought together.
+
+Chains of rows that share such an n-gram form candidate groups, and the
+product is taken inside each group.  A large group is cut into blocks by size
+and hash; the blocks' own products and those with one chosen block come first,
+and where they connect the whole group the others are not needed.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -28,14 +31,16 @@ from pyspark.sql import functions as F
 
 from .common import byte_blocks, saved
 
-HOT = 1 << 17              # n-grams whose frequency orders the rarest-first sort
-HOT_ROWS = 8               # occurrences in a block that make an n-gram worth counting
-LIST = 8192                # rows of one n-gram that one task takes as a whole
-PAIRS = 1 << 21            # pairs a task holds at once
-MARKS = 1 << 24            # bits of the filter that picks the classes to verify
-WORDS = 400_000            # word hashes a worker remembers
+FREQUENT = 3               # documents whose prefixes share an n-gram that is put last
+MARKS = 1 << 26            # bits of the filters over n-grams and classes (8 MB)
+LIST = 8192                # rows of one n-gram that are chained in one task
+BLOCK = 1024               # rows of a block of the product
+COLUMNS = 8192             # n-grams of a range of the product
+PIECE = 1 << 20            # bytes that are hashed at once
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+_BASE = 0x9E3779B97F4A7C15                     # odd, so it has an inverse modulo 2^64
+_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -44,35 +49,86 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out)
+
+
 class Shingler:
-    """Sorted distinct 64-bit hashes of the n-grams of a text.
+    """Sorted distinct 64-bit hashes of the n-grams of texts.
 
     Words are what lies between ASCII white space, with A-Z in lower case; a
     text with fewer than ``n`` words has its whole sequence as one n-gram, a
-    text without words none.
+    text without words none.  A block of texts is hashed as a whole: the hash
+    of a word is a difference of running sums of its bytes' random numbers
+    times powers of an odd base.
     """
 
     def __init__(self, n: int):
-        self.n, self.known = n, {}
-
-    def word(self, w: bytes) -> int:
-        h = xxhash.xxh3_64_intdigest(w)
-        if len(self.known) >= WORDS:
-            self.known.clear()
-        self.known[w] = h
-        return h
-
-    def __call__(self, text: str | None) -> np.ndarray:
-        ws = (text or "").encode().lower().split()
-        if not ws:
-            return np.zeros(0, np.uint64)
-        get, word = self.known.get, self.word
-        h = np.array([got if (got := get(w)) is not None else word(w) for w in ws], np.uint64)
-        n = min(self.n, len(h))
+        self.n = n
+        self.lower = np.arange(256, dtype=np.uint8)
+        self.lower[65:91] += 32
+        self.space = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+        self.number = _mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
+        self.up, self.down = _powers(_BASE, PIECE), _powers(_INVERSE, PIECE)
+
+    def words(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hashes of the words data[start:end], in pieces of bounded size."""
+        out = np.zeros(len(starts), np.uint64)
+        run = 0
+        for lo in range(0, len(data), PIECE):
+            part = data[lo:lo + PIECE]
+            scale = np.uint64(pow(_BASE, lo, 1 << 64))
+            terms = self.number[part] * self.up[:len(part)] * scale
+            sums = np.cumsum(terms) + np.uint64(run)
+            a, b = np.searchsorted(starts, [lo, lo + len(part)])
+            at = starts[a:b] - lo
+            out[a:b] -= sums[at] - terms[at]
+            a, b = np.searchsorted(ends, [lo + 1, lo + len(part) + 1])
+            out[a:b] += sums[ends[a:b] - 1 - lo]
+            run = int(sums[-1])
+        for lo in range(0, len(data), PIECE):
+            a, b = np.searchsorted(starts, [lo, lo + PIECE])
+            out[a:b] *= self.down[starts[a:b] - lo] * np.uint64(pow(_INVERSE, lo, 1 << 64))
+        return _mix(out + (ends - starts).astype(np.uint64))
+
+    def grams(self, h: np.ndarray, n: int) -> np.ndarray:
         acc = np.full(len(h) - n + 1, n, np.uint64)
         for i in range(n):
             acc = _mix(acc ^ h[i:len(h) - n + 1 + i]) + np.uint64(i)
-        return np.unique(acc)
+        return acc
+
+    def __call__(self, texts: pa.Array) -> list[np.ndarray]:
+        texts = texts.cast(pa.binary()).fill_null(b"")
+        if not len(texts):
+            return []
+        at = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1]
+        at = at.astype(np.int64)
+        raw = texts.buffers()[2]
+        data = (np.frombuffer(raw, np.uint8) if raw is not None else np.zeros(0, np.uint8))[at[0]:at[-1]]
+        at = at - at[0]
+        data = self.lower[data]
+        word = ~self.space[data]
+        edge = np.zeros(len(data) + 1, bool)
+        edge[at] = True                        # no word goes over the end of a text
+        before = np.concatenate([[False], word])[:len(word)]
+        after = np.concatenate([word[1:], [False]])[:len(word)]
+        starts = np.flatnonzero(word & (~before | edge[:-1]))
+        ends = np.flatnonzero(word & (~after | edge[1:])) + 1
+        h = self.words(data, starts, ends)
+        first = np.searchsorted(starts, at)
+        full = self.grams(h, self.n) if len(h) >= self.n else np.zeros(0, np.uint64)
+        out = []
+        for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
+            if b - a >= self.n:
+                s = np.sort(full[a:b - self.n + 1])
+                keep = np.ones(len(s), bool)
+                np.not_equal(s[1:], s[:-1], out=keep[1:])
+                out.append(s[keep])
+            else:
+                out.append(self.grams(h[a:b], b - a) if b > a else np.zeros(0, np.uint64))
+        return out
 
 
 def class_of(s: np.ndarray) -> int:
@@ -80,232 +136,269 @@ def class_of(s: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
 
 
-def need(total: int | np.ndarray, percent: int):
-    """Least overlap of two sets with ``total`` members in both that makes
-    100 * intersection >= percent * union."""
-    return -(-percent * total // (100 + percent))
+def prefix_size(n: int, percent: int) -> int:
+    """N-grams of a set of ``n`` of which any set that overlaps it enough must
+    hold one."""
+    return n - (-(-percent * n // 100)) + 1 if n else 0
+
+
+def _lists(rows: list[np.ndarray], kind=pa.int64()) -> pa.Array:
+    flat = np.concatenate([np.zeros(0, np.uint64), *rows])
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, rows)]), pa.int32()),
+                                    pa.array(flat.view(np.int64), kind))
 
 
 def _scan(df: DataFrame, n: int) -> DataFrame:
-    """(id, n, class, often) per document; ``often`` is filled once per block
-    with the n-grams frequent in it."""
+    """(id, n, class) per document."""
     def run(batches):
         shingles = Shingler(n)
-
         for b in byte_blocks(batches, 0):
-            sets = [shingles(t) for t in b.column(0).to_pylist()]
-            often = [None] * len(sets)
-            found, times = np.unique(np.concatenate(sets), return_counts=True)
-            hot = times >= max(HOT_ROWS, len(sets) // 256)
-            if hot.any():
-                often[0] = [{"g": g, "c": c} for g, c in zip(found[hot].view(np.int64).tolist(),
-                                                             times[hot].tolist())]
+            sets = shingles(b.column(0))
             yield pa.RecordBatch.from_arrays(
                 [b.column(1), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([class_of(s) for s in sets], pa.int64()),
-                 pa.array(often, pa.list_(pa.struct([("g", pa.int64()), ("c", pa.int64())])))],
-                names=["id", "n", "class", "often"])
+                 pa.array([class_of(s) for s in sets], pa.int64())], names=["id", "n", "class"])
+
+    return df.mapInArrow(run, "id long, n long, class long")
+
+
+def _frequencies(df: DataFrame, n: int, percent: int) -> DataFrame:
+    """(gram, c): how many documents have an n-gram among the first of their
+    set, in the order of the hashes; counted per block before the shuffle."""
+    def run(batches):
+        shingles = Shingler(n)
+        for b in byte_blocks(batches, 0):
+            cut = [s[:prefix_size(len(s), percent)] for s in shingles(b.column(0))]
+            grams, c = np.unique(np.concatenate([np.zeros(0, np.uint64), *cut]), return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(grams.view(np.int64)), pa.array(c, pa.int32())], names=["gram", "c"])
 
-    return df.mapInArrow(run, "id long, n long, class long, often array<struct<g: long, c: long>>")
+    return (df.mapInArrow(run, "gram long, c int").groupBy("gram")
+            .agg(F.sum("c").alias("c")).where(F.col("c") >= FREQUENT))
 
 
-def _prefixes(df: DataFrame, n: int, percent: int, hot) -> DataFrame:
-    """(class, n, grams, parts): the rarest n-grams of every document, enough
-    that two sets with the needed overlap share one.  Frequent n-grams come
-    last, by frequency; the others are ordered by their hash.  ``parts`` tells
-    into how many parts an n-gram's list is cut; null stands for one each."""
+def _marks(values: DataFrame, c: str) -> np.ndarray:
+    """Bits ``value mod MARKS`` of a column: a filter of fixed size."""
+    bit = F.pmod(F.col(c), F.lit(MARKS)) + 1
+    pages = (values.groupBy(F.bitmap_bucket_number(bit).alias("page"))
+             .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")).collect())
+    bits = np.zeros((-(-MARKS // 32768), 4096), np.uint8)      # low bits first
+    for r in pages:
+        bits[r.page - 1] = np.frombuffer(r.bits, np.uint8)
+    return bits.reshape(-1)
+
+
+def _marked(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    at = values & np.uint64(MARKS - 1)
+    return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1
+
+
+def _prefixes(df: DataFrame, n: int, percent: int, shared) -> DataFrame:
+    """(class, n, grams, parts): the first n-grams of every set, frequent ones
+    last.  ``parts`` tells into how many parts an n-gram's list is cut; null
+    stands for one each."""
     def run(batches):
         shingles = Shingler(n)
-        grams, counts = hot.value
+        bits, long_grams, long_counts = shared.value
 
         def prefix(s):
-            size = len(s)
-            keep = size - (-(-percent * size // 100)) + 1
-            if len(grams):
-                at = np.minimum(np.searchsorted(grams, s), len(grams) - 1)
-                rank = np.where(grams[at] == s, counts[at], 0)
-                if rank.any():
-                    order = np.lexsort((s, rank))[:keep]
-                    rank = rank[order]
-                    return s[order], (-(-rank // LIST)).clip(1) if rank[-1] > LIST else None
-            return s[:keep], None
+            late = _marked(bits, s)
+            cut = s[np.lexsort((s, late))][:prefix_size(len(s), percent)] if late.any() else \
+                s[:prefix_size(len(s), percent)]
+            if not len(long_grams):
+                return cut, None
+            at = np.minimum(np.searchsorted(long_grams, cut), len(long_grams) - 1)
+            parts = np.where(long_grams[at] == cut, -(-long_counts[at] // LIST), 1)
+            return cut, parts if parts.max() > 1 else None
 
         for b in byte_blocks(batches, 0):
-            rows = [s for t in b.column(0).to_pylist() if len(s := shingles(t))]
-            both = [prefix(s) for s in rows]
-            cut = [s for s, _ in both]
-            ends = np.cumsum([0, *map(len, cut)])
-            flat = np.concatenate([np.zeros(0, np.uint64), *cut]).view(np.int64)
+            rows = [s for s in shingles(b.column(0)) if len(s)]
+            cut = [prefix(s) for s in rows]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([class_of(s) for s in rows], pa.int64()),
-                 pa.array([len(s) for s in rows], pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
-                 pa.array([k for _, k in both], pa.list_(pa.int32()))],
+                 pa.array([len(s) for s in rows], pa.int64()), _lists([c for c, _ in cut]),
+                 pa.array([p for _, p in cut], pa.list_(pa.int32()))],
                 names=["class", "n", "grams", "parts"])
 
     return df.mapInArrow(run, "class long, n long, grams array<long>, parts array<int>")
 
 
-def _repeated(batches):
-    """Rows of lists with two rows or more, and of all cut lists, from rows sorted by (gram, part,
-    class), with the first class of the list as its pivot."""
-    held, pivot, last = None, None, None
-    for b in batches:
-        t = pa.Table.from_batches([b] if held is None else [held, b]).combine_chunks()
-        g, p = (t.column(c).to_numpy() for c in ("gram", "part"))
-        if not len(g):
-            continue
-        start = np.ones(len(g), bool)
-        start[1:] = (g[1:] != g[:-1]) | (p[1:] != p[:-1])
-        if held is None and last is not None and last == (g[0], p[0]):
-            start[0] = False                   # goes on with a list that is out already
-        else:
-            pivot = pivot if not start[0] else None
-        cls = t.column("class").to_numpy()
-        firsts = np.flatnonzero(start)
-        which = np.cumsum(start) - 1           # -1: the list that goes on
-        pivots = np.where(which >= 0, cls[firsts[np.maximum(which, 0)]] if len(firsts) else 0,
-                          pivot if pivot is not None else 0)
-        single = np.ones(len(g), bool)
-        single[:-1] &= start[1:]
-        single &= start & (t.column("of").to_numpy() == 1)     # parts of a cut list all stay
-        hold = bool(single[-1])                # may go on in the next batch
-        keep = ~single
-        out = t.append_column("pivot", pa.array(pivots)).filter(pa.array(keep))
-        yield from out.combine_chunks().to_batches()
-        last, pivot = (g[-1], p[-1]), pivots[-1]
-        held = t.slice(len(g) - 1).to_batches()[0] if hold else None
-
-
-def _product(percent: int):
-    """One block of the product: (a, b, shared) sums for pairs of classes in
-    different components, from rows sorted by (gram, left, right, comp).  A
-    cell (left, right) of a list that was cut holds two of its parts; pairs
-    inside one part belong to the cell (part, part)."""
-    def pairs(t):
-        cols = {c: t.column(c).to_numpy() for c in t.column_names}
-        g, lo, hi, comp = cols["gram"], cols["left"], cols["right"], cols["comp"]
-        m = len(g)
-        new_list = np.ones(m, bool)
-        new_list[1:] = (g[1:] != g[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])
-        new_comp = new_list.copy()
-        new_comp[1:] |= comp[1:] != comp[:-1]
-
-        def ends(new):
-            at = np.flatnonzero(new)
-            return np.append(at[1:], m)[np.cumsum(new) - 1]
-
-        first, stop = ends(new_comp), ends(new_list)
-        count = stop - first
-        done = np.append(0, np.cumsum(count))
-        row = 0
-        while row < m:
-            upto = max(row + 1, int(np.searchsorted(done, done[row] + PAIRS, "right")) - 1)
-            c = count[row:upto]
-            a = np.repeat(np.arange(row, upto), c)
-            b = first[a] + np.arange(len(a)) - np.repeat(done[row:upto] - done[row], c)
-            row = upto
-            na, nb, pa_, pb = cols["n"][a], cols["n"][b], cols["pos"][a], cols["pos"][b]
-            least = need(na + nb, percent)
-            most = np.minimum(pa_, pb) + 1 + np.minimum(na - pa_, nb - pb) - 1
-            ok = (np.minimum(na, nb) >= least) & (most >= least)
-            ok &= (lo[a] == hi[a]) | (cols["part"][a] != cols["part"][b])
-            a, b = a[ok], b[ok]
-            x, y = cols["class"][a], cols["class"][b]
-            swap = x > y
-            yield (np.where(swap, y, x), np.where(swap, x, y),
-                   np.where(swap, cols["n"][b], cols["n"][a]),
-                   np.where(swap, cols["n"][a], cols["n"][b]))
-
-    def summed(parts):
-        a, b, na, nb = (np.concatenate(c) for c in zip(*parts))
-        order = np.lexsort((b, a))
-        a, b, na, nb = a[order], b[order], na[order], nb[order]
-        new = np.ones(len(a), bool)
-        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-        at = np.flatnonzero(new)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(x) for x in (a[at], b[at], na[at], nb[at],
-                                   np.diff(np.append(at, len(a))).astype(np.int64))],
-            names=["a", "b", "na", "nb", "shared"])
-
+def _chains(percent: int):
+    """Edges (a, b) that connect the rows of a list whose sizes allow a link,
+    from rows sorted by (gram, part, n, class).  Between two such rows lie only
+    rows of such sizes, so runs of neighbours are tied to their first row.  The
+    parts of a cut list are tied to a node of their own, the n-gram."""
     def run(batches):
-        held, found, size = None, [], 0
-        for b in _and_last(batches):
-            if b is not None:
-                t = pa.Table.from_batches([b] if held is None else [*held, b]).combine_chunks()
-                g = t.column("gram").to_numpy()
-                cut = int(np.searchsorted(g == g[-1], True)) if len(g) else 0
-                held = t.slice(cut).to_batches()
-                t = t.slice(0, cut).combine_chunks()
-            else:
-                t, held = (pa.Table.from_batches(held) if held else None), None
-            if t is None or not t.num_rows:
+        held, pivot = None, None               # last row so far, first of its run
+        for b in batches:
+            t = pa.Table.from_batches([b] if held is None else [held, b])
+            if not t.num_rows:
                 continue
-            for part in pairs(t):
-                found.append(part)
-                size += len(part[0])
-                if size >= PAIRS:
-                    yield summed(found)
-                    found, size = [], 0
-        if size:
-            yield summed(found)
+            g, p, c, n, of = (t.column(k).to_numpy() for k in ("gram", "part", "class", "n", "of"))
+            first = np.ones(len(g), bool)
+            first[1:] = (g[1:] != g[:-1]) | (p[1:] != p[:-1]) | (100 * n[:-1] < percent * n[1:])
+            head = np.maximum.accumulate(np.where(first, np.arange(len(g)), 0))
+            to = c[head]
+            if held is not None:
+                to[head == 0] = pivot
+            old = np.arange(len(g)) < (held is not None)
+            cut = (of > 1) & ~old
+            tied = ~first & ~old
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([c[tied], c[cut]])),
+                 pa.array(np.concatenate([to[tied], g[cut]]))], names=["a", "b"])
+            held = t.slice(t.num_rows - 1).combine_chunks().to_batches()[0]
+            pivot = to[-1]
 
     return run
 
 
-def _and_last(batches):
-    yield from batches
-    yield None
-
-
 def _sets(df: DataFrame, n: int, wanted: DataFrame) -> DataFrame:
     """(class, grams): whole n-gram sets of the wanted classes, one row each.
-
-    Which texts are worth the trouble is told by a filter of ``MARKS`` bits
-    over the class numbers, whose size does not depend on the data; what the
-    filter lets through by chance is joined with no pair."""
-    bit = F.pmod("class", F.lit(MARKS)) + 1
-    pages = (wanted.groupBy(F.bitmap_bucket_number(bit).alias("page"))
-             .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")).collect())
-    bits = np.zeros((MARKS // 32768, 4096), np.uint8)      # pages of 32,768 bits, low bits first
-    for r in pages:
-        bits[r.page - 1] = np.frombuffer(r.bits, np.uint8)
-    bits = bits.reshape(-1)
-    shared = df.sparkSession.sparkContext.broadcast(bits)
+    A filter of fixed size tells which texts are worth sending; what it lets
+    through by chance is dropped by the join that follows."""
+    shared = df.sparkSession.sparkContext.broadcast(_marks(wanted, "class"))
 
     def run(batches):
-        shingles, on = Shingler(n), shared.value
+        shingles, bits = Shingler(n), shared.value
         for b in byte_blocks(batches, 0):
-            ids, sets = [], []
-            for t in b.column(0).to_pylist():
-                s = shingles(t)
-                c = class_of(s)
-                bit = c % MARKS
-                if len(s) and on[bit >> 3] & (1 << (bit & 7)):
-                    ids.append(c)
-                    sets.append(s)
+            sets = [s for s in shingles(b.column(0)) if len(s)]
+            ids = np.array([class_of(s) for s in sets], np.int64)
+            keep = np.flatnonzero(_marked(bits, ids.view(np.uint64)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, sets)]), pa.int32()),
-                                          pa.array(np.concatenate([np.zeros(0, np.uint64), *sets])
-                                                   .view(np.int64)))],
+                [pa.array(ids[keep]), _lists([sets[i] for i in keep.tolist()])],
                 names=["class", "grams"])
 
     rows = df.mapInArrow(run, "class long, grams array<long>")
-    return saved(rows.groupBy("class").agg(F.first("grams").alias("grams")), "sets")
+    return rows.groupBy("class").agg(F.first("grams").alias("grams"))
+
+
+def overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all pairwise intersections: the incidence matrix times its
+    transpose, added up over ranges of n-grams.  N-grams of one row only are
+    left out."""
+    k = len(sets)
+    row = np.repeat(np.arange(k), [len(s) for s in sets])
+    flat = np.concatenate(sets)
+    order = np.argsort(flat, kind="stable")
+    flat, row = flat[order], row[order]
+    new = np.ones(len(flat), bool)
+    new[1:] = flat[1:] != flat[:-1]
+    column = np.cumsum(new) - 1
+    many = np.bincount(column) > 1
+    number = np.cumsum(many) - 1
+    keep = many[column]
+    row, column = row[keep], number[column[keep]]
+    out = np.zeros((k, k), np.float32)
+    for lo in range(0, int(many.sum()), COLUMNS):
+        a, b = np.searchsorted(column, [lo, lo + COLUMNS])
+        part = np.zeros((k, min(COLUMNS, int(column[b - 1]) - lo + 1)), np.float32)
+        part[row[a:b], column[a:b] - lo] = 1
+        out += part @ part.T
+    return out
+
+
+def spanning(linked: np.ndarray) -> list[tuple[int, int]]:
+    """Edges (member, first member) of the components of a link matrix."""
+    out, left = [], np.ones(len(linked), bool)
+    for i in range(len(linked)):
+        if not left[i]:
+            continue
+        left[i] = False
+        front = np.array([i])
+        while len(front):
+            front = np.flatnonzero(linked[front].any(axis=0) & left)
+            left[front] = False
+            out += [(j, i) for j in front.tolist()]
+    return out
 
 
-def _verified(pairs: DataFrame, df: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets overlap enough."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("class"))
-    sets = _sets(df, n, wanted)
-    left = sets.select(F.col("class").alias("a"), F.col("grams").alias("ga"))
-    right = sets.select(F.col("class").alias("b"), F.col("grams").alias("gb"))
-    shared = F.size(F.array_intersect("ga", "gb"))
-    enough = (100 + percent) * shared >= percent * (F.size("ga") + F.size("gb"))
-    return saved(pairs.select("a", "b").join(left, "a").join(right, "b").where(enough)
-                 .select("a", "b"), "links")
+def _product(percent: int):
+    """Links (a, b) of the rows of every cell, as spanning edges, from rows
+    sorted by (grp, cell) with their sets and known roots.  A cell whose rows
+    are all connected already is skipped."""
+    def links(rows):
+        ids = np.array([r["class"] for r in rows], np.int64)
+        if len(ids) < 2 or len({r["root"] for r in rows}) == 1:
+            return []
+        sets = [np.asarray(r["grams"]) for r in rows]
+        n = np.array([len(s) for s in sets])
+        both = overlaps(sets)
+        ok = (100 + percent) * both.astype(np.int64) >= percent * (n[:, None] + n[None, :])
+        np.fill_diagonal(ok, False)
+        return [(ids[i], ids[j]) for i, j in spanning(ok)]
+
+    def run(batches):
+        key, rows = None, []
+
+        def out(found):
+            return pa.RecordBatch.from_arrays(
+                [pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())],
+                names=["a", "b"])
+        for b in batches:
+            cols = [b.column(k) for k in ("grp", "cell", "class", "root")]
+            lists = b.column("grams")
+            flat, ends = lists.values.to_numpy().view(np.uint64), lists.offsets.to_numpy()
+            found = []
+            for i, (g, cell, c, root) in enumerate(zip(*(x.to_pylist() for x in cols))):
+                if (g, cell) != key:
+                    found += links(rows)
+                    key, rows = (g, cell), []
+                rows.append({"class": c, "root": root, "grams": flat[ends[i]:ends[i + 1]].copy()})
+            yield out(found)
+        yield out(links(rows))
+
+    return run
+
+
+def _linked(rows: DataFrame, percent: int, name: str) -> DataFrame:
+    """Links found in the cells of ``rows`` (grp, cell, class, root, grams)."""
+    return saved(rows.select("grp", "cell", "class", "root", "grams")
+                 .repartition("grp", "cell").sortWithinPartitions("grp", "cell")
+                 .mapInArrow(_product(percent), "a long, b long"), name)
+
+
+def _cells(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(first, rest): the rows dealt out to the cells of the product.
+
+    ``rows`` holds (grp, class, n, grams).  A group of up to ``BLOCK`` rows is
+    one cell.  A larger one is cut into bands of sizes — rows that can link lie
+    in the same or in neighbouring bands — and bands into blocks by hash.  The
+    first cells hold each block alone, and each with the first block of its
+    band and of the next; the rest hold all other pairs of blocks."""
+    sizes = rows.groupBy("grp").agg(F.count("*").alias("size"))
+    rows = rows.join(saved(sizes, "sizes"), "grp").where("size > 1")
+    small = rows.where(F.col("size") <= BLOCK).withColumn("cell", F.lit(""))
+    width = math.log(100 / percent) * (1 + 1e-9)
+    large = (rows.where(F.col("size") > BLOCK)
+             .withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.lit(width)).cast("int")))
+    bands = large.groupBy("grp", "band").agg(
+        F.ceil(F.count("*") / F.lit(BLOCK // 2)).cast("int").alias("blocks"))
+    bands = saved(bands, "bands")
+    near = bands
+    for step, name in ((1, "above"), (-1, "below")):
+        other = bands.select("grp", (F.col("band") - step).alias("band"), F.col("blocks").alias(name))
+        near = near.join(other, ["grp", "band"], "left")
+    large = large.join(saved(near, "bands"), ["grp", "band"]).withColumn(
+        "block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    band, block = F.col("band"), F.col("block")
+
+    def cell(b, x, c, y):
+        return F.concat_ws("/", b.cast("string"), x.cast("string"), c.cast("string"), y.cast("string"))
+
+    def upto(n):
+        return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    own = F.transform(upto(F.col("blocks")),
+                      lambda o: cell(band, F.least(o, block), band, F.greatest(o, block)))
+    above = F.transform(upto(F.coalesce("above", F.lit(0))), lambda o: cell(band, block, band + 1, o))
+    below = F.transform(upto(F.coalesce("below", F.lit(0))), lambda o: cell(band - 1, o, band, block))
+    every = F.concat(own, above, below)
+    # block 0 of a band with all, and every block alone: cells in proportion to the blocks
+    first = F.filter(every, lambda c: (F.split_part(c, F.lit("/"), F.lit(2)) == "0")
+                     | (c == cell(band, block, band, block)))
+    names = [*small.columns]
+    start = large.withColumn("cell", F.explode(first)).select(*names)
+    rest = large.withColumn("cell", F.explode(F.array_except(every, first))).select(*names)
+    return small.unionByName(start), rest
 
 
 def components(links: DataFrame, name: str = "components") -> DataFrame:
@@ -336,9 +429,9 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
     def state(edges):
         return edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
 
-    edges = saved(links.select("a", "b"), name)
+    edges = saved(links.select("a", "b").where("a <> b").distinct(), name)
     seen = None
-    while (now := state(edges)) != seen:
+    while (now := state(edges)) != seen and now[0]:
         seen = now
         edges = step(step(edges, True), False)
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
@@ -358,75 +451,57 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", n
     Repeated rows come out as often as they occur; an empty table gives an
     empty result; other columns of ``df`` are not read.
 
-    The result is exact but for collisions of the 64-bit hashes of n-grams and
-    of n-gram sets.
+    The result is exact but for collisions of the 64-bit hashes of words,
+    n-grams and n-gram sets.
     """
     spark = df.sparkSession
     docs = df.select(F.col(text).alias("text"), F.col(doc_id).cast("long").alias("id"))
-    scan = saved(_scan(docs, n), "grams")
-    often = (scan.where(F.col("often").isNotNull()).select(F.explode("often").alias("x"))
-             .groupBy("x.g").agg(F.sum("x.c").alias("c")).orderBy(F.desc("c"), "g").limit(HOT)
-             .collect())                       # bounded by HOT; orders n-grams, drops none
-    grams = np.array([r.g for r in often], np.int64).view(np.uint64)
+    scan = saved(_scan(docs, n), "classes")
+    frequent = saved(_frequencies(docs.select("text"), n, percent), "frequent")
+    # lists known to be long: at most one for LIST rows
+    long_lists = frequent.where(F.col("c") > LIST).orderBy("gram").collect()
+    grams = np.array([r.gram for r in long_lists], np.int64).view(np.uint64)
     order = np.argsort(grams)
-    counts = np.array([r.c for r in often], np.int64)
-    hot = spark.sparkContext.broadcast((grams[order], counts[order]))
-
-    rows = (_prefixes(docs.select("text"), n, percent, hot).groupBy("class")
-            .agg(F.first("n").alias("n"), F.first("grams").alias("grams"),
-                 F.first("parts").alias("parts")))
-    # a list that is known to be long is cut into parts by the class
-    of = F.coalesce(F.get("parts", F.col("pos")), F.lit(1))
+    shared = spark.sparkContext.broadcast(
+        (_marks(frequent, "gram"), grams[order],
+         np.array([r.c for r in long_lists], np.int64)[order]))
+
+    rows = (_prefixes(docs.select("text"), n, percent, shared).groupBy("class")
+            .agg(*[F.first(c).alias(c) for c in ("n", "grams", "parts")]))
     lists = (rows.select("class", "n", "parts", F.posexplode("grams").alias("pos", "gram"))
-             .withColumn("of", of)
+             .withColumn("of", F.coalesce(F.get("parts", F.col("pos")), F.lit(1)))
              .withColumn("part", F.pmod(F.xxhash64("class"), F.col("of")).cast("int")))
-    shared = saved(
-        lists.select("gram", "part", "class", "n", "pos", "of").repartition("gram", "part")
-        .sortWithinPartitions("gram", "part", "class")
-        .mapInArrow(_repeated, "gram long, part int, class long, n long, pos int, of int, pivot long"),
-        "lists")
-
-    # first round: every class with the smaller one it shares most lists with,
-    # if that is an eighth of its prefix; what is left out here meets later
-    sizes = (shared.where("pivot <> class").groupBy("pivot", "class")
-             .agg(F.count("*").alias("c"), F.first("n").alias("n"))
-             .where(800 * F.col("c") >= (100 - percent) * F.col("n")))
-    first = (sizes.groupBy("class").agg(F.max_by("pivot", F.struct("c", "pivot")).alias("pivot"))
-             .select(F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b")))
-    links = _verified(saved(first, "pairs"), docs, n, percent)
-    known = components(links)
-
-    # second round: the product over what is not connected yet
-    placed = (shared.drop("pivot").join(known.select(F.col("node").alias("class"), "root"),
-                                        "class", "left")
-              .select("gram", "part", "class", "n", "pos", "of",
-                      F.coalesce("root", "class").alias("comp")))
-    mixed = (placed.where("of > 1").groupBy("gram").agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
-             .where("x <> y").select("gram").collect())        # at most HOT n-grams
-    cut = F.col("gram").isin([r.gram for r in mixed]) if mixed else F.lit(False)
-    cells = F.when(F.col("of") == 1, F.array(F.lit(0))).when(
-        cut, F.sequence(F.lit(0), F.col("of") - 1)).otherwise(F.array().cast("array<int>"))
-    grid = (placed.withColumn("other", F.explode(cells))
-            .select("gram", F.least("part", "other").alias("left"),
-                    F.greatest("part", "other").alias("right"), "part", "comp", "class", "n", "pos"))
-    blocks = (grid.repartition("gram", "left", "right")
-              .sortWithinPartitions("gram", "left", "right", "comp")
-              .mapInArrow(_product(percent), "a long, b long, na long, nb long, shared long"))
-    least = F.ceil(F.lit(percent) * (F.col("na") + F.col("nb")) / F.lit(100 + percent))
-    # n-grams behind both prefixes add at most the larger rest
-    rest = F.greatest(*[F.ceil(F.lit(percent) * F.col(c) / F.lit(100)) - 1 for c in ("na", "nb")])
-    second = (blocks.groupBy("a", "b")
-              .agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.sum("shared").alias("c"))
-              .where(F.col("c") + rest >= least).select("a", "b"))
-    more = _verified(saved(second, "pairs"), docs, n, percent)
-    roots = components(links.unionByName(more))
+    chained = (lists.select("gram", "part", "n", "class", "of").repartition("gram", "part")
+               .sortWithinPartitions("gram", "part", "n", "class")
+               .mapInArrow(_chains(percent), "a long, b long"))
+    groups = components(chained)               # candidate groups
+
+    wanted = groups.select(F.col("node").alias("class"), F.col("root").alias("grp"))
+    sets = _sets(docs.select("text"), n, wanted)
+    members = saved(sets.join(wanted, "class")
+                    .select("grp", "class", F.size("grams").alias("n"), "grams"), "members")
+    first, rest = _cells(members, percent)
+    links = _linked(first.withColumn("root", F.col("class")), percent, "links")
+    roots = components(links)
+    # groups that are not connected yet: the other cells
+    placed = members.select("grp", "class").join(
+        roots.select(F.col("node").alias("class"), "root"), "class", "left").select(
+        "grp", "class", F.coalesce("root", "class").alias("root"))
+    open_groups = (placed.groupBy("grp").agg(F.min("root").alias("x"), F.max("root").alias("y"),
+                                             F.count("*").alias("size"))
+                   .where((F.col("x") != F.col("y")) & (F.col("size") > BLOCK)).select("grp"))
+    open_groups = saved(open_groups, "open")
+    if not open_groups.isEmpty():
+        known = placed.join(open_groups, "grp", "left_semi").select("class", "root")
+        more = _linked(rest.join(open_groups, "grp", "left_semi").join(known, "class"), percent, "links")
+        roots = components(links.unionByName(more))
 
     # the smallest document id of every component
     classes = (scan.where("n > 0").groupBy("class").agg(F.min("id").alias("least")))
     named = saved(classes.join(roots, classes["class"] == roots["node"], "left")
-                  .select("class", F.coalesce("root", "class").alias("root"), "least"), "classes")
+                  .select("class", F.coalesce("root", "class").alias("root"), "least"), "named")
     smallest = saved(named.groupBy("root").agg(F.min("least").alias("component_id")), "smallest")
-    final = saved(named.join(smallest, "root").select("class", "component_id"), "named")
+    final = saved(named.join(smallest, "root").select("class", "component_id"), "components")
     words = scan.select("id", "n", F.when(F.col("n") > 0, F.col("class")).alias("class"))
     linked = words.where("n > 0").join(final, "class").select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")

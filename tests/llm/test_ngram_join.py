@@ -79,10 +79,9 @@ def corpus(seed, n=260):
 
 @pytest.mark.parametrize("seed,small", [(1, False), (2, True), (3, True)])
 def test_against_brute_force(docs_of, monkeypatch, seed, small):
-    if small:                                  # long lists cut into parts, short blocks of pairs
-        monkeypatch.setattr(nj, "LIST", 10)
-        monkeypatch.setattr(nj, "PAIRS", 50)
-        monkeypatch.setattr(nj, "HOT_ROWS", 2)
+    if small:                                  # long lists cut into parts, groups into many cells
+        for name, value in (("LIST", 10), ("BLOCK", 8), ("COLUMNS", 16), ("PIECE", 64), ("MARKS", 1 << 10)):
+            monkeypatch.setattr(nj, name, value)
     rows = corpus(seed)
     assert run(docs_of, rows) == brute(rows)
 
@@ -133,3 +132,30 @@ def test_query_on_table(spark):
     texts = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
     got = sorted((tuple(r) for r in op10_ngram_jaccard(spark, SMALL).collect()), key=str)
     assert got == brute([tuple(t) for t in texts])
+
+
+def test_word_hashes_do_not_depend_on_pieces(monkeypatch):
+    import pyarrow as pa
+    texts = pa.array(EDGES + ["Ab ab AB", "x" * 700 + " y"])
+    whole = nj.Shingler(4)(texts)
+    for piece in (1, 7, 64):
+        monkeypatch.setattr(nj, "PIECE", piece)
+        for a, b in zip(whole, nj.Shingler(4)(texts)):
+            assert a.tolist() == b.tolist()
+    one = [nj.Shingler(4)(texts.slice(i, 1))[0] for i in range(len(texts))]
+    assert all(a.tolist() == b.tolist() for a, b in zip(whole, one))
+    assert [len(s) for s in whole] == [len(grams(t, 4)) for t in texts.to_pylist()]
+
+
+def test_overlaps_and_spanning():
+    import numpy as np
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 300, rng.integers(1, 120))).astype(np.uint64) for _ in range(40)]
+    want = [[len(set(a.tolist()) & set(b.tolist())) for b in sets] for a in sets]
+    got = nj.overlaps(sets)
+    same = ~np.eye(40, dtype=bool)
+    assert (got[same] == np.array(want)[same]).all()
+    linked = np.zeros((6, 6), bool)
+    for i, j in ((0, 3), (3, 5), (1, 2)):
+        linked[i, j] = linked[j, i] = True
+    assert sorted(nj.spanning(linked)) == [(2, 1), (3, 0), (5, 0)]
