@@ -34,6 +34,7 @@ from .common import byte_blocks, saved
 FREQUENT = 3               # documents whose prefixes share an n-gram that is put last
 MARKS = 1 << 26            # bits of the filters over n-grams and classes (8 MB)
 LIST = 8192                # rows of one n-gram that are chained in one task
+CUT_LISTS = 1 << 16        # lists that may be cut into parts
 BLOCK = 1024               # rows of a block of the product
 COLUMNS = 8192             # n-grams of a range of the product
 PIECE = 1 << 20            # bytes that are hashed at once
@@ -458,8 +459,8 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", n
     docs = df.select(F.col(text).alias("text"), F.col(doc_id).cast("long").alias("id"))
     scan = saved(_scan(docs, n), "classes")
     frequent = saved(_frequencies(docs.select("text"), n, percent), "frequent")
-    # lists known to be long: at most one for LIST rows
-    long_lists = frequent.where(F.col("c") > LIST).orderBy("gram").collect()
+    # the longest lists are cut; any other is at most a CUT_LISTS-th of all rows
+    long_lists = frequent.where(F.col("c") > LIST).orderBy(F.desc("c"), "gram").limit(CUT_LISTS).collect()
     grams = np.array([r.gram for r in long_lists], np.int64).view(np.uint64)
     order = np.argsort(grams)
     shared = spark.sparkContext.broadcast(
