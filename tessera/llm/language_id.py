@@ -1,9 +1,11 @@
 """Language identification by compression (operator 7).
 
 Every language gets a raw-content zstandard dictionary made of training
-excerpts.  A text is cut into windows, every window is compressed with each
-dictionary, and the language with the smallest total wins.  A text whose two
-best totals lie closer than a margin is rejected.
+excerpts.  A text, in lower case and without punctuation and digits, is cut
+into windows, every window is compressed with each dictionary, and the language
+with the smallest total wins.  Where the two best totals lie close, the text is
+compressed again at a level that searches harder; if they still lie closer than
+a margin, the text is rejected.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_blocks, extended
+from .common import byte_blocks, extended, lean
 
 #: Bounds of the training sample: excerpts per language and their length.
 #: 120 excerpts of 1,000 characters fill a dictionary of about 120 KB.
@@ -22,7 +24,8 @@ EXCERPTS = 120
 EXCERPT_CHARS = 1000
 MAX_LANGUAGES = 500        # dictionaries stay under 100 MB; more labels raise an error
 WINDOW_BYTES = 4096        # so that the dictionary matters along the whole text
-LEVEL = 3
+LEVEL, HARD_LEVEL = 3, 19
+CLOSE = 0.05               # distance under which the harder level decides
 MARGIN = 0.01              # least relative distance between the two best totals
 UNKNOWN = "und"
 
@@ -40,7 +43,8 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang",
     and count once; per language the ``excerpts`` smallest hashes are kept and
     of each text one excerpt of ``excerpt_chars`` characters at a place given
     by the hash.  Rows with a null or empty text or a null label are no
-    training rows; without any the result is empty.
+    training rows; without any the result is empty.  The languages come in
+    the order of their number of texts, the most frequent first.
     """
     rows = (df.where(F.col(lang).isNotNull() & (F.length(text) > 0))
             .select(F.col(lang).alias("lang"), F.xxhash64(text).alias("h"), F.col(text).alias("t")))
@@ -70,7 +74,17 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang",
     for r in sorted(picked, key=lambda r: (r.lang, r.h & (spread - 1), r.h)):
         if len(out[r.lang]) < excerpts:
             out[r.lang].append(r.e)
-    return {name: "\n".join(reversed(es)).encode("utf-8") for name, es in out.items() if es}
+    ranked = sorted(out, key=lambda name: (-sizes[name], name))
+    return {name: prepared("\n".join(reversed(out[name]))) for name in ranked if out[name]}
+
+
+#: ASCII characters that tell nothing about a language, and line ends as blanks.
+_DROPPED = bytes(b for b in range(33, 128) if not chr(b).isalpha())
+_BLANKS = bytes(32 if b < 33 else b for b in range(256))
+
+
+def prepared(text: str) -> bytes:
+    return text.lower().encode("utf-8").translate(_BLANKS, _DROPPED)
 
 
 def windows(data: bytes, size: int = WINDOW_BYTES):
@@ -82,27 +96,36 @@ def classifier(dictionaries: dict[str, bytes], margin: float = MARGIN):
     import regex
     import zstandard
     letter = regex.compile(r"\p{L}").search
-    names = sorted(dictionaries)
-    packers = []
-    for name in names:
-        d = zstandard.ZstdCompressionDict(dictionaries[name],
-                                          dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        d.precompute_compress(level=LEVEL)
-        packers.append(zstandard.ZstdCompressor(dict_data=d, write_content_size=False,
+    names = list(dictionaries)
+
+    def packers(level):
+        out = []
+        for name in names:
+            d = zstandard.ZstdCompressionDict(dictionaries[name],
+                                              dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            d.precompute_compress(level=level)
+            out.append(zstandard.ZstdCompressor(dict_data=d, write_content_size=False,
                                                 write_checksum=False).compress)
+        return out
+    fast, hard = packers(LEVEL), packers(HARD_LEVEL)
+
+    def best(parts, pack):
+        """(place of the best language, relative distance to the second)."""
+        totals = [sum(len(p(part)) for part in parts) for p in pack]
+        order = sorted(range(len(names)), key=lambda i: (totals[i], i))
+        second = totals[order[1]]
+        return order[0], (second - totals[order[0]]) / second
 
     def predict(text: str | None) -> tuple[str, float, bool]:
         if not names or text is None or not letter(text):
             return UNKNOWN, 0.0, True
-        parts = list(windows(text.encode("utf-8")))
-        totals = [sum(len(pack(p)) for p in parts) for pack in packers]
-        ranked = sorted(range(len(names)), key=lambda i: (totals[i], i))
-        best = totals[ranked[0]]
         if len(names) == 1:
             return names[0], 1.0, False
-        second = totals[ranked[1]]
-        gap = (second - best) / second
-        return names[ranked[0]], min(1.0, gap / (gap + margin)) if gap else 0.0, gap < margin
+        parts = list(windows(prepared(text))) or [b""]
+        i, gap = best(parts, fast)
+        if gap < CLOSE:
+            i, gap = best(parts, hard)
+        return names[i], gap / (gap + margin) if gap else 0.0, gap < margin
 
     return predict
 
@@ -116,7 +139,7 @@ def identify(df: DataFrame, dictionaries: dict[str, bytes], text: str = "text",
 
     Only the text is read.  ``und`` with score 0 stands for null texts and
     texts without a letter, and for every text when nothing was learned; ties
-    go to the first language by name, with score 0.  Map-only; the
+    go to the most frequent training language, with score 0.  Map-only; the
     dictionaries are bounded by the training sample.
     """
     spark = df.sparkSession
@@ -135,7 +158,7 @@ def identify(df: DataFrame, dictionaries: dict[str, bytes], text: str = "text",
                  pa.array([g[2] for g in got], pa.bool_())],
                 names=[*b.schema.names, *names])
 
-    return inner.mapInArrow(run, extended(inner, **dict(zip(names, ("string", "double", "boolean")))))
+    return inner.mapInArrow(lean(run), extended(inner, **dict(zip(names, ("string", "double", "boolean")))))
 
 
 def held_out(doc_id) -> bool:

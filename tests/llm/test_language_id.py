@@ -17,7 +17,7 @@ def test_held_out_accuracy(spark):
     assert len(rows) == 1000
     held = [r for r in rows if r.held_out]
     assert {r.doc_id for r in held} == {r.doc_id for r in rows if L.held_out(r.doc_id)}
-    assert sum(r.lang_pred == r.lang for r in held) / len(held) > 0.95
+    assert sum(r.lang_pred == r.lang for r in held) / len(held) > 0.96
     assert sum(r.rejected for r in held) / len(held) < 0.03
     assert all(0 <= r.score <= 1 for r in rows)
 
@@ -55,8 +55,8 @@ def test_training_rules(docs_of):
     other = [(1000 + i, f"autre texte {i}", "fr", "s") for i in range(20)]
     skipped = [(2000, None, "xx", "s"), (2001, "", "yy", "s"), (2002, "no label", None, "s")]
     got = L.train(docs_of(copies + other + skipped), excerpts=5, excerpt_chars=10)
-    assert set(got) == {"en", "fr"} and len(got["en"]) == 10      # copies count once
-    assert len(got["fr"].split(b"\n")) == 5
+    assert list(got) == ["fr", "en"]                  # most texts first; copies count once
+    assert len(got["en"]) == 10 and 25 < len(got["fr"]) <= 5 * 10 + 4
     assert L.train(docs_of([])) == {}
     assert L.identify(docs_of(["a text"]), {}).first().lang_pred == "und"
     assert L.identify(docs_of([]), got).count() == 0
