@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_blocks, extended, tokenizer_path
+from .common import byte_blocks, extended, lean, tokenizer_path
 
 CHUNK_BYTES = 16 << 20     # text a chunk holds; a longer document is a chunk of its own
 BUCKETS = 2048             # lists into which a chunk deals out its words
@@ -161,7 +161,7 @@ def _chunks(df: DataFrame, pattern: str) -> DataFrame:
         if ids:
             yield row()
 
-    return df.mapInArrow(run, "chunk long, body binary").repartition("chunk")
+    return df.mapInArrow(lean(run), "chunk long, body binary").repartition("chunk")
 
 
 def _open(body: bytes):
@@ -228,9 +228,9 @@ def encode(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
             yield pa.RecordBatch.from_arrays([b.column(1), b.column(0), pa.array(out, pa.binary())],
                                              names=["chunk", "bucket", "ids"])
 
-    encoded = (chunks.mapInArrow(_sites, "bucket int, chunk long, words binary")
+    encoded = (chunks.mapInArrow(lean(_sites), "bucket int, chunk long, words binary")
                .repartition("bucket").sortWithinPartitions("bucket")
-               .mapInArrow(encode_words, "chunk long, bucket int, ids binary"))
+               .mapInArrow(lean(encode_words), "chunk long, bucket int, ids binary"))
 
     def put_together(left: pa.Table, right: pa.Table) -> pa.Table:
         docs, sizes, slots, words = _open(left.column("body")[0].as_py())
@@ -287,4 +287,4 @@ def decode(df: DataFrame, ids: str = "ids", vocabulary: str | None = None,
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary())],
                                              names=[*names, name])
 
-    return inner.mapInArrow(run, extended(inner, **{name: "binary"}))
+    return inner.mapInArrow(lean(run), extended(inner, **{name: "binary"}))

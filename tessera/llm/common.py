@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 
 import pyarrow as pa
@@ -70,3 +71,19 @@ def extended(df: DataFrame, **fields: str) -> T.StructType:
     more = df.sparkSession.createDataFrame(
         [], ", ".join(f"`{n}` {t}" for n, t in fields.items())).schema
     return T.StructType([*df.schema.fields, *more.fields])
+
+
+def lean(run):
+    """``run`` over the batches of a task, giving memory back to the system at
+    the end: Python workers serve many tasks, and what one leaves with its
+    allocators would count against the next."""
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except AttributeError:             # only glibc has it
+                pass
+    return wrapped

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_blocks, saved
+from .common import byte_blocks, lean, saved
 
 FREQUENT = 3               # documents whose prefixes share an n-gram that is put last
 MARKS = 1 << 26            # bits of the filters over n-grams and classes (8 MB)
@@ -37,7 +37,8 @@ LIST = 8192                # rows of one n-gram that are chained in one task
 CUT_LISTS = 1 << 16        # lists that may be cut into parts
 BLOCK = 1024               # rows of a block of the product
 COLUMNS = 8192             # n-grams of a range of the product
-PIECE = 1 << 20            # bytes that are hashed at once
+TEXTS = 2 << 20            # bytes of texts that are hashed as a block
+PIECE = 1 << 20            # bytes of them at once
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _BASE = 0x9E3779B97F4A7C15                     # odd, so it has an inverse modulo 2^64
@@ -153,13 +154,13 @@ def _scan(df: DataFrame, n: int) -> DataFrame:
     """(id, n, class) per document."""
     def run(batches):
         shingles = Shingler(n)
-        for b in byte_blocks(batches, 0):
+        for b in byte_blocks(batches, 0, TEXTS):
             sets = shingles(b.column(0))
             yield pa.RecordBatch.from_arrays(
                 [b.column(1), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([class_of(s) for s in sets], pa.int64())], names=["id", "n", "class"])
 
-    return df.mapInArrow(run, "id long, n long, class long")
+    return df.mapInArrow(lean(run), "id long, n long, class long")
 
 
 def _frequencies(df: DataFrame, n: int, percent: int) -> DataFrame:
@@ -167,13 +168,13 @@ def _frequencies(df: DataFrame, n: int, percent: int) -> DataFrame:
     set, in the order of the hashes; counted per block before the shuffle."""
     def run(batches):
         shingles = Shingler(n)
-        for b in byte_blocks(batches, 0):
+        for b in byte_blocks(batches, 0, TEXTS):
             cut = [s[:prefix_size(len(s), percent)] for s in shingles(b.column(0))]
             grams, c = np.unique(np.concatenate([np.zeros(0, np.uint64), *cut]), return_counts=True)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(grams.view(np.int64)), pa.array(c, pa.int32())], names=["gram", "c"])
 
-    return (df.mapInArrow(run, "gram long, c int").groupBy("gram")
+    return (df.mapInArrow(lean(run), "gram long, c int").groupBy("gram")
             .agg(F.sum("c").alias("c")).where(F.col("c") >= FREQUENT))
 
 
@@ -211,7 +212,7 @@ def _prefixes(df: DataFrame, n: int, percent: int, shared) -> DataFrame:
             parts = np.where(long_grams[at] == cut, -(-long_counts[at] // LIST), 1)
             return cut, parts if parts.max() > 1 else None
 
-        for b in byte_blocks(batches, 0):
+        for b in byte_blocks(batches, 0, TEXTS):
             rows = [s for s in shingles(b.column(0)) if len(s)]
             cut = [prefix(s) for s in rows]
             yield pa.RecordBatch.from_arrays(
@@ -220,7 +221,7 @@ def _prefixes(df: DataFrame, n: int, percent: int, shared) -> DataFrame:
                  pa.array([p for _, p in cut], pa.list_(pa.int32()))],
                 names=["class", "n", "grams", "parts"])
 
-    return df.mapInArrow(run, "class long, n long, grams array<long>, parts array<int>")
+    return df.mapInArrow(lean(run), "class long, n long, grams array<long>, parts array<int>")
 
 
 def _chains(percent: int):
@@ -261,7 +262,7 @@ def _sets(df: DataFrame, n: int, wanted: DataFrame) -> DataFrame:
 
     def run(batches):
         shingles, bits = Shingler(n), shared.value
-        for b in byte_blocks(batches, 0):
+        for b in byte_blocks(batches, 0, TEXTS):
             sets = [s for s in shingles(b.column(0)) if len(s)]
             ids = np.array([class_of(s) for s in sets], np.int64)
             keep = np.flatnonzero(_marked(bits, ids.view(np.uint64)))
@@ -269,7 +270,7 @@ def _sets(df: DataFrame, n: int, wanted: DataFrame) -> DataFrame:
                 [pa.array(ids[keep]), _lists([sets[i] for i in keep.tolist()])],
                 names=["class", "grams"])
 
-    rows = df.mapInArrow(run, "class long, grams array<long>")
+    rows = df.mapInArrow(lean(run), "class long, grams array<long>")
     return rows.groupBy("class").agg(F.first("grams").alias("grams"))
 
 
@@ -355,7 +356,7 @@ def _linked(rows: DataFrame, percent: int, name: str) -> DataFrame:
     """Links found in the cells of ``rows`` (grp, cell, class, root, grams)."""
     return saved(rows.select("grp", "cell", "class", "root", "grams")
                  .repartition("grp", "cell").sortWithinPartitions("grp", "cell")
-                 .mapInArrow(_product(percent), "a long, b long"), name)
+                 .mapInArrow(lean(_product(percent)), "a long, b long"), name)
 
 
 def _cells(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -474,7 +475,7 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", n
              .withColumn("part", F.pmod(F.xxhash64("class"), F.col("of")).cast("int")))
     chained = (lists.select("gram", "part", "n", "class", "of").repartition("gram", "part")
                .sortWithinPartitions("gram", "part", "n", "class")
-               .mapInArrow(_chains(percent), "a long, b long"))
+               .mapInArrow(lean(_chains(percent)), "a long, b long"))
     groups = components(chained)               # candidate groups
 
     wanted = groups.select(F.col("node").alias("class"), F.col("root").alias("grp"))

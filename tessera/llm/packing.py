@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import byte_blocks, extended, saved, tokenizer_path
+from .common import byte_blocks, extended, lean, saved, tokenizer_path
 
 CAPACITY = 2048
 SEPARATOR = 0
@@ -130,7 +130,7 @@ def pieces(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
                  pa.array(ids, pa.binary())],
                 names=["doc_id", "piece", "start", "length", "ids"])
 
-    cut = inner.mapInArrow(run, "doc_id long, piece int, start long, length long, ids binary")
+    cut = inner.mapInArrow(lean(run), "doc_id long, piece int, start long, length long, ids binary")
     return saved(cut.withColumn("row", F.monotonically_increasing_id()), "pieces")
 
 
@@ -268,7 +268,7 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, nodes: int = NODES) -> DataFr
                 [*b.columns[:rank], pa.array(seq[i] + r - lo[i]), pa.array(off[i])],
                 names=[*names, "sequence_id", "offset"])
 
-    return ranked.mapInArrow(run, extended(cut, sequence_id="long", offset="long"))
+    return ranked.mapInArrow(lean(run), extended(cut, sequence_id="long", offset="long"))
 
 
 def sequences(placed: DataFrame, cut: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_blocks, extended, saved
+from .common import byte_blocks, extended, lean, saved
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
@@ -147,7 +147,7 @@ def scan(df: DataFrame, text: str, window: int) -> DataFrame:
                  pa.array([g[2] for g in got], pa.list_(_NEAR))],
                 names=[*names, "key", "base", "near"])
 
-    return df.mapInArrow(run, extended(df, **SCAN))
+    return df.mapInArrow(lean(run), extended(df, **SCAN))
 
 
 def term_counts(df: DataFrame, text: str = "text") -> DataFrame:
@@ -170,7 +170,7 @@ def term_counts(df: DataFrame, text: str = "text") -> DataFrame:
                     counts.clear()
         yield rows()
 
-    return (inner.mapInArrow(run, "term string, n long").groupBy("term")
+    return (inner.mapInArrow(lean(run), "term string, n long").groupBy("term")
             .agg(F.sum("n").alias("n")))
 
 
@@ -267,4 +267,4 @@ def sanitise(df: DataFrame, text: str = "text", **options) -> DataFrame:
             cols[at] = pa.array(new, pa.string())
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    return found.mapInArrow(run, found.drop("spans").schema)
+    return found.mapInArrow(lean(run), found.drop("spans").schema)

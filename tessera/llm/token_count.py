@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_blocks, tokenizer_path
+from .common import byte_blocks, lean, tokenizer_path
 
 SPACE = "▁"           # the vocabulary's visible blank
 CACHE = 400_000            # merged parts a worker remembers
@@ -161,7 +161,7 @@ def count_tokens(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("do
 
     schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in kept),
                         "__direct long", "__tokens long", "__bytes long"])
-    out = inner.mapInArrow(run, schema)
+    out = inner.mapInArrow(lean(run), schema)
     return out.select(*[F.col(f"__k{i}").alias(c) for i, c in enumerate(keep)],
                       F.col("__bytes").alias("n_bytes"), F.col("__tokens").alias("n_tokens"),
                       (F.col("__tokens") > limit).alias("over_limit"),
