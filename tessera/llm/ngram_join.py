@@ -36,6 +36,7 @@ MARKS = 1 << 26            # bits of the filters over n-grams and classes (8 MB)
 LIST = 8192                # rows of one n-gram that are chained in one task
 CUT_LISTS = 1 << 16        # lists that may be cut into parts
 BLOCK = 1024               # rows of a block of the product
+GRAMS = 1 << 21            # n-grams in the sets of a block
 COLUMNS = 8192             # n-grams of a range of the product
 TEXTS = 2 << 20            # bytes of texts that are hashed as a block
 PIECE = 1 << 20            # bytes of them at once
@@ -359,22 +360,26 @@ def _linked(rows: DataFrame, percent: int, name: str) -> DataFrame:
                  .mapInArrow(lean(_product(percent)), "a long, b long"), name)
 
 
-def _cells(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(first, rest): the rows dealt out to the cells of the product.
+def _cells(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(first, rest, cut): the rows dealt out to the cells of the product, and
+    the groups that are cut.
 
-    ``rows`` holds (grp, class, n, grams).  A group of up to ``BLOCK`` rows is
-    one cell.  A larger one is cut into bands of sizes — rows that can link lie
+    ``rows`` holds (grp, class, n, grams).  A group of up to ``BLOCK`` rows and
+    ``GRAMS`` n-grams is one cell.  A larger one is cut into bands of sizes — rows that can link lie
     in the same or in neighbouring bands — and bands into blocks by hash.  The
     first cells hold each block alone, and each with the first block of its
     band and of the next; the rest hold all other pairs of blocks."""
-    sizes = rows.groupBy("grp").agg(F.count("*").alias("size"))
-    rows = rows.join(saved(sizes, "sizes"), "grp").where("size > 1")
-    small = rows.where(F.col("size") <= BLOCK).withColumn("cell", F.lit(""))
+    sizes = rows.groupBy("grp").agg(F.count("*").alias("size"), F.sum("n").alias("weight"))
+    sizes = saved(sizes, "sizes")
+    rows = rows.join(sizes, "grp").where("size > 1")
+    fits = (F.col("size") <= BLOCK) & (F.col("weight") <= GRAMS)
+    small = rows.where(fits).withColumn("cell", F.lit(""))
     width = math.log(100 / percent) * (1 + 1e-9)
-    large = (rows.where(F.col("size") > BLOCK)
+    large = (rows.where(~fits)
              .withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.lit(width)).cast("int")))
-    bands = large.groupBy("grp", "band").agg(
-        F.ceil(F.count("*") / F.lit(BLOCK // 2)).cast("int").alias("blocks"))
+    bands = large.groupBy("grp", "band").agg(F.greatest(
+        F.ceil(F.count("*") / F.lit(BLOCK // 2)),
+        F.ceil(F.sum("n") / F.lit(GRAMS // 2))).cast("int").alias("blocks"))
     bands = saved(bands, "bands")
     near = bands
     for step, name in ((1, "above"), (-1, "below")):
@@ -400,7 +405,7 @@ def _cells(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     names = [*small.columns]
     start = large.withColumn("cell", F.explode(first)).select(*names)
     rest = large.withColumn("cell", F.explode(F.array_except(every, first))).select(*names)
-    return small.unionByName(start), rest
+    return small.unionByName(start), rest, sizes.where(~fits).select("grp")
 
 
 def components(links: DataFrame, name: str = "components") -> DataFrame:
@@ -482,17 +487,16 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", n
     sets = _sets(docs.select("text"), n, wanted)
     members = saved(sets.join(wanted, "class")
                     .select("grp", "class", F.size("grams").alias("n"), "grams"), "members")
-    first, rest = _cells(members, percent)
+    first, rest, cut = _cells(members, percent)
     links = _linked(first.withColumn("root", F.col("class")), percent, "links")
     roots = components(links)
     # groups that are not connected yet: the other cells
     placed = members.select("grp", "class").join(
         roots.select(F.col("node").alias("class"), "root"), "class", "left").select(
         "grp", "class", F.coalesce("root", "class").alias("root"))
-    open_groups = (placed.groupBy("grp").agg(F.min("root").alias("x"), F.max("root").alias("y"),
-                                             F.count("*").alias("size"))
-                   .where((F.col("x") != F.col("y")) & (F.col("size") > BLOCK)).select("grp"))
-    open_groups = saved(open_groups, "open")
+    open_groups = (placed.groupBy("grp").agg(F.min("root").alias("x"), F.max("root").alias("y"))
+                   .where("x <> y").select("grp"))
+    open_groups = saved(open_groups.join(cut, "grp", "left_semi"), "open")
     if not open_groups.isEmpty():
         known = placed.join(open_groups, "grp", "left_semi").select("class", "root")
         more = _linked(rest.join(open_groups, "grp", "left_semi").join(known, "class"), percent, "links")

@@ -80,7 +80,7 @@ def corpus(seed, n=260):
 @pytest.mark.parametrize("seed,small", [(1, False), (2, True), (3, True)])
 def test_against_brute_force(docs_of, monkeypatch, seed, small):
     if small:                                  # long lists cut into parts, groups into many cells
-        for name, value in (("LIST", 10), ("BLOCK", 8), ("COLUMNS", 16), ("PIECE", 64), ("MARKS", 1 << 10)):
+        for name, value in (("LIST", 10), ("BLOCK", 8), ("GRAMS", 400), ("COLUMNS", 16), ("PIECE", 64), ("MARKS", 1 << 10)):
             monkeypatch.setattr(nj, name, value)
     rows = corpus(seed)
     assert run(docs_of, rows) == brute(rows)
