@@ -204,15 +204,16 @@ _ROWNUM = ("CAST(ROW_NUMBER() OVER (PARTITION BY ParcelID, PropertyAddress, Sale
 
 @query("win2_row_number", f"SELECT UniqueID, {_ROWNUM} FROM parcels", uses=[P])
 def win2(spark, sf):
-    return windows.number_rows(parcels(spark, sf), DUP_KEYS, "UniqueID").select(
-        "UniqueID", "row_num")
+    rows = parcels(spark, sf).select(*DUP_KEYS, "UniqueID")
+    return windows.number_rows(rows, DUP_KEYS, "UniqueID").select("UniqueID", "row_num")
 
 
 @query("flt5_duplicates", f"""
 SELECT UniqueID, ParcelID, PropertyAddress, row_num
 FROM (SELECT *, {_ROWNUM} FROM parcels) WHERE row_num > 1 ORDER BY PropertyAddress""", uses=[P])
 def flt5(spark, sf):
-    d = windows.duplicates(parcels(spark, sf), DUP_KEYS, "UniqueID")
+    rows = parcels(spark, sf).select(*DUP_KEYS, "UniqueID")
+    d = windows.duplicates(rows, DUP_KEYS, "UniqueID")
     return d.select("UniqueID", "ParcelID", "PropertyAddress", "row_num") \
         .orderBy("PropertyAddress", "UniqueID")
 
