@@ -207,7 +207,7 @@ def profile(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
         quartiles = exact_quantiles_of(df, num, [0.25, 0.5, 0.75])
         qrows = [(n, *quartiles[n]) for n in num]
     quart = spark.createDataFrame(qrows, "column string, q1 double, q2 double, q3 double")
-    out = base.join(top, "column", "left").join(F.broadcast(quart), "column", "left")
+    out = base.join(top, "column", "left").join(quart, "column", "left")
     return out.select(
         "column", F.col("count").cast("bigint").alias("count"),
         F.col("unique").cast("bigint").alias("unique"), "top",
