@@ -4,7 +4,9 @@ sanitisation.
 The base patterns find the protected entities.  Which other words give an
 entity away is estimated from the whole corpus: a term ``t`` that occurs
 ``n_t`` times, ``n_te`` of them near entity ``e``, raises the probability of
-``e`` from its share of all words to ``n_te / n_t``.  The gain in information,
+``e`` from its share of all words to ``n_te / n_t``.  All counts are
+occurrences in all texts, copies included; words inside base spans are no
+words.  The gain in information,
 divided by the information content of ``e``, is the share of ``e`` that ``t``
 discloses; 1 means that ``t`` occurs near ``e`` only.  Terms at or above the
 disclosure threshold become spans of kind ``term``; sanitising replaces every
@@ -27,7 +29,7 @@ from .common import byte_blocks, extended, lean, saved
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
 WINDOW = 5                 # words on either side of an entity that are its context
-SUPPORT = 3                # least number of distinct contexts a term shares with an entity
+SUPPORT = 3                # least number of distinct texts a term shares with an entity
 THRESHOLD = 0.9            # share of an entity's information a term may not reach
 FLUSH = 300_000            # distinct words a task counts before it hands them on
 
@@ -84,11 +86,8 @@ def base_spans(t: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def context_words(t: str, spans, window: int = WINDOW):
-    """(span, [(word, start, end)]) of the ``window`` words on either side of
-    every span; words that overlap a span are no context."""
-    if not spans:
-        return
+def free_words(t: str, spans) -> list[tuple[str, int, int]]:
+    """(word, start, end) of the lower-cased words that overlap no span."""
     taken = sorted((a, b) for _, a, b in spans)
     words, i, end = [], 0, 0                   # end: of the spans that start before the word
     for m in WORD.finditer(t):
@@ -97,6 +96,12 @@ def context_words(t: str, spans, window: int = WINDOW):
             i += 1
         if end <= m.start():
             words.append((m[0].lower(), m.start(), m.end()))
+    return words
+
+
+def context_words(words, spans, window: int = WINDOW):
+    """(span, [(word, start, end)]) of the ``window`` free words on either
+    side of every span."""
     starts, ends = [w[1] for w in words], [w[2] for w in words]
     for span in spans:
         left, right = bisect_right(ends, span[1]), bisect_left(starts, span[2])
@@ -113,84 +118,103 @@ def joined(spans) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
 
-SCAN = {"key": "binary", "base": "array<struct<kind: string, start: int, end: int>>",
-        "near": "array<struct<entity: string, term: string, context: long, start: int, end: int>>"}
+SCAN = {"key": "binary", "base": "array<struct<kind: string, start: int, end: int>>"}
+EVIDENCE = ("key binary, entities array<string>, "
+            "near array<struct<entity: string, term: string, start: int, end: int>>, "
+            "term string, n long")
 _SPAN = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
-_NEAR = pa.struct([("entity", pa.string()), ("term", pa.string()), ("context", pa.int64()),
+_NEAR = pa.struct([("entity", pa.string()), ("term", pa.string()),
                    ("start", pa.int32()), ("end", pa.int32())])
 
 
-def scan(df: DataFrame, text: str, window: int) -> DataFrame:
-    """``df`` with the key of the text, its base spans and their contexts."""
+def scan(df: DataFrame, text: str) -> DataFrame:
+    """``df`` with the base spans of the text, and its key if there are any."""
     names = [c for c in df.columns]
     at = names.index(text)
 
     def one(t):
-        t = t or ""
-        spans = base_spans(t)
-        near = []
-        for span, ws in context_words(t, spans, window):
-            if ws:
-                e = entity_of(t, span)
-                c = xxhash.xxh3_64_intdigest(" ".join([e, *(w for w, _, _ in ws)]).encode())
-                near += [{"entity": e, "term": w, "context": c - (1 << 63), "start": a, "end": b}
-                         for w, a, b in ws]
+        spans = base_spans(t or "")
         return (xxhash.xxh3_128_digest(t.encode()) if spans else None,
-                [{"kind": k, "start": a, "end": b} for k, a, b in spans], near)
+                [{"kind": k, "start": a, "end": b} for k, a, b in spans])
 
     def run(batches):
         for b in byte_blocks(batches, at):
             got = [one(t) for t in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array([g[0] for g in got], pa.binary()),
-                 pa.array([g[1] for g in got], pa.list_(_SPAN)),
-                 pa.array([g[2] for g in got], pa.list_(_NEAR))],
-                names=[*names, "key", "base", "near"])
+                 pa.array([g[1] for g in got], pa.list_(_SPAN))],
+                names=[*names, "key", "base"])
 
     return df.mapInArrow(lean(run), extended(df, **SCAN))
 
 
-def term_counts(df: DataFrame, text: str = "text") -> DataFrame:
-    """(term, n): occurrences of every lower-cased word in the whole corpus,
-    counted per task before the shuffle."""
+def evidence(df: DataFrame, text: str, window: int) -> DataFrame:
+    """Rows of two kinds from one pass over the texts: ``key, entities, near``
+    of every text with base spans (the entity of every span; every free word
+    in the window of an entity, once per entity), and ``term, n``, the free
+    words counted per task before the shuffle."""
     inner = df.select(F.col(text).alias("text")).where(F.col("text").isNotNull())
 
     def run(batches):
-        counts: Counter = Counter()
-
-        def rows():
+        counts: Counter = Counter()            # of words as written
+
+        def rows(keys=(), entities=(), near=()):
+            lower: Counter = Counter()
+            if not keys:
+                for w, n in counts.items():
+                    lower[w.lower()] += n
+                counts.clear()
+            k, n = len(keys), len(lower)
             return pa.RecordBatch.from_arrays(
-                [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
-                names=["term", "n"])
+                [pa.array([*keys, *[None] * n], pa.binary()),
+                 pa.array([*entities, *[None] * n], pa.list_(pa.string())),
+                 pa.array([*near, *[None] * n], pa.list_(_NEAR)),
+                 pa.array([*[None] * k, *lower], pa.string()),
+                 pa.array([*[None] * k, *lower.values()], pa.int64())],
+                names=["key", "entities", "near", "term", "n"])
         for b in byte_blocks(batches, 0):
+            keys, entities, near = [], [], []
             for t in b.column(0).to_pylist():
-                counts.update(WORD.findall(t.lower()))
+                spans = base_spans(t)
+                if spans:
+                    words = free_words(t, spans)
+                    counts.update(w for w, _, _ in words)
+                    keys.append(xxhash.xxh3_128_digest(t.encode()))
+                    entities.append([entity_of(t, s) for s in spans])
+                    found = {(e, *w): None for e, (_, ws) in
+                             zip(entities[-1], context_words(words, spans, window)) for w in ws}
+                    near.append([{"entity": e, "term": w, "start": a, "end": z}
+                                 for e, w, a, z in found])
+                else:
+                    counts.update(WORD.findall(t))
                 if len(counts) > FLUSH:
                     yield rows()
-                    counts.clear()
+            if keys:
+                yield rows(keys, entities, near)
         yield rows()
 
-    return (inner.mapInArrow(lean(run), "term string, n long").groupBy("term")
-            .agg(F.sum("n").alias("n")))
+    return inner.mapInArrow(lean(run), EVIDENCE)
 
 
-def disclosing(scanned: DataFrame, docs: DataFrame, text: str, support: int,
-               threshold: float) -> DataFrame:
+def disclosing(seen: DataFrame, support: int, threshold: float) -> DataFrame:
     """(entity, term) pairs where the term discloses at least ``threshold`` of
-    the entity.
+    the entity, from the rows of ``evidence``.
 
-    ``n_te`` counts distinct contexts, so copies of one text are one piece of
-    evidence; ``n_t`` counts every occurrence in the corpus.  The share is
-    ``1 + ln(n_te / n_t) / IC(e)`` with ``IC(e) = -ln(n_e / N)``: contexts of
-    ``e`` against words of the corpus.
+    The share is ``1 + ln(n_te / n_t) / IC(e)`` with ``IC(e) = -ln(n_e / N)``.
+    All four count occurrences in the whole corpus: of the term near the
+    entity, of the term, of the entity, and of words.  Copies weigh alike in
+    all of them, but are one of the ``support`` distinct texts a pair needs.
     """
-    seen = scanned.select(F.explode("near").alias("x")).select("x.entity", "x.term", "x.context")
-    pairs = (seen.distinct().groupBy("entity", "term").agg(F.count("*").alias("n_te"))
-             .where(F.col("n_te") >= support))
-    entities = (seen.select("entity", "context").distinct().groupBy("entity")
+    texts = seen.where(F.col("key").isNotNull())
+    pairs = (texts.select("key", F.explode("near").alias("x"))
+             .groupBy("x.entity", "x.term", "key").agg(F.count("*").alias("n"))
+             .groupBy("entity", "term").agg(F.sum("n").alias("n_te"), F.count("*").alias("texts"))
+             .where(F.col("texts") >= support))
+    entities = (texts.select(F.explode("entities").alias("entity")).groupBy("entity")
                 .agg(F.count("*").alias("n_e")))
-    counts = saved(term_counts(docs, text), "terms")
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    words = seen.where(F.col("term").isNotNull()).select("term", "n")
+    counts = words.groupBy("term").agg(F.sum("n").alias("n"))
+    total = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     content = F.greatest(-F.log(F.least(F.col("n_e") / F.lit(float(max(total, 1))), F.lit(1.0))),
                          F.lit(1e-9))
     share = 1 + F.log(F.least(F.col("n_te") / F.col("n"), F.lit(1.0))) / content
@@ -213,15 +237,15 @@ def find(df: DataFrame, text: str = "text", window: int = WINDOW, support: int =
     df = df.select(*[F.col(f"`{c}`") for c in kept])
     inner = df.select(*[F.col(f"`{c}`").alias(f"__c{i}") for i, c in enumerate(kept)])
     at = f"__c{kept.index(text)}"
-    evidence = saved(scan(inner.select(at), at, window).select("key", "near")
-                     .where(F.size("near") > 0), "contexts")
-    reveal = disclosing(evidence, inner, at, support, threshold)
-    terms = (evidence.dropDuplicates(["key"]).select("key", F.explode("near").alias("x"))
+    seen = saved(evidence(inner, at, window), "evidence")
+    reveal = disclosing(seen, support, threshold)
+    terms = (seen.where(F.col("key").isNotNull()).dropDuplicates(["key"])
+             .select("key", F.explode("near").alias("x"))
              .select("key", "x.entity", "x.term", "x.start", "x.end")
              .join(reveal, ["entity", "term"])
              .groupBy("key").agg(F.array_sort(F.collect_set(F.struct(
                  F.lit(TERM).alias("kind"), "start", "end"))).alias("terms")))
-    rows = scan(inner, at, window).drop("near")
+    rows = scan(inner, at)
     bare = rows.where(F.col("key").isNull()).withColumn("spans", F.col("base"))
     full = (rows.where(F.col("key").isNotNull()).join(terms, "key", "left")
             .withColumn("spans", F.concat("base", F.coalesce("terms", F.array()))).drop("terms"))

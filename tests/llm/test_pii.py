@@ -83,6 +83,31 @@ def test_copies_are_one_piece_of_evidence(docs_of):
     assert all([s.kind for s in r.spans] == ["email"] for r in pii.find(df).collect())
 
 
+def masked(rows):
+    return {r.text[s.start:s.end] for r in rows for s in r.spans if s.kind == "term"}
+
+
+def test_copies_hide_no_term(docs_of):
+    rest = secret_corpus()
+    rows = pii.find(docs_of([t for t in rest[:6] for _ in range(200)] + rest[6:] * 20)).collect()
+    assert masked(rows) == {"zanthor"}
+
+
+def test_one_context_in_different_texts(docs_of):
+    filler = "and so it goes with many words of a common kind in every line "
+    line = "please do ask for zanthor at z@example.com about it and so on "
+    rows = pii.find(docs_of([f"{filler}{w} {line}" for w in ("alpha", "beta", "gamma", "delta")]
+                            + secret_corpus()[6:] + [line.replace("zanthor at z@example.com", "us")] * 200))
+    assert masked(rows.collect()) == {"zanthor"}
+
+
+def test_words_in_spans_and_odd_lower_case(docs_of):
+    """Words of an address, and words whose lower case is longer, count alike
+    near an entity and in the corpus."""
+    texts = [t.replace("zanthor", "İzan").replace("z@example.com", "İzan a@izan.org") for t in secret_corpus()]
+    assert masked(pii.find(docs_of(texts)).collect()) == {"İzan"}
+
+
 def test_sanitise(docs_of):
     df = docs_of(secret_corpus() + ["x +1 555 123 4567 y 1.2.3.4", None, ""])
     rows = pii.sanitise(df.withColumn("spans", F.lit(1))).orderBy("doc_id").collect()
