@@ -9,15 +9,15 @@ occurrences in all texts, copies included; words inside base spans are no
 words.  The gain in information,
 divided by the information content of ``e``, is the share of ``e`` that ``t``
 discloses; 1 means that ``t`` occurs near ``e`` only.  Terms at or above the
-disclosure threshold become spans of kind ``term``; sanitising replaces every
-span by the name of its kind.
+disclosure threshold become spans of kind ``term`` wherever they stand, near
+the entity or not; sanitising replaces every span by the name of its kind.
 """
 
 from __future__ import annotations
 
 import re
 from bisect import bisect_left, bisect_right
-from collections import Counter
+from collections import Counter, defaultdict
 
 import pyarrow as pa
 import xxhash
@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import byte_blocks, extended, lean, saved
+from .ngram_join import MARKS, _marks
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
@@ -120,34 +121,93 @@ def joined(spans) -> str:
 
 SCAN = {"key": "binary", "base": "array<struct<kind: string, start: int, end: int>>"}
 EVIDENCE = ("key binary, entities array<string>, "
-            "near array<struct<entity: string, term: string, start: int, end: int>>, "
+            "near array<struct<entity: string, term: string>>, "
             "term string, n long")
 _SPAN = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
-_NEAR = pa.struct([("entity", pa.string()), ("term", pa.string()),
-                   ("start", pa.int32()), ("end", pa.int32())])
+_NEAR = pa.struct([("entity", pa.string()), ("term", pa.string())])
+_AT = pa.struct([("start", pa.int32()), ("end", pa.int32())])
+_HIT = pa.struct([("term", pa.string()), ("at", pa.list_(_AT))])
 
 
-def scan(df: DataFrame, text: str) -> DataFrame:
-    """``df`` with the base spans of the text, and its key if there are any."""
+def _bit(bits, value: int) -> bool:
+    at = value % MARKS
+    return bool(bits[at >> 3] >> (at & 7) & 1)
+
+
+def _filter(values: DataFrame, c: str):
+    """Filter of fixed size over a column, for every task: what it lets
+    through by chance is dropped by the join that follows."""
+    return values.sparkSession.sparkContext.broadcast(
+        _marks(values.select(F.xxhash64(c).alias("h")), "h"))
+
+
+def scan(df: DataFrame, text: str, keys) -> DataFrame:
+    """``df`` with the base spans of the text, and its key if the filter
+    ``keys`` lets it through."""
     names = [c for c in df.columns]
     at = names.index(text)
 
-    def one(t):
-        spans = base_spans(t or "")
-        return (xxhash.xxh3_128_digest(t.encode()) if spans else None,
-                [{"kind": k, "start": a, "end": b} for k, a, b in spans])
-
     def run(batches):
+        bits = keys.value
+
+        def key_of(t):
+            key = xxhash.xxh3_128_digest((t or "").encode())
+            return key if _bit(bits, xxhash.xxh64_intdigest(key, 42)) else None
         for b in byte_blocks(batches, at):
-            got = [one(t) for t in b.column(at).to_pylist()]
+            texts = b.column(at).to_pylist()
+            base = [[{"kind": k, "start": a, "end": z} for k, a, z in base_spans(t or "")]
+                    for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array([g[0] for g in got], pa.binary()),
-                 pa.array([g[1] for g in got], pa.list_(_SPAN))],
+                [*b.columns, pa.array(map(key_of, texts), pa.binary()),
+                 pa.array(base, pa.list_(_SPAN))],
                 names=[*names, "key", "base"])
 
     return df.mapInArrow(lean(run), extended(df, **SCAN))
 
 
+def occurrences(df: DataFrame, text: str, terms: DataFrame) -> DataFrame:
+    """(key, terms): the spans of all ``terms`` in every text that has any, by
+    start, outside of its base spans; one row for all copies of a text."""
+    inner = df.select(F.col(text).alias("text")).where(F.col("text").isNotNull())
+    shared = _filter(terms, "term")
+
+    def run(batches):
+        bits = shared.value
+        judged: dict[str, bool] = {}
+
+        def passes(w):
+            got = judged.get(w)
+            if got is None:
+                if len(judged) > FLUSH:
+                    judged.clear()
+                got = judged[w] = _bit(bits, xxhash.xxh64_intdigest(w.lower().encode(), 42))
+            return got
+        for b in byte_blocks(batches, 0):
+            keys, hits = [], []
+            for t in b.column(0).to_pylist():
+                if not any(map(passes, set(WORD.findall(t)))):
+                    continue
+                found = defaultdict(list)
+                for w, a, z in free_words(t, base_spans(t)):
+                    if passes(w):
+                        found[w].append({"start": a, "end": z})
+                if found:
+                    keys.append(xxhash.xxh3_128_digest(t.encode()))
+                    hits.append([{"term": w, "at": at} for w, at in found.items()])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.binary()), pa.array(hits, pa.list_(_HIT))],
+                names=["key", "hits"])
+
+    hits = inner.mapInArrow(lean(run), "key binary, hits array<struct<term: string, "
+                                       "at: array<struct<start: int, end: int>>>>")
+    return (hits.dropDuplicates(["key"]).select("key", F.explode("hits").alias("x"))
+            .select("key", "x.term", "x.at").join(terms, "term").groupBy("key")
+            .agg(F.array_sort(F.flatten(F.collect_list("at"))).alias("at"))
+            .select("key", F.transform("at", lambda s: F.struct(
+                F.lit(TERM).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+                .alias("terms")))
+
+
 def evidence(df: DataFrame, text: str, window: int) -> DataFrame:
     """Rows of two kinds from one pass over the texts: ``key, entities, near``
     of every text with base spans (the entity of every span; every free word
@@ -183,8 +243,7 @@ def evidence(df: DataFrame, text: str, window: int) -> DataFrame:
                     entities.append([entity_of(t, s) for s in spans])
                     found = {(e, *w): None for e, (_, ws) in
                              zip(entities[-1], context_words(words, spans, window)) for w in ws}
-                    near.append([{"entity": e, "term": w, "start": a, "end": z}
-                                 for e, w, a, z in found])
+                    near.append([{"entity": e, "term": w} for e, w, _, _ in found])
                 else:
                     counts.update(WORD.findall(t))
                 if len(counts) > FLUSH:
@@ -225,12 +284,13 @@ def disclosing(seen: DataFrame, support: int, threshold: float) -> DataFrame:
 def find(df: DataFrame, text: str = "text", window: int = WINDOW, support: int = SUPPORT,
          threshold: float = THRESHOLD) -> DataFrame:
     """``df`` with ``base`` (spans of the base patterns, by kind as listed,
-    then start) and ``spans`` (the same, then the terms that disclose an
-    entity of the text, by start): arrays of (kind, start, end) in code
-    points, end exclusive.
+    then start) and ``spans`` (the same, then every occurrence of a term that
+    discloses an entity of the corpus, by start): arrays of (kind, start, end)
+    in code points, end exclusive.
 
     A null text has no spans.  Copies of a text get the same spans; a row of a
-    text without base spans never meets a shuffle.  Columns of ``df`` named
+    text without such terms does not meet a shuffle, but for the few that the
+    filter lets through by chance.  Columns of ``df`` named
     ``base`` or ``spans`` are replaced; other columns stay as they are.
     """
     kept = [c for c in df.columns if c not in ("base", "spans")]
@@ -238,14 +298,9 @@ def find(df: DataFrame, text: str = "text", window: int = WINDOW, support: int =
     inner = df.select(*[F.col(f"`{c}`").alias(f"__c{i}") for i, c in enumerate(kept)])
     at = f"__c{kept.index(text)}"
     seen = saved(evidence(inner, at, window), "evidence")
-    reveal = disclosing(seen, support, threshold)
-    terms = (seen.where(F.col("key").isNotNull()).dropDuplicates(["key"])
-             .select("key", F.explode("near").alias("x"))
-             .select("key", "x.entity", "x.term", "x.start", "x.end")
-             .join(reveal, ["entity", "term"])
-             .groupBy("key").agg(F.array_sort(F.collect_set(F.struct(
-                 F.lit(TERM).alias("kind"), "start", "end"))).alias("terms")))
-    rows = scan(inner, at)
+    reveal = saved(disclosing(seen, support, threshold).select("term").distinct(), "disclosing")
+    terms = saved(occurrences(inner, at, reveal), "terms")
+    rows = scan(inner, at, _filter(terms, "key"))
     bare = rows.where(F.col("key").isNull()).withColumn("spans", F.col("base"))
     full = (rows.where(F.col("key").isNotNull()).join(terms, "key", "left")
             .withColumn("spans", F.concat("base", F.coalesce("terms", F.array()))).drop("terms"))

@@ -101,6 +101,19 @@ def test_one_context_in_different_texts(docs_of):
     assert masked(rows.collect()) == {"zanthor"}
 
 
+def test_disclosing_terms_go_from_every_text(docs_of):
+    """Far from the entity, in other texts, in copies and in any case."""
+    rest = secret_corpus()
+    texts = [f"{t}\n{t.split('please')[0] * 2}Yours, Zanthor" for t in rest[:6]] + rest[6:] * 10
+    texts += ["a visit by ZANTHOR without an address", "a visit by ZANTHOR without an address", "no zanthors here"]
+    rows = pii.find(docs_of(texts)).orderBy("doc_id").collect()
+    found = [[(s.kind, r.text[s.start:s.end]) for s in r.spans] for r in rows]
+    assert found[:6] == [[("email", "z@example.com"), ("term", "zanthor"), ("term", "Zanthor")]] * 6
+    assert found[6:] == [[]] * 2000 + [[("term", "ZANTHOR")]] * 2 + [[]]
+    clean = pii.sanitise(docs_of(texts)).where(F.lower("text").rlike("zanthor\\b"))
+    assert clean.count() == 0
+
+
 def test_words_in_spans_and_odd_lower_case(docs_of):
     """Words of an address, and words whose lower case is longer, count alike
     near an entity and in the corpus."""
