@@ -5,7 +5,9 @@ combined depends on their lengths only, so the search works on the histogram
 of lengths: at most ``capacity`` numbers, whatever the size of the corpus.
 Bin completion takes the largest length left, searches a filling of the rest
 of the sequence by branch and bound, and uses the filling as often as the
-counts allow.  The pieces get their places by their rank among the pieces of
+counts allow.  If that needs more sequences than the tokens alone, other
+fillings, and fewer uses of them, are tried across sequences, also by branch
+and bound.  The pieces get their places by their rank among the pieces of
 the same length, which is counted in bounded blocks.
 """
 
@@ -13,6 +15,7 @@ from __future__ import annotations
 
 import os
 from array import array
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +27,8 @@ from .common import byte_blocks, extended, lean, saved, tokenizer_path
 CAPACITY = 2048
 SEPARATOR = 0
 NODES = 3000               # search nodes a filling may take; the incumbent stands then
+BRANCHES = 2000            # steps the search across sequences may take off the first run
+WIDTH = 16                 # fillings of least waste that a step of it branches over
 RANK_BLOCK = 256           # least number of pieces that are ranked together
 CACHE = 500_000            # words and parts a worker remembers
 LATIN_END = "\u0250"       # first character that needs the vocabulary's own normaliser
@@ -172,40 +177,130 @@ def fill(room: int, top: int, counts: list[int], below: list[int], sums: list[in
     return best
 
 
-def complete(histogram: dict[int, int], capacity: int = CAPACITY,
-             nodes: int = NODES) -> list[tuple[int, list[int]]]:
-    """Sequence patterns ``(how often, lengths)`` that use up the histogram.
+def fillings(room: int, top: int, counts: list[int], below: list[int], sums: list[int],
+             slack: int, nodes: int = NODES) -> list[list[int]]:
+    """Fillings of ``room`` with at most ``slack`` waste that no piece left
+    over fits into, the ``WIDTH`` of least waste first (of those that
+    ``nodes`` steps reach, larger pieces first)."""
+    found, spent = [], 0
+    used: dict[int, int] = {}
+    chosen: list[int] = []
+    stack = [(room, below[min(room, top)])]
+    while stack:
+        left, n = stack[-1]
+        while n > 0 and used.get(n, 0) >= counts[n]:
+            n = below[n - 1]
+        if n <= 0 or left - sums[n] > slack or spent >= nodes:
+            if left <= slack:
+                m = below[min(left, top)]
+                while m > 0 and used.get(m, 0) >= counts[m]:
+                    m = below[m - 1]
+                if m <= 0:
+                    found.append((left, len(found), list(chosen)))
+            stack.pop()
+            if stack:
+                used[chosen.pop()] -= 1
+            continue
+        stack[-1] = (left, below[n - 1])
+        spent += 1
+        chosen.append(n)
+        used[n] = used.get(n, 0) + 1
+        stack.append((left - n, below[min(left - n, n)]))
+    return [f for _, _, f in sorted(found)[:WIDTH]]
 
-    Every step completes a sequence around the largest length left and repeats
-    it while the counts last, so the number of patterns depends on the
-    capacity, not on the number of pieces.
-    """
-    counts = [0] * (capacity + 1)
-    for n, c in histogram.items():
-        counts[n] += c
-    below, sums = [0] * (capacity + 1), [0] * (capacity + 1)
 
-    def refresh():
-        for n in range(1, capacity + 1):
-            below[n] = n if counts[n] else below[n - 1]
-            sums[n] = sums[n - 1] + n * counts[n]
+def _tables(counts: list[int]) -> tuple[list[int], list[int]]:
+    """``below`` and ``sums`` of the counts, see ``fill``."""
+    below, sums = [0] * len(counts), [0] * len(counts)
+    for n in range(1, len(counts)):
+        below[n] = n if counts[n] else below[n - 1]
+        sums[n] = sums[n - 1] + n * counts[n]
+    return below, sums
+
+
+def _most(counts: list[int], lengths: list[int]) -> int:
+    """How often the counts allow the filling."""
+    return min(counts[v] // lengths.count(v) for v in set(lengths))
+
 
-    refresh()
-    patterns = []
+def _first_run(counts: list[int], capacity: int, nodes: int) -> list[tuple[int, list[int]]]:
+    """Patterns with the best filling of every step, as often as it goes."""
+    counts, patterns = list(counts), []
+    below, sums = _tables(counts)
     while (n := below[capacity]) > 0:
         counts[n] -= 1                         # the piece the sequence is built around
         rest = fill(capacity - n, n, counts, below, sums, nodes) if n < capacity else []
         counts[n] += 1
         lengths = [n, *rest]
-        need = {v: lengths.count(v) for v in set(lengths)}
-        times = min(counts[v] // k for v, k in need.items())
-        for v, k in need.items():
-            counts[v] -= k * times
+        times = _most(counts, lengths)
+        for v in lengths:
+            counts[v] -= times
         patterns.append((times, lengths))
-        refresh()
+        below, sums = _tables(counts)
     return patterns
 
 
+def complete(histogram: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES,
+             branches: int = BRANCHES) -> list[tuple[int, list[int]]]:
+    """Sequence patterns ``(how often, lengths)`` that use up the histogram.
+
+    Every step completes a sequence around the largest length left and repeats
+    it, so the number of patterns depends on the capacity, not on the number
+    of pieces.  The first run takes the best filling as often as the counts
+    allow and stands if the tokens alone need as many sequences.  Otherwise
+    steps are branched over their fillings, and over using one as often as it
+    goes, half as often or once; runs with the fewest departures from the
+    first choice come first (fewer uses count as two), of these the ones that
+    depart early, and a run is left when its waste cannot come under the
+    incumbent's.  After ``branches`` steps the incumbent stands.
+    """
+    counts = [0] * (capacity + 1)
+    for n, c in histogram.items():
+        counts[n] += c
+    total = sum(n * c for n, c in enumerate(counts))
+    best = _first_run(counts, capacity, nodes)
+    fewest, least = sum(t for t, _ in best), -(-total // capacity)
+    spent = number = 0
+    # departures, depth of the last one, -depth, number;
+    # counts before the last pattern, tokens after it, sequences, patterns
+    heap = [(0, 0, 0, 0, counts, total, 0, None)]
+    while heap and fewest > least and spent < branches:
+        off, last, depth, _, counts, left, used, run = heappop(heap)
+        spent += off > 0
+        if not left and used < fewest:
+            fewest, best = used, []
+            while run:
+                run, pattern = run
+                best.append(pattern)
+            best.reverse()
+            continue
+        if used - (-left // capacity) >= fewest:
+            continue
+        if run:
+            counts = list(counts)
+            for v in run[1][1]:
+                counts[v] -= run[1][0]
+        below, sums = _tables(counts)
+        n = below[capacity]
+        slack = (fewest - 1 - used) * capacity - left
+        counts[n] -= 1
+        options = fillings(capacity - n, n, counts, below, sums, slack, nodes) if n < capacity else [[]]
+        counts[n] += 1
+        first = True
+        for rest in options:
+            lengths = [n, *rest]
+            most = _most(counts, lengths)
+            for times in dict.fromkeys((most, -(-most // 2), 1)):
+                if times * (capacity - sum(lengths)) <= slack:
+                    number += 1
+                    more = 0 if first else 1 + (times < most)
+                    heappush(heap, (off + more, -depth if more else last, depth - 1, number, counts,
+                                    left - times * sum(lengths), used + times,
+                                    (run, (times, lengths))))
+                    first = False
+    return best
+
+
 def places(patterns) -> tuple[np.ndarray, ...]:
     """Lookup arrays sorted by (length, rank): key, how often, first sequence,
     offset.  The pieces of a length take its places in rank order."""

@@ -129,6 +129,28 @@ def test_close_to_the_optimum(seed):
     assert sum(t for t, _ in patterns) <= optimum(lengths, 20) + 1
 
 
+def test_search_goes_across_sequences():
+    hist = {768: 1000, 704: 3000, 576: 1000, 384: 1000, 256: 1000}
+    patterns = packing.complete(hist)
+    used = defaultdict(int)
+    for times, items in patterns:
+        assert sum(items) <= 2048
+        for n in items:
+            used[n] += times
+    assert used == hist
+    assert sum(t for t, _ in patterns) == 2000
+    assert sum(t for t, _ in packing.complete(hist, branches=0)) == 2250
+
+
+@pytest.mark.parametrize("seed", range(100, 140))
+def test_the_optimum_of_small_cases(seed):
+    rng = random.Random(seed)
+    lengths = sorted((rng.randint(3, 12) for _ in range(9)), reverse=True)
+    patterns = packing.complete({n: lengths.count(n) for n in lengths}, 20)
+    assert sorted(n for t, items in patterns for n in items * t) == lengths[::-1]
+    assert sum(t for t, _ in patterns) == optimum(lengths, 20)
+
+
 def test_empty_table(docs_of):
     cut = packing.pieces(docs_of([]))
     assert cut.count() == 0 and packing.pack(cut).count() == 0
