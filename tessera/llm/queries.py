@@ -6,9 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, host_quality, language_id, line_dedup, ngram_join, packing, pii, topk,
-               url_filter)
-from .common import read
+from . import (bpe, host_quality, language_id, line_dedup, mixing, ngram_join, packing, pii,
+               spelling, topk, url_filter, word_runs)
+from .common import WS_CLASS, read
 from .token_count import count_tokens
 
 QUERIES: dict = {}
@@ -167,3 +167,134 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op10_ngram_jaccard")
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+def _periodic(df: DataFrame) -> DataFrame:
+    """A tenth of the texts made periodic from some word on, as the contract of
+    op11 asks: (doc_id, text)."""
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), WS_CLASS), lambda w: w != "")
+    h = F.crc32(F.col("doc_id").cast("string"))
+    w = df.select("doc_id", "text", words.alias("w"), h.alias("h"), F.floor(h / 10).alias("g"))
+    w = w.withColumn("n", F.size("w"))
+    w = w.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    w = w.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    rest = F.col("n") - F.col("a")
+    tail = F.flatten(F.array_repeat(F.slice("w", F.col("a") + 1, F.col("p")),
+                                    F.ceil(rest / F.col("p")).cast("int")))
+    made = F.concat_ws(" ", F.slice("w", F.lit(1), F.col("a")), F.slice(tail, F.lit(1), rest))
+    return w.select("doc_id", F.when((F.col("h") % 10 == 0) & (F.col("n") > 0), made)
+                    .otherwise(F.col("text")).alias("text"))
+
+
+@_query("op11_word_runs")
+def op11_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = word_runs.find_runs(_periodic(read(spark, sf_dir, "documents")))
+    best = word_runs.strongest("runs")
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    found = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("b"),
+                         F.sha2(lines, 256).alias("runs_sha256"),
+                         F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    return found.select("doc_id", "n_runs", "b.start", "b.length", "b.period",
+                        F.floor(1000 * F.col("b.length") / F.col("b.period")).alias("exponent_milli"),
+                        "runs_sha256", "collapsed_sha256")
+
+
+@_query("op12_mix_sources", """
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, source,
+         len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
+         md5(concat('mix0:', coalesce(CAST(doc_id AS VARCHAR), 'null'))) AS k
+  FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY 1),
+i AS (
+  SELECT *, [3, 1, 2][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INT)] AS w
+  FROM s),
+-- capped sources have the smallest caps per weight: try every number of them
+c AS (
+  SELECT *, 2.0 * source_size / w AS reach,
+         1.5 * sum(source_size) OVER () - coalesce(sum(2 * source_size) OVER b, 0) AS rest,
+         sum(w) OVER () - coalesce(sum(w) OVER b, 0) AS weight
+  FROM i WINDOW b AS (ORDER BY 2.0 * source_size / w, source
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+l AS (
+  SELECT CAST(rest AS DOUBLE) / weight AS level FROM c
+  WHERE reach >= CAST(rest AS DOUBLE) / weight ORDER BY reach, source LIMIT 1),
+t AS (
+  SELECT source, source_size,
+         CASE WHEN level * w > 2.0 * source_size THEN CAST(2 * source_size AS DOUBLE) ELSE level * w END AS target
+  FROM i, l),
+q AS (SELECT *, CAST(floor(target + 0.5) AS BIGINT) AS words FROM t),
+p AS (
+  SELECT d.doc_id, d.size, q.source_size, q.target, q.words,
+         coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY k, d.size, r
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS a
+  FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+       CAST(least(greatest(words - a, 0), size) + least(greatest(words - source_size - a, 0), size)
+            AS BIGINT) AS taken
+FROM p
+""")
+def op12_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, pieces = mixing.mix(read(spark, sf_dir, "documents").select(
+        "doc_id", "source", mixing.word_count("text").alias("size")))
+    taken = pieces.groupBy("_row").agg(F.sum("length").alias("taken"))
+    return (docs.join(taken, "_row", "left")
+            .select("doc_id", "size", "source_size", "target",
+                    F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
+
+
+@_query("op13_spelling_variants", """
+WITH RECURSIVE t(step, i, c) AS (
+  SELECT 0, i, i FROM range(256) AS x(i)
+  UNION ALL
+  SELECT step + 1, i, CASE WHEN c % 2 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END
+  FROM t WHERE step < 8),
+k AS (SELECT list(CAST(c AS BIGINT) ORDER BY i) AS crc FROM t WHERE step = 8),
+r AS (
+  SELECT doc_id, translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x,
+         count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')) AS x FROM documents)
+  GROUP BY 1, 2),
+b AS (
+  SELECT x, n, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || x, ''),
+           lambda s: CASE WHEN unicode(s) < 128 THEN [unicode(s)]
+                          ELSE [192 + unicode(s) // 64, 128 + unicode(s) % 64] END)) AS bytes
+  FROM r),
+h AS (
+  SELECT x, n, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+           list_transform(bytes, lambda y: CAST(y AS BIGINT))),
+           lambda a, y: xor(a >> 8, crc[xor(a & 255, y) + 1]))) AS h
+  FROM b, k),
+w AS (
+  SELECT CASE WHEN h % 97 = 0 THEN x[:h % length(x)] || x[h % length(x) + 2:] ELSE x END AS word, n
+  FROM h),
+v AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM w WHERE length(word) >= 5 GROUP BY 1 HAVING sum(n) >= 3),
+e AS (
+  SELECT word, n, i, word[:i - 1] || word[i + 1:] AS cut
+  FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM v)),
+p AS (
+  SELECT a.word, b.word AS near, b.n AS near_n
+  FROM e AS a JOIN e AS b ON a.cut = b.cut AND a.i = b.i AND a.word <> b.word
+  UNION
+  SELECT e.word, v.word, v.n FROM e JOIN v ON e.cut = v.word
+  UNION
+  SELECT v.word, e.word, e.n FROM e JOIN v ON e.cut = v.word),
+m AS (
+  SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS near, max(near_n) AS near_n
+  FROM p GROUP BY 1),
+f AS (
+  SELECT v.word, v.n, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near,
+         CASE WHEN near_n >= 2 * v.n THEN near END AS form,
+         CASE WHEN near_n >= 2 * v.n THEN near_n END AS form_n
+  FROM v LEFT JOIN m ON v.word = m.word),
+g(word, root, more) AS (
+  SELECT word, coalesce(form, word), form IS NOT NULL FROM f
+  UNION ALL
+  SELECT g.word, coalesce(f.form, f.word), f.form IS NOT NULL FROM g JOIN f ON g.root = f.word WHERE more)
+SELECT f.word, f.form, g.root, f.n, f.n_near, f.form_n
+FROM f JOIN g ON f.word = g.word WHERE NOT g.more
+""")
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.count_words(read(spark, sf_dir, "documents"), drop_every=97)
+    return spelling.group_variants(words.where("n >= 3"))
