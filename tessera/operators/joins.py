@@ -8,15 +8,22 @@ of a sort-merge join are split otherwise.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 
 def fixed_table(spark: SparkSession, rows, schema: str) -> DataFrame:
-    """A driver-supplied lookup table (stop words, lexicons, bin labels).  It
-    carries no hint: Spark knows its size in bytes and broadcasts it under the
-    session's threshold."""
-    return spark.createDataFrame(list(rows), schema)
+    """A driver-supplied lookup table (stop words, lexicons, bin labels) as a
+    local relation.  It carries no hint: the planner knows the size of such a
+    relation, so a join with one under the session's threshold is planned as a
+    broadcast at once, and the other side is not shuffled."""
+    rows, schema = list(rows), StructType.fromDDL(schema)
+    arrow = to_arrow_schema(schema)
+    columns = [pa.array([r[i] for r in rows], f.type) for i, f in enumerate(arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, schema=arrow), schema)
 
 
 def join_daily(a: DataFrame, b: DataFrame, keys=("location", "date")) -> DataFrame:

@@ -3,8 +3,8 @@
 Corpus-wide counts explode the tokens and use a hash aggregate with map-side
 combine; stop words are removed after counting, on the far smaller
 (token, count) table.  Lexicons (tags, valences, stop words) are tables joined
-on the token, of any size: Spark broadcasts one that is under its threshold
-and shuffles otherwise.
+on the token, of any size: a local relation under the broadcast threshold is
+joined where the tokens are, a larger one is shuffled.
 """
 
 from __future__ import annotations
@@ -231,8 +231,10 @@ def polarity(df: DataFrame, text: str, lexicon: DataFrame | dict | None = None,
     (valence + 1 per positive token), the negative weight (1 - valence per
     negative token) and the neutral weight (1 per other token) over their sum.
     Tokens are joined with the lexicon (a table with ``token`` and
-    ``valence``, each token once) and summed up per text in the task that read
-    it, so one row per text is shuffled; a text without tokens scores 0.
+    ``valence``, each token once).  A lexicon under the broadcast threshold is
+    joined in the task that read the text, which also sums up, so one row per
+    text is shuffled; a larger one shuffles the tokens.  A text without tokens
+    scores 0.
     """
     if not isinstance(lexicon, DataFrame):
         lexicon = valence_table(df.sparkSession, lexicon)
