@@ -3,7 +3,7 @@
 from importlib import import_module
 
 _MODULES = ("daily_metrics", "parcels", "reviews", "review_text", "labels", "billing",
-            "inspection", "tagging")
+            "inspection", "tagging", "ledger")
 
 
 def load_all():

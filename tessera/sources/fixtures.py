@@ -152,6 +152,18 @@ SELECT CAST(c_custkey AS STRING) AS CustID, CAST(1 + c_custkey % 6 AS INT) AS ch
 FROM customer
 """
 
+# Every order is a request to rent a car; a third of them come from one
+# customer.
+SQL["rental_requests"] = """
+SELECT o_orderkey AS RequestID,
+       CASE WHEN o_orderkey % 3 = 0 THEN '1' ELSE CAST(o_custkey AS STRING) END AS CustID,
+       CAST(o_orderdate AS DATE) AS requested_on, CAST(1 + o_orderkey % 4 AS INT) AS choice,
+       CAST(1 + o_custkey % 6 AS INT) AS provider_choice, CAST(o_orderkey % 200 AS STRING) AS CarID,
+       CAST(CAST(o_orderdate AS DATE) AS STRING) AS Startdate,
+       CAST(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 3 AS INT) AS STRING) AS Enddate
+FROM orders
+"""
+
 FIXTURES = tuple(SQL)
 
 
