@@ -3,7 +3,8 @@
 from importlib import import_module
 
 _MODULES = ("daily_metrics", "parcels", "reviews", "review_text", "labels", "billing",
-            "inspection", "tagging", "ledger")
+            "inspection", "tagging", "ledger",
+            "training")
 
 
 def load_all():
