@@ -48,6 +48,24 @@ def test_few_candidates_and_empty_table(spark):
     assert run(spark, [(0, [1.0])]) == [] and run(spark, []) == []
 
 
+def test_rows_are_told_apart_by_vector_not_by_id(spark):
+    rows = [(50, [1.0, 0.0]), (50, [0.0, 1.0]), (1, [3.0, 0.0]), (1, [0.0, 2.0]), (2, [1.0, 1.0]),
+            (None, [1.0, 1.0]), (None, [9.0, 9.0]), (50, [1.0, 0.0])]
+    out = {}
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for r in topk.top_k(df, lambda i: i % 50 == 0).collect():
+        out.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score >> 16))
+    assert set(out) == {50}
+    first = [(1, None, 9), (2, 1, 3), (3, 2, 1), (4, None, 1), (5, 1, 0)]
+    second = [(1, None, 9), (2, 1, 2), (3, 2, 1), (4, None, 1), (5, 1, 0)]
+    assert sorted(out[50], key=str) == sorted(first + second, key=str)
+
+
+def test_too_long_vectors_raise(spark):
+    with pytest.raises(Exception, match="too long"):
+        run(spark, [(0, [1e300]), (1, [1.0])])
+
+
 def test_query_on_table(spark):
     rows = spark.read.parquet(f"{SMALL}/embeddings.parquet").select("vec_id", "embedding").collect()
     got = sorted(tuple(r) for r in op4_topk_search(spark, SMALL).collect())
