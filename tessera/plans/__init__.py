@@ -4,7 +4,7 @@ from importlib import import_module
 
 _MODULES = ("daily_metrics", "parcels", "reviews", "review_text", "labels", "billing",
             "inspection", "tagging", "ledger",
-            "training")
+            "training", "context")
 
 
 def load_all():

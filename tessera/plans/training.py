@@ -31,19 +31,19 @@ def split_rows(spark, sf):
 , c AS (SELECT COUNT(DISTINCT label) AS k FROM embeddings),
 v AS (SELECT COUNT(*) AS m FROM sp WHERE is_validation)
 SELECT CAST(e AS INT) AS epoch, CAST(en.n AS BIGINT) AS n_train, CAST(m AS BIGINT) AS n_validation,
-       CASE WHEN e = 0 THEN ROUND(ln(k), 6) END AS start_loss, e > 0 AS lower_than_start
+       CASE WHEN e = 0 THEN ROUND(ln(k), 6) END AS start_loss
 FROM range({EPOCHS + 1}) AS x(e), en, c, v""")
 def ml2_adam(spark, sf):
-    """History of a run: rows met per epoch, the validation loss before any
-    step (the logarithm of the number of classes) and whether it is lower."""
+    """History of a run: rows met per epoch, and the validation loss before any
+    step, which is the logarithm of the number of classes."""
     classes = class_index(spark, sf).count()
     model = N.fit_softmax(split_rows(spark, sf), classes, "embedding", "label", "vec_id",
                           epochs=EPOCHS, n_batches=4, learning_rate=0.02)
     start = model.history[0]["val_loss"]
     return spark.createDataFrame(
-        [(h["epoch"], h["n_train"], h["n_validation"], round(start, 6) if h["epoch"] == 0 else None,
-          h["val_loss"] < start) for h in model.history],
-        "epoch int, n_train bigint, n_validation bigint, start_loss double, lower_than_start boolean")
+        [(h["epoch"], h["n_train"], h["n_validation"], round(start, 6) if h["epoch"] == 0 else None)
+         for h in model.history],
+        "epoch int, n_train bigint, n_validation bigint, start_loss double")
 
 
 @query("ml2_first_gradient", _SPLIT_SQL + """
