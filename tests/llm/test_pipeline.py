@@ -78,6 +78,19 @@ def test_edges_of_every_stage(spark, docs_of, rows):
             assert {r.doc_id: r.text for r in got}[7] == "mail [EMAIL] or [PHONE] now"
 
 
+def test_near_copies_without_ids_and_labels(spark, docs_of):
+    text = "the same text of a copy in a few words"
+    rows = [(None, text, None, "s"), (None, text, None, "t"), (7, text, None, "s"), (7, text + " more", None, "s"),
+            (8, "another text that is like none of the others here", None, "s"),
+            (8, "a third one under the id of the second but unlike it", None, "s"), (9, "12 34", None, "s"),
+            (10, None, None, "s"), (11, text, None, "s"), (11, text, None, "s")]
+    got = sorted((r.doc_id, r.text) for r in cp.near_stage(spark, docs_of(rows), SMALL).collect() if r.text)
+    assert [i for i, _ in got if i != 7] == [8, 8, 9]
+    assert sum(i == 7 for i, _ in got) in (1, 2) and all(i is not None for i, _ in got)
+    left = cp.language_stage(spark, docs_of(rows), SMALL).collect()
+    assert len(left) == len(rows) - 2 and all(r.text and any(c.isalpha() for c in r.text) for r in left)
+
+
 def test_run(spark):
     rows = cp.run(spark, SMALL).collect()
     n = spark.read.parquet(f"{SMALL}/documents.parquet").count()
