@@ -54,6 +54,38 @@ def running_total(df: DataFrame, part, order, value, out: str,
     return joined.drop(*["_k_" + k for k in keys])
 
 
+def running_total_by_range(df: DataFrame, part, order, value, out: str) -> DataFrame:
+    """``sum(value) over (partition by part order by order)`` (RANGE frame,
+    nulls skipped, leading nulls give null), for partitions with any number of
+    different order values (WIN1).
+
+    Rows are reduced to one per (partition, order) value, which keeps ties
+    whole, and dealt out by one range exchange on them, so a hot partition lies
+    in many pieces.  Each piece is summed up on its own; what a partition has
+    before a piece is a running sum over one row per piece.  Null partition and
+    order values are values like others, nulls in ``order`` come first."""
+    part = [part] if isinstance(part, str) else list(part)
+    order = [order] if isinstance(order, str) else list(order)
+    keys = list(dict.fromkeys(part + order))
+    compact = df.groupBy(*keys).agg(F.sum(_c(value)).alias("_s"))
+    pieces = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = stored(compact.repartitionByRange(pieces, *[F.col(k).asc_nulls_first() for k in part + order])
+                   .withColumn("_pid", F.spark_partition_id()), "running_total")
+    ends = dealt.groupBy(*part, "_pid").agg(F.sum("_s").alias("_p"))
+    before = Window.partitionBy(*part).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ends.select(*[F.col(k).alias("_o_" + k) for k in part], F.col("_pid").alias("_o_pid"),
+                          F.sum("_p").over(before).alias("_off"))
+    inside = (Window.partitionBy("_pid", *part).orderBy(*[F.col(k).asc_nulls_first() for k in order])
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = dealt.withColumn("_in", F.sum("_s").over(inside))
+    same = (local["_pid"] == offsets["_o_pid"]) & _null_safe_on(local, offsets, part, "_o_")
+    total = F.when(F.col("_off").isNull(), F.col("_in")).when(F.col("_in").isNull(), F.col("_off")) \
+        .otherwise(F.col("_off") + F.col("_in"))
+    running = local.join(offsets, same).select(*[F.col(k).alias("_k_" + k) for k in keys], total.alias(out))
+    joined = df.join(running, _null_safe_on(df, running, keys, "_k_"), "left")
+    return joined.drop(*["_k_" + k for k in keys])
+
+
 def number_rows(df: DataFrame, keys, order: str, out: str = "row_num") -> DataFrame:
     """``row_number() over (partition by keys order by order)`` (WIN2); nulls
     in ``keys`` form one group and null ``order`` values come first, as in SQL.

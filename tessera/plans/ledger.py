@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.strings import format_money, parse_money
 from ..operators import billing as B
 from ..operators.ledger import run_ledger
+from ..operators.windows import running_total_by_range
 from .billing import _MONEY, _money_sql
 from .catalog import query, table
 
@@ -62,3 +63,14 @@ FROM rentals a LEFT JOIN spent ON a.CustID = spent.CustID""", uses=USES)
 def bil3_ledger(spark, sf):
     _, after = ledger(spark, sf)
     return after.select("CustID", "Balance", format_money("new_balance").alias("new_balance"))
+
+
+@query("win1_running_total_by_range", """
+SELECT RequestID, CustID, choice, SUM(choice) OVER (PARTITION BY CustID ORDER BY requested_on) AS running
+FROM rental_requests""", uses=["rental_requests"])
+def win1_by_range(spark, sf):
+    """Running sum per customer over the days of the requests; one customer has
+    a third of them."""
+    r = table(spark, sf, "rental_requests")
+    out = running_total_by_range(r, "CustID", "requested_on", F.col("choice").cast("long"), "running")
+    return out.select("RequestID", "CustID", "choice", "running")

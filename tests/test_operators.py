@@ -256,3 +256,27 @@ def test_number_rows_bimodal_ids_and_null_order(spark):
     e1 = {r.row: r.row_num for r in exp.collect() if r.id is not None}
     assert g1 == e1
     assert rows(got, "g", "row_num") == rows(exp, "g", "row_num")
+
+
+def test_running_total_by_range_splits_a_hot_partition(spark):
+    import random
+
+    from tessera.operators.windows import running_total_by_range
+    rng = random.Random(5)
+    rows = [("hot" if i % 3 else rng.choice(["a", "b", None]), rng.choice([i, i // 7, None]),
+             rng.choice([None, rng.randint(-9, 9)])) for i in range(1500)]
+    rows += [("lead", i, None if i < 5 else 1) for i in range(9)]
+    df = spark.createDataFrame(rows, "p string, o int, v long")
+    got = sorted(running_total_by_range(df, "p", "o", "v", "s").collect(), key=repr)
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    exp = df.withColumn("s", F.sum("v").over(Window.partitionBy("p").orderBy("o"))).collect()
+    assert got == sorted(exp, key=repr)
+    assert running_total_by_range(df.limit(0), "p", "o", "v", "s").collect() == []
+
+
+def test_lookup_tables_are_planned_as_broadcasts(spark):
+    from tessera.operators import text as T
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    plan = T.tag_tokens(docs, "text")._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "LocalTableScan" in plan
