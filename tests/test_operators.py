@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -146,6 +147,35 @@ def test_exact_quantiles_with_infinities_nan_and_extremes(spark):
     assert profile.exact_quantiles(df.filter("x is null"), "x", [0.5]) == [None]
 
 
+@pytest.mark.parametrize("k", [8, 64, 4096])
+def test_exact_quantiles_with_any_sketch_size(spark, k):
+    """The sketch decides the work only: small ones miss ranks, which another
+    scan finds."""
+    rng = np.random.default_rng(3)
+    vals = np.concatenate([rng.normal(size=4000), np.full(3000, 0.25), rng.exponential(1e6, 500)])
+    ints = np.concatenate([rng.integers(-50, 50, 7000), rng.integers(-2 ** 60, 2 ** 60, 500)])
+    df = spark.createDataFrame(list(zip(vals.tolist(), ints.tolist())), "x double, i bigint")
+    probs = [0, 0.01, 0.25, 0.5, 0.75, 0.999, 1]
+    got = profile.exact_quantiles_of(df, ["x", "i"], probs, buckets=16, k=k)
+    assert np.allclose(got["x"], np.quantile(vals, probs))
+    assert np.allclose(got["i"], np.quantile(ints.astype(float), probs), rtol=1e-12)
+
+
+def test_exact_quantiles_scan_the_table_twice(spark, monkeypatch):
+    scans = []
+    for name in ("_bracketed", "_zone_counts"):
+        def counted(*a, _f=getattr(profile, name), _n=name):
+            scans.append(_n)
+            return _f(*a)
+        monkeypatch.setattr(profile, name, counted)
+    df = spark.range(100000).selectExpr("id * 37 % 100003 AS a", "sqrt(id) AS b")
+    got = profile.exact_quantiles_of(df, ["a", "b"], [0.25, 0.5, 0.75])
+    rows = df.toPandas()
+    assert np.allclose(got["a"], rows.a.quantile([0.25, 0.5, 0.75]))
+    assert np.allclose(got["b"], rows.b.quantile([0.25, 0.5, 0.75]))
+    assert scans == ["_bracketed", "_zone_counts"]
+
+
 def test_exact_quantiles_of_wide_integers(spark):
     lo, hi = -9 * 10**18, 9 * 10**18
     vals = [lo, hi, 0, 1, 2, hi - 1, hi - 2, lo + 1]
