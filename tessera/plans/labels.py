@@ -14,6 +14,7 @@ from ..operators import aggregates as agg
 from ..operators import profile
 from ..operators import scoring as SC
 from ..session import scratch_path, stored
+from ..sources import images
 from ..sources.io import read_labelled_lines, write_labels
 from .catalog import query, table
 
@@ -301,3 +302,30 @@ def src4(spark, sf):
                                   F.array_join(micro.cast("array<string>"), ",")).alias("value"))
     v.write.mode("overwrite").partitionBy("label_name").text(path)
     return read_labelled_lines(spark, path).select("label", F.col("value").alias("record"))
+
+
+@query("src4_read_labelled_images", f"""
+WITH v AS (SELECT {LABEL_NAME} AS label, list_transform(embedding, lambda x:
+             greatest(0, least(255, CAST(floor((CAST(x AS DOUBLE) + 1) * 127) AS BIGINT)))) AS b
+           FROM embeddings),
+k AS (SELECT label, b, list_transform(range(0, 192), lambda k: CASE k % 3
+             WHEN 0 THEN b[64 - (56 - 8 * (k // 24) + (k // 6) % 4)]
+             WHEN 1 THEN 255 - b[57 - 8 * (k // 24) + (k // 6) % 4]
+             ELSE b[57 - 8 * (k // 24) + (k // 6) % 4] END) AS c FROM v)
+SELECT label, 16 AS height, 4 AS width, 192 AS n_pixels, array_to_string(c, ',') AS colours FROM k""")
+def src4_images(spark, sf):
+    """Every vector as a bitmap file of 16 rows of 4 pixels (blue an element,
+    green its complement, red the element at the other end) in a folder per
+    label; the files decoded, resized to 8 by 8 and scaled."""
+    path = scratch_path(spark, "images")
+    element = F.transform(F.col("embedding").cast("array<double>"), lambda x: F.greatest(
+        F.least(F.floor((x + 1) * 127), F.lit(255)), F.lit(0)).cast("int"))
+    v = vectors(spark, sf).select("label_name", element.alias("b"))
+    pixel = F.transform("b", lambda x, i: F.concat(*[F.lpad(F.hex(c), 2, "0") for c in (
+        x, 255 - x, F.get("b", F.size("b") - 1 - i))]))
+    files = v.withColumn("file", images.bitmap(F.unhex(F.array_join(pixel, "")), 16, 4))
+    images.write_labelled_files(files, "file", "label_name", path)
+    read = images.read_labelled_images(spark, path, 8, 8)
+    whole = F.transform("pixels", lambda x: F.round(x * 255).cast("int").cast("string"))
+    return read.select("label", "height", "width", F.size("pixels").alias("n_pixels"),
+                       F.array_join(whole, ",").alias("colours"))

@@ -1,12 +1,15 @@
 """Sources and sinks round trips."""
 
 import os
+import random
+import struct
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
 
 from tessera.session import scratch_path
-from tessera.sources import io
+from tessera.sources import images, io
 
 
 def test_keyed_records_python_literal(spark, tmp_path):
@@ -81,3 +84,55 @@ def test_materialize_declared_types(spark):
     t = io.materialize(df, "tmp_tbl", "A string, B decimal(18,0)")
     assert t.schema.simpleString() == "struct<A:string,B:decimal(18,0)>"
     assert t.first().B == 2 and spark.table("tmp_tbl").count() == 1
+
+
+def _bitmap_file(pixels) -> bytes:
+    """24-bit bitmap of rows of (red, green, blue), by hand."""
+    h, w = len(pixels), len(pixels[0])
+    body = b"".join(b"".join(bytes((b, g, r)) for r, g, b in row) + b"\0" * (-3 * w % 4)
+                    for row in reversed(pixels))
+    return struct.pack("<2sIIIIiiHHIIiiII", b"BM", 54 + len(body), 0, 54, 40, w, h, 1, 24, 0,
+                       len(body), 0, 0, 0, 0) + body
+
+
+def _png_file(rows, colour_type) -> bytes:
+    def chunk(kind, data):
+        return struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+    width = len(rows[0]) // {0: 1, 6: 4}[colour_type]
+    return (b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", width, len(rows), 8, colour_type, 0, 0, 0))
+            + chunk(b"IDAT", zlib.compress(b"".join(b"\0" + bytes(r) for r in rows))) + chunk(b"IEND", b""))
+
+
+@pytest.mark.parametrize("height, width", [(3, 5), (6, 2), (1, 1), (7, 11)])
+def test_images_are_decoded_and_resized(spark, tmp_path, height, width):
+    rng = random.Random(5)
+    picture = [[tuple(rng.randrange(256) for _ in range(3)) for _ in range(5)] for _ in range(3)]
+    (tmp_path / "label=a bird").mkdir()
+    (tmp_path / "label=a bird" / "x.bmp").write_bytes(_bitmap_file(picture))
+    r = images.read_labelled_images(spark, str(tmp_path), height, width, "*.bmp").first()
+    want = [c / 255 for y in range(height) for x in range(width)
+            for c in picture[(2 * y + 1) * 3 // (2 * height)][(2 * x + 1) * 5 // (2 * width)]]
+    assert (r.label, r.height, r.width) == ("a bird", 3, 5)
+    assert r.pixels == pytest.approx(want, abs=1e-6)
+
+
+def test_grey_transparent_and_broken_images(spark, tmp_path):
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "grey.png").write_bytes(_png_file([[0, 10, 255]], 0))
+    (tmp_path / "d" / "clear.png").write_bytes(_png_file([[1, 2, 3, 0, 7, 8, 9, 200]], 6))
+    (tmp_path / "d" / "broken.png").write_bytes(b"no image")
+    (tmp_path / "d" / "empty.png").write_bytes(b"")
+    def read(**kw):
+        rows = images.read_labelled_images(spark, str(tmp_path), 1, 3, scale=1.0, **kw).collect()
+        return {os.path.basename(r.path): r.pixels for r in rows}
+    got = read()
+    assert got == {"grey.png": [0] * 3 + [10] * 3 + [255] * 3, "clear.png": [1, 2, 3, 7, 8, 9, 7, 8, 9]}
+    assert read(drop_invalid=False) == got | {"broken.png": None}
+
+
+def test_bitmap_files_have_the_format(spark):
+    row = spark.range(1).select(images.bitmap(F.lit(bytes(range(24))), 2, 4).alias("f")).first()
+    got = [[(3 * i + 2, 3 * i + 1, 3 * i) for i in range(4 * r, 4 * r + 4)] for r in (1, 0)]
+    assert bytes(row.f) == _bitmap_file(got)
+    with pytest.raises(ValueError):
+        images.bitmap(F.lit(b""), 1, 3)
