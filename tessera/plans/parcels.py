@@ -11,6 +11,8 @@ from ..functions import strings as S
 from ..functions.dates import to_date
 from ..operators import aggregates as agg
 from ..operators import joins, relational as rel, windows
+from ..session import scratch_path, stored
+from ..sources import stored as tables
 from .catalog import query, table
 
 P = "parcels"
@@ -134,6 +136,46 @@ def prj7(spark, sf):
     return out.select("UniqueID", "ParcelID", "PropertyAddress")
 
 
+STORED = ("UniqueID bigint, ParcelID string, PropertyAddress string, SoldAsVacant string, "
+          "SaleYear int")
+BEFORE = 1995
+
+
+@query("prj7_update_stored", """
+, fills AS (SELECT ParcelID, arg_min(PropertyAddress, UniqueID) AS fill
+            FROM parcels WHERE PropertyAddress IS NOT NULL GROUP BY ParcelID),
+u AS (SELECT p.*, CAST(year(SaleDate) AS INT) AS SaleYear, f.fill,
+             PropertyAddress IS NULL AND f.fill IS NOT NULL AND year(SaleDate) < 1995 AS hit
+      FROM parcels p LEFT JOIN fills f ON p.ParcelID = f.ParcelID)
+SELECT UniqueID, ParcelID, CASE WHEN hit THEN fill ELSE PropertyAddress END AS PropertyAddress,
+       SoldAsVacant, SaleYear, bool_or(hit) OVER (PARTITION BY SaleYear) AS rewritten
+FROM u""", uses=[P])
+def prj7_stored(spark, sf):
+    """``UPDATE a SET PropertyAddress = fill FROM … WHERE PropertyAddress IS
+    NULL`` on a stored table, for the sales before 1995: the rows afterwards, and
+    whether the file that holds a row is a new one."""
+    path = scratch_path(spark, "parcels")
+    year = F.year("SaleDate").alias("SaleYear")
+    tables.write_stored(parcels(spark, sf).select(
+        "UniqueID", "ParcelID", "PropertyAddress", "SoldAsVacant", year), path, ["SaleYear"])
+
+    def files():
+        return (spark.read.schema(STORED).parquet(path)
+                .select("SaleYear", F.col("_metadata.file_name").alias("file")).distinct())
+
+    old = stored(files(), "parcel_files")
+    fills = (tables.read_stored(spark, path, STORED).where("PropertyAddress IS NOT NULL")
+             .groupBy("ParcelID").agg(F.min_by("PropertyAddress", "UniqueID").alias("fill")))
+    missing = F.col("PropertyAddress").isNull() & F.col("fill").isNotNull() & (F.col("SaleYear") < BEFORE)
+    tables.update_stored(spark, path, STORED, ["SaleYear"], {"PropertyAddress": F.col("fill")}, missing,
+                         using=fills, on=["ParcelID"])
+    kept = files().join(old, ["SaleYear", "file"], "left_semi").select("SaleYear").distinct()
+    rows = tables.read_stored(spark, path, STORED)
+    return rows.join(kept.withColumn("kept", F.lit(True)), "SaleYear", "left").select(
+        "UniqueID", "ParcelID", "PropertyAddress", "SoldAsVacant", "SaleYear",
+        F.col("kept").isNull().alias("rewritten"))
+
+
 @query("cnd1_coalesce",
        "SELECT UniqueID, COALESCE(PropertyAddress, OwnerAddress) AS address FROM parcels", uses=[P])
 def cnd1(spark, sf):
