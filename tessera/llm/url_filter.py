@@ -20,6 +20,7 @@ from .common import saved
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SAMPLE = 20_000            # bound of the training sample, in distinct labelled URLs
 PRIOR = 10.0               # weight of the overall block rate in a suffix rate
+FOLDS = 5                  # a labelled URL's suffix rates come from the other folds
 NUMERIC = ("url_chars", "host_chars", "path_chars", "depth", "host_labels", "digit_ratio",
            "entropy", "n_params", "query_chars", "symbols")
 SUFFIXES = ("tld", "domain", "folder", "extension")
@@ -104,23 +105,44 @@ def features(df: DataFrame) -> DataFrame:
     })
 
 
-def suffix_rates(labelled: DataFrame, suffix: str, base: float) -> DataFrame:
-    """Block rate per suffix over all labelled URLs, drawn towards the overall
-    rate ``base``."""
+def fold(url: Column) -> Column:
+    """Fold of a URL, 0 to ``FOLDS - 1``; all rows of a URL share it."""
+    return F.pmod(F.xxhash64(F.lit("fold"), url), F.lit(FOLDS)).cast("int")
+
+
+def suffix_rates(labelled: DataFrame, suffix: str) -> DataFrame:
+    """Per suffix, labelled rows (``n``) and blocked rows (``b``) in all and by
+    fold, over all labelled URLs."""
+    def per_fold(value):
+        return F.array(*[F.sum(F.when(F.col("fold") == f, value).otherwise(0.0)) for f in range(FOLDS)])
     return labelled.groupBy(suffix).agg(
-        ((F.sum("label") + F.lit(PRIOR * base)) / (F.count("*") + F.lit(PRIOR)))
-        .alias(f"{suffix}_rate"))
+        F.struct(per_fold(F.lit(1.0)).alias("ns"), per_fold(F.col("label")).alias("bs"),
+                 F.count("*").alias("n"), F.sum("label").alias("b")).alias(f"{suffix}_seen"))
+
+
+def rate_of(suffix: str, base: float) -> Column:
+    """Block rate of the suffix, drawn towards the overall rate ``base``.  A
+    labelled row sees the other folds only, so neither its own label nor that
+    of its copies is in it; other rows see all."""
+    seen = F.col(f"{suffix}_seen")
+    own = F.col("label").isNotNull()
+    b = seen.b - F.when(own, F.get(seen.bs, F.col("fold"))).otherwise(0.0)
+    n = seen.n - F.when(own, F.get(seen.ns, F.col("fold"))).otherwise(0.0)
+    return F.coalesce((b + F.lit(PRIOR * base)) / (n + F.lit(PRIOR)), F.lit(base)).alias(f"{suffix}_rate")
 
 
 def judge(df: DataFrame, rules=RULES, page_id: str = "page_id", url: str = "url",
-          sample: int = SAMPLE, trees: int = 20, depth: int = 4) -> DataFrame:
+          sample: int = SAMPLE, trees: int = 20, depth: int = 4, hide: Column | None = None) -> DataFrame:
     """Verdict of every URL: ``page_id, host, path, rule, verdict, score``.
 
     The longest fitting rule decides; ``rule`` is its text, else null.  URLs
     that a rule decides are the labelled ones; they train boosted trees that
     judge the rest (``score``: probability of block; 1 or 0 where a rule
     decides).  Training takes at most about ``sample`` distinct labelled URLs,
-    drawn by the hash of the URL; suffix statistics cover all labelled rows.
+    drawn by the hash of the URL; suffix statistics cover all labelled rows,
+    without the fold of the row itself where it is labelled.  Nothing is
+    learned from rows where ``hide`` (over ``page_id`` and ``url``) is true:
+    their verdict is the rule's and their score the trees'.
     Without labelled URLs the rest is allowed, with labels of one kind only
     the rest gets that kind.  A null URL has an empty host and path and is
     judged by the trees like any other; repeated rows give repeated results,
@@ -131,9 +153,10 @@ def judge(df: DataFrame, rules=RULES, page_id: str = "page_id", url: str = "url"
     host, path = F.col("host"), F.col("path")
     ruled = parts.withColumns({"rule": first_fit(rules, host, path, lambda r: r.text),
                                "ruled": first_fit(rules, host, path, lambda r: r.verdict)})
-    rows = saved(features(ruled).withColumn(
-        "label", F.when(F.col("ruled") == "block", 1.0).when(F.col("ruled") == "allow", 0.0)),
-        "urls")
+    known = F.when(F.col("ruled") == "block", 1.0).when(F.col("ruled") == "allow", 0.0)
+    if hide is not None:
+        known = F.when(~F.coalesce(hide, F.lit(False)), known)
+    rows = saved(features(ruled).withColumns({"label": known, "fold": fold(F.col("url"))}), "urls")
     labelled = rows.where(F.col("label").isNotNull())
     n, blocked, distinct = labelled.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0)),
                                         F.approx_count_distinct("url")).first()
@@ -144,9 +167,9 @@ def judge(df: DataFrame, rules=RULES, page_id: str = "page_id", url: str = "url"
                            F.coalesce("label", F.lit(float(rest == "block"))).alias("score"))
 
     rate = blocked / n
-    scored = reduce(lambda d, s: d.join(suffix_rates(labelled, s, rate), s, "left"), SUFFIXES, rows)
+    scored = reduce(lambda d, s: d.join(suffix_rates(labelled, s), s, "left"), SUFFIXES, rows)
+    scored = scored.select(*rows.columns, *[rate_of(s, rate) for s in SUFFIXES])
     names = [*NUMERIC, *(f"{s}_rate" for s in SUFFIXES)]
-    scored = scored.fillna(rate, subset=names[len(NUMERIC):])
     spread = 1 << 30
     share = min(spread, int(spread * sample / max(1, distinct)) + 1)
     train = (scored.where(F.col("label").isNotNull()
@@ -161,3 +184,16 @@ def judge(df: DataFrame, rules=RULES, page_id: str = "page_id", url: str = "url"
     return judged.select(
         *out, F.coalesce("ruled", F.when(score > 0.5, "block").otherwise("allow")).alias("verdict"),
         F.coalesce("label", score).alias("score"))
+
+
+def held_out(df: DataFrame, rules=RULES, page_id: str = "page_id", url: str = "url", **settings) -> DataFrame:
+    """How well the trees find verdicts they were not shown: the labelled URLs
+    of one fold are hidden, the trees learn from the rest and judge them.  One
+    row per verdict: ``verdict, n, correct`` (rows; none without such URLs)."""
+    base = df.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"))
+    hidden = fold(F.col("url")) == 0
+    judged = judge(base, rules, hide=hidden, **settings)
+    ids = base.where(hidden).select("page_id").distinct()
+    tested = judged.join(ids, "page_id", "left_semi").where(F.col("rule").isNotNull())
+    return tested.groupBy("verdict").agg(
+        F.count("*").alias("n"), F.count_if((F.col("score") > 0.5) == (F.col("verdict") == "block")).alias("correct"))

@@ -73,3 +73,27 @@ def test_repeated_rows_are_kept(spark):
     df = spark.createDataFrame([(1, "http://a.net/")] * 3 + [(None, "http://a.org/fr/")],
                                "page_id long, url string")
     assert url_filter.judge(df).count() == 4
+
+
+def test_suffix_rates_leave_the_own_fold_out(spark):
+    """Against plain counting; a URL's own copies never enter its rates."""
+    urls = [f"http://h{i % 7}.org/{i % 3}" for i in range(40)] * 2
+    rows = [(u, 1.0 if i % 4 == 0 else 0.0 if i % 4 == 1 else None) for i, u in enumerate(urls)]
+    df = (spark.createDataFrame(rows, "url string, label double")
+          .withColumns({"domain": F.substring_index(F.col("url"), "/", 3), "fold": url_filter.fold(F.col("url"))}))
+    got = df.join(url_filter.suffix_rates(df.where("label IS NOT NULL"), "domain"), "domain", "left").select(
+        "url", "domain", "label", "fold", url_filter.rate_of("domain", 0.25)).collect()
+    assert len(got) == len(rows) and len({r.fold for r in got}) > 1
+    for r in got:
+        seen = [x.label for x in got if x.domain == r.domain and x.label is not None
+                and (r.label is None or x.fold != r.fold)]
+        assert abs(r.domain_rate - (sum(seen) + 2.5) / (len(seen) + 10)) < 1e-12
+
+
+def test_held_out_verdicts(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    got = {r.verdict: (r.n, r.correct) for r in url_filter.held_out(pages).collect()}
+    assert set(got) == {"allow", "block"} and sum(n for n, _ in got.values()) > 100
+    for n, correct in got.values():
+        assert correct > 0.9 * n, got
+    assert url_filter.held_out(pages.where("page_id < 0")).collect() == []
