@@ -1,8 +1,11 @@
 """Personal data (operator 9): base patterns and information-theoretic
 sanitisation.
 
-The base patterns find the protected entities.  Which other words give an
-entity away is estimated from the whole corpus: a term ``t`` that occurs
+The base patterns find the protected entities.  An exact value seldom recurs,
+so what it shares with others is an entity as well: the domain of an address,
+the network of an ip, the first digits of a card or phone number, and the kind
+(``entities_of``).  Which other words give an entity away is estimated from the
+whole corpus: a term ``t`` that occurs
 ``n_t`` times, ``n_te`` of them near entity ``e``, raises the probability of
 ``e`` from its share of all words to ``n_te / n_t``.  All counts are
 occurrences in all texts, copies included; words inside base spans are no
@@ -33,6 +36,8 @@ WINDOW = 5                 # words on either side of an entity that are its cont
 SUPPORT = 3                # least number of distinct texts a term shares with an entity
 THRESHOLD = 0.9            # share of an entity's information a term may not reach
 FLUSH = 300_000            # distinct words a task counts before it hands them on
+PREFIX = {"card": 6, "phone": 4}   # digits of the issuer, of country and area
+NETWORK = 2                # parts of an ip that name its network
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -109,10 +114,20 @@ def context_words(words, spans, window: int = WINDOW):
         yield span, words[max(0, left - window):left] + words[right:right + window]
 
 
-def entity_of(t: str, span) -> str:
+def entities_of(t: str, span) -> list[str]:
+    """The entities a span stands for: its value, what the value shares with
+    others (domain, network or first digits), and its kind."""
     kind, a, b = span
-    value = t[a:b].lower() if kind == "email" else t[a:b]
-    return f"{kind}:{value if kind in ('email', 'ip') else digits_of(value)}"
+    if kind == "email":
+        value = t[a:b].lower()
+        group = value[value.rindex("@") + 1:]
+    elif kind == "ip":
+        value = t[a:b]
+        group = ".".join(value.split(".")[:NETWORK])
+    else:
+        value = digits_of(t[a:b])
+        group = value[:PREFIX[kind]]
+    return [f"{kind}:{value}", f"{kind}/{group}", kind]
 
 
 def joined(spans) -> str:
@@ -141,9 +156,10 @@ def _filter(values: DataFrame, c: str):
         _marks(values.select(F.xxhash64(c).alias("h")), "h"))
 
 
-def scan(df: DataFrame, text: str, keys) -> DataFrame:
-    """``df`` with the base spans of the text, and its key if the filter
-    ``keys`` lets it through."""
+def scan(df: DataFrame, text: str, keys, through: bool) -> DataFrame:
+    """The rows of ``df`` whose text's key the filter ``keys`` lets through,
+    or the others, with that key and the base spans of the text.  Texts of the
+    rows left out are not matched."""
     names = [c for c in df.columns]
     at = names.index(text)
 
@@ -151,14 +167,17 @@ def scan(df: DataFrame, text: str, keys) -> DataFrame:
         bits = keys.value
 
         def key_of(t):
-            key = xxhash.xxh3_128_digest((t or "").encode())
-            return key if _bit(bits, xxhash.xxh64_intdigest(key, 42)) else None
+            return xxhash.xxh3_128_digest((t or "").encode())
         for b in byte_blocks(batches, at):
-            texts = b.column(at).to_pylist()
+            own = list(map(key_of, b.column(at).to_pylist()))
+            mine = [_bit(bits, xxhash.xxh64_intdigest(k, 42)) == through for k in own]
+            if not any(mine):
+                continue
+            b = b.filter(pa.array(mine, pa.bool_()))
             base = [[{"kind": k, "start": a, "end": z} for k, a, z in base_spans(t or "")]
-                    for t in texts]
+                    for t in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(map(key_of, texts), pa.binary()),
+                [*b.columns, pa.array([k for k, m in zip(own, mine) if m], pa.binary()),
                  pa.array(base, pa.list_(_SPAN))],
                 names=[*names, "key", "base"])
 
@@ -210,7 +229,7 @@ def occurrences(df: DataFrame, text: str, terms: DataFrame) -> DataFrame:
 
 def evidence(df: DataFrame, text: str, window: int) -> DataFrame:
     """Rows of two kinds from one pass over the texts: ``key, entities, near``
-    of every text with base spans (the entity of every span; every free word
+    of every text with base spans (the entities of every span; every free word
     in the window of an entity, once per entity), and ``term, n``, the free
     words counted per task before the shuffle."""
     inner = df.select(F.col(text).alias("text")).where(F.col("text").isNotNull())
@@ -240,9 +259,10 @@ def evidence(df: DataFrame, text: str, window: int) -> DataFrame:
                     words = free_words(t, spans)
                     counts.update(w for w, _, _ in words)
                     keys.append(xxhash.xxh3_128_digest(t.encode()))
-                    entities.append([entity_of(t, s) for s in spans])
-                    found = {(e, *w): None for e, (_, ws) in
-                             zip(entities[-1], context_words(words, spans, window)) for w in ws}
+                    named = [entities_of(t, s) for s in spans]
+                    entities.append([e for es in named for e in es])
+                    found = {(e, *w): None for es, (_, ws) in
+                             zip(named, context_words(words, spans, window)) for w in ws for e in es}
                     near.append([{"entity": e, "term": w} for e, w, _, _ in found])
                 else:
                     counts.update(WORD.findall(t))
@@ -274,11 +294,14 @@ def disclosing(seen: DataFrame, support: int, threshold: float) -> DataFrame:
     words = seen.where(F.col("term").isNotNull()).select("term", "n")
     counts = words.groupBy("term").agg(F.sum("n").alias("n"))
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    # no entity holds more information than ln N: pairs that would miss the
+    # threshold even then, most of those with common terms, go before the join
+    least = float(max(total, 2)) ** (threshold - 1) * (1 - 1e-9)
     content = F.greatest(-F.log(F.least(F.col("n_e") / F.lit(float(max(total, 1))), F.lit(1.0))),
                          F.lit(1e-9))
     share = 1 + F.log(F.least(F.col("n_te") / F.col("n"), F.lit(1.0))) / content
-    return (pairs.join(counts, "term").join(entities, "entity")
-            .where(share >= threshold).select("entity", "term"))
+    return (pairs.join(counts, "term").where(F.col("n_te") >= F.col("n") * F.lit(least))
+            .join(entities, "entity").where(share >= threshold).select("entity", "term"))
 
 
 def find(df: DataFrame, text: str = "text", window: int = WINDOW, support: int = SUPPORT,
@@ -288,9 +311,9 @@ def find(df: DataFrame, text: str = "text", window: int = WINDOW, support: int =
     discloses an entity of the corpus, by start): arrays of (kind, start, end)
     in code points, end exclusive.
 
-    A null text has no spans.  Copies of a text get the same spans; a row of a
-    text without such terms does not meet a shuffle, but for the few that the
-    filter lets through by chance.  Columns of ``df`` named
+    A null text has no spans, an empty table gives an empty one.  Copies of a
+    text get the same spans; a row of a text without such terms does not meet a
+    shuffle, but for the few that the filter lets through by chance.  Columns of ``df`` named
     ``base`` or ``spans`` are replaced; other columns stay as they are.
     """
     kept = [c for c in df.columns if c not in ("base", "spans")]
@@ -300,9 +323,9 @@ def find(df: DataFrame, text: str = "text", window: int = WINDOW, support: int =
     seen = saved(evidence(inner, at, window), "evidence")
     reveal = saved(disclosing(seen, support, threshold).select("term").distinct(), "disclosing")
     terms = saved(occurrences(inner, at, reveal), "terms")
-    rows = scan(inner, at, _filter(terms, "key"))
-    bare = rows.where(F.col("key").isNull()).withColumn("spans", F.col("base"))
-    full = (rows.where(F.col("key").isNotNull()).join(terms, "key", "left")
+    keys = _filter(terms, "key")
+    bare = scan(inner, at, keys, False).withColumn("spans", F.col("base"))
+    full = (scan(inner, at, keys, True).join(terms, "key", "left")
             .withColumn("spans", F.concat("base", F.coalesce("terms", F.array()))).drop("terms"))
     return bare.unionByName(full).select(
         *[F.col(f"__c{i}").alias(c) for i, c in enumerate(kept)], "base", "spans")

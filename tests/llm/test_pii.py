@@ -1,8 +1,10 @@
 """Base spans against the plain patterns, added terms, sanitising."""
 
 import hashlib
+import math
 import random
 import re
+from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
@@ -114,6 +116,64 @@ def test_disclosing_terms_go_from_every_text(docs_of):
     assert clean.count() == 0
 
 
+def test_what_values_share_is_evidence(docs_of):
+    """Every value occurs once; the domain, network, prefix or kind recurs."""
+    filler = "and so it goes with many words of a common kind in every line "
+    forms = {"domain": "mail {}x@zanth.example", "network": "host 10.77.{}.5", "prefix": "call +49 30 77{}1234",
+             "issuer": "card 4111 1111 1111 1111"}
+    for name, form in forms.items():
+        texts = [f"{filler}{w} please ask zanthor {form.format(i)} about it {filler}"
+                 for i, w in enumerate(("alpha", "beta", "gamma", "delta"), 10)]
+        texts += [f"{filler}please ask about it at noon, mail host call card" for _ in range(200)]
+        assert masked(pii.find(docs_of(texts)).collect()) == {"zanthor"}, name
+
+
+def test_entities_of_a_span():
+    t = "A.b@X-y.Co.uk 10.1.2.3, 4111-1111 1111 1111, +49 (30) 123456"
+    assert [pii.entities_of(t, s) for s in pii.base_spans(t)] == [
+        ["email:a.b@x-y.co.uk", "email/x-y.co.uk", "email"], ["ip:10.1.2.3", "ip/10.1", "ip"],
+        ["card:4111111111111111", "card/411111", "card"], ["phone:4930123456", "phone/4930", "phone"]]
+
+
+def plain_terms(texts):
+    """Disclosing terms by counting every word and every window."""
+    near, entity, words, total = defaultdict(list), Counter(), Counter(), 0
+    for t in texts:
+        spans = plain(t)
+        free = [m for m in pii.WORD.finditer(t or "")
+                if not any(a < m.end() and m.start() < z for _, a, z in spans)]
+        words.update(m[0].lower() for m in free)
+        seen = set()
+        for s in spans:
+            before = [i for i, m in enumerate(free) if m.end() <= s[1]][-5:]
+            after = [i for i, m in enumerate(free) if m.start() >= s[2]][:5]
+            for e in pii.entities_of(t, s):
+                entity[e] += 1
+                seen |= {(e, i) for i in before + after}
+        for e, i in seen:
+            near[e, free[i][0].lower()].append(t)
+    total = sum(words.values())
+    return {w for (e, w), ts in near.items() if len(set(ts)) >= 3
+            and 1 + math.log(len(ts) / words[w]) / -math.log(entity[e] / total) >= 0.9}
+
+
+def test_terms_of_a_table_by_plain_counts(spark):
+    """All terms, and where they stand, in a whole table whose texts are
+    followed by a line with an address of one of a few domains."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    line = F.format_string("\nkontor%d writes from a%d@dom%d.example", F.col("doc_id") % 7, "doc_id",
+                           F.col("doc_id") % 7)
+    rows = pii.find(docs.withColumn("text", F.when(F.col("doc_id") % 3 == 0, F.concat("text", line))
+                                    .otherwise(F.col("text")))).collect()
+    terms = plain_terms([r.text for r in rows])
+    assert len(terms) >= 1
+    for r in rows:
+        spans = plain(r.text)
+        want = [(m.start(), m.end()) for m in pii.WORD.finditer(r.text or "") if m[0].lower() in terms
+                and not any(a < m.end() and m.start() < z for _, a, z in spans)]
+        assert [(s.start, s.end) for s in r.spans if s.kind == "term"] == want
+
+
 def test_words_in_spans_and_odd_lower_case(docs_of):
     """Words of an address, and words whose lower case is longer, count alike
     near an entity and in the corpus."""
