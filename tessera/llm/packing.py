@@ -5,16 +5,20 @@ combined depends on their lengths only, so the search works on the histogram
 of lengths: at most ``capacity`` numbers, whatever the size of the corpus.
 Bin completion takes the largest length left, searches a filling of the rest
 of the sequence by branch and bound, and uses the filling as often as the
-counts allow.  If that needs more sequences than the tokens alone, other
-fillings, and fewer uses of them, are tried across sequences, also by branch
-and bound.  The pieces get their places by their rank among the pieces of
+counts allow.  If that needs more sequences than a lower bound, other
+undominated fillings, and fewer uses of them, are tried across sequences, also
+by branch and bound.  The bounds come from dual feasible functions of the
+lengths (``least_sequences``); a filling is dominated if a piece left over
+could take the place of some of its pieces (``dominated``).  The pieces get their places by their rank among the pieces of
 the same length, which is counted in bounded blocks.
 """
 
 from __future__ import annotations
 
+import math
 import os
 from array import array
+from functools import lru_cache
 from heapq import heappop, heappush
 
 import numpy as np
@@ -29,6 +33,7 @@ SEPARATOR = 0
 NODES = 3000               # search nodes a filling may take; the incumbent stands then
 BRANCHES = 2000            # steps the search across sequences may take off the first run
 WIDTH = 16                 # fillings of least waste that a step of it branches over
+CLASSES = 20               # dual feasible functions of the lower bound
 RANK_BLOCK = 256           # least number of pieces that are ranked together
 CACHE = 500_000            # words and parts a worker remembers
 LATIN_END = "\u0250"       # first character that needs the vocabulary's own normaliser
@@ -54,11 +59,12 @@ class WordIds:
     special string, and very long ones, go through the whole library.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, vocabulary: str):
+        """``vocabulary``: content of the file."""
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import regex
         from tokenizers import Tokenizer
-        self.encode = Tokenizer.from_file(path)
+        self.encode = Tokenizer.from_str(vocabulary)
         self.normal = self.encode.normalizer.normalize_str
         self.merge = self.encode.model.tokenize
         self.split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+").findall
@@ -107,17 +113,20 @@ def pieces(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     A document is its ids followed by the separator id; a null text counts as
     empty and gives the separator alone.  Only documents longer than
-    ``capacity`` are cut.  ``row`` numbers the output rows.  The result is
-    written once, so that tokenising is not repeated.
+    ``capacity`` are cut.  ``row`` numbers the output rows, so repeated rows
+    and rows with the same or no id are documents of their own; an empty table
+    gives no pieces.  The result is written once, so that tokenising is not
+    repeated.
     """
-    path = vocabulary or tokenizer_path("word_bpe_49k.json")
+    with open(vocabulary or tokenizer_path("word_bpe_49k.json"), encoding="utf-8") as f:
+        content = df.sparkSession.sparkContext.broadcast(f.read())   # one file's size
     inner = df.select(F.coalesce(F.col(text), F.lit("")).alias("text"),
                       F.col(doc_id).cast("long").alias("doc_id"))
     end = array("I", [SEPARATOR]).tobytes()
     step = 4 * capacity
 
     def run(batches):
-        ids_of = WordIds(path)
+        ids_of = WordIds(content.value)
         for b in byte_blocks(batches, 0, 4 << 20):
             doc, piece, start, length, ids = [], [], [], [], []
             for i, t in zip(b.column(1).to_pylist(), b.column(0).to_pylist()):
@@ -139,6 +148,59 @@ def pieces(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return saved(cut.withColumn("row", F.monotonically_increasing_id()), "pieces")
 
 
+@lru_cache(8)
+def _classes(capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Dual feasible values of every length up to ``capacity``, a row a
+    function, and the value of a whole sequence in each: the length itself;
+    and for k from 1 the number of (k+1)-th parts of a sequence that the length
+    passes, of k (a length of exactly so many parts keeps its share)."""
+    n = np.arange(capacity + 1, dtype=np.int64)
+    rows, whole = [n], [capacity]
+    for k in range(1, CLASSES):
+        parts = (k + 1) * n
+        rows.append(np.where(parts % capacity == 0, k * n, parts // capacity * capacity))
+        whole.append(k * capacity)
+    return np.array(rows), np.array(whole, np.int64)
+
+
+def least_sequences(counts: list[int], capacity: int = CAPACITY) -> int:
+    """A lower bound of the sequences that ``counts[n]`` pieces of every
+    length ``n`` up to ``capacity`` take.
+
+    The values of pieces that fit together never add up to more than a whole
+    sequence in any function of ``_classes``, also if lengths beyond
+    ``capacity - e`` count as whole sequences and those under ``e`` as nothing,
+    for every ``e`` up to half of the capacity.  The greatest bound counts.
+    """
+    values, whole = _classes(capacity)
+    number = np.array(counts, np.int64)
+    upto, pieces_upto = np.cumsum(values * number, axis=1), np.cumsum(number)
+    e = np.arange(capacity // 2 + 1)
+    middle = upto[:, capacity - e] - np.where(e > 0, upto[:, np.maximum(e - 1, 0)], 0)
+    sums = (middle + whole[:, None] * (pieces_upto[-1] - pieces_upto[capacity - e])).max(axis=1)
+    return int((-(-sums // whole)).max())
+
+
+def dominated(chosen: list[int], waste: int, over: int) -> bool:
+    """Whether a piece left over (bits of ``over``: their lengths) fits in the
+    place of some pieces of the filling ``chosen`` with ``waste``: it is
+    longer than they are together, by the waste at most, or exactly as long as
+    two or more of them.  Any packing with such a filling can trade them and
+    stays as short, so it need not be tried."""
+    every, two = 1, 0                          # sums of any pieces, of two or more
+    for n in chosen:
+        two |= (every & ~1 | two) << n
+        every |= every << n
+    if two & over:
+        return True
+    reach, width = every << 1, 1               # sums plus 1 to ``waste``
+    while width < waste:
+        step = min(width, waste - width)
+        reach |= reach << step
+        width += step
+    return waste > 0 and bool(reach & over)
+
+
 def fill(room: int, top: int, counts: list[int], below: list[int], sums: list[int],
          nodes: int = NODES) -> list[int]:
     """Lengths that fill ``room`` best, found by branch and bound.
@@ -178,11 +240,12 @@ def fill(room: int, top: int, counts: list[int], below: list[int], sums: list[in
 
 
 def fillings(room: int, top: int, counts: list[int], below: list[int], sums: list[int],
-             slack: int, nodes: int = NODES) -> list[list[int]]:
-    """Fillings of ``room`` with at most ``slack`` waste that no piece left
-    over fits into, the ``WIDTH`` of least waste first (of those that
-    ``nodes`` steps reach, larger pieces first)."""
+             slack: int, nodes: float = NODES, width: int | None = WIDTH) -> tuple[list[list[int]], bool]:
+    """Undominated fillings of ``room`` with at most ``slack`` waste, the
+    ``width`` of least waste first (of those that ``nodes`` steps reach, larger
+    pieces first), and whether these are all."""
     found, spent = [], 0
+    present = sum(1 << n for n in range(1, min(room, top) + 1) if counts[n])
     used: dict[int, int] = {}
     chosen: list[int] = []
     stack = [(room, below[min(room, top)])]
@@ -192,10 +255,11 @@ def fillings(room: int, top: int, counts: list[int], below: list[int], sums: lis
             n = below[n - 1]
         if n <= 0 or left - sums[n] > slack or spent >= nodes:
             if left <= slack:
-                m = below[min(left, top)]
-                while m > 0 and used.get(m, 0) >= counts[m]:
-                    m = below[m - 1]
-                if m <= 0:
+                over = present
+                for v in set(chosen):
+                    if used[v] >= counts[v]:
+                        over &= ~(1 << v)
+                if not dominated(chosen, left, over):
                     found.append((left, len(found), list(chosen)))
             stack.pop()
             if stack:
@@ -206,7 +270,8 @@ def fillings(room: int, top: int, counts: list[int], below: list[int], sums: lis
         chosen.append(n)
         used[n] = used.get(n, 0) + 1
         stack.append((left - n, below[min(left - n, n)]))
-    return [f for _, _, f in sorted(found)[:WIDTH]]
+    whole = spent < nodes and (width is None or len(found) <= width)
+    return [f for _, _, f in sorted(found)[:width]], whole
 
 
 def _tables(counts: list[int]) -> tuple[list[int], list[int]]:
@@ -240,27 +305,33 @@ def _first_run(counts: list[int], capacity: int, nodes: int) -> list[tuple[int,
     return patterns
 
 
-def complete(histogram: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES,
-             branches: int = BRANCHES) -> list[tuple[int, list[int]]]:
-    """Sequence patterns ``(how often, lengths)`` that use up the histogram.
+def search(histogram: dict[int, int], capacity: int = CAPACITY, nodes: int | None = NODES,
+           branches: int | None = BRANCHES,
+           width: int | None = WIDTH) -> tuple[list[tuple[int, list[int]]], int]:
+    """Sequence patterns ``(how often, lengths)`` that use up the histogram,
+    and a number of sequences that no packing can go below: the patterns are
+    proved best if they need as many.
 
     Every step completes a sequence around the largest length left and repeats
     it, so the number of patterns depends on the capacity, not on the number
     of pieces.  The first run takes the best filling as often as the counts
-    allow and stands if the tokens alone need as many sequences.  Otherwise
-    steps are branched over their fillings, and over using one as often as it
-    goes, half as often or once; runs with the fewest departures from the
+    allow and stands if the lower bound is reached.  Otherwise steps are
+    branched over their undominated fillings, and over using one as often as
+    it goes, half as often or once; runs with the fewest departures from the
     first choice come first (fewer uses count as two), of these the ones that
-    depart early, and a run is left when its waste cannot come under the
-    incumbent's.  After ``branches`` steps the incumbent stands.
+    depart early, and a run is left when the bound of what remains cannot come
+    under the incumbent.  After ``branches`` steps the incumbent stands.  With
+    ``nodes``, ``branches`` and ``width`` of None the search ends only with
+    its proof, which may take time exponential in the number of lengths.
     """
+    nodes, branches = nodes or math.inf, math.inf if branches is None else branches
     counts = [0] * (capacity + 1)
     for n, c in histogram.items():
         counts[n] += c
     total = sum(n * c for n, c in enumerate(counts))
     best = _first_run(counts, capacity, nodes)
-    fewest, least = sum(t for t, _ in best), -(-total // capacity)
-    spent = number = 0
+    fewest, least = sum(t for t, _ in best), least_sequences(counts, capacity)
+    spent, number, whole = 0, 0, True
     # departures, depth of the last one, -depth, number;
     # counts before the last pattern, tokens after it, sequences, patterns
     heap = [(0, 0, 0, 0, counts, total, 0, None)]
@@ -280,12 +351,16 @@ def complete(histogram: dict[int, int], capacity: int = CAPACITY, nodes: int = N
             counts = list(counts)
             for v in run[1][1]:
                 counts[v] -= run[1][0]
+            if used + least_sequences(counts, capacity) >= fewest:
+                continue
         below, sums = _tables(counts)
         n = below[capacity]
         slack = (fewest - 1 - used) * capacity - left
         counts[n] -= 1
-        options = fillings(capacity - n, n, counts, below, sums, slack, nodes) if n < capacity else [[]]
+        options, every = (fillings(capacity - n, n, counts, below, sums, slack, nodes, width)
+                          if n < capacity else ([[]], True))
         counts[n] += 1
+        whole = whole and every
         first = True
         for rest in options:
             lengths = [n, *rest]
@@ -298,7 +373,13 @@ def complete(histogram: dict[int, int], capacity: int = CAPACITY, nodes: int = N
                                     left - times * sum(lengths), used + times,
                                     (run, (times, lengths))))
                     first = False
-    return best
+    return best, fewest if whole and not heap else min(least, fewest)
+
+
+def complete(histogram: dict[int, int], capacity: int = CAPACITY, nodes: int | None = NODES,
+             branches: int | None = BRANCHES) -> list[tuple[int, list[int]]]:
+    """The patterns of ``search``."""
+    return search(histogram, capacity, nodes, branches)[0]
 
 
 def places(patterns) -> tuple[np.ndarray, ...]:
@@ -319,22 +400,29 @@ def places(patterns) -> tuple[np.ndarray, ...]:
     return (n << 44) | lo, lo, seq, off
 
 
-def pack(cut: DataFrame, capacity: int = CAPACITY, nodes: int = NODES) -> DataFrame:
+def pack(cut: DataFrame, capacity: int = CAPACITY, nodes: int | None = NODES,
+         branches: int | None = BRANCHES, width: int | None = WIDTH) -> DataFrame:
     """Places for pieces: the columns of ``cut`` (which holds ``row`` and
-    ``length``, 1 to ``capacity``) with ``sequence_id`` and ``offset``.
+    ``length``, 1 to ``capacity``) with ``sequence_id``, ``offset`` and
+    ``least_sequences``, the number of sequences that no packing can go below
+    (the same in all rows): if there are as many, the packing is proved best.
+    ``nodes``, ``branches`` and ``width`` bound the search; None takes each
+    bound off (see ``search``).
 
     Every piece is placed once, offsets in a sequence are gapless from 0, no
     sequence is longer than ``capacity``.  An empty table gives an empty
-    result.  Columns of ``cut`` named ``sequence_id`` or ``offset`` are
-    replaced.  What reaches the driver is the histogram of lengths.
+    result.  Pieces are told apart by ``row``; other columns may hold nulls and
+    repeat.  Columns of ``cut`` named ``sequence_id``, ``offset`` or
+    ``least_sequences`` are replaced.  What reaches the driver is the histogram of lengths.
     """
-    names = [c for c in cut.columns if c not in ("sequence_id", "offset")]
+    names = [c for c in cut.columns if c not in ("sequence_id", "offset", "least_sequences")]
     cut = cut.select(*names)
     histogram = {r["length"]: r["n"] for r in
                  cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
     if any(not 0 < n <= capacity for n in histogram):
         raise ValueError(f"piece lengths must lie in 1 to {capacity}")
-    table = places(complete(histogram, capacity, nodes))
+    patterns, least = search(histogram, capacity, nodes, branches, width)
+    table = places(patterns)
     # a length's pieces are ranked in blocks by the hash of the row number
     blocks = [1] * (capacity + 1)
     for n, c in histogram.items():
@@ -363,7 +451,8 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, nodes: int = NODES) -> DataFr
                 [*b.columns[:rank], pa.array(seq[i] + r - lo[i]), pa.array(off[i])],
                 names=[*names, "sequence_id", "offset"])
 
-    return ranked.mapInArrow(lean(run), extended(cut, sequence_id="long", offset="long"))
+    return (ranked.mapInArrow(lean(run), extended(cut, sequence_id="long", offset="long"))
+            .withColumn("least_sequences", F.lit(least).cast("long")))
 
 
 def sequences(placed: DataFrame, cut: DataFrame) -> DataFrame:

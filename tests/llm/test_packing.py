@@ -1,5 +1,6 @@
 """Packing: exact ids, gapless sequences, few of them."""
 
+import itertools
 import random
 import zlib
 from collections import defaultdict
@@ -56,7 +57,8 @@ def test_simple_lower_case_up_to_the_latin_blocks():
 
 
 def test_every_kind_of_word():
-    ids = packing.WordIds(P.path("word_bpe_49k.json"))
+    with open(P.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        ids = packing.WordIds(f.read())
     rng = random.Random(4)
     chars = "abcXYZ019'.,-_é ÀßİſŁΣσς日本한́ﬁ½😀\t\x1c"
     for _ in range(3000):
@@ -151,6 +153,70 @@ def test_the_optimum_of_small_cases(seed):
     assert sum(t for t, _ in patterns) == optimum(lengths, 20)
 
 
+@pytest.mark.parametrize("seed", range(200, 240))
+def test_bound_and_proof_of_small_cases(seed):
+    rng = random.Random(seed)
+    lengths = [rng.randint(2, 13) for _ in range(9)]
+    hist, fewest = {n: lengths.count(n) for n in lengths}, optimum(sorted(lengths, reverse=True), 20)
+    counts = [lengths.count(n) for n in range(21)]
+    assert -(-sum(lengths) // 20) <= packing.least_sequences(counts, 20) <= fewest
+    patterns, least = packing.search(hist, 20, None, None, None)
+    assert sum(t for t, _ in patterns) == least == fewest
+
+
+def test_bound_counts_pieces_that_cannot_meet():
+    counts = [0] * 2049
+    for n in range(690, 1101):
+        counts[n] = 730
+    assert packing.least_sequences(counts) == 730 * 411 // 2 + 730 * 411 % 2
+    assert packing.least_sequences([0] * 2049) == 0
+    counts = [0] * 2049
+    counts[2048], counts[1025], counts[1] = 5, 7, 3
+    assert packing.least_sequences(counts) == 12
+
+
+def subsets(items):
+    return {tuple(sorted(c)) for r in range(len(items) + 1) for c in itertools.combinations(items, r)}
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_dominated_fillings_by_trying_every_trade(seed):
+    rng = random.Random(seed)
+    room, items = rng.randint(8, 16), sorted(rng.randint(1, 9) for _ in range(8))
+    fits = [f for f in subsets(items) if sum(f) <= room]
+
+    def over(f):
+        rest = list(items)
+        for n in f:
+            rest.remove(n)
+        return rest
+
+    def trade(f):
+        waste = room - sum(f)
+        return any(sum(g) < x <= sum(g) + waste or sum(g) == x and len(g) > 1
+                   for x in over(f) for g in subsets(f))
+    bits = {f: sum({1 << n for n in over(f)}) for f in fits}
+    assert all(packing.dominated(list(f), room - sum(f), bits[f]) == trade(f) for f in fits)
+    counts = [items.count(n) for n in range(10)]
+    below, sums = packing._tables(counts)
+    found, whole = packing.fillings(room, 9, counts + [0] * 10, below + [below[-1]] * 10,
+                                    sums + [sums[-1]] * 10, room, 10**6, None)
+    assert whole and {tuple(sorted(f)) for f in found} == {f for f in fits if not trade(f)}
+
+
+def test_output_says_what_is_proved(spark):
+    cut = spark.range(300).select(F.col("id").alias("row"), (690 + F.col("id") % 411).alias("length"))
+    rows = packing.pack(cut).collect()
+    assert check_sequences(rows) == 150 and {r.least_sequences for r in rows} == {150}
+
+
+def test_null_ids_and_repeated_rows(docs_of):
+    df = docs_of([(None, "a b", "en", "s"), (None, "a b", "en", "s"), (3, "a b", "en", "s"), (3, "a b", "en", "s")])
+    rows = packing.pack(packing.pieces(df).drop("ids")).collect()
+    assert sorted(str(r.doc_id) for r in rows) == ["3", "3", "None", "None"]
+    assert check_sequences(rows) == 1
+
+
 def test_empty_table(docs_of):
     cut = packing.pieces(docs_of([]))
     assert cut.count() == 0 and packing.pack(cut).count() == 0
