@@ -15,7 +15,7 @@ from ..operators import joins, relational as rel
 from ..operators import text as T
 from ..session import stored
 from .catalog import query, table
-from .reviews import CLEAN_SQL, R, combined
+from .reviews import BIN_WIDTH, CLEAN_SQL, N_BINS, R, bins_table, combined, tokens_sql, with_word_count
 
 DOC = "documents"
 TOP = 20
@@ -345,8 +345,6 @@ def review_report(spark, sf) -> tuple[dict, DataFrame]:
     """
     from pyspark import StorageLevel
 
-    from .reviews import BIN_WIDTH, N_BINS, bins_table, with_word_count
-
     c = combined(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
     stop = T.stop_table(spark)
     tok = T.tokens(c, "Review", keep=["Label"])
@@ -379,7 +377,13 @@ def review_report(spark, sf) -> tuple[dict, DataFrame]:
 
 @query("p3_review_report", CLEAN_SQL + _LABEL_TOP_SQL + _FAMILY_SQL + _POLARITY_SQL + f"""
 , top AS (SELECT Restaurant, COUNT(*) AS n FROM cl WHERE Restaurant IS NOT NULL GROUP BY Restaurant
-          ORDER BY n DESC, Restaurant LIMIT 10)
+          ORDER BY n DESC, Restaurant LIMIT 10),
+wc AS (SELECT Rating, len({tokens_sql('Review')}) AS Word_count FROM cl),
+lb AS (SELECT CAST(floor(Word_count / {BIN_WIDTH}) AS INT) AS bin, AVG(Rating) AS avg_rating FROM wc
+       WHERE Word_count < {BIN_WIDTH * N_BINS} GROUP BY 1),
+ln AS (SELECT CAST(i AS INT) AS bin, concat(CAST(CASE WHEN i = 0 THEN 0 ELSE i * {BIN_WIDTH} + 1 END
+              AS VARCHAR), '-', CAST((i + 1) * {BIN_WIDTH} AS VARCHAR)) AS label FROM range({N_BINS}) t(i)),
+lr AS (SELECT corr(CAST(Word_count AS DOUBLE), CAST(Rating AS DOUBLE)) AS r FROM wc)
 SELECT 'location_counts' AS part, Location AS key, CAST(COUNT(*) AS DOUBLE) AS value FROM cl
 WHERE Location IS NOT NULL GROUP BY Location
 UNION ALL SELECT 'location_mean', Location, ROUND(AVG(Rating), 6) FROM cl
@@ -389,6 +393,15 @@ UNION ALL SELECT 'label_share', Label, ROUND(p, 6) FROM (
   SELECT Label, COUNT(*) / SUM(COUNT(*)) OVER () * 100 AS p FROM cl GROUP BY Label)
 WHERE Label IS NOT NULL
 UNION ALL SELECT 'top_restaurants', Restaurant, CAST(n AS DOUBLE) FROM top
+UNION ALL SELECT 'rating_counts', CAST(Rating AS VARCHAR), CAST(COUNT(*) AS DOUBLE) FROM cl
+WHERE Rating IS NOT NULL GROUP BY Rating
+UNION ALL SELECT 'length_bins', ln.label, ROUND(lb.avg_rating, 6) FROM ln LEFT JOIN lb ON ln.bin = lb.bin
+UNION ALL SELECT 'length_rating_corr', 'Word_count:Word_count', 1.0
+UNION ALL SELECT 'length_rating_corr', 'Word_count:Rating', ROUND(r, 6) FROM lr
+UNION ALL SELECT 'length_rating_corr', 'Rating:Word_count', ROUND(r, 6) FROM lr
+UNION ALL SELECT 'length_rating_corr', 'Rating:Rating', 1.0
+UNION ALL SELECT 'term_weights', concat(Label, ':', token), ROUND(n / MAX(n) OVER (PARTITION BY Label), 6)
+FROM lt WHERE rank <= 200
 UNION ALL SELECT 'unigrams', concat(Label, ':', token), CAST(n AS DOUBLE) FROM lt WHERE rank <= {TOP}
 UNION ALL SELECT 'families', concat(family, ':', token), CAST(n AS DOUBLE) FROM ft WHERE rank <= {TOP}
 UNION ALL SELECT 'polarity_means', 'Compound', ROUND(AVG(Compound), 6) + 0.0 FROM pol
@@ -411,6 +424,10 @@ def p3(spark, sf):
            rows("average_rating", F.lit("all"), F.col("avg")),
            rows("label_share", F.col("Label"), F.round("Percentage", 6)),
            rows("top_restaurants", F.col("Restaurant"), F.col("count")),
+           rows("rating_counts", F.col("Rating"), F.col("count")),
+           rows("length_bins", F.col("label"), F.round("avg_rating", 6)),
+           rows("length_rating_corr", F.concat_ws(":", "col_a", "col_b"), F.round("r", 6)),
+           rows("term_weights", F.concat_ws(":", "Label", "token"), F.round("weight", 6)),
            rows("unigrams", F.concat_ws(":", "Label", "token"), F.col("n")),
            rows("families", F.concat_ws(":", "family", "token"), F.col("n")),
            rows("polarity_means", F.col("key"), F.round("value", 6) + F.lit(0.0))]
