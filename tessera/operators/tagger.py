@@ -6,8 +6,8 @@ class; ``.``, ``!``, ``?`` and line breaks show the end of a sentence, which is
 a state of its own.  Costs are whole numbers (``-1000 ln p``), so ties and sums
 are exact everywhere.
 
-* ``tag_texts`` finds the cheapest tags of a text (Viterbi) with array
-  functions inside the row: no token is exploded, joined or shuffled.
+* ``tag_texts`` finds the cheapest tags of a text (Viterbi) in the tasks, over
+  Arrow blocks of many texts: no token is joined or shuffled.
 * ``fit`` estimates the probabilities from texts without tags: every round is
   one pass that adds up expected counts (forward-backward) in the tasks and
   one small aggregate.
@@ -15,17 +15,22 @@ are exact everywhere.
 
 from __future__ import annotations
 
-import math
+import sys
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from ..functions.folds import dictionary, scan
 from ..session import stored
 
+# Task functions travel by value: executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Tokens of a text: words, and the characters that end a sentence.
 TOKEN_PATTERN = r"[\p{L}\p{N}_]+|[.!?\n]"
 STOP = "."
@@ -119,49 +124,128 @@ def tokens_of(text: str) -> Column:
     return F.regexp_extract_all(F.lower(F.col(f"`{text}`")), F.lit(TOKEN_PATTERN), 0)
 
 
-def symbol_of(token: Column, model: Tagger) -> Column:
-    """The number of a token's symbol."""
-    names = list(model.symbols)
-    number = {s: i for i, s in enumerate(names)}
-    words = {w: i for w, i in number.items() if w in FUNCTION_WORDS}
-    ends = F.when(token.isin(".", "!", "?", "\n"), F.lit(number[STOP]))
-    rest = F.when(F.translate(token, "0123456789", "") == "", F.lit(number[DIGITS]))
-    for s, _ in SUFFIXES:
-        rest = rest.when(token.endswith(s) & (F.length(token) > len(s) + 1), F.lit(number["-" + s]))
-    listed = dictionary(words, F.lit)(token)
-    return F.coalesce(listed, ends, rest, F.lit(number[OPEN])).cast("int")
-
-
-def with_best(rows: DataFrame, symbols: str, model: Tagger, out: str) -> DataFrame:
-    """``rows`` and the cheapest tag numbers of an array of symbol numbers
-    (Viterbi).
-
-    The state after a token is one number per tag its symbol allows: the cost
-    of the cheapest way there, the place of the number before it, and the tag,
-    in this order from the high bits down, so the smallest number is the
-    cheapest way and equal costs go to the earlier tag.  The states are a
-    column of their own: computed once however often the way back reads them."""
+def symbols_of(words: pa.Array, model: Tagger) -> np.ndarray:
+    """The number of every word's symbol."""
+    number = {s: i for i, s in enumerate(model.symbols)}
+    length = pc.utf8_length(words).to_numpy(zero_copy_only=False)
+    out = np.full(len(words), number[OPEN], np.int32)
+    for s, _ in reversed(SUFFIXES):            # the first that fits is written last
+        fits = pc.ends_with(words, s).to_numpy(zero_copy_only=False) & (length > len(s) + 1)
+        out[fits] = number["-" + s]
+    digits = pc.match_substring_regex(words, r"\A[0-9]+\z").to_numpy(zero_copy_only=False)
+    out[digits] = number[DIGITS]
+    listed = {".": number[STOP], "!": number[STOP], "?": number[STOP], "\n": number[STOP]}
+    listed.update({w: i for w, i in number.items() if w in FUNCTION_WORDS})
+    at = pc.index_in(words, value_set=pa.array(list(listed), words.type)) \
+        .fill_null(-1).to_numpy(zero_copy_only=False)
+    return np.where(at >= 0, np.array(list(listed.values()), np.int32)[at], out)
+
+
+SENTENCES = 1 << 16        # texts a task works on at once
+BLOCK = 1 << 18            # and at most so many tokens
+
+
+def blocks(batches, column: int):
+    """Cut record batches into (batch, values, first, valid): at most
+    ``SENTENCES`` rows and ``BLOCK`` items of the lists of column number
+    ``column`` (one longer list is a block of its own), all items of the block,
+    the place of every list's first and the end, and which lists are not null."""
+    for b in batches:
+        lists = b.column(column)
+        ends = np.concatenate([[0], np.cumsum(
+            lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))])
+        values, valid = lists.flatten(), lists.is_valid().to_numpy(zero_copy_only=False)
+        lo = 0
+        while lo < b.num_rows:
+            hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + BLOCK, "right")) - 1)
+            hi = min(hi, lo + SENTENCES)
+            yield (b.slice(lo, hi - lo), values.slice(ends[lo], ends[hi] - ends[lo]),
+                   ends[lo:hi + 1] - ends[lo], valid[lo:hi])
+            lo = hi
+
+
+def tag_places(show: np.ndarray) -> np.ndarray:
+    """(symbol, place): the tags a symbol can have, in order, -1 beyond; the
+    last row is the start, which has the tag of a sentence end."""
+    allowed = [np.flatnonzero(r > 0) for r in show] + [np.zeros(1, np.int64)]
+    out = np.full((len(allowed), max(map(len, allowed))), -1)
+    for m, tags in enumerate(allowed):
+        out[m, :len(tags)] = tags
+    return out
+
+
+def stretches(x: np.ndarray, begins: np.ndarray, places: np.ndarray):
+    """Cuts symbols after those with a single tag, where what follows depends
+    on nothing before, and where ``begins`` says so.  Returns the symbol before
+    each, the stretches' places in order of falling length, and how many of
+    them are longer than 0, 1, 2, ..."""
+    before = np.concatenate([[0], x[:-1]])
+    before[begins] = len(places) - 1
+    single = (places >= 0).sum(1) == 1
+    starts = np.flatnonzero(begins | single[before])
+    length = np.diff(np.append(starts, len(x)))
+    order = np.argsort(-length, kind="stable")
+    longer = len(length) - np.cumsum(np.bincount(length))
+    return before, starts[order], longer[:-1]
+
+
+def cheapest(x: np.ndarray, begins: np.ndarray, model: Tagger) -> np.ndarray:
+    """The cheapest tag numbers of symbols (Viterbi); ``begins`` marks those
+    before which a sentence ended.  All stretches go ahead together, a symbol
+    a step; equal costs go to the earlier tag."""
+    never = 1 << 55                            # beyond all sums of costs
     step, show = model.costs()
-    n = len(TAGS)
-    flat = F.array(*[F.lit(int(x) << 12) for x in step.ravel()])
-    allowed = F.array(*[F.array(*[F.lit((int(show[m, j]) << 12) + j) for j in tags])
-                        for m, tags in enumerate(model.symbols.values())])
-
-    def tag(x):
-        return x.bitwiseAND(63)
-
-    def forward(before, m):
-        return F.transform(F.get(allowed, m), lambda c: F.array_min(F.transform(
-            before, lambda p, i: p - p.bitwiseAND(4095) + c + i * 64
-            + F.get(flat, (tag(p) * n + tag(c)).cast("int")))))
-    start = F.array(F.lit(TAGS.index(STOP)).cast("long"))
-    rows = rows.withColumn("_states", F.reverse(scan(F.col(symbols), start, forward)))
-    ends = F.get("_states", F.lit(0))
-    last = F.array_min(F.transform(ends, lambda p, i: p - p.bitwiseAND(4095) + i * 64 + tag(p)))
-    back = scan(F.col("_states"), last, lambda s, states: F.get(
-        states, F.shiftright(s, 6).bitwiseAND(63).cast("int")))
-    tags = F.reverse(F.transform(back, lambda s: tag(s).cast("int")))
-    return rows.withColumn(out, F.when(F.size(symbols) > 0, tags)).drop("_states")
+    places = tag_places(model.show)
+    known = places >= 0
+    shown = np.where(known[:-1], np.take_along_axis(show, np.maximum(places[:-1], 0), 1), never)
+    cost = step[places[:, :, None, None], places[None, None, :-1]] + shown[None, None]
+    # (before, symbol) in one number, place, place
+    cost = np.ascontiguousarray(cost.transpose(0, 2, 1, 3)).reshape(-1, *cost.shape[1::2])
+    before, starts, longer = stretches(x, begins, places)
+    pair = before.astype(np.int64) * (len(places) - 1) + x
+    back = np.zeros((len(x), places.shape[1]), np.uint8)
+    at = np.zeros(len(x), np.uint8)
+    now = np.where(np.arange(places.shape[1]) > 0, never, 0)[None].repeat(len(starts), 0)
+    for t, n in enumerate(longer):
+        here = starts[:n] + t
+        ways = cost.take(pair[here], 0)
+        ways += now[:n, :, None]
+        now, best = ways[:, 0], np.zeros(ways[:, 0].shape, np.uint8)
+        for i in range(1, ways.shape[1]):
+            best[ways[:, i] < now] = i         # equal costs: the earlier tag
+            now = np.minimum(now, ways[:, i])
+        back[here] = best
+        done = longer[t + 1] if t + 1 < len(longer) else 0
+        at[here[done:]] = now[done:].argmin(1)
+    for t in range(len(longer) - 1, 0, -1):
+        here = starts[:longer[t]] + t
+        at[here - 1] = back[here, at[here]]
+    return places[x, at]
+
+
+def _tagged(batches, column: int, model: Tagger):
+    """(batch, words, codes, first, valid, tags) of every block: its distinct
+    words, the code and tag of every token, and its lists as in ``blocks``."""
+    for b, tokens, first, valid in blocks(batches, column):
+        coded = tokens.dictionary_encode()
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        x = symbols_of(coded.dictionary, model)[codes]
+        begins = np.zeros(len(x) + 1, bool)
+        begins[first] = True
+        tags = cheapest(x, begins[:-1], model) if len(x) else np.zeros(0, np.int64)
+        yield b, coded.dictionary, codes, first, valid, tags
+
+
+def _with_tokens(df: DataFrame, text: str, keep) -> DataFrame:
+    return df.select(*[F.col(f"`{c}`") for c in keep], tokens_of(text).alias("_tokens"))
+
+
+def _fields(rows: DataFrame, keep, *more: StructField) -> StructType:
+    return StructType([*rows.schema.fields[:len(keep)], *more])
+
+
+def _batch(columns, names) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(list(columns), names=list(names))
 
 
 def tag_texts(df: DataFrame, text: str, model: Tagger | None = None, keep=(),
@@ -170,35 +254,56 @@ def tag_texts(df: DataFrame, text: str, model: Tagger | None = None, keep=(),
     context, in order, as an array of (token, tag).  Null for a null text,
     empty for one without words."""
     model = model or default_tagger()
-    rows = df.select(*[F.col(f"`{c}`") for c in keep], tokens_of(text).alias("_tokens"))
-    rows = rows.withColumn("_symbols", F.transform("_tokens", lambda t: symbol_of(t, model)))
-    rows = with_best(rows, "_symbols", model, "_tags")
-    names = F.array(*map(F.lit, TAGS))
-    pairs = F.zip_with("_tokens", "_tags", lambda t, g: F.struct(
-        t.alias("token"), F.get(names, g).alias("tag")))
-    none = F.array().cast("array<struct<token:string,tag:string>>")
-    words = F.filter(F.coalesce(pairs, F.when(F.col("_tokens").isNotNull(), none)),
-                     lambda p: p["tag"] != STOP)
-    return rows.select(*[F.col(f"`{c}`") for c in keep], words.alias(out))
+    rows, k = _with_tokens(df, text, keep), len(keep)
+    pair = StructType([StructField("token", StringType()), StructField("tag", StringType())])
+
+    def run(batches):
+        names = pa.array(TAGS)
+        for b, words, codes, first, valid, tags in _tagged(batches, k, model):
+            shown = tags != TAGS.index(STOP)
+            ends = np.concatenate([[0], np.cumsum(shown)])[first]
+            pairs = pa.StructArray.from_arrays(
+                [words.take(pa.array(codes[shown])), names.take(pa.array(tags[shown]))], ["token", "tag"])
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs, mask=pa.array(~valid))
+            yield _batch([*b.columns[:k], lists], [*keep, out])
+    return rows.mapInArrow(run, _fields(rows, keep, StructField(out, ArrayType(pair))))
 
 
 def tag_words(df: DataFrame, text: str, model: Tagger | None = None, keep=()) -> DataFrame:
-    """``keep``, ``pos``, ``token`` and ``tag``: a row per word.
+    """``keep``, ``pos``, ``token`` and ``tag``: a row per word."""
+    model = model or default_tagger()
+    rows, k = _with_tokens(df, text, keep), len(keep)
 
-    The generator is an outer one, its empty rows dropped afterwards: for an
-    inner one Spark infers a filter on the array's size and pushes a copy of
-    the whole search below it."""
-    rows = tag_texts(df, text, model, keep)
-    return (rows.select(*[F.col(f"`{c}`") for c in keep], F.posexplode_outer("tagged").alias("pos", "w"))
-            .where("pos IS NOT NULL")
-            .select(*[F.col(f"`{c}`") for c in keep], "pos", "w.token", "w.tag"))
+    def run(batches):
+        names = pa.array(TAGS)
+        for b, words, codes, first, _, tags in _tagged(batches, k, model):
+            shown = tags != TAGS.index(STOP)
+            ends = np.concatenate([[0], np.cumsum(shown)])[first]
+            row = np.repeat(np.arange(b.num_rows), np.diff(ends))
+            pos = (np.arange(len(row)) - ends[row]).astype(np.int32)
+            yield _batch([*(c.take(pa.array(row)) for c in b.columns[:k]), pa.array(pos),
+                          words.take(pa.array(codes[shown])), names.take(pa.array(tags[shown]))],
+                         [*keep, "pos", "token", "tag"])
+    return rows.mapInArrow(run, _fields(rows, keep, StructField("pos", IntegerType()),
+                                        StructField("token", StringType()), StructField("tag", StringType())))
 
 
 def tag_counts(df: DataFrame, text: str, model: Tagger | None = None) -> DataFrame:
     """(token, tag, n) over all texts: a word counts under every tag it has
-    somewhere.  Counts are merged before they shuffle."""
-    return (tag_words(df, text, model).groupBy("token", "tag")
-            .agg(F.count(F.lit(1)).alias("n")))
+    somewhere.  Counts are merged block by block in the tasks, then before
+    they shuffle."""
+    model = model or default_tagger()
+
+    def run(batches):
+        names = pa.array(TAGS)
+        for _, words, codes, _, _, tags in _tagged(batches, 0, model):
+            seen = np.bincount(codes.astype(np.int64) * len(TAGS) + tags)
+            found = np.flatnonzero(seen)
+            found = found[found % len(TAGS) != TAGS.index(STOP)]
+            yield _batch([words.take(pa.array(found // len(TAGS))), names.take(pa.array(found % len(TAGS))),
+                          pa.array(seen[found])], ["token", "tag", "n"])
+    return (_with_tokens(df, text, ()).mapInArrow(run, "token string, tag string, n long")
+            .groupBy("token", "tag").agg(F.sum("n").alias("n")))
 
 
 # --- estimation -------------------------------------------------------------
@@ -210,28 +315,62 @@ def expected(sentences: list, step: np.ndarray, show: np.ndarray):
     starts in the state of a sentence end.  Returns the expected steps (from,
     to), the expected (symbol, tag) counts and the log likelihood."""
     x = np.asarray(sentences)
-    n, length = x.shape
-    k = step.shape[0]
-    forward, scale = np.zeros((length, n, k)), np.zeros((length, n))
-    before = np.zeros((n, k))
-    before[:, 0] = 1.0
-    for t in range(length):
-        a = (before @ step) * show[x[:, t]]
-        scale[t] = np.maximum(a.sum(1), 1e-300)
-        forward[t] = before = a / scale[t][:, None]
-    steps, shown = np.zeros_like(step), np.zeros_like(show)
-    after = np.ones((n, k))
-    for t in range(length - 1, -1, -1):
-        np.add.at(shown, x[:, t], forward[t] * after)
-        here = show[x[:, t]] * after / scale[t][:, None]
-        past = forward[t - 1] if t else np.eye(1, k).repeat(n, 0)
-        steps += step * (past.T @ here)
-        after = here @ step.T
-    return steps, shown, float(np.log(scale).sum())
-
-
-SENTENCES = 4096           # sentences whose states a task holds at once
-STATES = 1 << 21           # and at most so many states
+    sums = Expectations(step, show)
+    sums.add(x.ravel(), np.arange(x.size) % x.shape[1] == 0)
+    return sums.totals()
+
+
+class Expectations:
+    """Adds up the expected counts of symbols, by neighbours: how often symbol
+    ``m`` in its ``i``-th tag is followed by symbol ``l`` in its ``j``-th."""
+
+    def __init__(self, step: np.ndarray, show: np.ndarray):
+        self.shape = step.shape, show.shape
+        self.places = p = tag_places(show)
+        known = p >= 0
+        shown = np.where(known[:-1], np.take_along_axis(show, np.maximum(p[:-1], 0), 1), 0.0)
+        chance = step[p[:, :, None, None], p[None, None, :-1]] * known[:, :, None, None] * shown[None, None]
+        # (before, symbol) in one number, place, place
+        self.chance = np.ascontiguousarray(chance.transpose(0, 2, 1, 3)).reshape(-1, p.shape[1], p.shape[1])
+        self.pairs, self.like = np.zeros_like(self.chance), 0.0
+
+    def add(self, x: np.ndarray, begins: np.ndarray):
+        """Forward and backward over symbols, all stretches together;
+        ``begins`` marks those before which a sentence ended."""
+        k = self.places.shape[1]
+        before, starts, longer = stretches(x, begins, self.places)
+        pair = before.astype(np.int64) * (len(self.places) - 1) + x
+        past, scale, ahead = np.zeros((len(x), k)), np.zeros(len(x)), np.zeros((len(x), k))
+        now = np.eye(1, k).repeat(len(starts), 0)
+        for t, n in enumerate(longer):
+            here = starts[:n] + t
+            past[here] = now[:n]
+            now = np.einsum("ni,nij->nj", now[:n], self.chance.take(pair[here], 0))
+            size = np.maximum(np.einsum("nj->n", now), 1e-300)
+            scale[here] = size
+            now /= size[:, None]
+        after = np.ones((len(starts), k))
+        for t in range(len(longer) - 1, -1, -1):
+            n = longer[t]
+            here = starts[:n] + t
+            ahead[here] = right = after[:n] / scale[here][:, None]
+            after[:n] = np.einsum("nij,nj->ni", self.chance.take(pair[here], 0), right)
+        order = np.argsort(pair, kind="stable")
+        found, first = np.unique(pair[order], return_index=True)
+        both = past.take(order, 0)[:, :, None] * ahead.take(order, 0)[:, None, :]
+        self.pairs[found] += np.add.reduceat(both, first, 0) * self.chance[found]
+        self.like += float(np.log(scale).sum())
+
+    def totals(self):
+        """Expected steps, expected (symbol, tag) counts, log likelihood."""
+        steps, shown = np.zeros(self.shape[0]), np.zeros(self.shape[1])
+        k, n = self.places.shape[1], len(self.places) - 1
+        found = np.argwhere(self.pairs > 0)
+        values = self.pairs[tuple(found.T)]
+        here, now = found[:, 0] % n, self.places[found[:, 0] % n, found[:, 2]]
+        np.add.at(steps, (self.places[found[:, 0] // n, found[:, 1]], now), values)
+        np.add.at(shown, (here, now), values)
+        return steps, shown, self.like
 
 
 def expected_counts(symbols: DataFrame, model: Tagger) -> DataFrame:
@@ -239,39 +378,23 @@ def expected_counts(symbols: DataFrame, model: Tagger) -> DataFrame:
     counts (1) and the log likelihood (2) over all texts; ``symbols`` has an
     array ``s`` per text.  One partial sum per task, merged by one aggregate."""
     step, show = model.step, model.show
-    k = step.shape[0]
 
     def run(batches):
-        steps, shown, like = np.zeros_like(step), np.zeros_like(show), 0.0
-        waiting: dict[int, list] = {}
-
-        def flush(length):
-            nonlocal like
-            a, b, c = expected(waiting.pop(length), step, show)
-            steps[:] += a
-            shown[:] += b
-            like += c
-        for batch in batches:
-            for s in batch.column(0):
-                if not s.is_valid:
-                    continue
-                s = s.values.to_numpy(zero_copy_only=False)
-                ends = np.flatnonzero(s == 0) + 1
-                for one in np.split(s, ends):
-                    if len(one):
-                        rows = waiting.setdefault(len(one), [])
-                        rows.append(one)
-                        if len(rows) >= SENTENCES or len(rows) * len(one) * k > STATES:
-                            flush(len(one))
-        for length in list(waiting):
-            flush(length)
+        sums = Expectations(step, show)
+        for _, values, first, _ in blocks(batches, 0):
+            x = values.to_numpy(zero_copy_only=False)
+            begins = np.zeros(len(x) + 1, bool)
+            begins[first] = True
+            begins[1:][x == 0] = True
+            if len(x):
+                sums.add(x, begins[:-1])
+        steps, shown, like = sums.totals()
         rows = [(0, i, j, v) for (i, j), v in np.ndenumerate(steps) if v]
         rows += [(1, i, j, v) for (i, j), v in np.ndenumerate(shown) if v]
         rows.append((2, 0, 0, like))
         cols = list(zip(*rows))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.int32(), pa.float64()))],
-            names=["kind", "i", "j", "value"])
+        yield _batch([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.int32(), pa.float64()))],
+                     ["kind", "i", "j", "value"])
 
     return (symbols.select("s").mapInArrow(run, "kind int, i int, j int, value double")
             .groupBy("kind", "i", "j").agg(F.sum("value").alias("value")))
@@ -279,18 +402,26 @@ def expected_counts(symbols: DataFrame, model: Tagger) -> DataFrame:
 
 def symbol_table(df: DataFrame, text: str, model: Tagger) -> DataFrame:
     """The symbols of every text (``s``), written once for all rounds."""
-    tok = tokens_of(text)
-    return stored(df.select(F.transform(tok, lambda t: symbol_of(t, model)).alias("s")), "symbols")
+    def run(batches):
+        for b, tokens, first, valid in blocks(batches, 0):
+            coded = tokens.dictionary_encode()
+            x = symbols_of(coded.dictionary, model)[coded.indices.to_numpy(zero_copy_only=False)]
+            yield _batch([pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(x, pa.int32()),
+                                                   mask=pa.array(~valid))], ["s"])
+    return stored(_with_tokens(df, text, ()).mapInArrow(run, "s array<int>"), "symbols")
 
 
-def fit(df: DataFrame, text: str, rounds: int = 5, model: Tagger | None = None) -> Tagger:
+def fit(df: DataFrame, text: str, rounds: int = 5, model: Tagger | None = None,
+        symbols: DataFrame | None = None) -> Tagger:
     """The model after ``rounds`` of expectation and maximisation over all
     texts.  What a round brings to the driver has the size of the model (tags
     x tags + symbols x tags numbers); tags a symbol cannot have stay out.
     ``history`` holds the log likelihood before every round, which never
-    falls.  Without any word the model stays as it is."""
+    falls.  Without any word the model stays as it is.  ``symbols`` is the
+    texts' ``symbol_table`` if there is one already: it is the same for all
+    models with these symbols."""
     model = model or default_tagger()
-    symbols = symbol_table(df, text, model)
+    symbols = symbol_table(df, text, model) if symbols is None else symbols
     for _ in range(rounds):
         step, show, like = np.zeros_like(model.step), np.zeros_like(model.show), 0.0
         for r in expected_counts(symbols, model).collect():

@@ -103,7 +103,8 @@ def txt1_expectations(spark, sf):
     """Expected tags of every symbol under a model learned in two rounds: over
     all tags they add up to the symbol's occurrences, whatever the model."""
     docs = table(spark, sf, DOC)
-    model = G.fit(docs, "text", rounds=2)
-    counts = G.expected_counts(G.symbol_table(docs, "text", model), model)
+    symbols = G.symbol_table(docs, "text", G.default_tagger())
+    model = G.fit(docs, "text", rounds=2, symbols=symbols)
+    counts = G.expected_counts(symbols, model)
     return (counts.where("kind = 1").groupBy(F.col("i").alias("symbol"))
             .agg(F.round(F.sum("value"), 3).alias("shown")))

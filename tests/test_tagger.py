@@ -118,3 +118,28 @@ def test_rounds_never_lower_the_likelihood(spark, monkeypatch):
     assert tagged.count() == tagged.where("tag IS NOT NULL").count() > 1000
     empty = G.fit(docs.limit(0), "text", rounds=1)
     assert np.allclose(empty.step, start.step)
+
+
+def test_blocks_hold_whole_lists_and_stay_small(monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(G, "BLOCK", 5)
+    lists = [[1, 2], None, [], [3, 4, 5], list(range(9)), [6]]
+    batch = pa.RecordBatch.from_arrays([pa.array(lists, pa.list_(pa.int32()))], names=["s"]).slice(1)
+    out, sizes = [], []
+    for b, values, first, valid in G.blocks([batch], 0):
+        v = values.to_pylist()
+        out += [v[a:z] if ok else None for a, z, ok in zip(first, first[1:], valid)]
+        sizes.append((b.num_rows, len(v)))
+    assert out == lists[1:] and all(n <= 5 or rows == 1 for rows, n in sizes)
+
+
+def test_a_symbol_costs_no_row_of_its_own(spark, monkeypatch):
+    """Texts are tagged together: the steps of a block are those of its longest
+    stretch, not the sum over its texts."""
+    from tessera.operators.tagger import cheapest, default_tagger, stretches, tag_places
+    model = default_tagger()
+    x = np.tile([5, len(model.symbols) - 1, len(model.symbols) - 1, 0], 1000)
+    begins = np.arange(len(x)) % 4 == 0
+    _, starts, longer = stretches(x, begins, tag_places(model.show))
+    assert len(longer) == 3 and longer[0] == len(starts) == 2000
+    assert (cheapest(x, begins, model).reshape(-1, 4) == cheapest(x[:4], begins[:4], model)).all()
