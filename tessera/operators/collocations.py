@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.strings import lower_words
-from .text import top_terms
+from ..session import stored
+from .text import term_weights
 
 THRESHOLD = 30.0           # likelihood ratio from which a pair is a term
 
@@ -18,9 +19,9 @@ def pair_counts(df: DataFrame, text: str, stop: DataFrame) -> DataFrame:
     counted in the tasks before they shuffle, and stop words leave the counted
     table."""
     rows = df.select(lower_words(F.col(f"`{text}`")).alias("_w"))
-    pairs = F.transform(F.slice("_w", F.lit(2), F.greatest(F.size("_w") - 1, F.lit(0))),
-                        lambda b, i: F.struct(F.get("_w", i).alias("a"), b.alias("b")))
-    counted = (rows.select(F.explode_outer(pairs).alias("p")).where("p IS NOT NULL").select("p.a", "p.b")
+    after = F.slice("_w", F.lit(2), F.greatest(F.size("_w") - 1, F.lit(0)))
+    pairs = F.arrays_zip(F.col("_w").alias("a"), after.alias("b"))       # the last has no b
+    counted = (rows.select(F.explode_outer(pairs).alias("p")).where("p.b IS NOT NULL").select("p.a", "p.b")
                .groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")))
     for side in ("a", "b"):
         counted = counted.join(stop.select(F.col("token").alias(side)), side, "left_anti")
@@ -42,16 +43,18 @@ def likelihood_ratio(n: Column, left: Column, right: Column, total: Column) -> C
 
 def collocations(pairs: DataFrame, threshold: float = THRESHOLD, least: int = 2) -> DataFrame:
     """(a, b, n, ratio): the pairs that are terms, at least ``least`` times
-    together and more often than by chance.  One number, the count of all
+    together and more often than by chance.  The counted pairs are stored, as
+    their number, the words' counts and the ratio read them; only pairs that
+    are frequent enough meet the words' counts.  One number, the count of all
     pairs, reaches the driver."""
+    pairs = stored(pairs, "pairs")
     total = pairs.agg(F.sum("n")).first()[0] or 0
     left = pairs.groupBy("a").agg(F.sum("n").alias("_l"))
     right = pairs.groupBy("b").agg(F.sum("n").alias("_r"))
-    rated = pairs.join(left, "a").join(right, "b").withColumn(
+    rated = pairs.where(F.col("n") >= least).join(left, "a").join(right, "b").withColumn(
         "ratio", likelihood_ratio(F.col("n"), F.col("_l"), F.col("_r"), F.lit(total)))
     more = F.col("n").cast("double") * total > F.col("_l").cast("double") * F.col("_r")
-    return rated.where((F.col("n") >= least) & more & (F.col("ratio") >= threshold)) \
-        .select("a", "b", "n", "ratio")
+    return rated.where(more & (F.col("ratio") >= threshold)).select("a", "b", "n", "ratio")
 
 
 def cloud_terms(singles: DataFrame, found: DataFrame) -> DataFrame:
@@ -69,6 +72,4 @@ def cloud_weights(singles: DataFrame, pairs: DataFrame, k: int = 200,
                   threshold: float = THRESHOLD) -> DataFrame:
     """The ``k`` most frequent terms with ``rank`` and ``weight``, the count
     relative to the largest."""
-    top = top_terms(cloud_terms(singles, collocations(pairs, threshold)), k=k)
-    most = top.agg(F.max("n")).first()[0]
-    return top.withColumn("weight", F.col("n") / F.lit(most))
+    return term_weights(cloud_terms(singles, stored(collocations(pairs, threshold), "terms")), k=k)

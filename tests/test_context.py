@@ -56,3 +56,20 @@ def test_pairs_leave_the_single_words(spark):
     terms = {r.token: r.n for r in C.cloud_terms(singles, C.collocations(pairs, threshold=10.0)).collect()}
     assert terms["ice cream"] == 3 and terms["ice"] == 1 and terms["cream"] == 1 and terms["tea"] == 2
     assert C.collocations(C.pair_counts(df.limit(0), "text", stop)).collect() == []
+
+
+def test_the_texts_are_read_once_for_pairs(spark, tmp_path):
+    """What follows the counted pairs reads their stored table, not the texts."""
+    path = str(tmp_path / "texts.parquet")
+    texts = ["ice cream and ice cream", "cold ice cream", "cold tea"] + [f"w{i} v{i}" for i in range(60)]
+    spark.createDataFrame([(t,) for t in texts], "text string").write.parquet(path)
+    docs, stop = spark.read.parquet(path), T.stop_table(spark)
+    found = C.collocations(C.pair_counts(docs, "text", stop), threshold=10.0)
+    assert [(r.a, r.b, r.n) for r in found.collect()] == [("ice", "cream", 3)]
+    assert not any("texts.parquet" in f for f in found.inputFiles())
+    singles = T.counted_terms(T.tokens(docs, "text"), stop)
+    cloud = C.cloud_weights(singles, C.pair_counts(docs, "text", stop), threshold=10.0)
+    tree = cloud._jdf.queryExecution().optimizedPlan().toString()
+    assert tree.count("explode") == 1 + 1      # the single words, and the pairs' two words
+    assert {r.token: (r["rank"], r.weight) for r in cloud.where("rank <= 2").collect()} == \
+        {"ice cream": (1, 1.0), "cold": (2, pytest.approx(2 / 3))}
