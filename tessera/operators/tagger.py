@@ -189,6 +189,28 @@ def stretches(x: np.ndarray, begins: np.ndarray, places: np.ndarray):
     return before, starts[order], longer[:-1]
 
 
+def distinct_stretches(x: np.ndarray, before: np.ndarray, starts: np.ndarray, longer: np.ndarray,
+                       base: int):
+    """Equal short stretches once.  Returns the places in ``x`` of those that
+    stay, in a row, ``starts`` and ``longer`` over that row, and how many each
+    of its places stands for.  Stretches whose symbols do not fit in one whole
+    number all stay."""
+    fits = int(63 / np.log2(base)) - 1
+    key, length = before[starts].astype(np.int64) + 1, np.zeros(len(starts), np.int64)
+    for t, n in enumerate(longer):
+        length[:n] += 1
+        if t < fits:
+            key[:n] = key[:n] * base + x[starts[:n] + t] + 1
+    many = int(longer[fits]) if len(longer) > fits else 0
+    _, one, times = np.unique(key[many:], return_index=True, return_counts=True)
+    kept = np.concatenate([np.arange(many), many + one[::-1]])       # longer ones have larger keys
+    times = np.concatenate([np.ones(many, np.int64), times[::-1]])
+    length = length[kept]
+    row = np.cumsum(length) - length
+    at = np.repeat(starts[kept] - row, length) + np.arange(length.sum())
+    return at, row, len(length) - np.cumsum(np.bincount(length))[:-1], np.repeat(times, length)
+
+
 def cheapest(x: np.ndarray, begins: np.ndarray, model: Tagger) -> np.ndarray:
     """The cheapest tag numbers of symbols (Viterbi); ``begins`` marks those
     before which a sentence ended.  All stretches go ahead together, a symbol
@@ -339,8 +361,9 @@ class Expectations:
         ``begins`` marks those before which a sentence ended."""
         k = self.places.shape[1]
         before, starts, longer = stretches(x, begins, self.places)
-        pair = before.astype(np.int64) * (len(self.places) - 1) + x
-        past, scale, ahead = np.zeros((len(x), k)), np.zeros(len(x)), np.zeros((len(x), k))
+        at, starts, longer, times = distinct_stretches(x, before, starts, longer, len(self.places) + 1)
+        pair = before[at].astype(np.int64) * (len(self.places) - 1) + x[at]
+        past, scale, ahead = np.zeros((len(at), k)), np.zeros(len(at)), np.zeros((len(at), k))
         now = np.eye(1, k).repeat(len(starts), 0)
         for t, n in enumerate(longer):
             here = starts[:n] + t
@@ -357,9 +380,10 @@ class Expectations:
             after[:n] = np.einsum("nij,nj->ni", self.chance.take(pair[here], 0), right)
         order = np.argsort(pair, kind="stable")
         found, first = np.unique(pair[order], return_index=True)
+        past *= times[:, None]
         both = past.take(order, 0)[:, :, None] * ahead.take(order, 0)[:, None, :]
         self.pairs[found] += np.add.reduceat(both, first, 0) * self.chance[found]
-        self.like += float(np.log(scale).sum())
+        self.like += float((times * np.log(scale)).sum())
 
     def totals(self):
         """Expected steps, expected (symbol, tag) counts, log likelihood."""

@@ -143,3 +143,33 @@ def test_a_symbol_costs_no_row_of_its_own(spark, monkeypatch):
     _, starts, longer = stretches(x, begins, tag_places(model.show))
     assert len(longer) == 3 and longer[0] == len(starts) == 2000
     assert (cheapest(x, begins, model).reshape(-1, 4) == cheapest(x[:4], begins[:4], model)).all()
+
+
+def test_equal_stretches_are_reckoned_once():
+    model = G.default_tagger()
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, len(model.symbols), 4000)
+    x[1000:1100] = len(model.symbols) - 1                # a stretch too long for one number
+    begins = np.append(True, x[:-1] == 0)
+    places = G.tag_places(model.show)
+    before, starts, longer = G.stretches(x, begins, places)
+    at, row, kept, times = G.distinct_stretches(x, before, starts, longer, len(places) + 1)
+    assert times.sum() == len(x) and len(at) < len(x) and len(kept) == len(longer) >= 100
+    sums = G.Expectations(model.step, model.show)
+    sums.add(x, begins)
+    steps, shown, like = np.zeros_like(model.step), np.zeros_like(model.show), 0.0
+    for s in np.split(x, np.flatnonzero(begins)[1:]):    # one sentence after the other, dense
+        now, ways = np.eye(1, len(G.TAGS))[0], []
+        for m in s:
+            w = now[:, None] * model.step * model.show[m][None]
+            like += math.log(w.sum())
+            ways.append((now, w / w.sum()))
+            now = w.sum(0) / w.sum()
+        after = np.ones(len(G.TAGS))
+        for m, (past, w) in zip(s[::-1], ways[::-1]):
+            w = w * after[None]
+            steps += w
+            shown[m] += w.sum(0)
+            after = np.divide(w.sum(1), past, out=np.zeros(len(past)), where=past > 0)
+    got = sums.totals()
+    assert np.allclose(got[0], steps) and np.allclose(got[1], shown) and got[2] == pytest.approx(like)
