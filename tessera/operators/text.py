@@ -210,7 +210,13 @@ def top_by_tag(tokens_df: DataFrame, stop: DataFrame, k: int = 20,
     The tagger looks at the token alone, so tokens are counted first and
     only the vocabulary is tagged: the tag rules run once per distinct word,
     not once per occurrence."""
-    counts = with_tag(counted_terms(tokens_df.select("token"), stop), lexicon)
+    return top_of_counts(counted_terms(tokens_df.select("token"), stop), k, lexicon)
+
+
+def top_of_counts(counts: DataFrame, k: int = 20, lexicon: DataFrame | None = None) -> DataFrame:
+    """``top_by_tag`` of words that are counted already: (token, n), each word
+    once, stop words out."""
+    counts = with_tag(counts, lexicon)
     fam = counts.withColumn("family", per_group(family_expr("tag")))
     return top_terms(fam.filter(F.col("family").isNotNull()).select("family", "token", "n"),
                      by=["family"], k=k)

@@ -336,23 +336,24 @@ def agg9(spark, sf):
 def review_report(spark, sf) -> tuple[dict, DataFrame]:
     """The whole review analysis over one cleaned-review table.
 
-    The padded, de-duplicated, labelled reviews are computed once and
-    persisted (spilling to disk; recomputed from lineage if an executor is
-    lost); every branch — distributions, top restaurants, length bins,
-    correlation, unigrams, word families, polarity — reads that table and
-    ends in a small aggregate.  Returns the branch DataFrames and the
-    persisted table, which the caller unpersists when done.
+    The padded, de-duplicated, labelled reviews are computed once, with their
+    word counts, and persisted (spilling to disk; recomputed from lineage if an
+    executor is lost); every branch — distributions, top restaurants, length
+    bins, correlation, polarity — reads that table and ends in a small
+    aggregate.  Terms are counted once per label and stored; unigrams, term
+    weights and word families read those counts.  Returns the branch DataFrames
+    and the persisted table, which the caller unpersists when done.
     """
     from pyspark import StorageLevel
 
-    c = combined(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
-    stop = T.stop_table(spark)
-    tok = T.tokens(c, "Review", keep=["Label"])
-    wc = with_word_count(c)
     from ..functions.numeric import bin_index
-    bins = wc.select(bin_index("Word_count", BIN_WIDTH, N_BINS).alias("bin"), "Rating") \
+
+    c = with_word_count(combined(spark, sf)).persist(StorageLevel.MEMORY_AND_DISK)
+    bins = c.select(bin_index("Word_count", BIN_WIDTH, N_BINS).alias("bin"), "Rating") \
         .filter(F.col("bin").isNotNull()).groupBy("bin").agg(F.avg("Rating").alias("avg_rating"))
-    counts = T.counted_terms(tok, stop, by=["Label"]).filter(F.col("Label").isNotNull())
+    terms = stored(T.counted_terms(T.tokens(c, "Review", keep=["Label"]), T.stop_table(spark), by=["Label"]),
+                   "review_terms")
+    counts = terms.filter(F.col("Label").isNotNull())
     pol = T.polarity(c, "Review", TEST_VALENCE)
     mean = c.groupBy("Restaurant").agg(F.avg("Rating").alias("Rating"),
                                        F.count(F.lit(1)).cast("bigint").alias("count"))
@@ -365,11 +366,11 @@ def review_report(spark, sf) -> tuple[dict, DataFrame]:
         "top_restaurants": rel.top_k(mean, "count", 10, tiebreak=["Restaurant"]),
         "length_bins": bins_table(spark).join(bins, "bin", "left"),
         "length_rating_corr": agg.corr_matrix(
-            wc.select(F.col("Word_count").cast("double").alias("Word_count"),
+            c.select(F.col("Word_count").cast("double").alias("Word_count"),
                       F.col("Rating").cast("double").alias("Rating")), ["Word_count", "Rating"]),
         "unigrams": T.top_terms(counts, by=["Label"], k=TOP),
         "term_weights": T.term_weights(counts, by=["Label"], k=200),
-        "families": T.top_by_tag(tok.select("token"), stop, TOP),
+        "families": T.top_of_counts(terms.groupBy("token").agg(F.sum("n").alias("n")), TOP),
         "polarity_means": agg.mean_scores(pol, SCORES),
     }
     return report, c

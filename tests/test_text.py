@@ -67,3 +67,18 @@ def test_counted_terms_drop_stop_words(spark):
     df = spark.createDataFrame([("The cat and the hat, not the bat",)], "t string")
     got = {r.token: r.n for r in T.counted_terms(T.tokens(df, "t"), T.stop_table(spark)).collect()}
     assert got == {"cat": 1, "hat": 1, "not": 1, "bat": 1}
+
+
+def test_the_report_counts_terms_once(spark, monkeypatch):
+    from tessera.plans import review_text as P
+
+    from .conftest import SMALL
+    calls = []
+    real = T.tokens
+    monkeypatch.setattr(T, "tokens", lambda *a, **k: calls.append(a) or real(*a, **k))
+    report, cleaned = P.review_report(spark, SMALL)
+    for part in ("unigrams", "term_weights", "families"):
+        tree = report[part]._jdf.queryExecution().optimizedPlan().toString()
+        assert "regexp_extract_all" not in tree and "InMemoryRelation" not in tree
+    assert len(calls) == 1 and "Word_count" in cleaned.columns
+    cleaned.unpersist()
