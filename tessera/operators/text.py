@@ -132,8 +132,16 @@ def tokens(df: DataFrame, text: str, keep=(), pos: bool = False) -> DataFrame:
     return df.select(*keep, F.explode(t).alias("token"))
 
 
-def drop_stopwords(tok: DataFrame, stop: DataFrame, token: str = "token") -> DataFrame:
-    """Tokens not in the stop list (FLT6): anti join with the broadcast list."""
+def drop_stopwords(tok: DataFrame, stop: DataFrame, token: str = "token",
+                   count: str | None = None) -> DataFrame:
+    """Tokens not in the stop list (FLT6): anti join with the broadcast list.
+
+    Catalyst pushes an anti join on grouping keys below their aggregate, where
+    every occurrence is looked up.  For counted tokens ``count`` names the
+    count (always > 0); the join is tied to it and looks up every word once."""
+    if count is not None:
+        listed = stop.select(F.col("token").alias("_stop"))
+        return tok.join(listed, per_group(F.col(token), count) == F.col("_stop"), "left_anti")
     return tok.join(stop.withColumnRenamed("token", token), on=token, how="left_anti")
 
 
@@ -185,10 +193,12 @@ def family_expr(tag) -> Column:
     return e
 
 
-def counted_terms(tok: DataFrame, stop: DataFrame, by=()) -> DataFrame:
-    """(by..., token, n) with stop words removed after counting (AGG11, FLT6)."""
-    counts = tok.groupBy(*by, "token").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
-    return drop_stopwords(counts, stop)
+def counted_terms(tok: DataFrame, stop: DataFrame, by=(), times: str | None = None) -> DataFrame:
+    """(by..., token, n) with stop words removed after counting (AGG11, FLT6).
+    ``times`` names a column that says how often (at least once) a row counts."""
+    n = F.count(F.lit(1)) if times is None else F.sum(times)
+    counts = tok.groupBy(*by, "token").agg(n.cast("bigint").alias("n"))
+    return drop_stopwords(counts, stop, count="n")
 
 
 def top_terms(counts: DataFrame, by=(), k: int = 20) -> DataFrame:
@@ -203,14 +213,14 @@ def top_terms(counts: DataFrame, by=(), k: int = 20) -> DataFrame:
 
 
 def top_by_tag(tokens_df: DataFrame, stop: DataFrame, k: int = 20,
-               lexicon: DataFrame | None = None) -> DataFrame:
+               lexicon: DataFrame | None = None, times: str | None = None) -> DataFrame:
     """Most frequent words of each family (noun, verb, adjective, adverb),
     stop words out, top ``k`` per family (TXT2) — one pass for all families.
 
     The tagger looks at the token alone, so tokens are counted first and
     only the vocabulary is tagged: the tag rules run once per distinct word,
     not once per occurrence."""
-    return top_of_counts(counted_terms(tokens_df.select("token"), stop), k, lexicon)
+    return top_of_counts(counted_terms(tokens_df, stop, times=times), k, lexicon)
 
 
 def top_of_counts(counts: DataFrame, k: int = 20, lexicon: DataFrame | None = None) -> DataFrame:

@@ -15,7 +15,8 @@ from ..operators import joins, relational as rel
 from ..operators import text as T
 from ..session import stored
 from .catalog import query, table
-from .reviews import BIN_WIDTH, CLEAN_SQL, N_BINS, R, bins_table, combined, tokens_sql, with_word_count
+from .reviews import (BIN_WIDTH, CLEAN_SQL, N_BINS, R, bins_table, combined, distinct_texts, tokens_sql,
+                      with_word_count)
 
 DOC = "documents"
 TOP = 20
@@ -71,18 +72,20 @@ def lexicon_sql(lex: dict) -> str:
 
 # --- Spark building blocks -------------------------------------------------
 
-def review_tokens(spark, sf) -> DataFrame:
-    return T.tokens(combined(spark, sf), "Review", keep=["Label"])
+def review_tokens(spark, sf, by=()) -> DataFrame:
+    """(by..., times, token): the words of the cleaned reviews.  A text is cut
+    once (per ``by``), and its words stand for ``times`` reviews."""
+    return T.tokens(distinct_texts(spark, sf, by), "Review", keep=[*by, "times"])
 
 
 def label_counts(spark, sf) -> DataFrame:
-    return T.counted_terms(review_tokens(spark, sf), T.stop_table(spark), by=["Label"]) \
+    tok = review_tokens(spark, sf, by=["Label"])
+    return T.counted_terms(tok, T.stop_table(spark), by=["Label"], times="times") \
         .filter(F.col("Label").isNotNull())
 
 
 def overall_counts(spark, sf) -> DataFrame:
-    tok = review_tokens(spark, sf).select("token")
-    return T.counted_terms(tok, T.stop_table(spark))
+    return T.counted_terms(review_tokens(spark, sf), T.stop_table(spark), times="times")
 
 
 def label_top(spark, sf, k: int = TOP) -> DataFrame:
@@ -265,7 +268,7 @@ def jn6(spark, sf):
 @query("txt2_top_by_tag", CLEAN_SQL + _FAMILY_SQL + f"SELECT * FROM ft WHERE rank <= {TOP}",
        uses=R)
 def txt2(spark, sf):
-    out = T.top_by_tag(T.tokens(combined(spark, sf), "Review"), T.stop_table(spark), TOP)
+    out = T.top_by_tag(review_tokens(spark, sf), T.stop_table(spark), TOP, times="times")
     return out.select("family", F.col("rank").cast("int").alias("rank"), "token", "n")
 
 

@@ -64,6 +64,17 @@ def reviewed(spark, sf) -> DataFrame:
     return d.withColumn("Label", sentiment_label("Rating"))
 
 
+def distinct_texts(spark, sf, by=()) -> DataFrame:
+    """(by..., Review, times): the padded texts of ``combined``, each once per
+    ``by``, and the number of its rows.  Rows are counted without their texts
+    (``reviewed``); equal texts are met in the tasks before they shuffle, so
+    many copies of one text do not gather."""
+    u = united(spark, sf).select(S.pad_min("Review", PAD_WIDTH).alias("Review"))
+    texts = u.groupBy(F.sha2("Review", 256).alias("digest")).agg(F.any_value("Review").alias("Review"))
+    times = reviewed(spark, sf).groupBy("digest", *by).agg(F.count(F.lit(1)).alias("times"))
+    return texts.join(times, "digest").select(*by, "Review", "times")
+
+
 def with_word_count(df: DataFrame) -> DataFrame:
     return df.withColumn("Word_count", S.word_count("Review"))
 

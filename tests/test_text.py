@@ -82,3 +82,43 @@ def test_the_report_counts_terms_once(spark, monkeypatch):
         assert "regexp_extract_all" not in tree and "InMemoryRelation" not in tree
     assert len(calls) == 1 and "Word_count" in cleaned.columns
     cleaned.unpersist()
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_stop_words_meet_counted_words_only(spark):
+    df = spark.createDataFrame([("The cat and the hat, not the bat",)], "t string")
+    for times in (None, "w"):
+        tok = T.tokens(df.withColumn("w", F.lit(3)), "t", keep=["w"])
+        counts = T.counted_terms(tok, T.stop_table(spark), times=times)
+        assert {r.token: r.n for r in counts.collect()} == dict.fromkeys(("cat", "hat", "not", "bat"), 3 if times else 1)
+        tree = _plan(counts)
+        assert tree.index("LeftAnti") < tree.index("Aggregate")     # joined above the aggregate
+
+
+def test_review_texts_are_cut_once(spark, tmp_path):
+    """A text both exports hold is cut once, however its rows are rated; the
+    words count as often as ``combined`` has rows."""
+    import shutil
+    from collections import Counter
+
+    from tessera.plans import review_text as P
+    from tessera.plans.reviews import combined, distinct_texts
+
+    from .conftest import SMALL
+    sf = shutil.copytree(SMALL, tmp_path / "sf", ignore=lambda d, names: [n for n in names if n == "documents.parquet"])
+    # doc_id % 5 = 0: both exports rate alike; 7: no rating; 11: one export's rating does not parse
+    texts = [(0, "Cat hat the", "s"), (1, "Cat hat the", "s"), (2, "Cat hat the", "r"), (5, "Cat hat the", "s"),
+             (7, "gone", "s"), (11, "bat " * 80, "s"), (12, None, "s"), (13, "", "s"), (14, "mat", None), (1, "Cat hat the", "s")]
+    spark.createDataFrame(texts, "doc_id long, text string, source string") \
+        .selectExpr("doc_id", "text", "'en' AS lang", "source", "length(text) AS n_chars") \
+        .write.parquet(f"{sf}/documents.parquet")
+    rows = [(r.Label, w) for r in combined(spark, str(sf)).collect() for w in r.Review.lower().split() if w != "the"]
+    got = {r.token: r.n for r in P.overall_counts(spark, str(sf)).collect()}
+    assert got == Counter(w for _, w in rows) and got["cat"] > 4 and got["bat"] == 80 and set(got) == {"cat", "hat", "bat"}
+    assert {(r.Label, r.token): r.n for r in P.label_counts(spark, str(sf)).collect()} == Counter(rows)
+    cut = distinct_texts(spark, str(sf)).collect()
+    assert sorted(r.Review.strip()[:3] for r in cut) == ["", "Cat", "bat"]
+    assert sum(r.times for r in cut) == combined(spark, str(sf)).count()
