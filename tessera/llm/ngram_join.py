@@ -13,15 +13,21 @@ without losing a link:
   bring few rows together;
 * only rows whose sizes allow the overlap are brought together.
 
-Chains of rows that share such an n-gram form candidate groups, and the
-product is taken inside each group.  A large group is cut into blocks by size
-and hash; the blocks' own products and those with one chosen block come first,
-and where they connect the whole group the others are not needed.
+Rows that share such an n-gram by chance are many in a large corpus, and chains
+of them would run through most of it.  So every row has a sketch, the parities
+of its n-grams over about as many bits as it has n-grams: two rows differ in
+at least as many n-grams as their sketches differ in bits.  Rows that share an
+n-gram, and whose places in the order and sketches allow a link, are tied;
+what is tied forms the candidate groups, and the product is taken inside each
+group.  A large group is cut into blocks by size and hash; the blocks' own
+products and those with one chosen block come first, and where they connect
+the whole group the others are not needed.
 """
 
 from __future__ import annotations
 
 import math
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +39,8 @@ from .common import byte_blocks, lean, saved
 
 FREQUENT = 3               # documents whose prefixes share an n-gram that is put last
 MARKS = 1 << 26            # bits of the filters over n-grams and classes (8 MB)
-LIST = 8192                # rows of one n-gram that are chained in one task
+LIST = 8192                # rows of one n-gram whose sketches are compared in one task
+PAIRS = 4                  # rows of one n-gram that are sent on as pairs
 CUT_LISTS = 1 << 16        # lists that may be cut into parts
 BLOCK = 1024               # rows of a block of the product
 GRAMS = 1 << 21            # n-grams in the sets of a block
@@ -151,17 +158,42 @@ def _lists(rows: list[np.ndarray], kind=pa.int64()) -> pa.Array:
                                     pa.array(flat.view(np.int64), kind))
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """Parities of the numbers of n-grams of a set by some bits of their hash:
+    a power of two of bits, 64 at least, more than n-grams and at most twice
+    as many."""
+    size = max(64, 1 << len(s).bit_length())
+    at = ((s >> np.uint64(20)) & np.uint64(size - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=size) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def differing(x: bytes, y: bytes) -> int:
+    """Bits in which two sketches differ, the longer one folded to the length
+    of the other: never more than the n-grams that only one set has."""
+    a, b = int.from_bytes(x, "little"), int.from_bytes(y, "little")
+    size = 8 * max(len(x), len(y))
+    while size > 8 * min(len(x), len(y)):
+        size //= 2
+        if len(x) > len(y):
+            a = (a >> size) ^ (a & ((1 << size) - 1))
+        else:
+            b = (b >> size) ^ (b & ((1 << size) - 1))
+    return (a ^ b).bit_count()
+
+
 def _scan(df: DataFrame, n: int) -> DataFrame:
-    """(id, n, class) per document."""
+    """(id, n, class, sketch) per document."""
     def run(batches):
         shingles = Shingler(n)
         for b in byte_blocks(batches, 0, TEXTS):
             sets = shingles(b.column(0))
             yield pa.RecordBatch.from_arrays(
                 [b.column(1), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([class_of(s) for s in sets], pa.int64())], names=["id", "n", "class"])
+                 pa.array([class_of(s) for s in sets], pa.int64()),
+                 pa.array([sketch(s) if len(s) else None for s in sets], pa.binary())],
+                names=["id", "n", "class", "sketch"])
 
-    return df.mapInArrow(lean(run), "id long, n long, class long")
+    return df.mapInArrow(lean(run), "id long, n long, class long, sketch binary")
 
 
 def _frequencies(df: DataFrame, n: int, percent: int) -> DataFrame:
@@ -225,36 +257,160 @@ def _prefixes(df: DataFrame, n: int, percent: int, shared) -> DataFrame:
     return df.mapInArrow(lean(run), "class long, n long, grams array<long>, parts array<int>")
 
 
-def _chains(percent: int):
-    """Edges (a, b) that connect the rows of a list whose sizes allow a link,
-    from rows sorted by (gram, part, n, class).  Between two such rows lie only
-    rows of such sizes, so runs of neighbours are tied to their first row.  The
-    parts of a cut list are tied to a node of their own, the n-gram."""
+PAIR, RUN, TIE = 0, 1, 2
+
+
+def _shared(percent: int):
+    """What rows that share an n-gram have to do with each other, as (kind, a,
+    b), from rows sorted by (gram, part, n, class).  Between two rows of a list
+    whose sizes allow a link lie only rows of such sizes, so lists fall into
+    runs of neighbours.  Of a short run every pair goes on whose overlap can be
+    large enough if the n-gram is the first that both hold (``PAIR``); of a
+    longer one each row, under a number that runs of the same rows have in
+    common (``RUN``).  The rows of a run longer than ``LIST`` are tied to its
+    first row, those of a cut list to a node of their own, the n-gram
+    (``TIE``)."""
+    names = ["gram", "part", "n", "class", "pos", "of"]
+
+    def found(t):
+        g, p, n, c, pos, of = (t.column(k).to_numpy() for k in names)
+        cut = of > 1
+        out = [(TIE, c[cut], g[cut])]
+        g, p, n, c, pos = (x[~cut] for x in (g, p, n, c, pos))
+        if len(g):
+            first = np.ones(len(g), bool)
+            first[1:] = (g[1:] != g[:-1]) | (p[1:] != p[:-1]) | (100 * n[:-1] < percent * n[1:])
+            heads = np.flatnonzero(first)
+            size = np.diff(np.append(heads, len(g)))
+            run, size = np.cumsum(first) - 1, np.repeat(size, size)
+            short = size <= PAIRS
+            for d in range(1, min(PAIRS, len(g))):
+                i = np.flatnonzero(short[:-d] & (run[:-d] == run[d:]))
+                j = i + d
+                most = np.minimum(n[i] - pos[i], n[j] - pos[j])
+                ok = ((100 + percent) * most >= percent * (n[i] + n[j])) & (c[i] != c[j])
+                i, j = i[ok], j[ok]
+                out.append((PAIR, np.minimum(c[i], c[j]), np.maximum(c[i], c[j])))
+            rows = ~short & (size <= LIST)
+            number = _mix(np.add.reduceat(_mix(c.view(np.uint64)), heads)).view(np.int64)
+            out.append((RUN, number[run[rows]], c[rows]))
+            rows = size > LIST
+            out.append((TIE, c[rows], c[heads][run[rows]]))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.repeat([k for k, _, _ in out], [len(a) for _, a, _ in out]), pa.int32()),
+             pa.array(np.concatenate([a for _, a, _ in out])),
+             pa.array(np.concatenate([b for _, _, b in out]))], names=["kind", "a", "b"])
+
     def run(batches):
-        held, pivot = None, None               # last row so far, first of its run
+        held = []                              # the last list so far
         for b in batches:
-            t = pa.Table.from_batches([b] if held is None else [held, b])
-            if not t.num_rows:
+            if not b.num_rows:
                 continue
-            g, p, c, n, of = (t.column(k).to_numpy() for k in ("gram", "part", "class", "n", "of"))
-            first = np.ones(len(g), bool)
-            first[1:] = (g[1:] != g[:-1]) | (p[1:] != p[:-1]) | (100 * n[:-1] < percent * n[1:])
-            head = np.maximum.accumulate(np.where(first, np.arange(len(g)), 0))
-            to = c[head]
-            if held is not None:
-                to[head == 0] = pivot
-            old = np.arange(len(g)) < (held is not None)
-            cut = (of > 1) & ~old
-            tied = ~first & ~old
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([c[tied], c[cut]])),
-                 pa.array(np.concatenate([to[tied], g[cut]]))], names=["a", "b"])
-            held = t.slice(t.num_rows - 1).combine_chunks().to_batches()[0]
-            pivot = to[-1]
+            g, p = b.column("gram").to_numpy(), b.column("part").to_numpy()
+            lo = int(np.flatnonzero((g != g[-1]) | (p != p[-1])).max(initial=-1)) + 1
+            if not lo and held and (held[-1].column("gram")[0].as_py(), held[-1].column("part")[0].as_py()) == (g[0], p[0]):
+                held.append(b)
+                continue
+            whole = [*held, b.slice(0, lo)]
+            yield found(pa.Table.from_batches(whole))
+            held = [b.slice(lo)]
+        if held:
+            yield found(pa.Table.from_batches(held))
+
+    return run
+
+
+def _alike(ids: list, n: np.ndarray, sketches: list[bytes], percent: int) -> list[tuple[int, int]]:
+    """Edges that connect the rows whose sketches allow a link."""
+    def enough(x, y, bits):
+        return ((100 + percent) * (x + y - bits) >= 2 * percent * (x + y)) \
+            & (100 * np.minimum(x, y) >= percent * np.maximum(x, y))
+    if len(ids) <= 2 * PAIRS:
+        return [(ids[i], ids[j]) for i, j in combinations(range(len(ids)), 2)
+                if enough(n[i], n[j], differing(sketches[i], sketches[j]))]
+    by = {}                                    # length of sketches: rows, sketches folded to lengths
+    length = np.array([len(x) for x in sketches])
+    for k in np.unique(length).tolist():
+        at = np.flatnonzero(length == k)
+        by[k] = at, {k: np.frombuffer(b"".join(sketches[i] for i in at.tolist()), np.uint64).reshape(len(at), -1)}
+
+    def folded(k, to):
+        kept = by[k][1]
+        if to not in kept:
+            x = folded(k, 2 * to)
+            kept[to] = x[:, :x.shape[1] // 2] ^ x[:, x.shape[1] // 2:]
+        return kept[to]
+    place = np.zeros(len(ids), np.int64)
+    for at, _ in by.values():
+        place[at] = np.arange(len(at))
+    out, left = [], np.ones(len(ids), bool)
+    for i in range(len(ids)):
+        if not left[i]:
+            continue
+        left[i] = False
+        front = [i]
+        while front:
+            x = front.pop()
+            for k, (at, _) in by.items():
+                m = n[at]
+                some = np.flatnonzero(left[at] & (100 * np.minimum(m, n[x]) >= percent * np.maximum(m, n[x])))
+                if not len(some):
+                    continue
+                to = min(k, int(length[x]))
+                own = folded(int(length[x]), to)[place[x]]
+                bits = np.bitwise_count(folded(k, to)[some] ^ own).sum(axis=1, dtype=np.int64)
+                new = at[some[enough(m[some], n[x], bits)]]
+                left[new] = False
+                front += new.tolist()
+                out += [(ids[j], ids[i]) for j in new.tolist()]
+    return out
+
+
+def _tied(percent: int):
+    """Edges (a, b) that connect rows of the same key whose sketches allow a
+    link, from rows (key, class, n, sketch) sorted by key."""
+    def run(batches):
+        key, rows = None, []
+
+        def out(pairs):
+            return pa.RecordBatch.from_arrays(
+                [pa.array([a for a, _ in pairs], pa.int64()), pa.array([b for _, b in pairs], pa.int64())],
+                names=["a", "b"])
+
+        def edges():
+            if len(rows) < 2:
+                return []
+            ids, n, sketches = zip(*rows)
+            return _alike(ids, np.array(n), sketches, percent)
+        for b in batches:
+            pairs = []
+            for k, *row in zip(*(b.column(c).to_pylist() for c in ("key", "class", "n", "sketch"))):
+                if k != key:
+                    pairs += edges()
+                    key, rows = k, []
+                rows.append(row)
+            yield out(pairs)
+        yield out(edges())
 
     return run
 
 
+def _candidates(lists: DataFrame, scan: DataFrame, percent: int) -> DataFrame:
+    """Edges (a, b) whose components hold all links: ``lists`` has the rows of
+    every n-gram (gram, part, n, class, pos, of), ``scan`` the sketches."""
+    shared = saved(lists.repartition("gram", "part").sortWithinPartitions("gram", "part", "n", "class")
+                   .mapInArrow(lean(_shared(percent)), "kind int, a long, b long").distinct(), "shared")
+    keyed = (shared.where(F.col("kind") == PAIR)
+             .select(F.xxhash64("a", "b").alias("key"), F.explode(F.array("a", "b")).alias("class"))
+             .unionByName(shared.where(F.col("kind") == RUN)
+                          .select(F.col("a").alias("key"), F.col("b").alias("class"))))
+    sketches = scan.where("n > 0").groupBy("class").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    return (keyed.join(sketches, "class").select("key", "class", "n", "sketch")
+            .repartition("key").sortWithinPartitions("key")
+            .mapInArrow(lean(_tied(percent)), "a long, b long")
+            .unionByName(shared.where(F.col("kind") == TIE).select("a", "b")))
+
+
 def _sets(df: DataFrame, n: int, wanted: DataFrame) -> DataFrame:
     """(class, grams): whole n-gram sets of the wanted classes, one row each.
     A filter of fixed size tells which texts are worth sending; what it lets
@@ -478,10 +634,8 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", n
     lists = (rows.select("class", "n", "parts", F.posexplode("grams").alias("pos", "gram"))
              .withColumn("of", F.coalesce(F.get("parts", F.col("pos")), F.lit(1)))
              .withColumn("part", F.pmod(F.xxhash64("class"), F.col("of")).cast("int")))
-    chained = (lists.select("gram", "part", "n", "class", "of").repartition("gram", "part")
-               .sortWithinPartitions("gram", "part", "n", "class")
-               .mapInArrow(lean(_chains(percent)), "a long, b long"))
-    groups = components(chained)               # candidate groups
+    groups = components(_candidates(
+        lists.select("gram", "part", "n", "class", "pos", "of"), scan, percent))
 
     wanted = groups.select(F.col("node").alias("class"), F.col("root").alias("grp"))
     sets = _sets(docs.select("text"), n, wanted)

@@ -109,6 +109,68 @@ def test_a_large_group_of_near_copies(docs_of):
     assert {r[2] for r in run(docs_of, rows)} == {0}
 
 
+def test_chance_n_grams_do_not_chain_the_corpus(docs_of, monkeypatch):
+    """Texts of few words share n-grams by chance and would form one group;
+    whole sets are sent for the texts that are really near."""
+    rng = random.Random(11)
+    texts = [" ".join(rng.choices("abcdefghijklmn", k=120)) for _ in range(300)]
+    for t in texts[:20]:
+        w = t.split()
+        w[rng.randrange(120)] = "z"
+        texts.append(" ".join(w))
+    rows, sent, real = list(enumerate(texts)), {}, nj.saved
+
+    def saved(df, name):
+        out = real(df, name)
+        sent[name] = out.count()
+        return out
+    monkeypatch.setattr(nj, "saved", saved)
+    assert run(docs_of, rows) == brute(rows)
+    assert 40 <= sent["members"] <= 60
+    assert run(docs_of, rows, n=5, percent=80) == brute(rows, 5, 80)
+
+
+@pytest.mark.parametrize("most", [2, 5, 1000])
+def test_long_lists_of_one_n_gram(docs_of, monkeypatch, most):
+    monkeypatch.setattr(nj, "PAIRS", 2)
+    monkeypatch.setattr(nj, "LIST", most)
+    rows = corpus(12, 200)
+    assert run(docs_of, rows) == brute(rows)
+
+
+def test_sketches_never_differ_in_more_than_the_sets():
+    import numpy as np
+    rng = np.random.default_rng(5)
+    pool = rng.integers(0, 1 << 63, 4000, dtype=np.uint64) * np.uint64(2)
+    for _ in range(200):
+        a = np.unique(rng.choice(pool, rng.integers(1, 1500)))
+        b = np.unique(np.concatenate([rng.choice(a, rng.integers(1, len(a) + 1)), rng.choice(pool, rng.integers(0, 300))]))
+        both = len(np.intersect1d(a, b))
+        x, y = nj.sketch(a), nj.sketch(b)
+        assert nj.differing(x, y) == nj.differing(y, x) <= len(a) + len(b) - 2 * both
+        assert nj.differing(x, x) == 0 and len(x) * 8 >= max(64, len(a) + 1)
+
+
+def test_sketch_edges_of_many_rows_connect_what_pairs_connect():
+    import numpy as np
+    rng = np.random.default_rng(7)
+    sets = []
+    for _ in range(40):
+        base = rng.integers(0, 1 << 63, rng.integers(5, 700), dtype=np.uint64)
+        for _ in range(rng.integers(1, 6)):
+            sets.append(np.unique(np.where(rng.random(len(base)) < 0.03, rng.integers(0, 1 << 63, len(base), dtype=np.uint64), base)))
+    n, sketches, ids = np.array([len(s) for s in sets]), [nj.sketch(s) for s in sets], list(range(len(sets)))
+
+    def parts(edges):
+        root = list(ids)
+        for a, b in edges * len(ids):
+            root[a] = root[b] = min(root[a], root[b])
+        return root
+    pairs = [(i, j) for i in ids for j in ids[:i]
+             if nj._alike([i, j], n[[i, j]], [sketches[i], sketches[j]], 85)]
+    assert pairs and parts(nj._alike(ids, n, sketches, 85)) == parts(pairs)
+
+
 def test_components_of_a_graph(spark):
     rng = random.Random(6)
     edges = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 40)]
