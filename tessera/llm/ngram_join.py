@@ -45,6 +45,7 @@ CUT_LISTS = 1 << 16        # lists that may be cut into parts
 BLOCK = 1024               # rows of a block of the product
 GRAMS = 1 << 21            # n-grams in the sets of a block
 COLUMNS = 8192             # n-grams of a range of the product
+GRAPH = 1 << 18            # edges of a graph whose components one task finds
 TEXTS = 2 << 20            # bytes of texts that are hashed as a block
 PIECE = 1 << 20            # bytes of them at once
 
@@ -343,26 +344,29 @@ def _alike(ids: list, n: np.ndarray, sketches: list[bytes], percent: int) -> lis
     place = np.zeros(len(ids), np.int64)
     for at, _ in by.values():
         place[at] = np.arange(len(at))
-    out, left = [], np.ones(len(ids), bool)
+    left = {k: np.arange(len(at)) for k, (at, _) in by.items()}
+    out, seen = [], np.zeros(len(ids), bool)
     for i in range(len(ids)):
-        if not left[i]:
+        if seen[i]:
             continue
-        left[i] = False
+        k = int(length[i])
+        left[k] = left[k][left[k] != place[i]]
         front = [i]
-        while front:
+        while front and any(map(len, left.values())):
             x = front.pop()
             for k, (at, _) in by.items():
-                m = n[at]
-                some = np.flatnonzero(left[at] & (100 * np.minimum(m, n[x]) >= percent * np.maximum(m, n[x])))
+                some = left[k]
                 if not len(some):
                     continue
                 to = min(k, int(length[x]))
                 own = folded(int(length[x]), to)[place[x]]
                 bits = np.bitwise_count(folded(k, to)[some] ^ own).sum(axis=1, dtype=np.int64)
-                new = at[some[enough(m[some], n[x], bits)]]
-                left[new] = False
-                front += new.tolist()
-                out += [(ids[j], ids[i]) for j in new.tolist()]
+                ok = enough(n[at[some]], n[x], bits)
+                if ok.any():
+                    new, left[k] = at[some[ok]].tolist(), some[~ok]
+                    seen[new] = True
+                    front += new
+                    out += [(ids[j], ids[i]) for j in new]
     return out
 
 
@@ -564,11 +568,28 @@ def _cells(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFra
     return small.unionByName(start), rest, sizes.where(~fits).select("grp")
 
 
+def _united(batches):
+    """(node, root) from all edges of a graph of bounded size."""
+    up: dict[int, int] = {}
+
+    def find(x):
+        while (y := up.setdefault(x, x)) != x:
+            up[x] = x = up[y]
+        return x
+    for b in batches:
+        for x, y in zip(b.column("a").to_pylist(), b.column("b").to_pylist()):
+            x, y = find(x), find(y)
+            up[max(x, y)] = min(x, y)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(list(up), pa.int64()), pa.array([find(x) for x in up], pa.int64())], names=["node", "root"])
+
+
 def components(links: DataFrame, name: str = "components") -> DataFrame:
     """(node, root) of every node of an undirected graph given by its edges
     (a, b): ``root`` is the smallest node of the connected component.
 
-    Alternates two contractions until nothing changes: every node ties its
+    A graph of up to ``GRAPH`` edges is left to one task.  For a larger one,
+    alternates two contractions until nothing changes: every node ties its
     larger neighbours, then its smaller ones, to the smallest it knows.  Each
     step is a grouped minimum joined back; nothing is gathered per node, and
     every round is written to the shared folder.
@@ -593,6 +614,8 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         return edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
 
     edges = saved(links.select("a", "b").where("a <> b").distinct(), name)
+    if edges.count() <= GRAPH:
+        return saved(edges.coalesce(1).mapInArrow(lean(_united), "node long, root long"), name)
     seen = None
     while (now := state(edges)) != seen and now[0]:
         seen = now

@@ -196,6 +196,15 @@ def test_query_on_table(spark):
     assert got == brute([tuple(t) for t in texts])
 
 
+@pytest.mark.parametrize("most", [0, 60, 1 << 18])
+def test_components_in_rounds_and_in_one_task(spark, monkeypatch, most):
+    monkeypatch.setattr(nj, "GRAPH", most)
+    edges = [(i, i + 1) for i in range(40)] + [(-5, 30), (70, 60), (60, 65), (9, 9)]
+    got = nj.components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert {r.node: r.root for r in got} == {**{i: -5 for i in [-5, *range(41)]}, 60: 60, 65: 60, 70: 60}
+    assert len(got) == 45
+
+
 def test_word_hashes_do_not_depend_on_pieces(monkeypatch):
     import pyarrow as pa
     texts = pa.array(EDGES + ["Ab ab AB", "x" * 700 + " y"])
