@@ -109,3 +109,23 @@ def test_the_rest_works_without_this_subpackage(tmp_path):
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True,
                    env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
     assert importlib.util.find_spec("tessera.llm.queries")
+
+
+def test_near_stage_sends_sets_of_near_texts_only(spark, docs_of, monkeypatch):
+    """Texts of few words share n-grams by chance with most others."""
+    import random
+
+    from tessera.llm import ngram_join
+    rng = random.Random(13)
+    texts = [" ".join(rng.choices("abcdefgh", k=120)) for _ in range(200)]
+    near = [" ".join([*t.split()[:-1], "z"]) for t in texts[:10]]
+    sent, real = {}, ngram_join.saved
+
+    def saved(df, name):
+        out = real(df, name)
+        sent[name] = out.count()
+        return out
+    monkeypatch.setattr(ngram_join, "saved", saved)
+    out = cp.near_stage(spark, docs_of(texts + near), "")
+    assert sorted(r.doc_id for r in out.collect()) == list(range(200))
+    assert 20 <= sent["members"] <= 40
